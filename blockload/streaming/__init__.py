@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The loads this library performs read finite tables only; there is no
+stream, watermark, time window or stateful operator to rebuild, so nothing
+lives here. A stream can still be loaded by calling ``run_load`` on each
+micro-batch from ``foreachBatch``.
+"""
