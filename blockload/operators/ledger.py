@@ -139,10 +139,10 @@ def run_plan(spark: SparkSession, process_name: str, scope: str, run_date: dt.da
     return plan_blocks(runs, n_blocks)
 
 
-def _on_block(left: DataFrame, right: DataFrame) -> Column:
+def _on_block(left: str, right: str) -> Column:
     cond = None
     for k in BLOCK_KEYS:
-        c = left[k] == right[k]
+        c = F.col(f"{left}.{k}") == F.col(f"{right}.{k}")
         cond = c if cond is None else cond & c
     return cond
 
@@ -150,15 +150,17 @@ def _on_block(left: DataFrame, right: DataFrame) -> Column:
 def pending_blocks(plan: DataFrame, state: DataFrame) -> DataFrame:
     """Blocks of the plan that are not SUCCESS (no event, PENDING,
     RUNNING or FAILED)."""
-    done = completed_blocks(state).select(*BLOCK_KEYS)
-    return plan.join(done, _on_block(plan, done), "left_anti").select(*[plan[k] for k in BLOCK_KEYS])
+    done = completed_blocks(state).select(*BLOCK_KEYS).alias("_d")
+    return plan.alias("_p").join(done, _on_block("_p", "_d"), "left_anti").select(
+        *[F.col(f"_p.{k}").alias(k) for k in BLOCK_KEYS])
 
 
 def ledger_init(plan: DataFrame, state: DataFrame) -> DataFrame:
     """A PENDING event for each planned block that has no event yet.
     (Appending them is O26.)"""
-    seen = state.select(*BLOCK_KEYS)
-    new = plan.join(seen, _on_block(plan, seen), "left_anti").select(*[plan[k] for k in BLOCK_KEYS])
+    seen = state.select(*BLOCK_KEYS).alias("_s")
+    new = plan.alias("_p").join(seen, _on_block("_p", "_s"), "left_anti").select(
+        *[F.col(f"_p.{k}").alias(k) for k in BLOCK_KEYS])
     return new.select(*BLOCK_KEYS, F.lit(PENDING).alias("status"), F.lit(0).cast("long").alias("row_count"),
                       F.lit(0).alias("attempt"), F.lit(None).cast("string").alias("error_message"),
                       F.current_timestamp().alias("last_update"), F.lit(0).cast("long").alias("seq"))
@@ -209,8 +211,10 @@ def ledger_summary(state: DataFrame) -> DataFrame:
 def run_result(plan: DataFrame, state: DataFrame) -> DataFrame:
     """Per run, total, ok, failed and pending blocks. A planned block
     with no event, or PENDING or RUNNING, is pending."""
-    s = state.select(*BLOCK_KEYS, "status", "row_count")
-    j = plan.join(s, _on_block(plan, s), "left").select(*[plan[k] for k in BLOCK_KEYS], s["status"], s["row_count"])
+    s = state.select(*BLOCK_KEYS, "status", "row_count").alias("_s")
+    j = plan.alias("_p").join(s, _on_block("_p", "_s"), "left").select(
+        *[F.col(f"_p.{k}").alias(k) for k in BLOCK_KEYS], F.col("_s.status").alias("status"),
+        F.col("_s.row_count").alias("row_count"))
     ok = F.count(F.when(F.col("status") == SUCCESS, 1))
     failed = F.count(F.when(F.col("status") == FAILED, 1))
     total = F.count(F.lit(1))
