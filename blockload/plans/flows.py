@@ -120,9 +120,13 @@ def _run_blocks(spark: SparkSession, blocks: DataFrame, expected: Callable[[list
     for w in sorted(by_wave):
         attempts = by_wave[w]
         failed = _try_blocks(spark, blocks, expected, sorted(attempts), attempts, cfg, run_date)
-        for b in failed:  # each failed block on its own, with a linear pause
+        # Each failed block on its own, with a linear pause. After a failed
+        # job of several blocks every block gets at least one try alone, so
+        # one bad block cannot hold back its neighbours.
+        tries = cfg.block_retries if len(attempts) == 1 else max(1, cfg.block_retries)
+        for b in failed:
             a = attempts[b]
-            for k in range(1, cfg.block_retries + 1):
+            for k in range(1, tries + 1):
                 time.sleep(cfg.retry_delay_s * k)
                 a += 1
                 if not _try_blocks(spark, blocks, expected, [b], {b: a}, cfg, run_date):
