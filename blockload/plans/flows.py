@@ -54,8 +54,9 @@ def with_paths(spark: SparkSession, cfg: LoadConfig) -> LoadConfig:
     """Fill in a run-private ledger and landing folder under the shared work
     folder when the caller named none, so that retries share them."""
     changes = {}
-    if not cfg.ledger_path:
+    if not cfg.ledger_path:  # a private ledger: nobody else writes to it
         changes["ledger_path"] = new_path(spark, "ledger")
+        changes["process_name"], changes["scope"] = _names(cfg)
     if not cfg.landing_path:
         changes["landing_path"] = new_path(spark, "landing")
     return cfg.replace(**changes) if changes else cfg

@@ -37,6 +37,9 @@ def _jdbc_writer_options(cfg: LoadConfig) -> dict[str, str]:
     opts.setdefault("dbtable", cfg.target)
     opts.setdefault("numPartitions", str(cfg.max_connections))
     opts.setdefault("queryTimeout", str(cfg.query_timeout_s))
+    # Used only if Spark creates the table: a comparable type for the run key
+    # (some databases store Spark strings as CLOB, which takes no filter).
+    opts.setdefault("createTableColumnTypes", f"{RUN_COL} VARCHAR(400)")
     if cfg.chunk_rows > 0:
         opts.setdefault("batchsize", str(cfg.chunk_rows))
     return opts
