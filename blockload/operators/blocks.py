@@ -116,19 +116,9 @@ def n_blocks_for(total_rows: int, block_size: int) -> int:
 
 # --- positions --------------------------------------------------------------
 
-def row_positions(
-    df: DataFrame,
-    order_cols: Sequence[str],
-    group_cols: Sequence[str] = (),
-    *,
-    num_partitions: int | None = None,
-) -> DataFrame:
-    """0-based position of each row in ``order_cols`` order inside its group
-    (``_pos``) and the size of its group (``_gsize``), with no window over
-    the data. The order must be total for the result to be stable.
-
-    Columns of ``df`` come first; ``_pos`` and ``_gsize`` are longs.
-    """
+def _positions(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str] = (),
+               num_partitions: int | None = None) -> tuple[DataFrame, int | None]:
+    """``row_positions`` plus, with no groups, the number of rows."""
     spark = df.sparkSession
     group_cols, order_cols = list(group_cols), list(order_cols)
     keys = group_cols + order_cols
@@ -143,6 +133,7 @@ def row_positions(
     ranged.write.mode("errorifexists").parquet(f"{stage}/rows")
     pinned = spark.read.parquet(f"{stage}/rows").withColumn("_p", F.shiftright("_rid", _ROW_BITS))
 
+    # One row per (range partition, group): at most partitions + groups rows.
     stats = pinned.groupBy("_p", *group_cols).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_rid").alias("_first"))
     before = Window.partitionBy(*group_cols).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
@@ -152,20 +143,46 @@ def row_positions(
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
         F.sum("_n").over(whole).alias("_gsize"),
     )
-    offsets.write.mode("errorifexists").parquet(f"{stage}/offsets")
-    offsets = spark.read.parquet(f"{stage}/offsets")
-    n_offsets = offsets.count()
-
-    o = maybe_broadcast(offsets, n_offsets).alias("_o")
+    # A broadcast goes through the driver anyway: if the table fits the
+    # broadcast limit, take it at once (bounded by limit + 1 rows); else pin
+    # it beside the rows and join with a shuffle.
+    limit = broadcast_row_limit(spark, offsets.schema)
+    rows = offsets.limit(limit + 1).collect() if limit > 0 else []
+    if 0 < len(rows) <= limit:
+        o = F.broadcast(spark.createDataFrame(rows, offsets.schema))
+        total = rows[0]["_gsize"] if not group_cols else None
+    elif not rows and limit > 0:  # empty input
+        o, total = spark.createDataFrame([], offsets.schema), 0
+    else:
+        offsets.write.mode("errorifexists").parquet(f"{stage}/offsets")
+        o, total = spark.read.parquet(f"{stage}/offsets"), None
+    o = o.alias("_o")
     cond = pinned["_p"] == o["_p"]
     for g in group_cols:
         cond = cond & pinned[g].eqNullSafe(o[g])
     joined = pinned.join(o, cond, "inner")
-    return joined.select(
+    out = joined.select(
         *[pinned[c] for c in df.columns],
         (pinned["_rid"] - o["_first"] + o["_off"]).alias("_pos"),
         o["_gsize"].cast("long").alias("_gsize"),
     )
+    return out, total
+
+
+def row_positions(
+    df: DataFrame,
+    order_cols: Sequence[str],
+    group_cols: Sequence[str] = (),
+    *,
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """0-based position of each row in ``order_cols`` order inside its group
+    (``_pos``) and the size of its group (``_gsize``), with no window over
+    the data. The order must be total for the result to be stable.
+
+    Columns of ``df`` come first; ``_pos`` and ``_gsize`` are longs.
+    """
+    return _positions(df, order_cols, group_cols, num_partitions)[0]
 
 
 def ntile_of(pos: Column, n_rows: Column, k: int) -> Column:
@@ -187,9 +204,10 @@ def key_blocks(df: DataFrame, key: str, n_blocks: int, *, num_partitions: int |
     """The key map of O15: (key, ``_block``) with NTILE(n) over the distinct
     keys in ascending order (null first). Returns the map and its size."""
     keys = distinct_keys(df, key)
-    pos = row_positions(keys, [key], num_partitions=num_partitions)
+    pos, n_keys = _positions(keys, [key], num_partitions=num_partitions)
     key_map = pos.select(pos[key], ntile_of(F.col("_pos"), F.col("_gsize"), n_blocks).alias(BLOCK_COL))
-    n_keys = key_map.count()
+    if n_keys is None:
+        n_keys = key_map.count()
     return key_map, n_keys
 
 
@@ -265,9 +283,11 @@ def number_rows(df: DataFrame, order_cols: Sequence[str], *, n_rows: int | None
     return row_positions(df, order_cols).drop("_gsize")
 
 
-def waves(pending: DataFrame, wave_size: int, block_col: str = "block_id") -> DataFrame:
+def waves(pending: DataFrame, wave_size: int, block_col: str = "block_id", *, n_rows: int | None = None) -> DataFrame:
     """Pending blocks in order, grouped into waves of ``wave_size``
-    (``wave_no``, 0-based). A wave is what one Spark job loads."""
+    (``wave_no``, 0-based). A wave is what one Spark job loads. ``n_rows``
+    is a known upper bound of the pending rows (the planned block count);
+    without it the rows are counted."""
     size = max(1, int(wave_size))
-    pos = number_rows(pending, [block_col])
+    pos = number_rows(pending, [block_col], n_rows=n_rows)
     return pos.select(*[pos[c] for c in pending.columns], F.floor(F.col("_pos") / size).cast("int").alias("wave_no"))

@@ -126,3 +126,22 @@ def test_ntile_arguments(spark, tables):
         B.blocks_even(tables("orders"), 0)
     with pytest.raises(ValueError):
         B.block_plan(tables("orders"), 0, 1)
+
+
+def test_paths_without_broadcast(spark, tables):
+    """With broadcasts off, offsets are pinned and the key map is joined by
+    a shuffle; results stay the same."""
+    ev = tables("events")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = B.blocks_by_row(ev, ["user_id", "event_id"], 9)
+        j = _ntile(ev, ["user_id", "event_id"], 9).join(got.select("event_id", BLOCK_COL), "event_id")
+        assert j.filter(F.col("_want") != F.col(BLOCK_COL)).count() == 0
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan
+        keyed = B.blocks_by_key(ev, "user_id", 5)
+        assert keyed.count() == ev.count()
+        assert keyed.groupBy("user_id").agg(F.countDistinct(BLOCK_COL).alias("n")).filter("n > 1").count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
