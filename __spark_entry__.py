@@ -25,7 +25,7 @@ from blockload.plans.flows import (load_direct, load_landed, load_preblocked, ru
                                    with_paths)
 from blockload.plans.routines import Routine, run_routine
 from blockload.session import new_path
-from blockload.sources.landing import landing_state, read_landing, scan_blocks, write_landing
+from blockload.sources.landing import landing_state, read_landing, scan_blocks, write_landing, write_row_landing
 from blockload.sources.target import load_blocks, target_view
 
 SF0001 = "/root/testdata/sf0.001"
@@ -72,9 +72,9 @@ def _fixture_plan(state: DataFrame) -> DataFrame:
 
 
 def _events_landing(spark: SparkSession, sf_dir: str) -> str:
+    """Blocks by row over events, in the row layout (written once)."""
     ev = _t(spark, sf_dir, "events")
-    blocked = B.blocks_by_row(ev, ["user_id", "event_id"], 16)
-    return write_landing(blocked, new_path(spark, "landing"), 16, blocks_on="rows", cluster=False)
+    return write_row_landing(ev, ["user_id", "event_id"], new_path(spark, "landing"), 16)
 
 
 def _orders_key_landing(spark: SparkSession, sf_dir: str) -> str:
@@ -137,7 +137,7 @@ def q_landing_state(spark, sf_dir):
 
 
 def q_scan_blocks(spark, sf_dir):
-    landing = read_landing(spark, _events_landing(spark, sf_dir))
+    landing = read_landing(spark, _events_landing(spark, sf_dir), [2, 5])
     return scan_blocks(landing, [2, 5], ["EVENT_ID", "user_id", "Value"])
 
 

@@ -28,17 +28,12 @@ from blockload.session import new_path
 
 # Bits of monotonically_increasing_id that hold the row index in a partition.
 _ROW_BITS = 33
-_ROW_MASK = (1 << _ROW_BITS) - 1
 # Tables up to this many rows may be numbered by a plain window in one task.
 SMALL_WINDOW_ROWS = 1_000_000
 # Per-row overhead assumed when a row count is turned into a broadcast size.
 _ROW_OVERHEAD_BYTES = 24
 
 
-def _names(cols: Sequence[str | Column] | str) -> list[str | Column]:
-    return [cols] if isinstance(cols, str) else list(cols)
-
-
 _UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
           "g": 1 << 30, "gb": 1 << 30}
 
@@ -114,48 +109,75 @@ def n_blocks_for(total_rows: int, block_size: int) -> int:
     return max(1, math.ceil(total_rows / block_size))
 
 
+def ntile_range(n_rows: int, k: int, block: int) -> tuple[int, int]:
+    """Positions [start, end) of tile ``block`` (1-based) of NTILE(k) over
+    ``n_rows`` rows."""
+    q, m = divmod(n_rows, k)
+    if block <= m:
+        start = (block - 1) * (q + 1)
+        return start, start + q + 1
+    start = m * (q + 1) + (block - 1 - m) * q
+    return start, start + q
+
+
 # --- positions --------------------------------------------------------------
 
-def _positions(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str] = (),
-               num_partitions: int | None = None) -> tuple[DataFrame, int | None]:
-    """``row_positions`` plus, with no groups, the number of rows."""
-    spark = df.sparkSession
-    group_cols, order_cols = list(group_cols), list(order_cols)
-    keys = group_cols + order_cols
-    if not order_cols:
-        raise ValueError("order_cols is empty")
+def pin_ranged(df: DataFrame, keys: Sequence[str], path: str, num_partitions: int | None = None) -> DataFrame:
+    """Write ``df`` range-partitioned on ``keys`` and sorted inside each
+    partition, with ``_rid`` (partition in the upper bits, row in the lower)
+    and ``_p`` (the partition, also the folder), to ``path``; return the
+    written rows. Reads of ``path`` always see the same partitions, while a
+    recomputed range exchange would sample new bounds."""
     ranged = (
         (df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys))
         .sortWithinPartitions(*keys)
         .withColumn("_rid", F.monotonically_increasing_id())
+        .withColumn("_p", F.shiftright("_rid", _ROW_BITS).cast("int"))
     )
-    stage = new_path(spark, "stage")
-    ranged.write.mode("errorifexists").parquet(f"{stage}/rows")
-    pinned = spark.read.parquet(f"{stage}/rows").withColumn("_p", F.shiftright("_rid", _ROW_BITS))
+    ranged.write.mode("errorifexists").partitionBy("_p").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
 
-    # One row per (range partition, group): at most partitions + groups rows.
+def range_offsets(pinned: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
+    """Per (range partition, group): rows ``_n``, first ``_rid``, rows of the
+    group in earlier partitions ``_off``, and rows of the group ``_gsize``.
+    At most partitions + groups rows; the window runs on this table only."""
+    group_cols = list(group_cols)
     stats = pinned.groupBy("_p", *group_cols).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_rid").alias("_first"))
     before = Window.partitionBy(*group_cols).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*group_cols)
-    offsets = stats.select(
-        "_p", *group_cols, "_first",
+    return stats.select(
+        "_p", *group_cols, "_n", "_first",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
         F.sum("_n").over(whole).alias("_gsize"),
     )
-    # A broadcast goes through the driver anyway: if the table fits the
-    # broadcast limit, take it at once (bounded by limit + 1 rows); else pin
-    # it beside the rows and join with a shuffle.
+
+
+def _small_or_pinned(offsets: DataFrame, spill_path: str) -> tuple[DataFrame, list | None]:
+    """A broadcast goes through the driver anyway: if ``offsets`` fits the
+    broadcast limit, take it at once (at most limit + 1 rows) and broadcast
+    it; else pin it at ``spill_path`` for a shuffle join."""
+    spark = offsets.sparkSession
     limit = broadcast_row_limit(spark, offsets.schema)
-    rows = offsets.limit(limit + 1).collect() if limit > 0 else []
-    if 0 < len(rows) <= limit:
-        o = F.broadcast(spark.createDataFrame(rows, offsets.schema))
-        total = rows[0]["_gsize"] if not group_cols else None
-    elif not rows and limit > 0:  # empty input
-        o, total = spark.createDataFrame([], offsets.schema), 0
-    else:
-        offsets.write.mode("errorifexists").parquet(f"{stage}/offsets")
-        o, total = spark.read.parquet(f"{stage}/offsets"), None
+    rows = offsets.limit(limit + 1).collect() if limit > 0 else None
+    if rows is not None and len(rows) <= limit:
+        return F.broadcast(spark.createDataFrame(rows, offsets.schema)), rows
+    offsets.write.mode("errorifexists").parquet(spill_path)
+    return spark.read.parquet(spill_path), None
+
+
+def _positions(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str] = (),
+               num_partitions: int | None = None) -> tuple[DataFrame, int | None]:
+    """``row_positions`` plus, with no groups, the number of rows."""
+    spark = df.sparkSession
+    group_cols, order_cols = list(group_cols), list(order_cols)
+    if not order_cols:
+        raise ValueError("order_cols is empty")
+    stage = new_path(spark, "stage")
+    pinned = pin_ranged(df, group_cols + order_cols, f"{stage}/rows", num_partitions)
+    o, rows = _small_or_pinned(range_offsets(pinned, group_cols), f"{stage}/offsets")
+    total = (rows[0]["_gsize"] if rows else 0) if rows is not None and not group_cols else None
     o = o.alias("_o")
     cond = pinned["_p"] == o["_p"]
     for g in group_cols:

@@ -25,7 +25,8 @@ from blockload.functions.columns import check_block_column, check_request, exclu
 from blockload.operators import ledger as L
 from blockload.operators.blocks import block_plan, blocks_by_key, blocks_by_row, blocks_even, waves
 from blockload.session import new_path
-from blockload.sources.landing import find_landing, landing_plan, landing_state, read_landing, write_landing
+from blockload.sources.landing import (block_sizes, find_landing, landing_plan, read_landing, write_landing,
+                                       write_row_landing)
 from blockload.sources.read import read_source
 from blockload.sources.target import load_blocks, run_key
 
@@ -71,14 +72,17 @@ def _record(spark: SparkSession, cfg: LoadConfig, run_date: dt.date, rows: list[
         frame, p, s, run_date, F.col("status"), F.col("attempt"), F.col("row_count"), F.col("error_message")))
 
 
-def _try_blocks(spark: SparkSession, blocks: DataFrame, expected: Callable[[list[int]], DataFrame],
-                ids: list[int], attempts: dict[int, int], cfg: LoadConfig, run_date: dt.date) -> list[int]:
+Blocks = Callable[[list[int]], DataFrame]
+
+
+def _try_blocks(spark: SparkSession, blocks: Blocks, expected: Blocks, ids: list[int], attempts: dict[int, int],
+                cfg: LoadConfig, run_date: dt.date) -> list[int]:
     """One job over ``ids``: RUNNING, write, count, SUCCESS/FAILED. Returns
     the ids that failed."""
     key = run_key(*_names(cfg), run_date)
     _record(spark, cfg, run_date, [(b, RUNNING, 0, attempts[b], None) for b in ids])
     try:
-        written = load_blocks(blocks, ids, cfg, key, attempts)
+        written = load_blocks(blocks(ids), ids, cfg, key, attempts)
         exp = expected(ids)
         cmp = (exp.join(written.withColumnRenamed("n_rows", "_w"), "block_id", "left")
                .select("block_id", "n_rows", F.coalesce("_w", F.lit(0)).alias("_w")).collect())
@@ -99,8 +103,10 @@ def _try_blocks(spark: SparkSession, blocks: DataFrame, expected: Callable[[list
     return failed
 
 
-def _run_blocks(spark: SparkSession, blocks: DataFrame, expected: Callable[[list[int]], DataFrame],
-                n_blocks: int, cfg: LoadConfig, run_date: dt.date, t0: float) -> RunResult:
+def _run_blocks(spark: SparkSession, blocks: Blocks, expected: Blocks, n_blocks: int, cfg: LoadConfig,
+                run_date: dt.date, t0: float) -> RunResult:
+    """Load the pending blocks of a run; ``blocks(ids)`` gives the rows of
+    those blocks (with ``_block``), ``expected(ids)`` their row counts."""
     p, s = _names(cfg)
     plan = L.run_plan(spark, p, s, run_date, n_blocks)
 
@@ -166,28 +172,37 @@ def load_direct(df: DataFrame, cfg: LoadConfig, total_rows: int | None = None) -
             return src.groupBy(F.col(BLOCK_COL).alias("block_id")).agg(F.count(F.lit(1)).alias("n_rows"))
         return spark.createDataFrame([(1, int(n))], "block_id INT, n_rows BIGINT")
 
-    return _run_blocks(spark, src, expected, 1, cfg, run_date, t0)
+    return _run_blocks(spark, lambda ids: src, expected, 1, cfg, run_date, t0)
 
 
 # --- O31 ----------------------------------------------------------------------
 
+def _blocks_on(cfg: LoadConfig) -> str:
+    how = cfg.blocks_on or ("keys" if cfg.block_key else "even")
+    if how not in ("keys", "rows", "even"):
+        raise ValueError(f"blocks_on must be keys, rows or even, not {how!r}")
+    return how
+
+
+def _row_order(df: DataFrame, cfg: LoadConfig) -> list[str]:
+    order = list(cfg.order_cols) or ([cfg.block_key] if cfg.block_key else [])
+    if not order:
+        raise ValueError("blocks_on='rows' needs order_cols")
+    return resolve_columns(df, order).fieldNames()
+
+
 def assign_blocks(df: DataFrame, cfg: LoadConfig, n_blocks: int) -> tuple[DataFrame, bool, str]:
     """Blocks by key, by row or even, per ``cfg``: (frame, needs clustering
     before the landing write, how)."""
-    how = cfg.blocks_on or ("keys" if cfg.block_key else "even")
+    how = _blocks_on(cfg)
     if how == "keys":
         if not cfg.block_key:
             raise ValueError("blocks_on='keys' needs block_key")
         key = resolve_columns(df, [cfg.block_key]).fieldNames()[0]
         return blocks_by_key(df, key, n_blocks), True, how
     if how == "rows":
-        order = list(cfg.order_cols) or ([cfg.block_key] if cfg.block_key else [])
-        if not order:
-            raise ValueError("blocks_on='rows' needs order_cols")
-        return blocks_by_row(df, resolve_columns(df, order).fieldNames(), n_blocks), False, how
-    if how == "even":
-        return blocks_even(df, n_blocks), False, how
-    raise ValueError(f"blocks_on must be keys, rows or even, not {how!r}")
+        return blocks_by_row(df, _row_order(df, cfg), n_blocks), False, how
+    return blocks_even(df, n_blocks), False, how
 
 
 def load_landed(df: DataFrame, cfg: LoadConfig, total_rows: int, n_blocks: int) -> RunResult:
@@ -201,17 +216,22 @@ def load_landed(df: DataFrame, cfg: LoadConfig, total_rows: int, n_blocks: int)
     root = f"{cfg.landing_path.rstrip('/')}/{_safe(p)}/{_safe(s)}/{run_date.isoformat()}"
     landing, free = find_landing(spark, root)
     if landing is None:
-        blocked, cluster, how = assign_blocks(exclude_columns(df, cfg.exclude_columns), cfg, n_blocks)
-        write_landing(blocked, free, n_blocks, total_rows=total_rows, blocks_on=how, cluster=cluster)
+        src = exclude_columns(df, cfg.exclude_columns)
+        if _blocks_on(cfg) == "rows":  # written once, in the layout of its positions
+            write_row_landing(src, _row_order(src, cfg), free, n_blocks)
+        else:
+            blocked, cluster, how = assign_blocks(src, cfg, n_blocks)
+            write_landing(blocked, free, n_blocks, total_rows=total_rows, blocks_on=how, cluster=cluster)
         landing = free
-    n = landing_plan(spark, landing)["n_blocks"]
-    counts = landing_state(spark, landing)
-    blocks = read_landing(spark, landing)
+    plan = landing_plan(spark, landing)
+
+    def blocks(ids: list[int]) -> DataFrame:
+        return read_landing(spark, landing, ids, plan=plan)
 
     def expected(ids: list[int]) -> DataFrame:
-        return counts.filter(F.col("block_id").isin(ids))
+        return block_sizes(spark, landing, ids, plan=plan)
 
-    result = _run_blocks(spark, blocks, expected, n, cfg, run_date, t0)
+    result = _run_blocks(spark, blocks, expected, plan["n_blocks"], cfg, run_date, t0)
     return RunResult(**{**result.__dict__, "landing": landing})
 
 
@@ -240,7 +260,7 @@ def load_preblocked(spark: SparkSession, source: str, n_blocks: int, block_col:
         return want.join(have, "block_id", "left").select(
             "block_id", F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"))
 
-    return _run_blocks(spark, blocks, expected, n_blocks, cfg, run_date, t0)
+    return _run_blocks(spark, lambda ids: blocks, expected, n_blocks, cfg, run_date, t0)
 
 
 # --- O33, O34 -----------------------------------------------------------------

@@ -1,4 +1,11 @@
-"""The landing: blocked rows written once as Parquet partitioned by block.
+"""The landing: blocked rows written once as Parquet.
+
+Two layouts. Blocks by key and even blocks are partitioned by ``_block``.
+Blocks by row keep the layout in which their positions were computed:
+partitioned by range partition ``_p``, with a ``_rid`` per row and a small
+``_offsets`` table; the block of a row is arithmetic on those, and a read of
+some blocks prunes to the ``_p`` folders that overlap them. That layout
+saves writing the data a second time.
 
 A landing is complete only when its ``_SUCCESS`` marker and its ``_plan``
 record are there. Nothing is overwritten: a run that finds an incomplete
@@ -15,14 +22,17 @@ from pyspark.sql import types as T
 
 from blockload.config import BLOCK_COL
 from blockload.functions.columns import resolve_columns
-from blockload.operators.blocks import block_results
+from blockload.operators.blocks import (block_results, broadcast_row_limit, ntile_of, ntile_range, pin_ranged,
+                                        range_offsets)
 from blockload.sources.read import path_exists
 
 _PLAN_SCHEMA = T.StructType([
     T.StructField("n_blocks", T.IntegerType(), False),
     T.StructField("total_rows", T.LongType(), False),
     T.StructField("blocks_on", T.StringType(), False),
+    T.StructField("n_parts", T.IntegerType(), True),
 ])
+ROWS = "rows"
 
 
 def write_landing(df: DataFrame, path: str, n_blocks: int, *, total_rows: int = -1, blocks_on: str = "",
@@ -38,9 +48,30 @@ def write_landing(df: DataFrame, path: str, n_blocks: int, *, total_rows: int =
     """
     out = df.hint("rebalance", block_col) if cluster else df
     out.write.mode("errorifexists").partitionBy(block_col).parquet(path)
-    spark = df.sparkSession
-    (spark.createDataFrame([(int(n_blocks), int(total_rows), blocks_on)], _PLAN_SCHEMA)
+    _write_plan(df.sparkSession, path, n_blocks, total_rows, blocks_on, 0)
+    return path
+
+
+def _write_plan(spark: SparkSession, path: str, n_blocks: int, total_rows: int, blocks_on: str,
+                n_parts: int) -> None:
+    (spark.createDataFrame([(int(n_blocks), int(total_rows), blocks_on, int(n_parts))], _PLAN_SCHEMA)
      .coalesce(1).write.mode("errorifexists").json(f"{path}/_plan"))
+
+
+def write_row_landing(df: DataFrame, order_cols: Sequence[str], path: str, n_blocks: int, *,
+                      num_partitions: int | None = None) -> str:
+    """O22 for blocks by row (O16): NTILE(n) over ``order_cols``, written once.
+    The rows are range-partitioned and stored by partition; ``_offsets``
+    (one row per partition) and the row count complete the landing."""
+    if n_blocks <= 0:
+        raise ValueError("block count must be > 0")
+    spark = df.sparkSession
+    pinned = pin_ranged(df, list(order_cols), path, num_partitions)
+    offsets = range_offsets(pinned).drop("_gsize")
+    offsets.coalesce(1).write.mode("errorifexists").parquet(f"{path}/_offsets")
+    written = spark.read.parquet(f"{path}/_offsets")
+    agg = written.agg(F.count(F.lit(1)).alias("p"), F.sum("_n").alias("n")).first()
+    _write_plan(spark, path, n_blocks, int(agg["n"] or 0), ROWS, int(agg["p"]))
     return path
 
 
@@ -65,8 +96,60 @@ def find_landing(spark: SparkSession, root: str) -> tuple[str | None, str]:
         n += 1
 
 
-def read_landing(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_landing(spark: SparkSession, path: str, block_ids: Sequence[int] | None = None, *,
+                 plan: dict | None = None) -> DataFrame:
+    """The rows of a complete landing with their ``_block``, only of
+    ``block_ids`` if given (read with partition pruning in both layouts).
+    ``plan`` is the landing's ``_plan`` record if the caller has read it."""
+    plan = plan or landing_plan(spark, path)
+    if plan is None:
+        raise ValueError(f"no complete landing at {path}")
+    ids = sorted({int(b) for b in block_ids}) if block_ids is not None else None
+    # The landing never changes: its files are listed once per plan.
+    if "_rows" not in plan:
+        plan["_rows"] = spark.read.parquet(path)
+    rows = plan["_rows"]
+    if plan["blocks_on"] != ROWS:
+        return rows.filter(F.col(BLOCK_COL).isin(ids)) if ids is not None else rows
+    n, k = int(plan["total_rows"]), int(plan["n_blocks"])
+    if "_offsets" not in plan:
+        plan["_offsets"] = spark.read.parquet(f"{path}/_offsets")
+    offsets = plan["_offsets"]
+    if ids is not None:
+        # Range partitions that overlap the positions of the wanted blocks,
+        # from the offsets table (one row per partition, read once per plan).
+        if "_parts" not in plan:
+            plan["_parts"] = [(r["_p"], r["_off"], r["_n"]) for r in offsets.select("_p", "_off", "_n").collect()]
+        spans = [ntile_range(n, k, b) for b in ids if 1 <= b <= k]
+        parts = sorted(p for p, off, cnt in plan["_parts"] if any(off < e and off + cnt > s for s, e in spans))
+        rows = rows.filter(F.col("_p").isin(parts))
+    n_parts = int(plan["n_parts"] or 0)
+    o = offsets.select("_p", "_first", "_off")
+    o = (F.broadcast(o) if n_parts <= broadcast_row_limit(spark, o.schema) else o).alias("_o")
+    j = rows.join(o, rows["_p"] == o["_p"], "inner")
+    data = [c for c in rows.columns if c not in ("_rid", "_p")]
+    out = j.select(*[rows[c] for c in data],
+                   ntile_of(rows["_rid"] - o["_first"] + o["_off"], F.lit(n), k).alias(BLOCK_COL))
+    return out.filter(F.col(BLOCK_COL).isin(ids)) if ids is not None else out
+
+
+def block_sizes(spark: SparkSession, path: str, block_ids: Sequence[int], *, plan: dict | None = None) -> DataFrame:
+    """(block_id, n_rows) of some blocks of a complete landing. Row layout:
+    exact arithmetic on the counted rows (NTILE sizes); block layout: a count
+    over the pruned block folders."""
+    plan = plan or landing_plan(spark, path)
+    if plan is None:
+        raise ValueError(f"no complete landing at {path}")
+    ids = sorted({int(b) for b in block_ids})
+    schema = "block_id INT, n_rows BIGINT"
+    if plan["blocks_on"] == ROWS:
+        n, k = int(plan["total_rows"]), int(plan["n_blocks"])
+        sizes = [(b, (lambda r: r[1] - r[0])(ntile_range(n, k, b)) if 1 <= b <= k else 0) for b in ids]
+        return spark.createDataFrame(sizes, schema)
+    have = block_results(read_landing(spark, path, ids, plan=plan))
+    want = spark.createDataFrame([(b,) for b in ids], "block_id INT")
+    return want.join(have, "block_id", "left").select(
+        "block_id", F.coalesce(F.col("n_rows"), F.lit(0)).cast("long").alias("n_rows"))
 
 
 def landing_state(spark: SparkSession, path: str) -> DataFrame:

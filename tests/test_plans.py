@@ -9,6 +9,18 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_row_landing_prunes_range_partitions(spark, tables):
+    from blockload.sources.landing import write_row_landing
+    ev = tables("events")
+    path = write_row_landing(ev, ["event_id"], new_path(spark, "landing"), 6, num_partitions=6)
+    df = read_landing(spark, path, [2])
+    plan = _plan(df)
+    assert "PartitionFilters: [isnotnull(_p" in plan or "PartitionFilters: [_p" in plan
+    assert df.count() == 167
+    all_rows = read_landing(spark, path)
+    assert all_rows.count() == 1000 and all_rows.select("event_id").distinct().count() == 1000
+
+
 def test_scan_blocks_prunes_partitions(spark, tables):
     ev = tables("events")
     path = write_landing(B.blocks_by_row(ev, ["event_id"], 6), new_path(spark, "landing"), 6, cluster=False)
