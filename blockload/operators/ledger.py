@@ -104,6 +104,14 @@ def block_events(blocks: DataFrame, process_name: str, scope: str, run_date: dt.
     )
 
 
+def compact_ledger(spark: SparkSession, path: str, new_path: str) -> str:
+    """Write the state of the ledger at ``path`` (one event per block) as a new
+    ledger at ``new_path``, and return it. Run between loads, never during
+    one; the old ledger is left as it is (nothing is overwritten)."""
+    ledger_state(read_ledger(spark, path)).write.mode("errorifexists").parquet(new_path)
+    return new_path
+
+
 # --- reading the state ------------------------------------------------------
 
 def ledger_state(events: DataFrame) -> DataFrame:

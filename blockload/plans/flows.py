@@ -216,6 +216,12 @@ def load_landed(df: DataFrame, cfg: LoadConfig, total_rows: int, n_blocks: int)
     root = f"{cfg.landing_path.rstrip('/')}/{_safe(p)}/{_safe(s)}/{run_date.isoformat()}"
     landing, free = find_landing(spark, root)
     if landing is None:
+        done = L.completed_blocks(L.for_run(L.ledger_state(L.read_ledger(spark, cfg.ledger_path)), p, s, run_date))
+        if done.limit(1).count():
+            # New blocks from the current input would not match the blocks
+            # already loaded: rows would be lost or loaded twice.
+            raise ValueError(f"run {p}/{s}/{run_date} has loaded blocks but no complete landing under {root}; "
+                             "start a new run (another run_date, process or scope)")
         src = exclude_columns(df, cfg.exclude_columns)
         if _blocks_on(cfg) == "rows":  # written once, in the layout of its positions
             write_row_landing(src, _row_order(src, cfg), free, n_blocks)

@@ -155,3 +155,14 @@ def test_routine_out_values_results_and_failure(spark, tables):
     assert not bad.ok and bad.return_code == -1 and bad.error
     with pytest.raises(KeyError):
         run_routine(spark, "unknown", {})
+
+
+def test_lost_landing_with_progress_raises(spark, tables):
+    """Blocks already loaded and no complete landing: raise, do not
+    re-block the input."""
+    o = tables("orders")
+    cfg = _cfg(spark, block_key="o_custkey", blocks_on="keys", block_size=500)
+    assert load_landed(o, cfg, 1500, 3).success
+    moved = cfg.replace(landing_path=new_path(spark, "landing"))  # the landing is gone from where it was
+    with pytest.raises(ValueError, match="no complete landing"):
+        load_landed(o, moved, 1500, 3)

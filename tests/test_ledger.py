@@ -70,3 +70,23 @@ def test_merge_takes_update_values_even_null(spark):
     upd = spark.createDataFrame([(2, "SUCCESS", None), (3, "FAILED", 4)], "block_id INT, status STRING, n BIGINT")
     got = sorted(tuple(r) for r in L.ledger_merge(cur, upd, ["block_id"]).collect())
     assert got == [(1, "PENDING", 0), (2, "SUCCESS", None), (3, "FAILED", 4)]
+
+
+def test_unreadable_ledger_fails(spark):
+    """A ledger that cannot be read is an error, never "nothing done"."""
+    import pytest
+    path = new_path(spark, "ledger")
+    spark.range(3).selectExpr("CAST(id AS STRING) AS v").write.text(path)
+    with pytest.raises(Exception):
+        L.read_ledger(spark, path).collect()
+
+
+def test_compact_ledger_keeps_the_state(spark):
+    path = new_path(spark, "ledger")
+    L.ensure_ledger(spark, path)
+    L.ledger_record(spark, path, _events(spark, [(1, "RUNNING", 1, 0), (2, "RUNNING", 1, 0)]))
+    L.ledger_record(spark, path, _events(spark, [(1, "SUCCESS", 1, 4), (2, "FAILED", 1, 0)]))
+    new = L.compact_ledger(spark, path, new_path(spark, "ledger"))
+    before = sorted(tuple(r) for r in L.ledger_state(L.read_ledger(spark, path)).drop("last_update").collect())
+    after = sorted(tuple(r) for r in L.ledger_state(L.read_ledger(spark, new)).drop("last_update").collect())
+    assert before == after and L.read_ledger(spark, new).count() == 2
