@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from blockload.config import (BLOCK_COL, DIRECT, FAILED, RUNNING, SUCCESS, LoadConfig, RunResult)
+from blockload.config import BLOCK_COL, DIRECT, FAILED, PENDING, RUNNING, SUCCESS, LoadConfig, RunResult
 from blockload.functions.columns import check_block_column, check_request, exclude_columns, resolve_columns
 from blockload.operators import ledger as L
 from blockload.operators.blocks import block_plan, blocks_by_key, blocks_by_row, blocks_even, waves
@@ -206,8 +206,10 @@ def assign_blocks(df: DataFrame, cfg: LoadConfig, n_blocks: int) -> tuple[DataFr
 
 
 def load_landed(df: DataFrame, cfg: LoadConfig, total_rows: int, n_blocks: int) -> RunResult:
-    """Blocks, landing, ledger, waves. A complete landing of the same run
-    is reused, with the block count it was written with."""
+    """Blocks, landing, ledger, waves. When a block of the run was already
+    tried, its latest complete landing is reused with the block count it was
+    written with; with none, the current input is blocked afresh into the
+    next attempt folder."""
     spark = df.sparkSession
     cfg = with_paths(spark, cfg)
     t0 = time.time()
@@ -215,13 +217,17 @@ def load_landed(df: DataFrame, cfg: LoadConfig, total_rows: int, n_blocks: int)
     p, s = _names(cfg)
     root = f"{cfg.landing_path.rstrip('/')}/{_safe(p)}/{_safe(s)}/{run_date.isoformat()}"
     landing, free = find_landing(spark, root)
-    if landing is None:
-        done = L.completed_blocks(L.for_run(L.ledger_state(L.read_ledger(spark, cfg.ledger_path)), p, s, run_date))
-        if done.limit(1).count():
-            # New blocks from the current input would not match the blocks
-            # already loaded: rows would be lost or loaded twice.
-            raise ValueError(f"run {p}/{s}/{run_date} has loaded blocks but no complete landing under {root}; "
-                             "start a new run (another run_date, process or scope)")
+    # Progress: any block past PENDING. Its rows may be in the target (a
+    # write can commit before its result is recorded), so its blocks must
+    # stay as they were.
+    state = L.for_run(L.ledger_state(L.read_ledger(spark, cfg.ledger_path)), p, s, run_date)
+    progress = state.filter(F.col("status") != PENDING).limit(1).count() > 0
+    if landing is None and progress:
+        # New blocks from the current input would not match the blocks
+        # already loaded: rows would be lost or loaded twice.
+        raise ValueError(f"run {p}/{s}/{run_date} has loaded blocks but no complete landing under {root}; "
+                         "start a new run (another run_date, process or scope)")
+    if not progress:  # nothing loaded yet: block the current input afresh
         src = exclude_columns(df, cfg.exclude_columns)
         if _blocks_on(cfg) == "rows":  # written once, in the layout of its positions
             write_row_landing(src, _row_order(src, cfg), free, n_blocks)

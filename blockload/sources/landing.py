@@ -85,14 +85,15 @@ def landing_plan(spark: SparkSession, path: str) -> dict | None:
 
 
 def find_landing(spark: SparkSession, root: str) -> tuple[str | None, str]:
-    """(complete landing under ``root`` or None, next free attempt folder)."""
-    n = 1
+    """(latest complete landing under ``root`` or None, next free attempt
+    folder). Attempts are ``a1``, ``a2``, ... and are never overwritten."""
+    latest, n = None, 1
     while True:
         attempt = f"{root}/a{n}"
-        if landing_plan(spark, attempt) is not None:
-            return attempt, attempt
         if not path_exists(spark, attempt):
-            return None, attempt
+            return latest, attempt
+        if landing_plan(spark, attempt) is not None:
+            latest = attempt
         n += 1
 
 

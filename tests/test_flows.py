@@ -166,3 +166,25 @@ def test_lost_landing_with_progress_raises(spark, tables):
     moved = cfg.replace(landing_path=new_path(spark, "landing"))  # the landing is gone from where it was
     with pytest.raises(ValueError, match="no complete landing"):
         load_landed(o, moved, 1500, 3)
+
+
+def test_landing_is_rewritten_only_without_progress(spark, tables):
+    """As the reference: a run with nothing tried blocks the current input
+    afresh (next attempt folder); once a block was tried, the landing stays."""
+    o = tables("orders")
+    cfg = _cfg(spark, block_key="o_custkey", blocks_on="keys", block_size=500, fault_blocks={1: 10, 2: 10, 3: 10},
+               block_retries=0)
+    first = load_landed(o, cfg, 1500, 3)
+    assert first.ok_blocks == 0 and first.failed_blocks == 3
+    second = load_landed(o, cfg.replace(fault_blocks={}), 1500, 3)
+    assert second.success and second.landing == first.landing  # blocks were tried: same landing
+    fresh = _cfg(spark, block_key="o_custkey", blocks_on="keys", block_size=500)
+    from blockload.sources.landing import find_landing
+    root = f"{fresh.landing_path}/t/s/{DAY.isoformat()}"
+    import blockload.operators.blocks as B
+    from blockload.sources.landing import write_landing
+    write_landing(B.blocks_even(o, 3), f"{root}/a1", 3, blocks_on="even", cluster=False)  # complete, never loaded
+    res = load_landed(o, fresh, 1500, 3)
+    assert res.success and res.landing.endswith("/a2")
+    assert find_landing(spark, root) == (f"{root}/a2", f"{root}/a3")
+    _same(target_view(spark, fresh), o)
