@@ -109,6 +109,19 @@ def n_blocks_for(total_rows: int, block_size: int) -> int:
     return max(1, math.ceil(total_rows / block_size))
 
 
+# Rows per range partition above which more partitions are used.
+ROWS_PER_RANGE_PARTITION = 1_000_000
+
+
+def range_partitions(spark, n_rows: int, n_blocks: int = 1) -> int:
+    """Range partitions for positions over ``n_rows`` rows: at least the
+    session's shuffle partitions and one per block, and enough that none
+    holds more than about ``ROWS_PER_RANGE_PARTITION`` rows (AQE does not
+    split range partitions, so the count must grow with the data)."""
+    default = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(1, default, n_blocks, math.ceil(n_rows / ROWS_PER_RANGE_PARTITION))
+
+
 def ntile_range(n_rows: int, k: int, block: int) -> tuple[int, int]:
     """Positions [start, end) of tile ``block`` (1-based) of NTILE(k) over
     ``n_rows`` rows."""

@@ -23,7 +23,8 @@ from pyspark.sql import types as T
 from blockload.config import BLOCK_COL, DIRECT, FAILED, PENDING, RUNNING, SUCCESS, LoadConfig, RunResult
 from blockload.functions.columns import check_block_column, check_request, exclude_columns, resolve_columns
 from blockload.operators import ledger as L
-from blockload.operators.blocks import block_plan, blocks_by_key, blocks_by_row, blocks_even, waves
+from blockload.operators.blocks import (block_plan, blocks_by_key, blocks_by_row, blocks_even, range_partitions,
+                                        waves)
 from blockload.session import new_path
 from blockload.sources.landing import (block_sizes, find_landing, landing_plan, read_landing, write_landing,
                                        write_row_landing)
@@ -230,7 +231,8 @@ def load_landed(df: DataFrame, cfg: LoadConfig, total_rows: int, n_blocks: int)
     if not progress:  # nothing loaded yet: block the current input afresh
         src = exclude_columns(df, cfg.exclude_columns)
         if _blocks_on(cfg) == "rows":  # written once, in the layout of its positions
-            write_row_landing(src, _row_order(src, cfg), free, n_blocks)
+            write_row_landing(src, _row_order(src, cfg), free, n_blocks,
+                              num_partitions=range_partitions(spark, total_rows, n_blocks))
         else:
             blocked, cluster, how = assign_blocks(src, cfg, n_blocks)
             write_landing(blocked, free, n_blocks, total_rows=total_rows, blocks_on=how, cluster=cluster)
