@@ -83,10 +83,11 @@ def load_blocks(blocks: DataFrame, block_ids: Sequence[int], cfg: LoadConfig, ke
     return written_counts(blocks.sparkSession, cfg, key, ids, attempts)
 
 
-def _read_target_raw(spark: SparkSession, cfg: LoadConfig) -> DataFrame:
+def _read_target_raw(spark: SparkSession, cfg: LoadConfig, **extra: str) -> DataFrame:
     if cfg.target_format == "jdbc":
         opts = dict(cfg.jdbc_options)
         opts.setdefault("dbtable", cfg.target)
+        opts.update(extra)
         return spark.read.format("jdbc").options(**opts).load()
     return spark.read.parquet(cfg.target)
 
@@ -95,10 +96,19 @@ def written_counts(spark: SparkSession, cfg: LoadConfig, key: str, block_ids: Se
                    attempts: Mapping[int, int]) -> DataFrame:
     """Rows per block of this run in the target, counted on what is there
     (partition-pruned for Parquet, a pushed-down filter for JDBC)."""
-    t = _read_target_raw(spark, cfg)
-    t = t.filter((F.col(RUN_COL) == F.lit(key)) & F.col(BLOCK_COL).isin([int(b) for b in block_ids]))
+    ids = [int(b) for b in block_ids]
     if cfg.target_format == "jdbc":
-        t = t.filter(F.col(ATTEMPT_COL) == _attempt_of(F.col(BLOCK_COL), attempts))
+        # The filter (run, and block = b AND attempt = a per block) runs in the
+        # database; only the block number of each matching row comes back
+        # (and the count too, where the source can push aggregates down).
+        t = _read_target_raw(spark, cfg, pushDownAggregate="true")
+        hit = F.lit(False)
+        for b in ids:
+            hit = hit | ((F.col(BLOCK_COL) == F.lit(b)) & (F.col(ATTEMPT_COL) == F.lit(int(attempts[b]))))
+        t = t.filter((F.col(RUN_COL) == F.lit(key)) & hit)
+        counts = t.groupBy(BLOCK_COL).agg(F.count(F.lit(1)).alias("n_rows"))
+        return counts.select(F.col(BLOCK_COL).cast("int").alias("block_id"), F.col("n_rows").cast("long"))
+    t = _read_target_raw(spark, cfg).filter((F.col(RUN_COL) == F.lit(key)) & F.col(BLOCK_COL).isin(ids))
     return t.groupBy(F.col(BLOCK_COL).cast("int").alias("block_id")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
