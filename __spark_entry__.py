@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from blockload.config import BLOCK_COL, LoadConfig
 from blockload.functions.columns import exclude_columns
-from blockload.functions.target_types import fit_report, target_columns, to_target_values
+from blockload.functions.target_types import fit_report, target_report, to_target_values
 from blockload.operators import blocks as B
 from blockload.operators import ledger as L
 from blockload.plans.flows import (load_direct, load_landed, load_preblocked, run_load, run_load_with_retry,
@@ -210,7 +210,7 @@ def q_run_metrics(spark, sf_dir):
 
 def q_ledger_merge(spark, sf_dir):
     o, li = _t(spark, sf_dir, "orders"), _t(spark, sf_dir, "lineitem")
-    current = o.filter(F.col("o_orderkey") % 3 != 0).select(
+    current = o.filter(F.col("o_orderstatus") != "F").select(
         F.col("o_orderkey").alias("block_id"), F.lit("PENDING").alias("status"),
         F.lit(0).cast("long").alias("row_count"))
     updates = li.groupBy(F.col("l_orderkey").alias("block_id")).agg(
@@ -234,7 +234,7 @@ def q_fit_report(spark, sf_dir):
 
 
 def q_target_columns(spark, sf_dir):
-    return target_columns(spark, _t(spark, sf_dir, "lineitem").schema)
+    return target_report(_t(spark, sf_dir, "lineitem"))
 
 
 ORDERS_BY_STATUS = Routine(
@@ -384,14 +384,28 @@ _PLAN_SQL = """plan AS (SELECT d.process_name, d.scope, d.run_date, b.block_id
 
 # The target typing of lineitem's columns.
 _TARGET_COLUMNS_SQL = """
-SELECT * FROM (VALUES
+WITH t AS (SELECT * FROM (VALUES
   (1, 'l_orderkey', 'BIGINT', -5, 19, 0), (2, 'l_partkey', 'BIGINT', -5, 19, 0),
   (3, 'l_suppkey', 'BIGINT', -5, 19, 0), (4, 'l_linenumber', 'INTEGER', 4, 10, 0),
   (5, 'l_quantity', 'DOUBLE', 8, 15, 0), (6, 'l_extendedprice', 'DOUBLE', 8, 15, 0),
   (7, 'l_discount', 'DOUBLE', 8, 15, 0), (8, 'l_tax', 'DOUBLE', 8, 15, 0),
   (9, 'l_returnflag', 'NVARCHAR', -9, 4000, 0), (10, 'l_linestatus', 'NVARCHAR', -9, 4000, 0),
   (11, 'l_shipdate', 'TIMESTAMP', 93, 23, 3)
-) AS t(ordinal, column_name, jdbc_type, jdbc_code, precision, scale)
+) AS v(ordinal, column_name, jdbc_type, jdbc_code, precision, scale)),
+c AS (
+  SELECT 'l_orderkey' AS column_name, COUNT(l_orderkey) AS n_values FROM lineitem UNION ALL
+  SELECT 'l_partkey', COUNT(l_partkey) FROM lineitem UNION ALL
+  SELECT 'l_suppkey', COUNT(l_suppkey) FROM lineitem UNION ALL
+  SELECT 'l_linenumber', COUNT(l_linenumber) FROM lineitem UNION ALL
+  SELECT 'l_quantity', COUNT(l_quantity) FROM lineitem UNION ALL
+  SELECT 'l_extendedprice', COUNT(l_extendedprice) FROM lineitem UNION ALL
+  SELECT 'l_discount', COUNT(l_discount) FROM lineitem UNION ALL
+  SELECT 'l_tax', COUNT(l_tax) FROM lineitem UNION ALL
+  SELECT 'l_returnflag', COUNT(l_returnflag) FROM lineitem UNION ALL
+  SELECT 'l_linestatus', COUNT(l_linestatus) FROM lineitem UNION ALL
+  SELECT 'l_shipdate', COUNT(l_shipdate) FROM lineitem)
+SELECT t.ordinal, t.column_name, t.jdbc_type, t.jdbc_code, t.precision, t.scale, c.n_values
+FROM t JOIN c ON t.column_name = c.column_name
 """
 
 
@@ -455,7 +469,7 @@ SELECT CAST(SUM(CASE WHEN status = 'SUCCESS' THEN 1 ELSE 0 END) AS BIGINT) AS ok
        CAST(SUM(CASE WHEN status = 'FAILED' THEN 1 ELSE 0 END) AS BIGINT) AS failed_blocks,
        CAST(SUM(CASE WHEN status = 'SUCCESS' THEN row_count ELSE 0 END) AS BIGINT) AS rows_loaded FROM st"""),
     "ledger_merge": """
-WITH t AS (SELECT o_orderkey AS block_id, 'PENDING' AS status, CAST(0 AS BIGINT) AS row_count FROM orders WHERE o_orderkey % 3 <> 0),
+WITH t AS (SELECT o_orderkey AS block_id, 'PENDING' AS status, CAST(0 AS BIGINT) AS row_count FROM orders WHERE o_orderstatus <> 'F'),
      s AS (SELECT l_orderkey AS block_id, CASE WHEN MIN(l_linenumber) = 1 THEN 'SUCCESS' ELSE 'FAILED' END AS status,
                   COUNT(*) AS row_count FROM lineitem GROUP BY l_orderkey)
 SELECT COALESCE(s.block_id, t.block_id) AS block_id, COALESCE(s.status, t.status) AS status,

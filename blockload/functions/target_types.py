@@ -62,6 +62,18 @@ def target_columns(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame(rows, out)
 
 
+def target_report(df: DataFrame) -> DataFrame:
+    """O27 over data: the target typing of each column of ``df`` with its
+    number of non-null values, from one aggregation over the whole frame."""
+    spark = df.sparkSession
+    counts = df.agg(*[F.count(df[c]).alias(f"_c{i}") for i, c in enumerate(df.columns)])
+    per_column = counts.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("_name"), F.col(f"_c{i}").alias("n_values")) for i, c in enumerate(df.columns)
+    ])))
+    types = target_columns(spark, df.schema)
+    return types.join(F.broadcast(per_column), types["column_name"] == per_column["_name"], "inner").drop("_name")
+
+
 def truncate_to_millis(c: Column) -> Column:
     """Cut a timestamp (with or without time zone) to milliseconds, keeping
     its type. Pure arithmetic on the micros of the second, so no time zone

@@ -155,15 +155,22 @@ def block_sizes(spark: SparkSession, path: str, block_ids: Sequence[int], *, pla
 
 def landing_state(spark: SparkSession, path: str) -> DataFrame:
     """(block_id, n_rows) for every planned block of a complete landing,
-    0 for an empty block; empty if there is no complete landing."""
+    0 for an empty block; empty if there is no complete landing. Row
+    layout: NTILE sizes of the counted rows, computed over ``range(1, k)``
+    with no scan of the rows; block layout: a count per block folder."""
     schema = "block_id INT, n_rows BIGINT"
     plan = landing_plan(spark, path)
     if plan is None:
         return spark.createDataFrame([], schema)
-    counts = block_results(read_landing(spark, path))
-    blocks = spark.range(1).select(F.explode(F.sequence(F.lit(1), F.lit(plan["n_blocks"]))).alias("block_id"))
+    k = int(plan["n_blocks"])
+    blocks = spark.range(1, k + 1).select(F.col("id").cast("int").alias("block_id"))
+    if plan["blocks_on"] == ROWS:
+        q, m = divmod(int(plan["total_rows"]), k)
+        size = F.when(F.col("block_id") <= m, F.lit(q + 1)).otherwise(F.lit(q))
+        return blocks.select("block_id", size.cast("long").alias("n_rows"))
+    counts = block_results(read_landing(spark, path, plan=plan))
     j = blocks.join(counts, "block_id", "left")
-    return j.select(F.col("block_id").cast("int"), F.coalesce(F.col("n_rows"), F.lit(0)).cast("long").alias("n_rows"))
+    return j.select(F.col("block_id"), F.coalesce(F.col("n_rows"), F.lit(0)).cast("long").alias("n_rows"))
 
 
 def scan_blocks(landing: DataFrame, block_ids: Sequence[int], cols: Sequence[str] | None = None, *,
