@@ -90,10 +90,12 @@ def find_landing(spark: SparkSession, root: str) -> tuple[str | None, str]:
     latest, n = None, 1
     while True:
         attempt = f"{root}/a{n}"
-        if not path_exists(spark, attempt):
-            return latest, attempt
+        # Markers first (two small listings); only a folder that is not a
+        # complete landing is listed as a whole.
         if landing_plan(spark, attempt) is not None:
             latest = attempt
+        elif not path_exists(spark, attempt):
+            return latest, attempt
         n += 1
 
 
