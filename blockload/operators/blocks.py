@@ -148,7 +148,7 @@ def pin_ranged(df: DataFrame, keys: Sequence[str], path: str, num_partitions: in
         .withColumn("_p", F.shiftright("_rid", _ROW_BITS).cast("int"))
     )
     ranged.write.mode("errorifexists").partitionBy("_p").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(ranged.schema).parquet(path)  # no inference: empty input has no file
 
 
 def range_offsets(pinned: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:

@@ -14,6 +14,7 @@ landing writes the next attempt folder beside it.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,7 @@ _PLAN_SCHEMA = T.StructType([
     T.StructField("total_rows", T.LongType(), False),
     T.StructField("blocks_on", T.StringType(), False),
     T.StructField("n_parts", T.IntegerType(), True),
+    T.StructField("schema", T.StringType(), True),
 ])
 ROWS = "rows"
 
@@ -48,14 +50,16 @@ def write_landing(df: DataFrame, path: str, n_blocks: int, *, total_rows: int =
     """
     out = df.hint("rebalance", block_col) if cluster else df
     out.write.mode("errorifexists").partitionBy(block_col).parquet(path)
-    _write_plan(df.sparkSession, path, n_blocks, total_rows, blocks_on, 0)
+    _write_plan(df.sparkSession, path, n_blocks, total_rows, blocks_on, 0, out.schema)
     return path
 
 
 def _write_plan(spark: SparkSession, path: str, n_blocks: int, total_rows: int, blocks_on: str,
-                n_parts: int) -> None:
-    (spark.createDataFrame([(int(n_blocks), int(total_rows), blocks_on, int(n_parts))], _PLAN_SCHEMA)
-     .coalesce(1).write.mode("errorifexists").json(f"{path}/_plan"))
+                n_parts: int, schema: T.StructType) -> None:
+    """The plan record; it also keeps the schema of the rows, so an empty
+    landing (no data file) still reads with its columns."""
+    row = (int(n_blocks), int(total_rows), blocks_on, int(n_parts), schema.json())
+    spark.createDataFrame([row], _PLAN_SCHEMA).coalesce(1).write.mode("errorifexists").json(f"{path}/_plan")
 
 
 def write_row_landing(df: DataFrame, order_cols: Sequence[str], path: str, n_blocks: int, *,
@@ -71,7 +75,7 @@ def write_row_landing(df: DataFrame, order_cols: Sequence[str], path: str, n_blo
     offsets.coalesce(1).write.mode("errorifexists").parquet(f"{path}/_offsets")
     written = spark.read.parquet(f"{path}/_offsets")
     agg = written.agg(F.count(F.lit(1)).alias("p"), F.sum("_n").alias("n")).first()
-    _write_plan(spark, path, n_blocks, int(agg["n"] or 0), ROWS, int(agg["p"]))
+    _write_plan(spark, path, n_blocks, int(agg["n"] or 0), ROWS, int(agg["p"]), pinned.schema)
     return path
 
 
@@ -110,7 +114,8 @@ def read_landing(spark: SparkSession, path: str, block_ids: Sequence[int] | None
     ids = sorted({int(b) for b in block_ids}) if block_ids is not None else None
     # The landing never changes: its files are listed once per plan.
     if "_rows" not in plan:
-        plan["_rows"] = spark.read.parquet(path)
+        reader = spark.read.schema(T.StructType.fromJson(json.loads(plan["schema"]))) if plan["schema"] else spark.read
+        plan["_rows"] = reader.parquet(path)
     rows = plan["_rows"]
     if plan["blocks_on"] != ROWS:
         return rows.filter(F.col(BLOCK_COL).isin(ids)) if ids is not None else rows

@@ -15,13 +15,16 @@ tried again under a new attempt.
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from blockload.config import ATTEMPT_COL, BLOCK_COL, RUN_COL, SUCCESS, LoadConfig
 from blockload.functions.target_types import to_target_values
+from blockload.sources.read import path_exists
 
 
 def run_key(process_name: str, scope: str, run_date: dt.date) -> str:
@@ -80,16 +83,37 @@ def load_blocks(blocks: DataFrame, block_ids: Sequence[int], cfg: LoadConfig, ke
     else:
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(RUN_COL, BLOCK_COL).parquet(cfg.target))
+        _ensure_schema_record(blocks.sparkSession, cfg.target, out.schema)
     return written_counts(blocks.sparkSession, cfg, key, ids, attempts)
 
 
+_SCHEMA_RECORD = "_schema"
+
+
+def _ensure_schema_record(spark: SparkSession, target: str, schema: T.StructType) -> None:
+    """Keep the target's schema beside its data (a hidden folder Spark does
+    not read as data): blocks with no rows write no file, and a target of
+    empty blocks must still read with its columns."""
+    if not path_exists(spark, f"{target}/{_SCHEMA_RECORD}/_SUCCESS"):
+        (spark.createDataFrame([(schema.json(),)], "schema STRING").coalesce(1)
+         .write.mode("overwrite").json(f"{target}/{_SCHEMA_RECORD}"))
+
+
+def _target_schema(spark: SparkSession, target: str) -> T.StructType | None:
+    if not path_exists(spark, f"{target}/{_SCHEMA_RECORD}/_SUCCESS"):
+        return None
+    row = spark.read.schema("schema STRING").json(f"{target}/{_SCHEMA_RECORD}").first()
+    return T.StructType.fromJson(json.loads(row["schema"])) if row else None
+
+
 def _read_target_raw(spark: SparkSession, cfg: LoadConfig, **extra: str) -> DataFrame:
     if cfg.target_format == "jdbc":
         opts = dict(cfg.jdbc_options)
         opts.setdefault("dbtable", cfg.target)
         opts.update(extra)
         return spark.read.format("jdbc").options(**opts).load()
-    return spark.read.parquet(cfg.target)
+    schema = _target_schema(spark, cfg.target)
+    return (spark.read.schema(schema) if schema else spark.read).parquet(cfg.target)
 
 
 def written_counts(spark: SparkSession, cfg: LoadConfig, key: str, block_ids: Sequence[int],

@@ -188,3 +188,17 @@ def test_landing_is_rewritten_only_without_progress(spark, tables):
     assert res.success and res.landing.endswith("/a2")
     assert find_landing(spark, root) == (f"{root}/a2", f"{root}/a3")
     _same(target_view(spark, fresh), o)
+
+
+@pytest.mark.parametrize("kw", [dict(), dict(threshold=0, block_key="o_custkey", blocks_on="keys"),
+                                dict(threshold=0, blocks_on="rows", order_cols=["o_orderkey"]),
+                                dict(threshold=0, blocks_on="even")])
+def test_empty_input_loads_one_empty_block(spark, tables, kw):
+    """Edge of SURVEY 5.4: an empty frame is one block of 0 rows, and the
+    target still reads, with the source's columns."""
+    o = tables("orders").limit(0)
+    cfg = _cfg(spark, **kw)
+    res = run_load(o, cfg)
+    assert res.success and res.total_blocks == 1 and res.rows_loaded == 0
+    view = target_view(spark, cfg)
+    assert view.count() == 0 and sorted(view.columns) == sorted(o.columns)
