@@ -201,7 +201,7 @@ def q_ledger_summary(spark, sf_dir):
 
 def q_run_result(spark, sf_dir):
     st = _state(spark, sf_dir)
-    return L.run_result(_fixture_plan(st), st).drop("rows_loaded")
+    return L.run_result(_fixture_plan(st), st).drop("rows_loaded", "success", "needs_retry")
 
 
 def q_run_metrics(spark, sf_dir):

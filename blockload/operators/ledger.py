@@ -226,22 +226,29 @@ def run_result(plan: DataFrame, state: DataFrame) -> DataFrame:
     ok = F.count(F.when(F.col("status") == SUCCESS, 1))
     failed = F.count(F.when(F.col("status") == FAILED, 1))
     total = F.count(F.lit(1))
-    return j.groupBy(*RUN_KEYS).agg(
+    out = j.groupBy(*RUN_KEYS).agg(
         total.alias("total_blocks"), ok.alias("ok_blocks"), failed.alias("failed_blocks"),
         (total - ok - failed).alias("pending_blocks"),
         F.coalesce(F.sum(F.when(F.col("status") == SUCCESS, F.col("row_count"))), F.lit(0)).cast("long")
         .alias("rows_loaded"),
     )
+    complete = (F.col("failed_blocks") == 0) & (F.col("pending_blocks") == 0)
+    return out.withColumn("success", complete).withColumn("needs_retry", ~complete)
 
 
-def run_metrics(state: DataFrame) -> DataFrame:
-    """Blocks ok, blocks failed and rows loaded, in one aggregation."""
-    return state.agg(
+def run_metrics(state: DataFrame, elapsed_s: float | None = None) -> DataFrame:
+    """Blocks ok, blocks failed and rows loaded, in one aggregation;
+    with the run's ``elapsed_s``, also ``rows_per_s`` (0 under a second)."""
+    out = state.agg(
         F.count(F.when(F.col("status") == SUCCESS, 1)).alias("ok_blocks"),
         F.count(F.when(F.col("status") == FAILED, 1)).alias("failed_blocks"),
         F.coalesce(F.sum(F.when(F.col("status") == SUCCESS, F.col("row_count"))), F.lit(0)).cast("long")
         .alias("rows_loaded"),
     )
+    if elapsed_s is None:
+        return out
+    rate = F.col("rows_loaded") / F.lit(float(elapsed_s)) if elapsed_s >= 1 else F.lit(0.0)
+    return out.withColumn("rows_per_s", rate.cast("double"))
 
 
 def rows_per_second(rows: int, elapsed_s: float) -> float:

@@ -47,8 +47,11 @@ def test_plan_pending_init_and_result(spark):
     r = L.run_result(plan, st).first()
     assert (r["total_blocks"], r["ok_blocks"], r["failed_blocks"], r["pending_blocks"], r["rows_loaded"]) == \
         (5, 1, 1, 3, 7)
+    assert (r["success"], r["needs_retry"]) == (False, True)
     m = L.run_metrics(st).first()
     assert (m["ok_blocks"], m["failed_blocks"], m["rows_loaded"]) == (1, 1, 7)
+    assert L.run_metrics(st, 2.0).first()["rows_per_s"] == 3.5
+    assert L.run_metrics(st, 0.5).first()["rows_per_s"] == 0.0
     s = {r["status"]: (r["n_blocks"], r["n_rows"]) for r in L.ledger_summary(st).collect()}
     assert s == {"SUCCESS": (1, 7), "FAILED": (1, 0), "RUNNING": (1, 0)}
 
