@@ -90,20 +90,30 @@ def load_blocks(blocks: DataFrame, block_ids: Sequence[int], cfg: LoadConfig, ke
 _SCHEMA_RECORD = "_schema"
 
 
+# Schema records already read or written by this driver, by target path.
+_KNOWN_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def _ensure_schema_record(spark: SparkSession, target: str, schema: T.StructType) -> None:
     """Keep the target's schema beside its data (a hidden folder Spark does
     not read as data): blocks with no rows write no file, and a target of
     empty blocks must still read with its columns."""
-    if not path_exists(spark, f"{target}/{_SCHEMA_RECORD}/_SUCCESS"):
+    if _target_schema(spark, target) is None:
         (spark.createDataFrame([(schema.json(),)], "schema STRING").coalesce(1)
          .write.mode("overwrite").json(f"{target}/{_SCHEMA_RECORD}"))
+        _KNOWN_SCHEMAS[target] = schema
 
 
 def _target_schema(spark: SparkSession, target: str) -> T.StructType | None:
+    if target in _KNOWN_SCHEMAS:
+        return _KNOWN_SCHEMAS[target]
     if not path_exists(spark, f"{target}/{_SCHEMA_RECORD}/_SUCCESS"):
         return None
     row = spark.read.schema("schema STRING").json(f"{target}/{_SCHEMA_RECORD}").first()
-    return T.StructType.fromJson(json.loads(row["schema"])) if row else None
+    if row is None:
+        return None
+    _KNOWN_SCHEMAS[target] = T.StructType.fromJson(json.loads(row["schema"]))
+    return _KNOWN_SCHEMAS[target]
 
 
 def _read_target_raw(spark: SparkSession, cfg: LoadConfig, **extra: str) -> DataFrame:

@@ -6,11 +6,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from blockload.config import LoadConfig
+from blockload.operators import blocks as B
 from blockload.operators import ledger as L
 from blockload.plans.flows import (load_direct, load_landed, load_preblocked, load_preblocked_with_retry, run_load,
                                    run_load_with_retry, with_paths)
 from blockload.plans.routines import Routine, register_routine, run_routine
 from blockload.session import new_path
+from blockload.sources.landing import find_landing, write_landing
 from blockload.sources.target import target_view
 
 DAY = dt.date(2024, 2, 2)
@@ -179,10 +181,7 @@ def test_landing_is_rewritten_only_without_progress(spark, tables):
     second = load_landed(o, cfg.replace(fault_blocks={}), 1500, 3)
     assert second.success and second.landing == first.landing  # blocks were tried: same landing
     fresh = _cfg(spark, block_key="o_custkey", blocks_on="keys", block_size=500)
-    from blockload.sources.landing import find_landing
     root = f"{fresh.landing_path}/t/s/{DAY.isoformat()}"
-    import blockload.operators.blocks as B
-    from blockload.sources.landing import write_landing
     write_landing(B.blocks_even(o, 3), f"{root}/a1", 3, blocks_on="even", cluster=False)  # complete, never loaded
     res = load_landed(o, fresh, 1500, 3)
     assert res.success and res.landing.endswith("/a2")

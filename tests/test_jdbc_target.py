@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from blockload.config import LoadConfig
 from blockload.operators import ledger as L
 from blockload.plans.flows import run_load_with_retry, with_paths
-from blockload.session import new_path
 from blockload.sources.target import target_view
 
 DERBY = {"url": "jdbc:derby:memory:blockload_t;create=true",
@@ -44,4 +43,3 @@ def test_jdbc_view_hides_rows_of_unfinished_attempts(spark, tables):
     assert target_view(spark, cfg, state).count() == c.count()
     raw = spark.read.format("jdbc").options(**DERBY).option("dbtable", "CUST_T").load()
     assert raw.count() == 2 * c.count()
-    assert new_path(spark, "x")
