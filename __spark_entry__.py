@@ -137,8 +137,7 @@ def q_landing_state(spark, sf_dir):
 
 
 def q_scan_blocks(spark, sf_dir):
-    landing = read_landing(spark, _events_landing(spark, sf_dir), [2, 5])
-    return scan_blocks(landing, [2, 5], ["EVENT_ID", "user_id", "Value"])
+    return scan_blocks(_events_landing(spark, sf_dir), [2, 5], ["EVENT_ID", "user_id", "Value"])
 
 
 def q_chunk_rows(spark, sf_dir):

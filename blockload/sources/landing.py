@@ -180,11 +180,15 @@ def landing_state(spark: SparkSession, path: str) -> DataFrame:
     return j.select(F.col("block_id"), F.coalesce(F.col("n_rows"), F.lit(0)).cast("long").alias("n_rows"))
 
 
-def scan_blocks(landing: DataFrame, block_ids: Sequence[int], cols: Sequence[str] | None = None, *,
+def scan_blocks(landing: DataFrame | str, block_ids: Sequence[int], cols: Sequence[str] | None = None, *,
                 block_col: str = BLOCK_COL, keep_block: bool = False) -> DataFrame:
     """O3: only the named blocks (a literal IN list, so Spark prunes
-    partitions), columns selected by name ignoring case."""
+    partitions), columns selected by name ignoring case. ``landing`` is a
+    frame with a block column, or the path of a complete landing (then the
+    read prunes in either layout)."""
     ids = sorted({int(b) for b in block_ids})
+    if isinstance(landing, str):
+        landing = read_landing(SparkSession.active(), landing, ids)
     part = landing.filter(F.col(block_col).isin(ids))
     names = [c for c in landing.columns if c != block_col] if cols is None else list(cols)
     fields = resolve_columns(landing, names).fieldNames()
