@@ -137,11 +137,18 @@ def _run_blocks(spark: SparkSession, blocks: Blocks, expected: Blocks, n_blocks:
                 a += 1
                 if not _try_blocks(spark, blocks, expected, [b], {b: a}, cfg, run_date):
                     break
-    row = L.run_result(plan, state()).first()
+    final = state()
+    row = L.run_result(plan, final).first()
+    error = None
+    if row["failed_blocks"]:
+        first = (final.filter(F.col("status") == FAILED).orderBy("block_id")
+                 .select(F.concat(F.lit("block "), F.col("block_id").cast("string"), F.lit(": "),
+                                  F.coalesce("error_message", F.lit("?")))).first())
+        error = first[0] if first else None
     return RunResult(
         success=row["failed_blocks"] == 0 and row["pending_blocks"] == 0,
         total_blocks=row["total_blocks"], ok_blocks=row["ok_blocks"], failed_blocks=row["failed_blocks"],
-        pending_blocks=row["pending_blocks"], rows_loaded=row["rows_loaded"], run_date=run_date,
+        pending_blocks=row["pending_blocks"], rows_loaded=row["rows_loaded"], error=error, run_date=run_date,
         process_name=p, scope=s, elapsed_s=time.time() - t0)
 
 

@@ -41,6 +41,7 @@ def test_landed_resume_after_fault(spark, tables):
     cfg = _cfg(spark, block_key="o_custkey", blocks_on="keys", block_size=300, fault_blocks={2: 3})
     first = load_landed(o, cfg, 1500, 5)
     assert not first.success and first.failed_blocks == 1 and first.ok_blocks == 4
+    assert first.error.startswith("block 2: ") and "injected failure" in first.error
     st = _state(spark, cfg)
     assert st[2]["status"] == "FAILED" and st[2]["attempt"] == 3 and "injected" in st[2]["error_message"]
     second = load_landed(o, cfg, 1500, 5)
