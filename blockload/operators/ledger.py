@@ -67,9 +67,11 @@ def ledger_exists(spark: SparkSession, path: str) -> bool:
 
 
 def ensure_ledger(spark: SparkSession, path: str) -> None:
-    """Create an empty ledger at ``path`` if there is none."""
+    """Create an empty ledger at ``path`` if there is none. The ledger is
+    partitioned by run (process, scope, run date): reading one run's state
+    prunes to its folder, however long the ledger's history."""
     if not ledger_exists(spark, path):
-        spark.createDataFrame([], LEDGER_SCHEMA).write.mode("errorifexists").parquet(path)
+        spark.createDataFrame([], LEDGER_SCHEMA).write.mode("errorifexists").partitionBy(*RUN_KEYS).parquet(path)
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
@@ -84,7 +86,7 @@ def ledger_record(spark: SparkSession, path: str, events: DataFrame, *, small: b
     out = as_events(events)
     if small:
         out = out.coalesce(1)
-    out.write.mode("append").parquet(path)
+    out.write.mode("append").partitionBy(*RUN_KEYS).parquet(path)
 
 
 def block_events(blocks: DataFrame, process_name: str, scope: str, run_date: dt.date, status: Column | str,
@@ -108,7 +110,7 @@ def compact_ledger(spark: SparkSession, path: str, new_path: str) -> str:
     """Write the state of the ledger at ``path`` (one event per block) as a new
     ledger at ``new_path``, and return it. Run between loads, never during
     one; the old ledger is left as it is (nothing is overwritten)."""
-    ledger_state(read_ledger(spark, path)).write.mode("errorifexists").parquet(new_path)
+    ledger_state(read_ledger(spark, path)).write.mode("errorifexists").partitionBy(*RUN_KEYS).parquet(new_path)
     return new_path
 
 
