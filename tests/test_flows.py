@@ -202,3 +202,27 @@ def test_empty_input_loads_one_empty_block(spark, tables, kw):
     assert res.success and res.total_blocks == 1 and res.rows_loaded == 0
     view = target_view(spark, cfg)
     assert view.count() == 0 and sorted(view.columns) == sorted(o.columns)
+
+
+def test_resume_takes_block_count_from_landing(spark, tables):
+    """A resumed run keeps the landing's blocks, whatever a new count
+    would say."""
+    o = tables("orders")
+    cfg = _cfg(spark, block_key="o_custkey", blocks_on="keys", block_size=300, fault_blocks={4: 3})
+    first = load_landed(o, cfg, 1500, 5)
+    assert not first.success and first.total_blocks == 5
+    second = load_landed(o, cfg, 2700, 9)  # the input "grew": the run still has its 5 blocks
+    assert second.success and second.total_blocks == 5
+    _same(target_view(spark, cfg), o)
+
+
+def test_names_with_quotes_and_slashes(spark, tables):
+    """Process and scope reach Spark as values, never as SQL text."""
+    c = tables("customer")
+    cfg = _cfg(spark, process_name="o'brien; DROP TABLE x", scope="a/b=c", threshold=0, block_size=60,
+               blocks_on="even")
+    res = run_load(c, cfg)
+    assert res.success and res.total_blocks == 3
+    st = L.ledger_state(L.read_ledger(spark, cfg.ledger_path)).select("process_name", "scope").distinct().collect()
+    assert [tuple(r) for r in st] == [("o'brien; DROP TABLE x", "a/b=c")]
+    _same(target_view(spark, cfg), c)
