@@ -119,7 +119,8 @@ def range_partitions(spark, n_rows: int, n_blocks: int = 1) -> int:
     holds more than about ``ROWS_PER_RANGE_PARTITION`` rows (AQE does not
     split range partitions, so the count must grow with the data)."""
     default = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(1, default, n_blocks, math.ceil(n_rows / ROWS_PER_RANGE_PARTITION))
+    wanted = max(default, n_blocks, math.ceil(n_rows / ROWS_PER_RANGE_PARTITION))
+    return max(1, min(wanted, n_rows))  # never more partitions than rows
 
 
 def ntile_range(n_rows: int, k: int, block: int) -> tuple[int, int]:
@@ -273,6 +274,8 @@ def blocks_by_row(df: DataFrame, order_cols: Sequence[str], n_blocks: int, *,
     """NTILE(n) over all rows in ``order_cols`` order; blocks differ by at
     most one row. Equal to Spark's ``ntile`` over an unpartitioned window
     when the order is total, without that window's single task."""
+    if num_partitions is None:  # range partitions are never split by AQE: size them by the rows
+        num_partitions = range_partitions(df.sparkSession, df.count(), n_blocks)
     pos = row_positions(df, order_cols, num_partitions=num_partitions)
     return pos.select(*[pos[c] for c in df.columns],
                       ntile_of(F.col("_pos"), F.col("_gsize"), n_blocks).alias(BLOCK_COL))
@@ -303,6 +306,8 @@ def chunk_rows(df: DataFrame, limit: int, order_cols: Sequence[str], block_col:
     several tasks, since the position comes from ``row_positions``."""
     if limit <= 0:
         return df.withColumn("_chunk", F.lit(0))
+    if num_partitions is None:  # range partitions are never split by AQE: size them by the rows
+        num_partitions = range_partitions(df.sparkSession, df.count())
     pos = row_positions(df, order_cols, [block_col], num_partitions=num_partitions)
     return pos.select(*[pos[c] for c in df.columns], F.floor(F.col("_pos") / limit).cast("int").alias("_chunk"))
 
