@@ -108,3 +108,11 @@ class RunResult:
     @property
     def rows_per_s(self) -> float:
         return self.rows_loaded / self.elapsed_s if self.elapsed_s >= 1 else 0.0
+
+    def summary(self) -> str:
+        """One line for a log: outcome, run and block counts."""
+        state = "COMPLETE" if self.success else ("PARTIAL, RETRY" if self.needs_retry else "FAILED")
+        text = (f"{state} | {self.process_name}/{self.scope} {self.run_date} | blocks total={self.total_blocks} "
+                f"ok={self.ok_blocks} failed={self.failed_blocks} pending={self.pending_blocks} | "
+                f"rows={self.rows_loaded} ({self.rows_per_s:.0f}/s)")
+        return f"{text} | {self.error}" if self.error else text

@@ -93,3 +93,10 @@ def test_compact_ledger_keeps_the_state(spark):
     before = sorted(tuple(r) for r in L.ledger_state(L.read_ledger(spark, path)).drop("last_update").collect())
     after = sorted(tuple(r) for r in L.ledger_state(L.read_ledger(spark, new)).drop("last_update").collect())
     assert before == after and L.read_ledger(spark, new).count() == 2
+
+
+def test_run_result_summary():
+    from blockload.config import RunResult
+    r = RunResult(False, 5, 4, 1, 0, 100, "block 2: boom", DAY, "p", "s", 2.0)
+    assert r.needs_retry and not r.is_complete and r.rows_per_s == 50.0
+    assert r.summary().startswith("PARTIAL, RETRY | p/s 2024-05-01") and r.summary().endswith("block 2: boom")
