@@ -226,3 +226,15 @@ def test_names_with_quotes_and_slashes(spark, tables):
     st = L.ledger_state(L.read_ledger(spark, cfg.ledger_path)).select("process_name", "scope").distinct().collect()
     assert [tuple(r) for r in st] == [("o'brien; DROP TABLE x", "a/b=c")]
     _same(target_view(spark, cfg), c)
+
+
+def test_resume_from_compacted_ledger(spark, tables):
+    """Compaction between runs keeps what resume needs: states and attempts."""
+    o = tables("orders")
+    cfg = _cfg(spark, block_key="o_custkey", blocks_on="keys", block_size=500, fault_blocks={2: 3})
+    assert not load_landed(o, cfg, 1500, 3).success
+    compact = L.compact_ledger(spark, cfg.ledger_path, new_path(spark, "ledger"))
+    res = load_landed(o, cfg.replace(ledger_path=compact), 1500, 3)
+    assert res.success
+    assert L.ledger_state(L.read_ledger(spark, compact)).filter("block_id = 2").first()["attempt"] == 4
+    _same(target_view(spark, cfg), o)
