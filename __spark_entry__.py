@@ -11,6 +11,7 @@ source.
 from __future__ import annotations
 
 import datetime as dt
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -515,9 +516,26 @@ def entry(spark: SparkSession) -> DataFrame:
     return B.block_results(landing.filter(F.col(BLOCK_COL).isin(ids)))
 
 
+# The training-data operators and their pipeline are one subpackage and one
+# module, which are left out here where they are not there.
+_LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_LLM_ORACLE: dict[str, str] = {}
+if importlib.util.find_spec("blockload.llm") and importlib.util.find_spec("blockload.llm.queries"):
+    from blockload.llm.queries import ORACLE_SQL, QUERIES
+
+    _LLM_QUERIES.update(QUERIES)
+    _LLM_ORACLE.update(ORACLE_SQL)
+    if importlib.util.find_spec("corpus_pipeline"):
+        import corpus_pipeline
+
+        _LLM_QUERIES["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL:
+            _LLM_ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return _QUERIES | _LLM_QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLE)
+    return _ORACLE | _LLM_ORACLE

@@ -40,10 +40,10 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(E._QUERIES) == set(E._ORACLE)
 
 
-@pytest.mark.parametrize("key", sorted(k for k in E.queries() if k not in FLOWS))
+@pytest.mark.parametrize("key", sorted(k for k in E._QUERIES if k not in FLOWS))
 def test_query_matches_oracle(spark, duck, key):
     df = E.queries()[key](spark, SF0001)
     got = _canon(df.columns, [tuple(r) for r in df.collect()])
