@@ -33,8 +33,8 @@ from pyspark.sql import types as T
 
 from blockload.llm.runtime import ship
 
-KNOWN_WORDS = 400_000
-KNOWN_PAIRS = 400_000
+KNOWN_WORDS = 200_000
+KNOWN_PAIRS = 200_000
 LONG_WORD = 200         # bytes; beyond, no encoding is kept per prefix
 
 # Fixed value: the byte-level pre-tokenizer's pattern; alternatives that start

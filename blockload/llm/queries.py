@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blockload.llm import bpe, chat, mixing, token_counts, topk, warc
+from blockload.llm import bpe, chat, graph_dedup, mixing, ngram_join, suffix_dedup, token_counts, topk, toxicity, warc
 
 
 def tokenizer_path(name: str) -> str:
@@ -22,6 +22,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.span_report(table(spark, sf_dir, "documents"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+        F.col("doc_id").cast("long").alias("doc_id"), "p_unfit", "p_toxic", "rejected")
+
+
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
@@ -59,9 +76,13 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_topk": op2_topk,
+    "op3_toxicity": op3_toxicity,
     "op4_chat": op4_chat,
+    "op5_ngram_join": op5_ngram_join,
     "op6_token_counts": op6_token_counts,
+    "op7_embedding_dedup": op7_embedding_dedup,
     "op8_warc": op8_warc,
     "op9_bpe": op9_bpe,
     "op10_mix": op10_mix,
@@ -133,4 +154,38 @@ ORACLE_SQL: dict[str, str] = {
         taken AS (SELECT rank, o, count(*) AS copies FROM n GROUP BY rank, o)
         SELECT doc_id, size, source_size, target, (size * coalesce(copies, 0))::BIGINT AS taken
         FROM u LEFT JOIN taken USING (rank, o)""",
+    "op5_ngram_join": """
+        WITH RECURSIVE w AS (
+          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+        g AS (
+          SELECT DISTINCT doc_id, array_to_string(words[i:i + 3], ' ') AS gram
+          FROM (SELECT doc_id, words, unnest(generate_series(1, greatest(len(words) - 3, 1))) AS i FROM w
+                WHERE len(words) > 0)),
+        n AS (SELECT doc_id, count(*) AS size FROM g GROUP BY doc_id),
+        o AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM g x JOIN g y USING (gram)
+              WHERE x.doc_id < y.doc_id GROUP BY ALL),
+        l AS (SELECT a, b FROM o JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+              WHERE 100 * common >= 85 * (p.size + q.size - common)),
+        e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+        r(node, reach) AS (
+          SELECT doc_id, doc_id FROM documents
+          UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.reach)
+        SELECT d.doc_id, CAST(coalesce(size, 0) AS BIGINT) AS n_shingles, component_id
+        FROM documents d LEFT JOIN n USING (doc_id)
+        JOIN (SELECT node AS doc_id, min(reach) AS component_id FROM r GROUP BY node) c USING (doc_id)""",
+    "op7_embedding_dedup": """
+        WITH RECURSIVE v AS (
+          SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+          WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+            AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+        e AS (SELECT p.vec_id AS a, q.vec_id AS b FROM v p JOIN v q ON p.vec_id <> q.vec_id AND len(p.x) = len(q.x)
+              WHERE list_cosine_similarity(p.x, q.x) >= 0.9),
+        r(node, reach) AS (
+          SELECT vec_id, vec_id FROM embeddings
+          UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.reach),
+        c AS (SELECT node, min(reach) AS component_id FROM r GROUP BY node),
+        n AS (SELECT a, count(*) AS links FROM e GROUP BY a)
+        SELECT vec_id, coalesce(links, 0) AS n_links, component_id, vec_id = component_id AS kept
+        FROM embeddings JOIN c ON node = vec_id LEFT JOIN n ON a = vec_id""",
 }
