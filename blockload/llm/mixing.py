@@ -29,7 +29,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from blockload.llm.runtime import WORD, partitions_for
+from blockload.llm.runtime import WORD, partitions_for, sheltered
 
 WEIGHTS = (3, 1, 2)
 BUDGET = (3, 2)       # 150% of all words, as a fraction
@@ -89,38 +89,39 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, budget: tuple[int, in
     keep = [c for c in docs.columns if c.lower() not in added]
     n_buckets = min(partitions_for(docs.count(), BUCKET_ROWS), 1 << 20)
     order = F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    rows = docs.select(*keep, word_count(F.col("text")).alias("size"), order.alias("_order"))
-    rows = rows.withColumn("_bucket", F.floor(
-        F.conv(F.substring("_order", 1, DIGEST_BITS // 4), 16, 10).cast("long") * n_buckets / float(1 << DIGEST_BITS)))
+    rows = docs.select(*keep, word_count(F.col("text")).alias("size"), order.alias("__order"))
+    rows = rows.withColumn("__bucket", F.floor(
+        F.conv(F.substring("__order", 1, DIGEST_BITS // 4), 16, 10).cast("long") * n_buckets / float(1 << DIGEST_BITS)))
 
-    totals = rows.groupBy("source", "_bucket").agg(F.sum("size").alias("_words"))
-    running = Window.partitionBy("source").orderBy("_bucket")
+    totals = rows.groupBy("source", "__bucket").agg(F.sum("size").alias("__words"))
+    running = Window.partitionBy("source").orderBy("__bucket")
     totals = totals.select(
-        F.col("source").alias("_source"), F.col("_bucket").alias("_b"),
-        (F.sum("_words").over(running) - F.col("_words")).alias("_before"))
+        F.col("source").alias("__source"), F.col("__bucket").alias("__b"),
+        (F.sum("__words").over(running) - F.col("__words")).alias("__before"))
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = source_targets(sizes, weights, budget, max_repeat).withColumnRenamed("source", "_tsource")
-    offsets = totals.join(targets, F.col("_source").eqNullSafe(F.col("_tsource"))).drop("_tsource")
-
-    inside = Window.partitionBy("source", "_bucket").orderBy("_order")  # a RANGE frame: equal ids share a sum
-    placed = rows.withColumn("_inside", F.sum("size").over(inside)).join(
-        offsets, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_bucket") == F.col("_b"))
-    ).drop("_source", "_b")
-    cum = F.col("_before") + F.col("_inside")
+    targets = source_targets(sizes, weights, budget, max_repeat).withColumnsRenamed(
+        {"source": "__tsource", "source_rank": "__rank", "total": "__total"})
+    offsets = totals.join(targets, F.col("__source").eqNullSafe(F.col("__tsource"))).drop("__tsource")
+
+    inside = Window.partitionBy("source", "__bucket").orderBy("__order")  # a RANGE frame: equal ids share a sum
+    placed = rows.withColumn("__inside", F.sum("size").over(inside)).join(
+        offsets, F.col("source").eqNullSafe(F.col("__source")) & (F.col("__bucket") == F.col("__b"))
+    ).drop("__source", "__b")
+    cum = F.col("__before") + F.col("__inside")
     for copy in range(max_repeat):
         finish = (cum + copy * F.col("source_size")).cast("double") / F.col("target")
-        placed = placed.withColumn(f"_f{copy}", F.when(F.col("size") > 0, finish))
+        placed = placed.withColumn(f"__f{copy}", F.when(F.col("size") > 0, finish))
 
     last = _cut(placed, budget, max_repeat, n_buckets)
-    copies = [F.when(_key(F.col(f"_f{c}")) <= last, F.col(f"_f{c}")) for c in range(max_repeat)]
+    copies = [F.when(_key(F.col(f"__f{c}")) <= last, F.col(f"__f{c}")) for c in range(max_repeat)]
     placed = placed.withColumn("finish_times", F.filter(F.array(*copies), lambda x: x.isNotNull()))
     taken = F.col("size") * F.size("finish_times")
     return placed.select(*keep, "size", "source_size", "target", taken.cast("long").alias("taken"), "finish_times")
 
 
 def _key(finish: Column) -> Column:
-    return F.when(finish.isNotNull(), F.struct(finish.alias("f"), F.col("source_rank").alias("s"),
-                                               F.col("_order").alias("o")))
+    return F.when(finish.isNotNull(), F.struct(finish.alias("f"), F.col("__rank").alias("s"),
+                                               F.col("__order").alias("o")))
 
 
 def _cut(placed: DataFrame, budget: tuple[int, int], max_repeat: int, n_buckets: int) -> Column:
@@ -130,16 +131,16 @@ def _cut(placed: DataFrame, budget: tuple[int, int], max_repeat: int, n_buckets:
     one inside them give every copy's running total.
     """
     num, den = budget
-    finishes = F.explode(F.array(*[_key(F.col(f"_f{c}")) for c in range(max_repeat)]))
-    copies = placed.where("size > 0").select("size", "total", finishes.alias("k"))
-    copies = copies.withColumn("_r", F.floor(F.col("k.f") * n_buckets))
-    ranges = copies.groupBy("_r").agg(F.sum("size").alias("_words"))
-    ranges = ranges.select(F.col("_r").alias("_rr"), (F.sum("_words").over(Window.orderBy("_r"))
-                                                      - F.col("_words")).alias("_before"))
-    inside = Window.partitionBy("_r").orderBy("k")
-    run = (copies.withColumn("_inside", F.sum("size").over(inside))
-           .join(ranges, F.col("_r") == F.col("_rr"))
-           .where((F.col("_before") + F.col("_inside")) * den <= F.col("total") * num)
+    finishes = F.explode(F.array(*[_key(F.col(f"__f{c}")) for c in range(max_repeat)]))
+    copies = placed.where("size > 0").select("size", "__total", finishes.alias("k"))
+    copies = copies.withColumn("__r", F.floor(F.col("k.f") * n_buckets))
+    ranges = copies.groupBy("__r").agg(F.sum("size").alias("__words"))
+    ranges = ranges.select(F.col("__r").alias("__rr"), (F.sum("__words").over(Window.orderBy("__r"))
+                                                      - F.col("__words")).alias("__before"))
+    inside = Window.partitionBy("__r").orderBy("k")
+    run = (copies.withColumn("__inside", F.sum("size").over(inside))
+           .join(ranges, F.col("__r") == F.col("__rr"))
+           .where((F.col("__before") + F.col("__inside")) * den <= F.col("__total") * num)
            .agg(F.max("k").alias("k")).head())
     if run is None or run.k is None:
         return F.lit(None)
@@ -149,6 +150,7 @@ def _cut(placed: DataFrame, budget: tuple[int, int], max_repeat: int, n_buckets:
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix itself: every taken copy of every document as a row of
     ``docs``, range-sorted by virtual finish time."""
-    cols = docs.columns
-    copies = mix(docs).select(*[F.col(f"`{c}`") for c in cols], F.explode("finish_times").alias("_finish"))
-    return copies.orderBy("_finish", "doc_id").select(*[F.col(f"`{c}`") for c in cols])
+    plain, restored = sheltered(docs, "doc_id", "text", "source")
+    taken = mix(plain)
+    copies = taken.select(*plain.columns, F.explode("finish_times").alias("__finish"))
+    return copies.orderBy("__finish", "doc_id").select(*restored)

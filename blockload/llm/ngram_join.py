@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blockload.llm.components import components, forest
-from blockload.llm.runtime import partitions_for, pick, ship, staged
+from blockload.llm.runtime import partitions_for, pick, sheltered, ship, staged
 
 WORDS = 4
 PERCENT = 85
@@ -475,9 +475,12 @@ def without_near_copies(docs: DataFrame, words: int, percent: int) -> DataFrame:
     first = F.min(F.struct((F.col("doc") == NULL_ID).alias("unknown"), "doc", "text_digest")).alias("row")
     kept = linked.where("group is not null").groupBy("group").agg(first).select("row.doc", "row.text_digest").union(
         linked.where("group is null").select("doc", "text_digest").distinct())
+    kept = kept.toDF("__kept", "__kept_text")
     own = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
-    numbered = docs.select(*[F.col(f"`{c}`") for c in docs.columns], own.alias("_own"), F.xxhash64("text").alias("_text"))
-    left = numbered.join(kept, (F.col("_own") == F.col("doc")) & (F.col("_text") == F.col("text_digest")), "left_semi")
+    plain, restored = sheltered(docs, "doc_id", "text")
+    numbered = plain.withColumn("__own", own).withColumn("__text", F.xxhash64("text"))
+    left = numbered.join(kept, (F.col("__own") == F.col("__kept")) & (F.col("__text") == F.col("__kept_text")),
+                         "left_semi")
     if linked.groupBy("doc", "text_digest").count().where("count > 1").limit(1).count():
-        left = left.dropDuplicates(["_own", "_text"])
-    return left.select(*[F.col(f"`{c}`") for c in docs.columns])
+        left = left.dropDuplicates(["__own", "__text"])
+    return left.select(*restored)

@@ -8,7 +8,7 @@ import os
 import tempfile
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blockload.session import new_path
@@ -70,5 +70,13 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
+def sheltered(df: DataFrame, *needed: str) -> tuple[DataFrame, list[Column]]:
+    """``df`` with every column but the ``needed`` ones under a name that no
+    operator uses, and the columns that give it back its own."""
+    names = {c: c if c in needed else f"__own{i}" for i, c in enumerate(df.columns)}
+    return (df.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]),
+            [F.col(n).alias(c) for c, n in names.items()])
+
+
 def partitions_for(n_rows: int, rows_each: int) -> int:
     return max(1, -(-n_rows // rows_each))

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from blockload.llm.runtime import ship, staged
+from blockload.llm.runtime import sheltered, ship, staged
 
 LENGTH = 400
 ANCHOR = 64                     # bytes of an anchor, a power of two
@@ -142,13 +142,13 @@ def _windows(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                raw = batch.column("_text")[i].as_py().encode("utf-8", "surrogatepass")
-                anchors = batch.column("anchors")[i].as_py()
+                raw = batch.column("__text")[i].as_py().encode("utf-8", "surrogatepass")
+                anchors = batch.column("__anchors")[i].as_py()
                 n = len(anchors)
                 yield pa.RecordBatch.from_arrays([
                     pa.array([a["key"] for a in anchors], pa.int64()),
-                    pa.array([batch.column("d1")[i].as_py()] * n, pa.int64()),
-                    pa.array([batch.column("d2")[i].as_py()] * n, pa.int64()),
+                    pa.array([batch.column("__d1")[i].as_py()] * n, pa.int64()),
+                    pa.array([batch.column("__d2")[i].as_py()] * n, pa.int64()),
                     pa.array([a["pos"] for a in anchors], pa.int32()), pa.array([a["lo"] for a in anchors], pa.int32()),
                     pa.array([raw[a["lo"]:a["hi"] + length] for a in anchors], pa.binary())], names=names)
     return run
@@ -264,7 +264,7 @@ def _cut(names: list[str], length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             spans, kept = [], []
-            for text, found, copies in zip(batch.column("_text"), batch.column("_found"), batch.column("_copies")):
+            for text, found, copies in zip(batch.column("__text"), batch.column("__found"), batch.column("__copies")):
                 raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
                 if len(raw) >= length and copies.as_py() > 1:
                     runs = [(0, len(raw))]
@@ -292,15 +292,15 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     ship(spark)
     names = [c for c in docs.columns if c.lower() not in ("spans", "kept", "kept_text")]
     text = F.coalesce(F.col("text"), F.lit(""))
-    own = [F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("_row"), text.alias("_text"),
-           F.xxhash64(text).alias("_d1"), F.xxhash64(F.lit(7), text).alias("_d2")]
+    own = [F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("__row"), text.alias("__text"),
+           F.xxhash64(text).alias("__d1"), F.xxhash64(F.lit(7), text).alias("__d2")]
     rows = docs.select(*[F.col(f"`{c}`") for c in names], *own)
 
-    ids = staged(rows.select(F.col("_d1").alias("d1"), F.col("_d2").alias("d2"), F.col("_row").alias("row")),
+    ids = staged(rows.select(F.col("__d1").alias("d1"), F.col("__d2").alias("d2"), F.col("__row").alias("row")),
                  "suffix-ids")
     classes = ids.groupBy("d1", "d2").agg(F.min("row").alias("row"), F.count(F.lit(1)).alias("copies"))
-    long = rows.where(F.octet_length("_text") >= length).select(
-        F.col("_d1").alias("d1"), F.col("_d2").alias("d2"), F.col("_text").alias("text"))
+    long = rows.where(F.octet_length("__text") >= length).select(
+        F.col("__d1").alias("d1"), F.col("__d2").alias("d2"), F.col("__text").alias("text"))
     anchors = staged(long.mapInArrow(_anchors(length), ANCHORS), "suffix-anchors")
     place = F.xxhash64("d1", "d2", "pos")
     repeated = (anchors.groupBy("key").agg(F.min(place).alias("a"), F.max(place).alias("b"),
@@ -309,9 +309,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     repeated = staged(repeated, "suffix-repeated")
     wanted = (anchors.join(repeated.select("key"), "key", "left_semi").groupBy("d1", "d2")
               .agg(F.collect_set(F.struct("key", "pos", "lo", "hi")).alias("anchors")))
-    source = staged(classes.join(wanted, ["d1", "d2"]).select("d1", "d2", "row", "anchors"), "suffix-wanted")
+    source = staged(classes.join(wanted, ["d1", "d2"]).select("d1", "d2", "row", "anchors").toDF(
+        "__s1", "__s2", "__srow", "__anchors"), "suffix-wanted")
 
-    at = (F.col("_d1") == F.col("d1")) & (F.col("_d2") == F.col("d2")) & (F.col("_row") == F.col("row"))
+    at = ((F.col("__d1") == F.col("__s1")) & (F.col("__d2") == F.col("__s2")) & (F.col("__row") == F.col("__srow")))
     windows = rows.join(source, at).mapInArrow(_windows(length), WINDOWS)
     hot = repeated.where("hot").select("key")
     if hot.limit(1).count():
@@ -323,9 +324,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     spans = windows.repartition("key").sortWithinPartitions("key").mapInArrow(_matched(length), SPANS)
     for more in extra:
         spans = spans.unionByName(more)
-    found = spans.groupBy("d1", "d2").agg(F.collect_set(F.struct("begin", "end")).alias("_found"))
-    each = (ids.distinct().join(classes.select("d1", "d2", F.col("copies").alias("_copies")), ["d1", "d2"])
-            .join(found, ["d1", "d2"], "left"))
+    found = spans.groupBy("d1", "d2").agg(F.collect_set(F.struct("begin", "end")).alias("__found"))
+    each = (ids.distinct().join(classes.select("d1", "d2", F.col("copies").alias("__copies")), ["d1", "d2"])
+            .join(found, ["d1", "d2"], "left")).toDF("__s1", "__s2", "__srow", "__copies", "__found")
     told = rows.join(each, at, "left")
     schema = T.StructType([*[docs.schema[c] for c in names], *T._parse_datatype_string(
         "spans array<struct<begin:int,end:int>>, kept binary, kept_text string").fields])
@@ -346,11 +347,12 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated runs cut out of their texts. A character cut
     in two is left out whole; n_chars, if there, is counted anew; documents of
     which nothing but white space is left are dropped, others are kept."""
-    cut = repeated_spans(docs)
+    plain, restored = sheltered(docs, "doc_id", "text", "n_chars")
+    cut = repeated_spans(plain)
     changed = F.size("spans") > 0
+    kept = cut.where(~changed | F.col("kept_text").rlike(r"\S"))
     text = F.when(changed, F.col("kept_text")).otherwise(F.col("text"))
-    new = {"text": text}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(changed, F.length("kept_text")).otherwise(F.col("n_chars"))
-    kept = cut.where(~changed | F.col("kept_text").rlike(r"\S"))
-    return kept.select(*[new.get(c, F.col(f"`{c}`")).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
+        chars = F.when(changed, F.length("kept_text")).otherwise(F.col("n_chars"))
+        kept = kept.withColumn("n_chars", chars.cast(docs.schema["n_chars"].dataType))
+    return kept.withColumn("text", text).select(*restored)

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from blockload.llm import bpe, mixing, ngram_join, suffix_dedup, toxicity
 from blockload.llm.queries import table, tokenizer_path
+from blockload.llm.runtime import sheltered
 from blockload.session import new_path
 
 NEAR_WORDS = 5
@@ -28,8 +29,9 @@ NEAR_PERCENT = 80
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scored = toxicity.toxicity(docs, table(spark, sf_dir, "labels"))
-    return scored.where(~F.col("rejected")).select(*docs.columns)
+    plain, restored = sheltered(docs, "doc_id", "text")
+    scored = toxicity.toxicity(plain, table(spark, sf_dir, "labels"))
+    return scored.where(~F.col("rejected")).select(*restored)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
