@@ -65,7 +65,8 @@ def components(links: DataFrame) -> DataFrame:
     """(node, component) of every node in ``links`` (a, b); the component is
     its smallest node. Links of a node to itself keep it as a node."""
     ship(links.sparkSession)
-    links = links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
+    # Stored first: the links are read twice, and may cost much to make.
+    links = staged(links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")), "links")
     alone = links.where("a = b").select("a")
     now = staged(links.where("a <> b").mapInArrow(_folded, LINKS).distinct(), "links")
     seen = None
