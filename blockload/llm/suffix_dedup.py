@@ -21,8 +21,9 @@ Shuffled are anchors (about one per 170 bytes), the texts once, by (class, row)
 so that copies spread, and windows of repeated anchors. A task holds windows
 up to ``BATCH_WINDOWS``; it streams them in the order of their anchors, which
 takes the place of the external files of the method. An anchor with more than
-``HOT_WINDOWS`` windows is not gathered: each of its strings is counted by
-digest instead, with partial sums, which gives the same marks.
+``HOT_WINDOWS`` windows (bounded by a task's memory) is not gathered: each of
+its strings is counted by digest instead, with partial sums, which gives the
+same marks.
 
 Defined results: a null text is empty; texts shorter than ``LENGTH`` keep all
 bytes; strings never cross texts; repeated rows are copies; extra columns are
@@ -44,8 +45,9 @@ from blockload.llm.runtime import sheltered, ship, staged
 LENGTH = 400
 ANCHOR = 64                     # bytes of an anchor, a power of two
 BUFFER = 1 << 20                # bytes that are searched for anchors at a time
-BATCH_WINDOWS = 16_384
-HOT_WINDOWS = 20_000
+BATCH_WINDOWS = 16_384          # windows a task gathers before it works on their groups
+HOT_WINDOWS = 100_000           # a larger group, over 150 MB with its columns, is counted instead
+NONE = 0xFF                     # no symbol; a byte that UTF-8 never has
 NULL_ID = -(1 << 63)
 
 ANCHORS = "key long, d1 long, d2 long, pos int, lo int, hi int"
@@ -136,15 +138,18 @@ def _anchors(length: int):
     return run
 
 
-def _windows(length: int):
+def _windows(length: int, hot: bool):
+    """The windows of a text's anchors, of those that are hot or of the others."""
     names = ["key", "d1", "d2", "pos", "lo", "data"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 raw = batch.column("__text")[i].as_py().encode("utf-8", "surrogatepass")
-                anchors = batch.column("__anchors")[i].as_py()
+                anchors = [a for a in batch.column("__anchors")[i].as_py() if a["hot"] == hot]
                 n = len(anchors)
+                if not n:
+                    continue
                 yield pa.RecordBatch.from_arrays([
                     pa.array([a["key"] for a in anchors], pa.int64()),
                     pa.array([batch.column("__d1")[i].as_py()] * n, pa.int64()),
@@ -157,7 +162,7 @@ def _windows(length: int):
 def repeated_starts(columns: np.ndarray, group: np.ndarray, length: int) -> np.ndarray:
     """Which suffixes of aligned strings repeat for ``length`` symbols.
 
-    ``columns[c, i]`` is symbol c of string i, -1 where the string has none;
+    ``columns[c, i]`` is symbol c of string i, ``NONE`` where it has none;
     strings of one ``group`` (ascending) may match. Returns a boolean array of
     the same shape for the columns where a repeated string can start.
 
@@ -170,15 +175,15 @@ def repeated_starts(columns: np.ndarray, group: np.ndarray, length: int) -> np.n
     n_cols, n = columns.shape
     order, common = np.arange(n), np.zeros(n + 1, np.int32)
     hits = np.zeros((max(0, n_cols - length + 1), n), bool)
-    group = group.astype(np.int64) * 512
+    group = group.astype(np.int64) * 256
     for c in range(n_cols - 1, -1, -1):
         symbol = columns[c, order]
-        key = group[order] + symbol + 1
+        key = group[order] + symbol
         moved = bool((key[1:] < key[:-1]).any())
         place = np.argsort(key, kind="stable") if moved else None
         if moved:
             order, key, symbol = order[place], key[place], symbol[place]
-        same = (key[1:] == key[:-1]) & (symbol[1:] >= 0)
+        same = (key[1:] == key[:-1]) & (symbol[1:] != NONE)
         fresh = np.zeros(n + 1, np.int32)
         if moved:
             before, after = place[:-1], place[1:]
@@ -202,11 +207,12 @@ def _group_spans(rows: list[tuple], length: int) -> pa.RecordBatch:
     key = np.array([r[0] for r in rows], np.int64)
     pos, lo = np.array([r[3] for r in rows]), np.array([r[4] for r in rows])
     left = length - ANCHOR                                   # the anchor's column
-    aligned = np.full((len(rows), left + length), -1, np.int16)
+    aligned = np.full((len(rows), left + length), NONE, np.uint8)
     offset = lo - pos + left
     for i, row in enumerate(rows):
         aligned[i, offset[i]:offset[i] + len(row[5])] = np.frombuffer(row[5], np.uint8)
     columns = np.ascontiguousarray(aligned.T)
+    del aligned
     group = np.cumsum(np.r_[0, key[1:] != key[:-1]])
     hits = repeated_starts(columns, group, length).T         # by string
     edge = np.zeros((len(rows), 1), bool)
@@ -306,24 +312,19 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     repeated = (anchors.groupBy("key").agg(F.min(place).alias("a"), F.max(place).alias("b"),
                                            F.count(F.lit(1)).alias("n"))
                 .where("a <> b").select("key", (F.col("n") > HOT_WINDOWS).alias("hot")))
-    repeated = staged(repeated, "suffix-repeated")
-    wanted = (anchors.join(repeated.select("key"), "key", "left_semi").groupBy("d1", "d2")
-              .agg(F.collect_set(F.struct("key", "pos", "lo", "hi")).alias("anchors")))
+    wanted = (anchors.join(repeated, "key").groupBy("d1", "d2")
+              .agg(F.collect_set(F.struct("key", "pos", "lo", "hi", "hot")).alias("anchors")))
     source = staged(classes.join(wanted, ["d1", "d2"]).select("d1", "d2", "row", "anchors").toDF(
         "__s1", "__s2", "__srow", "__anchors"), "suffix-wanted")
 
     at = ((F.col("__d1") == F.col("__s1")) & (F.col("__d2") == F.col("__s2")) & (F.col("__row") == F.col("__srow")))
-    windows = rows.join(source, at).mapInArrow(_windows(length), WINDOWS)
-    hot = repeated.where("hot").select("key")
-    if hot.limit(1).count():
-        windows = staged(windows, "suffix-windows")
-        extra = [_hot_spans(windows.join(hot, "key", "left_semi"), length)]
-        windows = windows.join(hot, "key", "left_anti")
-    else:
-        extra = []
-    spans = windows.repartition("key").sortWithinPartitions("key").mapInArrow(_matched(length), SPANS)
-    for more in extra:
-        spans = spans.unionByName(more)
+    # One plan from here on: Spark shuffles the texts once and reads them in
+    # the two joins for windows and in the one for the cut.
+    given = rows.join(source, at).mapInArrow(_windows(length, False), WINDOWS)
+    very = rows.join(source.where(F.exists("__anchors", lambda a: a["hot"])), at).mapInArrow(
+        _windows(length, True), WINDOWS)
+    spans = given.repartition("key").sortWithinPartitions("key").mapInArrow(_matched(length), SPANS).unionByName(
+        _hot_spans(very, length))
     found = spans.groupBy("d1", "d2").agg(F.collect_set(F.struct("begin", "end")).alias("__found"))
     each = (ids.distinct().join(classes.select("d1", "d2", F.col("copies").alias("__copies")), ["d1", "d2"])
             .join(found, ["d1", "d2"], "left")).toDF("__s1", "__s2", "__srow", "__copies", "__found")
