@@ -22,7 +22,7 @@ library's default; invalid UTF-8 after decoding becomes U+FFFD.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,10 +31,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from blockload.llm.runtime import ship
+from blockload.llm.runtime import ship, tidy
 
-KNOWN_WORDS = 200_000
-KNOWN_PAIRS = 200_000
+KNOWN_WORDS = 100_000
+KNOWN_PAIRS = 100_000
 LONG_WORD = 200         # bytes; beyond, no encoding is kept per prefix
 
 # Fixed value: the byte-level pre-tokenizer's pattern; alternatives that start
@@ -80,7 +80,6 @@ class Bpe:
         vocab = spec["model"]["vocab"]
         self.ids = {bytes(letters[c] for c in token): i for token, i in vocab.items()}
         self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.bytes_of = {i: b for b, i in self.ids.items()} | {i: s.encode() for s, i in self.specials.items()}
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.specials, key=len, reverse=True)))) \
             if self.specials else None
         self.words = regex.compile(WORDS)
@@ -93,7 +92,7 @@ class Bpe:
             self.rank[a, b] = r
             self.made.setdefault(vocab[left + right], (r, a, b))
         self.apart: dict[tuple[int, int], bool] = {}
-        self.packed = {i: i.to_bytes(4, "little") for i in self.bytes_of}
+        self.packed = {i: i.to_bytes(4, "little") for i in [*self.ids.values(), *self.specials.values()]}
         self.known: dict[str | int, bytes] = {}
         self.forget()
 
@@ -196,12 +195,29 @@ class Bpe:
             at = m.end()
         return out + self.words.findall(text[at:])
 
-    def decode(self, ids: bytes) -> str:
-        tokens = np.frombuffer(ids, "<u4").tolist()
-        return b"".join(map(self.bytes_of.__getitem__, tokens)).decode("utf-8", "replace")
+
+def token_bytes(spec: dict) -> dict[int, bytes]:
+    """The bytes of each id, special tokens as they are written."""
+    letters = byte_letters()
+    plain = {i: bytes(letters[c] for c in token) for token, i in spec["model"]["vocab"].items()}
+    return plain | {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
+
+
+def decoder(path: str) -> Callable[[bytes], str]:
+    """The function from packed ids to text; it needs the tokens only, not
+    the merges."""
+    if path not in _TOKENS:
+        with open(path, encoding="utf-8") as f:
+            _TOKENS[path] = token_bytes(json.load(f))
+    of = _TOKENS[path].__getitem__
+
+    def decode_ids(ids: bytes) -> str:
+        return b"".join(map(of, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+    return decode_ids
 
 
 _LOADED: dict[str, Bpe] = {}
+_TOKENS: dict[str, dict[int, bytes]] = {}
 
 
 def load_bpe(path: str) -> Bpe:
@@ -210,41 +226,39 @@ def load_bpe(path: str) -> Bpe:
     return _LOADED[path]
 
 
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 1_000_000
 
 
-def _groups(column: pa.Array, size) -> Iterator[list]:
-    """Values of an Arrow column in lists of bounded total size."""
-    group, total = [], 0
-    for value in column:
-        value = value.as_py()
-        group.append(value)
-        total += size(value)
-        if total > BATCH_CHARS:
-            yield group
-            group, total = [], 0
-    if group:
-        yield group
+def _groups(batch: pa.RecordBatch, column: str) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Slices of a batch with the values of a column, of bounded total size."""
+    group, total, first = [], 0, 0
+    for i, value in enumerate(batch.column(column)):
+        group.append(value.as_py())
+        total += len(group[-1] or "")
+        if total > BATCH_CHARS or i + 1 == batch.num_rows:
+            yield batch.slice(first, len(group)), group
+            group, total, first = [], 0, i + 1
 
 
 def _encoder(path: str, column: str, added: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load_bpe(path)
         for batch in batches:
-            texts = batch.column(column)
-            ids = [i for g in _groups(texts, lambda t: len(t or "")) for i in bpe.encode_batch([t or "" for t in g])]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary())],
-                                             names=[*batch.schema.names, added])
+            for part, texts in _groups(batch, column):
+                ids = bpe.encode_batch([t or "" for t in texts])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, pa.binary())],
+                                                 names=[*part.schema.names, added])
     return run
 
 
 def _decoder(path: str, column: str, added: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = load_bpe(path)
+        decode_ids = decoder(path)
         for batch in batches:
-            texts = [bpe.decode(i.as_py() or b"") for i in batch.column(column)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
-                                             names=[*batch.schema.names, added])
+            for part, ids in _groups(batch, column):
+                texts = [decode_ids(i or b"") for i in ids]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())],
+                                                 names=[*part.schema.names, added])
     return run
 
 
@@ -257,14 +271,14 @@ def encode(df: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids")
     """``df`` with the binary column ``ids``."""
     ship(df.sparkSession)
     df, schema = _added(df, ids, T.BinaryType())
-    return df.mapInArrow(_encoder(tokenizer, text, ids), schema)
+    return df.mapInArrow(tidy(_encoder(tokenizer, text, ids)), schema)
 
 
 def decode(df: DataFrame, tokenizer: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``df`` with the string column ``decoded``."""
     ship(df.sparkSession)
     df, schema = _added(df, text, T.StringType())
-    return df.mapInArrow(_decoder(tokenizer, ids, text), schema)
+    return df.mapInArrow(tidy(_decoder(tokenizer, ids, text)), schema)
 
 
 def encoded_digests(docs: DataFrame, tokenizer: str) -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blockload.llm.runtime import ship, staged, unstage
+from blockload.llm.runtime import ship, staged, tidy, unstage
 
 LINKS = "a long, b long"
 FOLD_ROWS = 500_000
@@ -68,7 +68,7 @@ def components(links: DataFrame) -> DataFrame:
     # Stored first: the links are read twice, and may cost much to make.
     links = staged(links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")), "links")
     alone = links.where("a = b").select("a")
-    now = staged(links.where("a <> b").mapInArrow(_folded, LINKS).distinct(), "links")
+    now = staged(links.where("a <> b").mapInArrow(tidy(_folded), LINKS).distinct(), "links")
     seen = None
     while True:
         # Large star: (node, neighbour) both ways; larger neighbours go to the least.

@@ -40,11 +40,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blockload.llm.components import components, forest
-from blockload.llm.runtime import partitions_for, pick, sheltered, ship, staged
+from blockload.llm.runtime import partitions_for, pick, sheltered, ship, staged, tidy
 
 WORDS = 4
 PERCENT = 85
-FLUSH_ROWS = 1 << 20        # block digests a task holds before it sends them
+FLUSH_ROWS = 1 << 19        # block digests a task holds before it sends them
 SLICE_ROWS = 1 << 20        # block digests of a slice of their range, on average
 MOST_SLICES = 1 << 16
 CHUNK = 1024                # documents of a cluster that are compared at once
@@ -176,7 +176,7 @@ def block_digests(grams: np.ndarray, levels: Levels) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _texts(batch: pa.RecordBatch, size: int = 1 << 20) -> Iterator[tuple[int, list[str | None]]]:
+def _texts(batch: pa.RecordBatch, size: int = 1 << 19) -> Iterator[tuple[int, list[str | None]]]:
     """(first row, texts) in runs of about ``size`` characters."""
     run, first, held = [], 0, 0
     for i, text in enumerate(batch.column("text")):
@@ -380,7 +380,7 @@ def _compared(percent: int):
 def _compare(rows: DataFrame, percent: int) -> DataFrame:
     """Links from rows (cluster, part, class, grams, left)."""
     parts = rows.select("cluster", "part", "class", "grams", "left").repartition("cluster", "part")
-    return parts.sortWithinPartitions("cluster", "part").mapInArrow(_compared(percent), LINKS)
+    return parts.sortWithinPartitions("cluster", "part").mapInArrow(tidy(_compared(percent)), LINKS)
 
 
 def component_rows(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -388,7 +388,7 @@ def component_rows(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     the id with ``NULL_ID`` for null, group is null for rows without n-grams."""
     ship(docs.sparkSession)
     rows = _rows(docs)
-    sets = staged(rows.mapInArrow(_digested(words), SETS), "grams-sets")
+    sets = staged(rows.mapInArrow(tidy(_digested(words)), SETS), "grams-sets")
     stats = sets.agg(F.sum("n").alias("grams")).head()
     known = F.when(F.col("doc") != NULL_ID, F.col("doc"))
     classes = staged(sets.where("n > 0").groupBy("class").agg(
@@ -398,8 +398,8 @@ def component_rows(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         raise ValueError("two different sets have one digest; change the fixed numbers of this module")
 
     n_slices = min(partitions_for(int((stats.grams or 0) * 0.4), SLICE_ROWS), MOST_SLICES)
-    slices = rows.mapInArrow(_sliced(words, percent, n_slices), SLICES)
-    agreeing = slices.repartition(n_slices, "slice").sortWithinPartitions("slice").mapInArrow(_agreeing, LINKS)
+    slices = rows.mapInArrow(tidy(_sliced(words, percent, n_slices)), SLICES)
+    agreeing = slices.repartition(n_slices, "slice").sortWithinPartitions("slice").mapInArrow(tidy(_agreeing), LINKS)
     links = _links(rows, classes, components(agreeing), words, percent)
 
     found = components(links)
@@ -434,7 +434,7 @@ def _links(rows: DataFrame, classes: DataFrame, clusters: DataFrame, words: int,
     members = staged(members.join(size, "cluster").select("row.doc", "row.text_digest", "cluster", "class", "m",
                                                           parts.alias("parts")), "grams-members")
     text = rows.join(members.select("doc", "text_digest", "cluster", "class"), ["doc", "text_digest"])
-    grams = text.mapInArrow(_member_sets(words), MEMBERS).dropDuplicates(["class"])
+    grams = text.mapInArrow(tidy(_member_sets(words)), MEMBERS).dropDuplicates(["class"])
     spread = staged(grams.join(members.select("class", "m", "parts"), "class"), "grams-members-sets")
     part = F.pmod(F.xxhash64("class"), F.col("parts"))
     shared = (F.col("parts") > 1) & (F.pmod(F.xxhash64(F.lit(1), "class"), F.col("m")) < SHARED)

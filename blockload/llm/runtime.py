@@ -3,11 +3,15 @@ executors, null-safe views of the input."""
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import io
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +21,9 @@ from blockload.session import new_path
 # (space, and the code points 9 to 13).
 WORD = r"[^\x20\x09-\x0D]+"
 
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 2000       # rows of an Arrow batch, as texts are long
+
 _SHIPPED: set[str] = set()
 
 
@@ -42,9 +49,27 @@ def ship(spark: SparkSession) -> None:
     with open(path, "wb") as f:  # on the driver only; Spark hands it to the executors
         f.write(buffer.getvalue())
     spark.sparkContext.addPyFile(path)
+    # Rows are whole texts here: fewer to a batch than Spark's default.
+    if int(spark.conf.get(_BATCH_ROWS, "10000")) > BATCH_ROWS:
+        spark.conf.set(_BATCH_ROWS, str(BATCH_ROWS))
     _SHIPPED.add(app)
 
 
+def tidy(run: Callable, *caches: dict) -> Callable:
+    """``run`` over a task's batches; when the task ends, the worker, which
+    waits for other tasks, gives back the memory that it no longer needs."""
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            for cache in caches:
+                cache.clear()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # only where the C library has it
+                ctypes.CDLL(None).malloc_trim(0)
+    return whole
+
+
 def staged(df: DataFrame, kind: str) -> DataFrame:
     """``df`` written to the shared work folder and read back: it is computed
     once, and its lineage ends there, whatever executors are lost later."""

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from blockload.llm.runtime import sheltered, ship, staged
+from blockload.llm.runtime import sheltered, ship, staged, tidy
 
 LENGTH = 400
 ANCHOR = 64                     # bytes of an anchor, a power of two
@@ -307,7 +307,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     classes = ids.groupBy("d1", "d2").agg(F.min("row").alias("row"), F.count(F.lit(1)).alias("copies"))
     long = rows.where(F.octet_length("__text") >= length).select(
         F.col("__d1").alias("d1"), F.col("__d2").alias("d2"), F.col("__text").alias("text"))
-    anchors = staged(long.mapInArrow(_anchors(length), ANCHORS), "suffix-anchors")
+    anchors = staged(long.mapInArrow(tidy(_anchors(length)), ANCHORS), "suffix-anchors")
     place = F.xxhash64("d1", "d2", "pos")
     repeated = (anchors.groupBy("key").agg(F.min(place).alias("a"), F.max(place).alias("b"),
                                            F.count(F.lit(1)).alias("n"))
@@ -320,10 +320,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     at = ((F.col("__d1") == F.col("__s1")) & (F.col("__d2") == F.col("__s2")) & (F.col("__row") == F.col("__srow")))
     # One plan from here on: Spark shuffles the texts once and reads them in
     # the two joins for windows and in the one for the cut.
-    given = rows.join(source, at).mapInArrow(_windows(length, False), WINDOWS)
+    given = rows.join(source, at).mapInArrow(tidy(_windows(length, False)), WINDOWS)
     very = rows.join(source.where(F.exists("__anchors", lambda a: a["hot"])), at).mapInArrow(
-        _windows(length, True), WINDOWS)
-    spans = given.repartition("key").sortWithinPartitions("key").mapInArrow(_matched(length), SPANS).unionByName(
+        tidy(_windows(length, True)), WINDOWS)
+    spans = given.repartition("key").sortWithinPartitions("key").mapInArrow(tidy(_matched(length)), SPANS).unionByName(
         _hot_spans(very, length))
     found = spans.groupBy("d1", "d2").agg(F.collect_set(F.struct("begin", "end")).alias("__found"))
     each = (ids.distinct().join(classes.select("d1", "d2", F.col("copies").alias("__copies")), ["d1", "d2"])
@@ -331,7 +331,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     told = rows.join(each, at, "left")
     schema = T.StructType([*[docs.schema[c] for c in names], *T._parse_datatype_string(
         "spans array<struct<begin:int,end:int>>, kept binary, kept_text string").fields])
-    return told.mapInArrow(_cut(names, length), schema)
+    return told.mapInArrow(tidy(_cut(names, length)), schema)
 
 
 def span_report(docs: DataFrame) -> DataFrame:

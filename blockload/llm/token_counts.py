@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blockload.llm.runtime import ship
+from blockload.llm.runtime import ship, tidy
 from blockload.session import new_path
 
 CACHE_SCHEMA = "content string, tokenizer string, n_tokens long"
@@ -163,7 +163,7 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str | None = None, limi
               .join(stored, "content", "left_anti"))
     chosen = (keyed.select("content", "text", rank.alias("_rank"))
               .join(misses, ["content", "_rank"], "left_semi").select("content", "text"))
-    counted = chosen.mapInArrow(_counter(tokenizer, collapse), "content string, n_tokens long")
+    counted = chosen.mapInArrow(tidy(_counter(tokenizer, collapse)), "content string, n_tokens long")
     (counted.select("content", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache))
 
     counts = read_cache(spark, cache).where(F.col("tokenizer") == version).select("content", "n_tokens")

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from blockload.llm.runtime import pick, ship
+from blockload.llm.runtime import pick, ship, tidy
 
 SAMPLE_ROWS = 6000
 BUCKETS = 1 << 18
@@ -41,7 +41,7 @@ PREFIX = 5
 FOLDS = 3
 STEPS = 60
 RATE, MOMENTUM, RIDGE, SMOOTH = 2.0, 0.9, 1e-4, 0.05
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 100_000
 
 FEATURES = "doc_id long, labels array<double>, columns binary, values binary"
 MODEL = "category int, bias double, earlier array<double>, weights binary, cut double"
@@ -174,8 +174,8 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[Column], sample_r
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows))   # a proven bound for the broadcast
     rows = pick(docs, "doc_id", "text").join(F.broadcast(known), "doc_id").select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", "labels")
-    made = rows.mapInArrow(_featured, FEATURES).orderBy(F.xxhash64("doc_id"), "doc_id", "columns").limit(sample_rows)
-    return sorted(made.mapInArrow(_trained, MODEL).collect(), key=lambda m: m.category)
+    made = rows.mapInArrow(tidy(_featured, _KNOWN), FEATURES).orderBy(F.xxhash64("doc_id"), "doc_id", "columns").limit(sample_rows)
+    return sorted(made.mapInArrow(tidy(_trained), MODEL).collect(), key=lambda m: m.category)
 
 
 def _scorer(models: list, names: list[str]):
@@ -205,7 +205,7 @@ def score(docs: DataFrame, models: list, names: list[str]) -> DataFrame:
     ship(docs.sparkSession)
     docs = docs.drop(*[c for c in docs.columns if c.lower() in {*names, "rejected"}])
     added = [*[T.StructField(n, T.DoubleType()) for n in names], T.StructField("rejected", T.BooleanType())]
-    return docs.mapInArrow(_scorer(models, names), T.StructType([*docs.schema.fields, *added]))
+    return docs.mapInArrow(tidy(_scorer(models, names), _KNOWN), T.StructType([*docs.schema.fields, *added]))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
