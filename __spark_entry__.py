@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blockload.config import BLOCK_COL, LoadConfig
-from blockload.functions.columns import exclude_columns
+from blockload.functions.columns import check_request, exclude_columns, resolve_columns
 from blockload.functions.target_types import fit_report, target_report, to_target_values
 from blockload.operators import blocks as B
 from blockload.operators import ledger as L
@@ -33,7 +33,9 @@ from blockload.plans.flows import (load_direct, load_landed, load_preblocked, ru
 from blockload.plans.routines import Routine, run_routine
 from blockload.session import new_path
 from blockload.sources.landing import landing_state, read_landing, scan_blocks, write_landing, write_row_landing
+from blockload.sources.read import read_source
 from blockload.sources.target import load_blocks, target_view
+from blockload.testing import failing_blocks
 
 SF0001 = "/root/testdata/sf0.001"
 RUN_DAY = dt.date(2024, 1, 1)
@@ -117,8 +119,7 @@ def q_blocks_by_key(spark, sf_dir):
 
 def q_attach_blocks(spark, sf_dir):
     s = _null_keyed_orders(spark, sf_dir)
-    key_map, n_keys = B.key_blocks(s, "block_key", 8)
-    return B.attach_blocks(s, key_map, "block_key", n_keys).select(
+    return B.attach_blocks(s, B.key_blocks(s, "block_key", 8), "block_key").select(
         "o_orderkey", "block_key", F.col(BLOCK_COL).alias("block_id"))
 
 
@@ -164,7 +165,7 @@ def q_load_blocks(spark, sf_dir):
     landing = read_landing(spark, _orders_key_landing(spark, sf_dir))
     cfg = LoadConfig(target=new_path(spark, "target"))
     ids = list(range(1, 9))
-    load_blocks(landing, ids, cfg, "q:load_blocks", {b: 1 for b in ids}).collect()
+    load_blocks(landing, ids, cfg, "q~~load_blocks", {b: 1 for b in ids}).collect()
     t = spark.read.parquet(cfg.target)
     return t.select("o_orderkey", "o_custkey", F.col(BLOCK_COL).alias("block_id"))
 
@@ -216,10 +217,10 @@ def q_run_metrics(spark, sf_dir):
 
 def q_ledger_merge(spark, sf_dir):
     o, li = _t(spark, sf_dir, "orders"), _t(spark, sf_dir, "lineitem")
-    current = o.filter(F.col("o_orderstatus") != "F").select(
+    current = o.select(
         F.col("o_orderkey").alias("block_id"), F.lit("PENDING").alias("status"),
         F.lit(0).cast("long").alias("row_count"))
-    updates = li.groupBy(F.col("l_orderkey").alias("block_id")).agg(
+    updates = li.groupBy((F.col("l_orderkey") + 3).alias("block_id")).agg(  # some keys on either side only
         F.when(F.min("l_linenumber") == 1, "SUCCESS").otherwise("FAILED").alias("status"),
         F.count(F.lit(1)).alias("row_count"))
     return L.ledger_merge(current, updates, ["block_id"])
@@ -227,16 +228,16 @@ def q_ledger_merge(spark, sf_dir):
 
 def q_waves(spark, sf_dir):
     ev = _t(spark, sf_dir, "events")
-    pending = ev.filter(F.col("event_type") == "error").select(F.col("user_id").alias("block_id")).distinct()
+    pending = ev.select(F.col("user_id").alias("block_id")).distinct()
     return B.waves(pending, 6)
 
 
 def q_to_target_values(spark, sf_dir):
-    return to_target_values(_t(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value"))
+    return to_target_values(_t(spark, sf_dir, "events"))
 
 
 def q_fit_report(spark, sf_dir):
-    return fit_report(_t(spark, sf_dir, "documents").select("text"))
+    return fit_report(_t(spark, sf_dir, "documents"))
 
 
 def q_target_columns(spark, sf_dir):
@@ -262,7 +263,8 @@ def q_run_routine(spark, sf_dir):
 
 def q_load_direct(spark, sf_dir):
     cfg = _flow_cfg(spark, threshold=10**12)
-    result = load_direct(_t(spark, sf_dir, "customer"), cfg)
+    with failing_blocks({1: 1}):
+        result = load_direct(_t(spark, sf_dir, "customer"), cfg)
     if not result.success:
         raise RuntimeError(f"direct load failed: {result}")
     return target_view(spark, cfg)
@@ -274,8 +276,9 @@ def q_load_landed(spark, sf_dir):
     o = _t(spark, sf_dir, "orders")
     n = o.count()
     size = max(1, -(-n // 8))
-    cfg = _flow_cfg(spark, block_key="o_custkey", blocks_on="keys", block_size=size, fault_blocks={3: 3})
-    first = load_landed(o, cfg, n, B.n_blocks_for(n, size))
+    cfg = _flow_cfg(spark, block_key="o_custkey", blocks_on="keys", block_size=size)
+    with failing_blocks({3: 100}):
+        first = load_landed(o, cfg, n, B.n_blocks_for(n, size))
     second = load_landed(o, cfg, n, B.n_blocks_for(n, size))
     if first.success or not second.success:
         raise RuntimeError(f"unexpected outcome: {first} / {second}")
@@ -289,9 +292,10 @@ def q_load_preblocked(spark, sf_dir):
     src = new_path(spark, "preblocked")
     (B.blocks_by_row(ev, ["event_id"], 8).withColumnRenamed(BLOCK_COL, "BLOCK")
      .write.partitionBy("BLOCK").parquet(src))
-    cfg = _flow_cfg(spark, fault_blocks={2: 3})
+    cfg = _flow_cfg(spark)
     cols = ["event_id", "TS", "user_id", "event_type", "value", "props"]
-    first = load_preblocked(spark, src, 8, "block", cols, cfg)
+    with failing_blocks({2: 100}):
+        first = load_preblocked(spark, src, 8, "block", cols, cfg)
     second = load_preblocked(spark, src, 8, "block", cols, cfg)
     if first.success or not second.success:
         raise RuntimeError(f"unexpected outcome: {first} / {second}")
@@ -304,8 +308,9 @@ def q_run_load(spark, sf_dir):
     li = _t(spark, sf_dir, "lineitem")
     cfg = _flow_cfg(spark, block_size=5000, threshold=50000, blocks_on="rows",
                     order_cols=["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
-                                "l_shipdate"], fault_blocks={1: 3}, wave_size=50)
-    first = run_load(li, cfg)
+                                "l_shipdate"], wave_size=50)
+    with failing_blocks({1: 100}):
+        first = run_load(li, cfg)
     second = run_load(li, cfg)
     if first.success or not second.success:
         raise RuntimeError(f"unexpected outcome: {first} / {second}")
@@ -313,17 +318,114 @@ def q_run_load(spark, sf_dir):
 
 
 def q_with_retry(spark, sf_dir):
-    """Even blocks; block 2 fails four tries, so the first pass ends with it
-    FAILED and the retry loop finishes the load."""
+    """Even blocks; block 2 fails in the first passes, and the retry loop
+    finishes the load."""
     o = _t(spark, sf_dir, "orders")
-    cfg = _flow_cfg(spark, block_size=2200, threshold=0, blocks_on="even", fault_blocks={2: 4})
-    result = run_load_with_retry(o, cfg)
+    cfg = _flow_cfg(spark, block_size=2200, threshold=0, blocks_on="even", block_retries=0)
+    with failing_blocks({2: 4}):
+        result = run_load_with_retry(o, cfg)
     if not result.success:
         raise RuntimeError(f"retry did not finish the load: {result}")
     return target_view(spark, cfg)
 
 
+def q_read_source(spark, sf_dir):
+    """O1 by path and by name, over the same table."""
+    by_path = read_source(spark, f"{sf_dir.rstrip('/')}/supplier.parquet")
+    view = "blockload_source_" + new_path(spark, "v").rsplit("-", 1)[-1]
+    _t(spark, sf_dir, "customer").createOrReplaceTempView(view)
+    return (by_path.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
+            .unionByName(read_source(spark, view).select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))))
+
+
+def q_resolve_columns(spark, sf_dir):
+    """O2: names in any case give the source's own, in the order asked for."""
+    o = _t(spark, sf_dir, "orders")
+    return o.select(*resolve_columns(o, ["O_TotalPrice", "o_ORDERKEY"]).fieldNames())
+
+
+def q_check_request(spark, sf_dir):
+    """A request that passes its checks leaves the frame as it is; one that
+    does not raises before any job."""
+    p = _t(spark, sf_dir, "part")
+    check_request(p, columns=["P_PARTKEY"], n_blocks=1, path="x")
+    for bad in (dict(n_blocks=0), dict(columns=["no_such_column"]), dict(path="")):
+        try:
+            check_request(p, **bad)
+        except ValueError:
+            continue
+        raise RuntimeError(f"{bad} was accepted")
+    return p.select("p_partkey")
+
+
+def q_load_twice(spark, sf_dir):
+    """Two loads with other rows: the second on the same date is refused (never
+    a success that loads nothing), on the next date it adds its rows."""
+    o = _t(spark, sf_dir, "orders")
+    first, second = o.filter("o_orderstatus = 'F'"), o.filter("o_orderstatus <> 'F'")
+    cfg = _flow_cfg(spark)
+    done = [run_load(first, cfg).success]
+    try:
+        run_load(second, cfg)
+        raise RuntimeError("a second load of a date was taken")
+    except ValueError:
+        done.append(run_load(second, cfg.replace(run_date=RUN_DAY + dt.timedelta(days=1))).success)
+    if not all(done):
+        raise RuntimeError(f"unexpected outcome: {done}")
+    return target_view(spark, cfg)
+
+
+def q_resume_smaller_input(spark, sf_dir):
+    """A landed run with a failed block, resumed with an input below the
+    threshold of the landing flow: the run's own landing is finished."""
+    o = _t(spark, sf_dir, "orders")
+    n = o.count()
+    cfg = _flow_cfg(spark, threshold=n, block_size=max(1, n // 4), blocks_on="even")
+    with failing_blocks({3: 100}):
+        first = run_load(o, cfg)
+    second = run_load(o.limit(max(1, n - 1)), cfg)
+    if first.success or not second.success:
+        raise RuntimeError(f"unexpected outcome: {first} / {second}")
+    return target_view(spark, cfg)
+
+
+def q_preblocked_out_of_range(spark, sf_dir):
+    """Rows with no block from 1 to n are refused with their number before any
+    load; with all blocks planned the table is loaded whole."""
+    ev = _t(spark, sf_dir, "events")
+    src = new_path(spark, "preblocked")
+    ev.withColumn("BLOCK", F.when(F.col("event_id") >= 0, F.col("event_id") % 5 + 1)).write.parquet(src)
+    cfg = _flow_cfg(spark)
+    cols = ["event_id", "user_id"]
+    try:
+        load_preblocked(spark, src, 4, "BLOCK", cols, cfg)
+        raise RuntimeError("rows outside the blocks were left out")
+    except ValueError as e:
+        refused = int(str(e).split(" ", 1)[0])
+    if not load_preblocked(spark, src, 5, "BLOCK", cols, cfg).success:
+        raise RuntimeError("the load failed")
+    return target_view(spark, cfg).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("event_id").alias("sum_ids")).select(
+        F.lit(refused).cast("long").alias("n_refused"), "n_rows", "sum_ids")
+
+
+def q_added_column(spark, sf_dir):
+    """Two runs into one target, the second with a column more."""
+    c = _t(spark, sf_dir, "customer")
+    cfg = _flow_cfg(spark)
+    run_load(c.select("c_custkey", "c_name").filter("c_nationkey < 10"), cfg)
+    run_load(c.select("c_custkey", "c_name", "c_acctbal").filter("c_nationkey >= 10"),
+             cfg.replace(run_date=RUN_DAY + dt.timedelta(days=1)))
+    return target_view(spark, cfg)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "read_source": q_read_source,
+    "resolve_columns": q_resolve_columns,
+    "check_request": q_check_request,
+    "load_twice": q_load_twice,
+    "resume_smaller_input": q_resume_smaller_input,
+    "preblocked_out_of_range": q_preblocked_out_of_range,
+    "added_column": q_added_column,
     "exclude_columns": q_exclude_columns,
     "distinct_keys": q_distinct_keys,
     "block_plan": q_block_plan,
@@ -420,6 +522,16 @@ def _with_state(body: str) -> str:
 
 
 _ORACLE: dict[str, str] = {
+    "read_source": """SELECT s_suppkey AS id, s_name AS name FROM supplier
+                      UNION ALL SELECT c_custkey, c_name FROM customer""",
+    "resolve_columns": "SELECT o_totalprice, o_orderkey FROM orders",
+    "check_request": "SELECT p_partkey FROM part",
+    "load_twice": "SELECT * REPLACE (date_trunc('millisecond', o_orderdate) AS o_orderdate) FROM orders",
+    "resume_smaller_input": "SELECT * REPLACE (date_trunc('millisecond', o_orderdate) AS o_orderdate) FROM orders",
+    "preblocked_out_of_range": """SELECT count(*) FILTER (event_id % 5 + 1 > 4) AS n_refused, count(*) AS n_rows,
+                                         CAST(sum(event_id) AS BIGINT) AS sum_ids FROM events""",
+    "added_column": """SELECT c_custkey, c_name, CASE WHEN c_nationkey >= 10 THEN c_acctbal END AS c_acctbal
+                       FROM customer""",
     "exclude_columns": "SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders",
     "distinct_keys": "SELECT DISTINCT CASE WHEN o_custkey % 10 = 3 THEN NULL ELSE o_custkey END AS block_key FROM orders",
     "block_plan": """
@@ -475,18 +587,19 @@ SELECT CAST(SUM(CASE WHEN status = 'SUCCESS' THEN 1 ELSE 0 END) AS BIGINT) AS ok
        CAST(SUM(CASE WHEN status = 'FAILED' THEN 1 ELSE 0 END) AS BIGINT) AS failed_blocks,
        CAST(SUM(CASE WHEN status = 'SUCCESS' THEN row_count ELSE 0 END) AS BIGINT) AS rows_loaded FROM st"""),
     "ledger_merge": """
-WITH t AS (SELECT o_orderkey AS block_id, 'PENDING' AS status, CAST(0 AS BIGINT) AS row_count FROM orders WHERE o_orderstatus <> 'F'),
-     s AS (SELECT l_orderkey AS block_id, CASE WHEN MIN(l_linenumber) = 1 THEN 'SUCCESS' ELSE 'FAILED' END AS status,
-                  COUNT(*) AS row_count FROM lineitem GROUP BY l_orderkey)
+WITH t AS (SELECT o_orderkey AS block_id, 'PENDING' AS status, CAST(0 AS BIGINT) AS row_count FROM orders),
+     s AS (SELECT l_orderkey + 3 AS block_id, CASE WHEN MIN(l_linenumber) = 1 THEN 'SUCCESS' ELSE 'FAILED' END AS status,
+                  COUNT(*) AS row_count FROM lineitem GROUP BY l_orderkey + 3)
 SELECT COALESCE(s.block_id, t.block_id) AS block_id, COALESCE(s.status, t.status) AS status,
        COALESCE(s.row_count, t.row_count) AS row_count FROM t FULL OUTER JOIN s ON t.block_id = s.block_id""",
     "waves": """
-WITH b AS (SELECT DISTINCT user_id AS block_id FROM events WHERE event_type = 'error')
+WITH b AS (SELECT DISTINCT user_id AS block_id FROM events)
 SELECT block_id, CAST(FLOOR((ROW_NUMBER() OVER (ORDER BY block_id) - 1) / 6.0) AS INTEGER) AS wave_no FROM b""",
-    "to_target_values": "SELECT event_id, DATE_TRUNC('millisecond', ts) AS ts, user_id, value FROM events",
-    "fit_report": """
-SELECT 'text' AS column_name, COUNT(*) AS n_values,
-       CAST(SUM(CASE WHEN LENGTH(text) > 4000 THEN 1 ELSE 0 END) AS BIGINT) AS n_too_long FROM documents""",
+    "to_target_values": "SELECT * REPLACE (DATE_TRUNC('millisecond', ts) AS ts) FROM events",
+    "fit_report": " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, COUNT(*) AS n_values, "
+        f"CAST(SUM(CASE WHEN LENGTH({c}) > 4000 THEN 1 ELSE 0 END) AS BIGINT) AS n_too_long FROM documents"
+        for c in ("text", "lang", "source")),
     "target_columns": _TARGET_COLUMNS_SQL,
     "run_routine": """
 SELECT o_orderstatus, COUNT(*) AS n_orders,
@@ -510,7 +623,7 @@ def entry(spark: SparkSession) -> DataFrame:
     plan = B.block_plan(orders, 200, 1000).first()
     blocked = B.blocks_by_key(orders, "o_custkey", plan["n_blocks"])
     path = write_landing(blocked, new_path(spark, "landing"), plan["n_blocks"],
-                         total_rows=plan["total_rows"], blocks_on="keys")
+                         blocks_on="keys")
     landing = read_landing(spark, path)
     ids = list(range(1, plan["n_blocks"] + 1))
     return B.block_results(landing.filter(F.col(BLOCK_COL).isin(ids)))

@@ -18,6 +18,7 @@ FAILED = "FAILED"
 STATUSES = (PENDING, RUNNING, SUCCESS, FAILED)
 DIRECT = "DIRECT"
 LANDING = "LANDING"
+PREBLOCKED = "PREBLOCKED"
 DEFAULT_EXCLUDE = ("Id",)
 DEFAULT_BLOCK_SIZE = 500_000
 DEFAULT_THRESHOLD = 50_000_000
@@ -66,11 +67,12 @@ class LoadConfig:
     retry_delay_s: float = 5.0
     max_retry_delay_s: float = 30.0
     query_timeout_s: int = DEFAULT_QUERY_TIMEOUT_S
+    # A date given here is the only one loaded or resumed; without one the
+    # latest open run of process and scope is resumed, or today's is begun.
     run_date: dt.date | None = None
-    # Testing hook: block id -> number of load attempts of that block that
-    # raise inside the Spark task (through ``raise_error``).
-    fault_blocks: Mapping[int, int] = dataclasses.field(default_factory=dict)
-
+    # JDBC only, for a table that cannot take the run, block and attempt
+    # columns: rows are appended as they are, at least once.
+    plain_append: bool = False
     @property
     def uses_ledger(self) -> bool:
         return bool(self.ledger_path)
@@ -81,8 +83,8 @@ class LoadConfig:
 
 @dataclasses.dataclass(frozen=True)
 class RunResult:
-    """Outcome of one run, computed from the ledger (or from the one block
-    of a direct load)."""
+    """Outcome of one pass over a run, counted from the ledger. A pass that
+    raised before it had a run holds no block and only its error."""
 
     success: bool
     total_blocks: int
@@ -96,23 +98,32 @@ class RunResult:
     scope: str = ""
     elapsed_s: float = 0.0
     landing: str | None = None
+    dropped_columns: tuple[str, ...] = ()
 
     @property
     def is_complete(self) -> bool:
-        return self.failed_blocks == 0 and self.pending_blocks == 0
+        """Every planned block of the run is in the target."""
+        return self.success and self.ok_blocks == self.total_blocks
 
     @property
     def needs_retry(self) -> bool:
         return not self.is_complete
 
+    @property
+    def is_hopeless(self) -> bool:
+        """Blocks were tried and not one was loaded: repeating will not help."""
+        return self.failed_blocks > 0 and self.ok_blocks == 0
+
     @property
     def rows_per_s(self) -> float:
         return self.rows_loaded / self.elapsed_s if self.elapsed_s >= 1 else 0.0
 
     def summary(self) -> str:
-        """One line for a log: outcome, run and block counts."""
-        state = "COMPLETE" if self.success else ("PARTIAL, RETRY" if self.needs_retry else "FAILED")
-        text = (f"{state} | {self.process_name}/{self.scope} {self.run_date} | blocks total={self.total_blocks} "
-                f"ok={self.ok_blocks} failed={self.failed_blocks} pending={self.pending_blocks} | "
-                f"rows={self.rows_loaded} ({self.rows_per_s:.0f}/s)")
-        return f"{text} | {self.error}" if self.error else text
+        """One line for a log."""
+        parts = [f"{self.process_name}/{self.scope} {self.run_date}: {self.ok_blocks} of {self.total_blocks} blocks",
+                 f"{self.rows_loaded} rows in {self.elapsed_s:.0f} s"]
+        if self.failed_blocks or self.pending_blocks:
+            parts.append(f"{self.failed_blocks} failed and {self.pending_blocks} not tried")
+        if self.dropped_columns:
+            parts.append(f"without columns {', '.join(self.dropped_columns)}")
+        return "; ".join(parts + ([self.error] if self.error else []))

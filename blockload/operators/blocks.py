@@ -8,9 +8,10 @@ partition is sorted, and ``monotonically_increasing_id`` numbers the rows of
 a partition in that order (its upper bits are the partition index). The
 partitioned rows are written once to the shared work folder, so the range
 bounds, which Spark samples, stay fixed for every later read. A small table
-of per-partition counts then gives each partition its offset, and is
-broadcast back (its size is counted first). Positions inside a group work
-the same way with the group columns leading the order.
+of per-partition counts, stored too, then gives each partition its offset by
+a join that Spark plans on its known size. Positions inside a group work the
+same way with the group columns leading the order. Partitions follow the
+number of rows, never the number of blocks.
 """
 
 from __future__ import annotations
@@ -20,7 +21,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from blockload.config import BLOCK_COL, DIRECT, LANDING
@@ -28,54 +28,6 @@ from blockload.session import new_path
 
 # Bits of monotonically_increasing_id that hold the row index in a partition.
 _ROW_BITS = 33
-# Tables up to this many rows may be numbered by a plain window in one task.
-SMALL_WINDOW_ROWS = 1_000_000
-# Per-row overhead assumed when a row count is turned into a broadcast size.
-_ROW_OVERHEAD_BYTES = 24
-
-
-_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
-          "g": 1 << 30, "gb": 1 << 30}
-
-
-def _size_bytes(text: str) -> int:
-    text = text.strip().lower()
-    digits = text.lstrip("-").rstrip("kmgb")
-    unit = text[len(text.rstrip("kmgb")):]
-    if not digits.isdigit() or unit not in _UNITS:
-        raise ValueError(f"not a size: {text!r}")
-    return (-1 if text.startswith("-") else 1) * int(digits) * _UNITS[unit]
-
-
-def _type_bytes(dtype: T.DataType) -> int:
-    """Rough in-memory width of a value, for broadcast sizing."""
-    if isinstance(dtype, (T.ByteType, T.BooleanType)):
-        return 1
-    if isinstance(dtype, T.ShortType):
-        return 2
-    if isinstance(dtype, (T.IntegerType, T.FloatType, T.DateType)):
-        return 4
-    if isinstance(dtype, (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)):
-        return 8
-    if isinstance(dtype, T.DecimalType):
-        return 16
-    if isinstance(dtype, T.StructType):
-        return sum(_type_bytes(f.dataType) for f in dtype.fields)
-    return 64  # strings, binary, arrays, maps: assume a modest width
-
-
-def broadcast_row_limit(spark, schema: T.StructType) -> int:
-    """How many rows of ``schema`` fit under the session's broadcast limit."""
-    limit_bytes = _size_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b"))
-    if limit_bytes <= 0:
-        return 0
-    row_bytes = _type_bytes(schema) + _ROW_OVERHEAD_BYTES
-    return max(0, limit_bytes // row_bytes)
-
-
-def maybe_broadcast(df: DataFrame, n_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if its counted size fits the session limit."""
-    return F.broadcast(df) if n_rows <= broadcast_row_limit(df.sparkSession, df.schema) else df
 
 
 # --- O10, O11 ---------------------------------------------------------------
@@ -113,13 +65,14 @@ def n_blocks_for(total_rows: int, block_size: int) -> int:
 ROWS_PER_RANGE_PARTITION = 1_000_000
 
 
-def range_partitions(spark, n_rows: int, n_blocks: int = 1) -> int:
+def range_partitions(spark, n_rows: int) -> int:
     """Range partitions for positions over ``n_rows`` rows: at least the
-    session's shuffle partitions and one per block, and enough that none
-    holds more than about ``ROWS_PER_RANGE_PARTITION`` rows (AQE does not
-    split range partitions, so the count must grow with the data)."""
+    session's shuffle partitions, and enough that none holds more than about
+    ``ROWS_PER_RANGE_PARTITION`` rows (AQE does not split range partitions, so
+    the count must grow with the data). A partition may hold many blocks, or
+    part of one."""
     default = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    wanted = max(default, n_blocks, math.ceil(n_rows / ROWS_PER_RANGE_PARTITION))
+    wanted = max(default, math.ceil(n_rows / ROWS_PER_RANGE_PARTITION))
     return max(1, min(wanted, n_rows))  # never more partitions than rows
 
 
@@ -168,41 +121,25 @@ def range_offsets(pinned: DataFrame, group_cols: Sequence[str] = ()) -> DataFram
     )
 
 
-def _small_or_pinned(offsets: DataFrame, spill_path: str) -> tuple[DataFrame, list | None]:
-    """A broadcast goes through the driver anyway: if ``offsets`` fits the
-    broadcast limit, take it at once (at most limit + 1 rows) and broadcast
-    it; else pin it at ``spill_path`` for a shuffle join."""
-    spark = offsets.sparkSession
-    limit = broadcast_row_limit(spark, offsets.schema)
-    rows = offsets.limit(limit + 1).collect() if limit > 0 else None
-    if rows is not None and len(rows) <= limit:
-        return F.broadcast(spark.createDataFrame(rows, offsets.schema)), rows
-    offsets.write.mode("errorifexists").parquet(spill_path)
-    return spark.read.parquet(spill_path), None
-
-
 def _positions(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str] = (),
-               num_partitions: int | None = None) -> tuple[DataFrame, int | None]:
-    """``row_positions`` plus, with no groups, the number of rows."""
+               num_partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
     group_cols, order_cols = list(group_cols), list(order_cols)
     if not order_cols:
         raise ValueError("order_cols is empty")
     stage = new_path(spark, "stage")
     pinned = pin_ranged(df, group_cols + order_cols, f"{stage}/rows", num_partitions)
-    o, rows = _small_or_pinned(range_offsets(pinned, group_cols), f"{stage}/offsets")
-    total = (rows[0]["_gsize"] if rows else 0) if rows is not None and not group_cols else None
-    o = o.alias("_o")
+    range_offsets(pinned, group_cols).write.mode("errorifexists").parquet(f"{stage}/offsets")
+    o = spark.read.parquet(f"{stage}/offsets").alias("_o")
     cond = pinned["_p"] == o["_p"]
     for g in group_cols:
         cond = cond & pinned[g].eqNullSafe(o[g])
     joined = pinned.join(o, cond, "inner")
-    out = joined.select(
+    return joined.select(
         *[pinned[c] for c in df.columns],
         (pinned["_rid"] - o["_first"] + o["_off"]).alias("_pos"),
         o["_gsize"].cast("long").alias("_gsize"),
     )
-    return out, total
 
 
 def row_positions(
@@ -218,7 +155,7 @@ def row_positions(
 
     Columns of ``df`` come first; ``_pos`` and ``_gsize`` are longs.
     """
-    return _positions(df, order_cols, group_cols, num_partitions)[0]
+    return _positions(df, order_cols, group_cols, num_partitions)
 
 
 def ntile_of(pos: Column, n_rows: Column, k: int) -> Column:
@@ -236,37 +173,37 @@ def ntile_of(pos: Column, n_rows: Column, k: int) -> Column:
 
 # --- O15, O16, O7, O18 ------------------------------------------------------
 
-def key_blocks(df: DataFrame, key: str, n_blocks: int, *, num_partitions: int | None = None) -> tuple[DataFrame, int]:
+def key_blocks(df: DataFrame, key: str, n_blocks: int, *, num_partitions: int | None = None) -> DataFrame:
     """The key map of O15: (key, ``_block``) with NTILE(n) over the distinct
-    keys in ascending order (null first). Returns the map and its size."""
-    keys = distinct_keys(df, key)
-    pos, n_keys = _positions(keys, [key], num_partitions=num_partitions)
-    key_map = pos.select(pos[key], ntile_of(F.col("_pos"), F.col("_gsize"), n_blocks).alias(BLOCK_COL))
-    if n_keys is None:
-        n_keys = key_map.count()
-    return key_map, n_keys
+    keys in ascending order (null first). The keys are stored once, so their
+    number sizes the range exchange."""
+    spark = df.sparkSession
+    path = new_path(spark, "keys")
+    distinct_keys(df, key).write.mode("errorifexists").parquet(path)
+    keys = spark.read.schema(df.select(key).schema).parquet(path)
+    parts = num_partitions or range_partitions(spark, keys.count())
+    pos = row_positions(keys, [key], num_partitions=parts)
+    return pos.select(pos[key], ntile_of(F.col("_pos"), F.col("_gsize"), n_blocks).alias(BLOCK_COL))
 
 
-def attach_blocks(df: DataFrame, key_map: DataFrame, key: str, n_keys: int | None = None,
-                  map_key: str | None = None) -> DataFrame:
+def attach_blocks(df: DataFrame, key_map: DataFrame, key: str, map_key: str | None = None) -> DataFrame:
     """Give each row the block of its key; null keys match null
-    (null-safe equality), so no row is lost. The map is broadcast only when
-    its counted size fits the session limit; otherwise Spark shuffles both
-    sides and AQE splits a hot key's partition. Column order of ``df`` is
-    kept, ``_block`` is added last."""
+    (null-safe equality), so no row is lost. Spark plans the join on the
+    sizes it measures: a small map is broadcast under the session's limit,
+    else both sides are shuffled and AQE splits a hot key's partition. A
+    row whose key is not in the map raises. Column order of ``df`` is kept,
+    ``_block`` is added last."""
     map_key = map_key or key
-    if n_keys is None:
-        n_keys = key_map.count()
-    m = maybe_broadcast(key_map.select(key_map[map_key].alias("_k"), key_map[BLOCK_COL].alias("_kb")), n_keys)
-    joined = df.join(m, df[key].eqNullSafe(m["_k"]), "inner")
-    return joined.select(*[df[c] for c in df.columns], m["_kb"].alias(BLOCK_COL))
+    m = key_map.select(key_map[map_key].alias("_k"), key_map[BLOCK_COL].alias("_kb"))
+    joined = df.join(m, df[key].eqNullSafe(m["_k"]), "left")
+    lost = F.raise_error(F.lit(f"a value of {key} is not in the key map: the input changed")).cast("int")
+    return joined.select(*[df[c] for c in df.columns], F.coalesce(m["_kb"], lost).alias(BLOCK_COL))
 
 
 def blocks_by_key(df: DataFrame, key: str, n_blocks: int, *, num_partitions: int | None = None) -> DataFrame:
     """NTILE(n) over the distinct keys, so all rows of a key share a
     block (1-based)."""
-    key_map, n_keys = key_blocks(df, key, n_blocks, num_partitions=num_partitions)
-    return attach_blocks(df, key_map, key, n_keys)
+    return attach_blocks(df, key_blocks(df, key, n_blocks, num_partitions=num_partitions), key)
 
 
 def blocks_by_row(df: DataFrame, order_cols: Sequence[str], n_blocks: int, *,
@@ -275,7 +212,7 @@ def blocks_by_row(df: DataFrame, order_cols: Sequence[str], n_blocks: int, *,
     most one row. Equal to Spark's ``ntile`` over an unpartitioned window
     when the order is total, without that window's single task."""
     if num_partitions is None:  # range partitions are never split by AQE: size them by the rows
-        num_partitions = range_partitions(df.sparkSession, df.count(), n_blocks)
+        num_partitions = range_partitions(df.sparkSession, df.count())
     pos = row_positions(df, order_cols, num_partitions=num_partitions)
     return pos.select(*[pos[c] for c in df.columns],
                       ntile_of(F.col("_pos"), F.col("_gsize"), n_blocks).alias(BLOCK_COL))
@@ -312,22 +249,9 @@ def chunk_rows(df: DataFrame, limit: int, order_cols: Sequence[str], block_col:
     return pos.select(*[pos[c] for c in df.columns], F.floor(F.col("_pos") / limit).cast("int").alias("_chunk"))
 
 
-def number_rows(df: DataFrame, order_cols: Sequence[str], *, n_rows: int | None = None) -> DataFrame:
-    """0-based ``_pos`` in ``order_cols`` order: a plain window for a table of
-    at most ``SMALL_WINDOW_ROWS`` rows (counted), ``row_positions`` above."""
-    if n_rows is None:
-        n_rows = df.count()
-    if n_rows <= SMALL_WINDOW_ROWS:
-        w = Window.orderBy(*order_cols)
-        return df.withColumn("_pos", F.row_number().over(w) - 1)
-    return row_positions(df, order_cols).drop("_gsize")
-
-
-def waves(pending: DataFrame, wave_size: int, block_col: str = "block_id", *, n_rows: int | None = None) -> DataFrame:
+def waves(pending: DataFrame, wave_size: int, block_col: str = "block_id") -> DataFrame:
     """Pending blocks in order, grouped into waves of ``wave_size``
-    (``wave_no``, 0-based). A wave is what one Spark job loads. ``n_rows``
-    is a known upper bound of the pending rows (the planned block count);
-    without it the rows are counted."""
+    (``wave_no``, 0-based). A wave is what one Spark job loads."""
     size = max(1, int(wave_size))
-    pos = number_rows(pending, [block_col], n_rows=n_rows)
+    pos = row_positions(pending, [block_col])
     return pos.select(*[pos[c] for c in pending.columns], F.floor(F.col("_pos") / size).cast("int").alias("wave_no"))

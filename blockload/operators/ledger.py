@@ -14,9 +14,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from blockload.config import ERROR_MAX_CHARS, FAILED, PENDING, RUNNING, SUCCESS
+from blockload.session import path_exists
 
 RUN_KEYS = ["process_name", "scope", "run_date"]
 BLOCK_KEYS = RUN_KEYS + ["block_id"]
@@ -57,13 +57,7 @@ def as_events(df: DataFrame) -> DataFrame:
 
 
 def ledger_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.format("text").load(f"{path}/_SUCCESS")
-        return True
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return False
-        raise
+    return path_exists(spark, f"{path}/_SUCCESS")
 
 
 def ensure_ledger(spark: SparkSession, path: str) -> None:
@@ -111,9 +105,46 @@ def compact_ledger(spark: SparkSession, path: str, new_path: str) -> str:
     ledger at ``new_path``, and return it. Run between loads, never during
     one; the old ledger is left as it is (nothing is overwritten)."""
     ledger_state(read_ledger(spark, path)).write.mode("errorifexists").partitionBy(*RUN_KEYS).parquet(new_path)
+    read_runs(spark, path).coalesce(1).write.mode("errorifexists").json(f"{new_path}/{_RUNS}")
     return new_path
 
 
+# --- runs -------------------------------------------------------------------
+
+# What a run is, written before its first block is tried and never changed: a
+# later call follows it, whatever its own input or settings would give.
+RUN_SCHEMA = T.StructType([
+    T.StructField("process_name", T.StringType()),
+    T.StructField("scope", T.StringType()),
+    T.StructField("run_date", T.DateType()),
+    T.StructField("flow", T.StringType()),
+    T.StructField("n_blocks", T.IntegerType()),
+    T.StructField("total_rows", T.LongType()),
+    T.StructField("landing", T.StringType()),
+])
+_RUNS = "_runs"   # a hidden folder beside the events
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The runs of a ledger, one row each."""
+    if not path_exists(spark, f"{path}/{_RUNS}"):
+        return spark.createDataFrame([], RUN_SCHEMA)
+    return spark.read.schema(RUN_SCHEMA).json(f"{path}/{_RUNS}")
+
+
+def begin_run(spark: SparkSession, path: str, process_name: str, scope: str, run_date: dt.date, flow: str,
+              n_blocks: int, total_rows: int, landing: str | None) -> None:
+    row = (process_name, scope, run_date, flow, int(n_blocks), int(total_rows), landing)
+    spark.createDataFrame([row], RUN_SCHEMA).coalesce(1).write.mode("append").json(f"{path}/{_RUNS}")
+
+
+def with_progress(runs: DataFrame, state: DataFrame) -> DataFrame:
+    """``runs`` with ``ok_blocks``, the blocks of each that are SUCCESS."""
+    done = completed_blocks(state).groupBy(*RUN_KEYS).agg(F.count(F.lit(1)).alias("ok_blocks")).alias("_d")
+    cond = [F.col(f"_r.{k}") == F.col(f"_d.{k}") for k in RUN_KEYS]
+    return runs.alias("_r").join(done, cond, "left").select("_r.*", F.coalesce("ok_blocks", F.lit(0)).alias("ok_blocks"))
+
+
 # --- reading the state ------------------------------------------------------
 
 def ledger_state(events: DataFrame) -> DataFrame:
@@ -251,8 +282,3 @@ def run_metrics(state: DataFrame, elapsed_s: float | None = None) -> DataFrame:
         return out
     rate = F.col("rows_loaded") / F.lit(float(elapsed_s)) if elapsed_s >= 1 else F.lit(0.0)
     return out.withColumn("rows_per_s", rate.cast("double"))
-
-
-def rows_per_second(rows: int, elapsed_s: float) -> float:
-    """Rate of a run; 0 when it took under a second."""
-    return rows / elapsed_s if elapsed_s >= 1 else 0.0

@@ -2,34 +2,36 @@
 between them (O33) and the retry loop (O34).
 
 The driver decides and loops over block numbers; every row moves inside
-Spark jobs. A wave of blocks is one job. If it fails, each of its blocks is
-tried again as its own job, so one bad block does not fail its neighbours.
-Order of events for a block: RUNNING, write, count, then SUCCESS or FAILED.
-A crash between the write and the count leaves RUNNING, which is pending
-and is repeated safely, since a repeat replaces the block.
+Spark jobs. A run is recorded before its first block is tried (flow, block
+count, row count, landing), and later calls follow that record until every
+block is SUCCESS; a complete run is never taken up again. A wave of blocks is
+one job. If it fails, its blocks are tried again in one job and split while
+that fails, so a bad block does not fail its neighbours. Order of events for
+a block: RUNNING, write, count, then SUCCESS or FAILED. A crash between the
+write and the count leaves RUNNING, which is pending and is repeated safely,
+since a repeat replaces the block.
 """
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
-import re
 import time
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from blockload.config import BLOCK_COL, DIRECT, FAILED, PENDING, RUNNING, SUCCESS, LoadConfig, RunResult
+from blockload.config import BLOCK_COL, DIRECT, FAILED, LANDING, PREBLOCKED, RUNNING, SUCCESS, LoadConfig, RunResult
 from blockload.functions.columns import check_block_column, check_request, exclude_columns, resolve_columns
 from blockload.operators import ledger as L
-from blockload.operators.blocks import (block_plan, blocks_by_key, blocks_by_row, blocks_even, range_partitions,
-                                        waves)
+from blockload.operators.blocks import block_plan, blocks_by_key, blocks_by_row, blocks_even, range_partitions
 from blockload.session import new_path
 from blockload.sources.landing import (block_sizes, find_landing, landing_plan, read_landing, write_landing,
                                        write_row_landing)
 from blockload.sources.read import read_source
-from blockload.sources.target import load_blocks, run_key
+from blockload.sources.target import encoded, load_blocks, run_key
 
 _RESULT_SCHEMA = T.StructType([
     T.StructField("block_id", T.IntegerType()),
@@ -48,8 +50,8 @@ def _today(cfg: LoadConfig) -> dt.date:
     return cfg.run_date or dt.date.today()
 
 
-def _safe(part: str) -> str:
-    return re.sub(r"[^A-Za-z0-9_.-]", "_", part)
+def _pause(seconds: float) -> None:
+    time.sleep(seconds)
 
 
 def with_paths(spark: SparkSession, cfg: LoadConfig) -> LoadConfig:
@@ -64,123 +66,174 @@ def with_paths(spark: SparkSession, cfg: LoadConfig) -> LoadConfig:
     return cfg.replace(**changes) if changes else cfg
 
 
-# --- one pass over the pending blocks of a run --------------------------------
+# --- the run that a call follows ------------------------------------------------
+
+def _open_run(spark: SparkSession, cfg: LoadConfig) -> tuple[Row | None, dt.date]:
+    """The unfinished run that this call resumes, if there is one, and the date
+    of the run that it works on.
 
-def _record(spark: SparkSession, cfg: LoadConfig, run_date: dt.date, rows: list[tuple]) -> None:
+    With ``cfg.run_date`` only that date counts, else the latest unfinished
+    run of process and scope, else today. A date whose run is complete takes
+    no second load: that raises, since it would look like a success.
+    """
     p, s = _names(cfg)
-    frame = spark.createDataFrame(rows, _RESULT_SCHEMA)
-    L.ledger_record(spark, cfg.ledger_path, L.block_events(
-        frame, p, s, run_date, F.col("status"), F.col("attempt"), F.col("row_count"), F.col("error_message")))
+    L.ensure_ledger(spark, cfg.ledger_path)
+    state = L.for_run(L.ledger_state(L.read_ledger(spark, cfg.ledger_path)), p, s)
+    runs = L.with_progress(L.for_run(L.read_runs(spark, cfg.ledger_path), p, s, cfg.run_date), state)
+    day = cfg.run_date or dt.date.today()
+    if not cfg.force_new_run:
+        run = runs.filter("ok_blocks < n_blocks").orderBy(F.desc("run_date")).first()
+        if run is not None:
+            return run, run["run_date"]
+    if runs.filter(F.col("run_date") == F.lit(day)).limit(1).count():
+        raise ValueError(f"the ledger already holds a run of {p}/{s} on {day}; "
+                         "give another run_date, process or scope to load again")
+    if L.for_run(state, p, s, day).limit(1).count():
+        raise ValueError(f"the ledger has blocks of {p}/{s} on {day} but no record of their run; "
+                         "start a new run (another run_date, process or scope)")
+    return None, day
+
 
+def _follow(run: Row | None, flow: str) -> None:
+    if run is not None and run["flow"] != flow:
+        raise ValueError(f"the open run of {run['process_name']}/{run['scope']} on {run['run_date']} is a "
+                         f"{run['flow']} load; finish it as such, or start another run")
+
+
+def _check_target(cfg: LoadConfig) -> None:
+    if not cfg.target:
+        raise ValueError("a target is required")
+    if cfg.target_format not in ("parquet", "jdbc"):
+        raise ValueError(f"target_format must be parquet or jdbc, not {cfg.target_format!r}")
+
+
+# --- one pass over the pending blocks of a run --------------------------------
 
 Blocks = Callable[[list[int]], DataFrame]
 
 
-def _try_blocks(spark: SparkSession, blocks: Blocks, expected: Blocks, ids: list[int], attempts: dict[int, int],
-                cfg: LoadConfig, run_date: dt.date) -> list[int]:
-    """One job over ``ids``: RUNNING, write, count, SUCCESS/FAILED. Returns
-    the ids that failed."""
-    key = run_key(*_names(cfg), run_date)
-    _record(spark, cfg, run_date, [(b, RUNNING, 0, attempts[b], None) for b in ids])
-    try:
-        written = load_blocks(blocks(ids), ids, cfg, key, attempts)
-        exp = expected(ids)
-        cmp = (exp.join(written.withColumnRenamed("n_rows", "_w"), "block_id", "left")
-               .select("block_id", "n_rows", F.coalesce("_w", F.lit(0)).alias("_w")).collect())
-    except Exception as e:  # the job failed: every block of it is FAILED
-        msg = f"{type(e).__name__}: {e}"
-        _record(spark, cfg, run_date, [(b, FAILED, 0, attempts[b], msg) for b in ids])
-        return list(ids)
-    got = {r["block_id"]: (r["n_rows"], r["_w"]) for r in cmp}
-    rows, failed = [], []
-    for b in ids:
-        want, wrote = got.get(b, (0, 0))
-        if want == wrote:
-            rows.append((b, SUCCESS, int(wrote), attempts[b], None))
-        else:
-            rows.append((b, FAILED, int(wrote), attempts[b], f"wrote {wrote} rows, expected {want}"))
-            failed.append(b)
-    _record(spark, cfg, run_date, rows)
-    return failed
-
-
-def _run_blocks(spark: SparkSession, blocks: Blocks, expected: Blocks, n_blocks: int, cfg: LoadConfig,
-                run_date: dt.date, t0: float) -> RunResult:
-    """Load the pending blocks of a run; ``blocks(ids)`` gives the rows of
-    those blocks (with ``_block``), ``expected(ids)`` their row counts."""
-    p, s = _names(cfg)
-    plan = L.run_plan(spark, p, s, run_date, n_blocks)
-
-    def state() -> DataFrame:
-        return L.for_run(L.ledger_state(L.read_ledger(spark, cfg.ledger_path)), p, s, run_date)
-
-    L.ledger_record(spark, cfg.ledger_path, L.ledger_init(plan, state()))  # may append nothing
-    st = state()
-    pend = L.pending_blocks(plan, st)
-    pend = pend.join(st.select("block_id", "attempt"), "block_id", "left").select(
-        "block_id", (F.coalesce("attempt", F.lit(0)) + 1).alias("attempt"))
-    todo = waves(pend, cfg.wave_size, n_rows=n_blocks).collect()  # block numbers only
-    by_wave: dict[int, dict[int, int]] = {}
-    for r in todo:
-        by_wave.setdefault(r["wave_no"], {})[r["block_id"]] = r["attempt"]
-    for w in sorted(by_wave):
-        attempts = by_wave[w]
-        failed = _try_blocks(spark, blocks, expected, sorted(attempts), attempts, cfg, run_date)
-        # Each failed block on its own, with a linear pause. After a failed
-        # job of several blocks every block gets at least one try alone, so
-        # one bad block cannot hold back its neighbours.
-        tries = cfg.block_retries if len(attempts) == 1 else max(1, cfg.block_retries)
-        for b in failed:
-            a = attempts[b]
-            for k in range(1, tries + 1):
-                time.sleep(cfg.retry_delay_s * k)
-                a += 1
-                if not _try_blocks(spark, blocks, expected, [b], {b: a}, cfg, run_date):
-                    break
-    final = state()
-    row = L.run_result(plan, final).first()
-    error = None
-    if row["failed_blocks"]:
-        first = (final.filter(F.col("status") == FAILED).orderBy("block_id")
-                 .select(F.concat(F.lit("block "), F.col("block_id").cast("string"), F.lit(": "),
-                                  F.coalesce("error_message", F.lit("?")))).first())
-        error = first[0] if first else None
-    return RunResult(
-        success=row["failed_blocks"] == 0 and row["pending_blocks"] == 0,
-        total_blocks=row["total_blocks"], ok_blocks=row["ok_blocks"], failed_blocks=row["failed_blocks"],
-        pending_blocks=row["pending_blocks"], rows_loaded=row["rows_loaded"], error=error, run_date=run_date,
-        process_name=p, scope=s, elapsed_s=time.time() - t0)
-
-
-def _run_date(spark: SparkSession, cfg: LoadConfig) -> dt.date:
-    p, s = _names(cfg)
-    L.ensure_ledger(spark, cfg.ledger_path)
-    all_state = L.ledger_state(L.read_ledger(spark, cfg.ledger_path))
-    run_date = L.resume_run_date(all_state, p, s, _today(cfg), cfg.force_new_run)
-    if cfg.force_new_run and L.for_run(all_state, p, s, run_date).limit(1).count():
-        raise ValueError(f"the ledger already holds a run of {p}/{s} on {run_date}; "
-                         "give another run_date, process or scope")
-    return run_date
+class _Pass:
+    """The pending blocks of one run, loaded wave by wave.
+
+    ``blocks(ids)`` gives the rows of those blocks (with ``_block``),
+    ``expected(ids)`` their row counts.
+    """
+
+    def __init__(self, spark: SparkSession, cfg: LoadConfig, run_date: dt.date, n_blocks: int, blocks: Blocks,
+                 expected: Blocks) -> None:
+        self.spark, self.cfg, self.run_date, self.blocks, self.expected = spark, cfg, run_date, blocks, expected
+        self.names = _names(cfg)
+        self.plan = L.run_plan(spark, *self.names, run_date, n_blocks)
+        self.attempts: dict[int, int] = {}
+        self.loaded = 0
+
+    def state(self) -> DataFrame:
+        return L.for_run(L.ledger_state(L.read_ledger(self.spark, self.cfg.ledger_path)), *self.names, self.run_date)
+
+    def record(self, rows: list[tuple]) -> None:
+        frame = self.spark.createDataFrame(rows, _RESULT_SCHEMA)
+        L.ledger_record(self.spark, self.cfg.ledger_path, L.block_events(
+            frame, *self.names, self.run_date, F.col("status"), F.col("attempt"), F.col("row_count"),
+            F.col("error_message")))
+
+    def attempt(self, ids: list[int]) -> list[int]:
+        """One job over ``ids``; returns those that failed."""
+        for b in ids:
+            self.attempts[b] += 1
+        tries = {b: self.attempts[b] for b in ids}
+        self.record([(b, RUNNING, 0, tries[b], None) for b in ids])
+        try:
+            written = load_blocks(self.blocks(ids), ids, self.cfg, run_key(*self.names, self.run_date), tries)
+            counts = (self.expected(ids).join(written.withColumnRenamed("n_rows", "_w"), "block_id", "left")
+                      .select("block_id", "n_rows", F.coalesce("_w", F.lit(0)).alias("_w")).collect())
+        except Exception as e:  # noqa: BLE001 - the job failed: every block of it is FAILED
+            text = f"{type(e).__name__}: {e}"
+            self.record([(b, FAILED, 0, tries[b], text) for b in ids])
+            return list(ids)
+        got = {r["block_id"]: (r["n_rows"], r["_w"]) for r in counts}
+        rows = []
+        for b in ids:
+            want, wrote = got.get(b, (0, 0))
+            text = None if want == wrote else f"wrote {wrote} rows, expected {want}"
+            rows.append((b, FAILED if text else SUCCESS, int(wrote), tries[b], text))
+        self.record(rows)
+        self.loaded += sum(1 for r in rows if r[1] == SUCCESS)
+        return [r[0] for r in rows if r[1] == FAILED]
+
+    def isolate(self, ids: list[int]) -> list[int]:
+        """Try ``ids`` in one job, and what fails of several in halves."""
+        failed = self.attempt(ids)
+        if len(failed) < 2:
+            return failed if len(ids) == 1 else [b for b in failed if self.attempt([b])]
+        half = len(failed) // 2
+        return self.isolate(failed[:half]) + self.isolate(failed[half:])
+
+    def wave(self, ids: list[int]) -> bool:
+        """Load a wave; one linear pause before each round of repeats.
+        Whether any block of the run has been loaded in this pass."""
+        failed = self.attempt(ids)
+        for k in range(1, max(self.cfg.block_retries, len(ids) > 1) + 1):
+            if not failed:
+                break
+            _pause(self.cfg.retry_delay_s * k)
+            failed = self.isolate(failed)
+        return self.loaded > 0 or not failed
+
+    def load(self, t0: float, **known) -> RunResult:
+        L.ledger_record(self.spark, self.cfg.ledger_path, L.ledger_init(self.plan, self.state()))
+        state = self.state()
+        pending = L.pending_blocks(self.plan, state).join(state.select("block_id", "attempt"), "block_id", "left")
+        todo = sorted((r["block_id"], r["attempt"] or 0) for r in pending.select("block_id", "attempt").collect())
+        self.attempts = dict(todo)  # block numbers only, never rows
+        self.loaded = L.completed_blocks(state).count()
+        size = max(1, self.cfg.wave_size)
+        for i in range(0, len(todo), size):
+            if not self.wave([b for b, _ in todo[i:i + size]]):
+                break  # hopeless: the first wave failed in every block
+        return self.result(t0, **known)
+
+    def result(self, t0: float, **known) -> RunResult:
+        final = self.state()
+        row = L.run_result(self.plan, final).first()
+        error = None
+        if row["failed_blocks"]:
+            first = (final.filter(F.col("status") == FAILED).orderBy("block_id")
+                     .select(F.concat(F.lit("block "), F.col("block_id").cast("string"), F.lit(": "),
+                                      F.coalesce("error_message", F.lit("?")))).first())
+            error = first[0] if first else None
+        p, s = self.names
+        return RunResult(
+            success=row["success"], total_blocks=row["total_blocks"], ok_blocks=row["ok_blocks"],
+            failed_blocks=row["failed_blocks"], pending_blocks=row["pending_blocks"], rows_loaded=row["rows_loaded"],
+            error=error, run_date=self.run_date, process_name=p, scope=s, elapsed_s=time.time() - t0, **known)
+
+
+def _dropped(df: DataFrame, src: DataFrame) -> tuple[str, ...]:
+    return tuple(c for c in df.columns if c not in src.columns)
 
 
 # --- O30 ----------------------------------------------------------------------
 
 def load_direct(df: DataFrame, cfg: LoadConfig, total_rows: int | None = None) -> RunResult:
     """No landing; the whole load is one block, written and counted
-    under the same rules as any block, so a repeat cannot duplicate rows."""
+    under the same rules as any block, so a repeat cannot duplicate rows. A
+    resumed direct load writes its current input: nothing of it was loaded."""
     spark = df.sparkSession
+    _check_target(cfg)
     cfg = with_paths(spark, cfg)
     t0 = time.time()
-    run_date = _run_date(spark, cfg)
-    src = exclude_columns(df, cfg.exclude_columns).withColumn(BLOCK_COL, F.lit(1))
+    run, run_date = _open_run(spark, cfg)
+    _follow(run, DIRECT)
+    src = exclude_columns(df, cfg.exclude_columns)
+    n = src.count() if total_rows is None else int(total_rows)
+    if run is None:
+        L.begin_run(spark, cfg.ledger_path, *_names(cfg), run_date, DIRECT, 1, n, None)
+    one = src.withColumn(BLOCK_COL, F.lit(1))
 
     def expected(ids: list[int]) -> DataFrame:
-        n = total_rows if total_rows is not None else None
-        if n is None:
-            return src.groupBy(F.col(BLOCK_COL).alias("block_id")).agg(F.count(F.lit(1)).alias("n_rows"))
-        return spark.createDataFrame([(1, int(n))], "block_id INT, n_rows BIGINT")
+        return spark.createDataFrame([(1, n)], "block_id INT, n_rows BIGINT")
 
-    return _run_blocks(spark, lambda ids: src, expected, 1, cfg, run_date, t0)
+    return _Pass(spark, cfg, run_date, 1, lambda ids: one, expected).load(t0, dropped_columns=_dropped(df, src))
 
 
 # --- O31 ----------------------------------------------------------------------
@@ -192,11 +245,17 @@ def _blocks_on(cfg: LoadConfig) -> str:
     return how
 
 
+_UNSORTED = (T.MapType, T.VariantType)
+
+
 def _row_order(df: DataFrame, cfg: LoadConfig) -> list[str]:
     order = list(cfg.order_cols) or ([cfg.block_key] if cfg.block_key else [])
     if not order:
         raise ValueError("blocks_on='rows' needs order_cols")
-    return resolve_columns(df, order).fieldNames()
+    first = resolve_columns(df, order).fieldNames()
+    # The other sortable columns break ties, so that a hot first value spreads.
+    ties = [f.name for f in df.schema.fields if f.name not in first and not isinstance(f.dataType, _UNSORTED)]
+    return first + ties
 
 
 def assign_blocks(df: DataFrame, cfg: LoadConfig, n_blocks: int) -> tuple[DataFrame, bool, str]:
@@ -213,38 +272,46 @@ def assign_blocks(df: DataFrame, cfg: LoadConfig, n_blocks: int) -> tuple[DataFr
     return blocks_even(df, n_blocks), False, how
 
 
+def _new_landing(src: DataFrame, cfg: LoadConfig, run_date: dt.date, total_rows: int, n_blocks: int) -> str:
+    """The input's blocks in the next free landing folder of the run."""
+    spark = src.sparkSession
+    p, s = _names(cfg)
+    root = f"{cfg.landing_path.rstrip('/')}/p-{encoded(p)}/s-{encoded(s)}/{run_date.isoformat()}"
+    _, path = find_landing(spark, root)
+    if _blocks_on(cfg) == "rows":  # written once, in the layout of its positions
+        write_row_landing(src, _row_order(src, cfg), path, n_blocks, num_partitions=range_partitions(spark, total_rows))
+    else:
+        blocked, cluster, how = assign_blocks(src, cfg, n_blocks)
+        write_landing(blocked, path, n_blocks, blocks_on=how, cluster=cluster)
+    return path
+
+
 def load_landed(df: DataFrame, cfg: LoadConfig, total_rows: int, n_blocks: int) -> RunResult:
-    """Blocks, landing, ledger, waves. When a block of the run was already
-    tried, its latest complete landing is reused with the block count it was
-    written with; with none, the current input is blocked afresh into the
-    next attempt folder."""
+    """Blocks, landing, ledger, waves. The landing must hold as many rows
+    as were counted in the input, else nothing is loaded. A resumed run reads
+    its own landing, with the block count it was written with."""
     spark = df.sparkSession
+    _check_target(cfg)
     cfg = with_paths(spark, cfg)
     t0 = time.time()
-    run_date = _run_date(spark, cfg)
-    p, s = _names(cfg)
-    root = f"{cfg.landing_path.rstrip('/')}/{_safe(p)}/{_safe(s)}/{run_date.isoformat()}"
-    landing, free = find_landing(spark, root)
-    # Progress: any block past PENDING. Its rows may be in the target (a
-    # write can commit before its result is recorded), so its blocks must
-    # stay as they were.
-    state = L.for_run(L.ledger_state(L.read_ledger(spark, cfg.ledger_path)), p, s, run_date)
-    progress = state.filter(F.col("status") != PENDING).limit(1).count() > 0
-    if landing is None and progress:
+    run, run_date = _open_run(spark, cfg)
+    _follow(run, LANDING)
+    src = exclude_columns(df, cfg.exclude_columns)
+    if run is None:
+        landing = _new_landing(src, cfg, run_date, total_rows, n_blocks)
+        landed = landing_plan(spark, landing)["total_rows"]
+        if landed != total_rows:
+            raise RuntimeError(f"the landing {landing} holds {landed} rows, the input was counted as {total_rows}: "
+                               "it changed in between")
+        L.begin_run(spark, cfg.ledger_path, *_names(cfg), run_date, LANDING, n_blocks, total_rows, landing)
+    else:
+        landing = run["landing"]
+    plan = landing_plan(spark, landing)
+    if plan is None:
         # New blocks from the current input would not match the blocks
         # already loaded: rows would be lost or loaded twice.
-        raise ValueError(f"run {p}/{s}/{run_date} has loaded blocks but no complete landing under {root}; "
+        raise ValueError(f"the open run of {run_date} has no complete landing at {landing}; "
                          "start a new run (another run_date, process or scope)")
-    if not progress:  # nothing loaded yet: block the current input afresh
-        src = exclude_columns(df, cfg.exclude_columns)
-        if _blocks_on(cfg) == "rows":  # written once, in the layout of its positions
-            write_row_landing(src, _row_order(src, cfg), free, n_blocks,
-                              num_partitions=range_partitions(spark, total_rows, n_blocks))
-        else:
-            blocked, cluster, how = assign_blocks(src, cfg, n_blocks)
-            write_landing(blocked, free, n_blocks, total_rows=total_rows, blocks_on=how, cluster=cluster)
-        landing = free
-    plan = landing_plan(spark, landing)
 
     def blocks(ids: list[int]) -> DataFrame:
         return read_landing(spark, landing, ids, plan=plan)
@@ -252,8 +319,8 @@ def load_landed(df: DataFrame, cfg: LoadConfig, total_rows: int, n_blocks: int)
     def expected(ids: list[int]) -> DataFrame:
         return block_sizes(spark, landing, ids, plan=plan)
 
-    result = _run_blocks(spark, blocks, expected, plan["n_blocks"], cfg, run_date, t0)
-    return RunResult(**{**result.__dict__, "landing": landing})
+    return _Pass(spark, cfg, run_date, plan["n_blocks"], blocks, expected).load(
+        t0, landing=landing, dropped_columns=_dropped(df, src))
 
 
 # --- O32 ----------------------------------------------------------------------
@@ -264,6 +331,7 @@ def load_preblocked(spark: SparkSession, source: str, n_blocks: int, block_col:
     reads only its blocks (a literal IN list on that column)."""
     check_request(path=source, n_blocks=n_blocks, columns=columns, uses_ledger=cfg.uses_ledger,
                   process_name=cfg.process_name, scope=cfg.scope)
+    _check_target(cfg)
     cfg = with_paths(spark, cfg)
     t0 = time.time()
     df = read_source(spark, source, fmt)
@@ -271,52 +339,91 @@ def load_preblocked(spark: SparkSession, source: str, n_blocks: int, block_col:
     cols = [c for c in columns if c.lower() != bc.lower()]
     check_request(columns=cols)
     fields = resolve_columns(df, cols).fieldNames()
-    blocks = df.select(*fields, F.col(bc).cast("int").alias(BLOCK_COL))
-    run_date = _run_date(spark, cfg)
+    run, run_date = _open_run(spark, cfg)
+    _follow(run, PREBLOCKED)
+    if run is not None and run["n_blocks"] != n_blocks:
+        raise ValueError(f"the open run of {run_date} has {run['n_blocks']} blocks, not {n_blocks}")
+    counts = _preblocked_counts(df, bc, n_blocks)
+    if run is None:
+        total = counts.agg(F.sum("n_rows")).first()[0] or 0
+        L.begin_run(spark, cfg.ledger_path, *_names(cfg), run_date, PREBLOCKED, n_blocks, total, None)
+    kind = df.schema[bc].dataType
+
+    def blocks(ids: list[int]) -> DataFrame:
+        # Literals of the column's own type, so the filter reaches the source.
+        part = df.filter(F.col(bc).isin([F.lit(b).cast(kind) for b in ids]))
+        return part.select(*fields, F.col(bc).cast("int").alias(BLOCK_COL)).hint("rebalance", BLOCK_COL)
 
     def expected(ids: list[int]) -> DataFrame:
-        have = (blocks.filter(F.col(BLOCK_COL).isin(ids)).groupBy(F.col(BLOCK_COL).alias("block_id"))
-                .agg(F.count(F.lit(1)).alias("n_rows")))
         want = spark.createDataFrame([(int(b),) for b in ids], "block_id INT")
-        return want.join(have, "block_id", "left").select(
+        return want.join(counts.filter(F.col("block_id").isin(ids)), "block_id", "left").select(
             "block_id", F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"))
 
-    return _run_blocks(spark, lambda ids: blocks, expected, n_blocks, cfg, run_date, t0)
+    return _Pass(spark, cfg, run_date, n_blocks, blocks, expected).load(t0)
+
+
+def _preblocked_counts(df: DataFrame, block_col: str, n_blocks: int) -> DataFrame:
+    """Rows per block, from one count over the source, kept as a table. Rows
+    with no block, or one that is not 1 to n, would be left out by every
+    wave, so they raise before anything is loaded."""
+    spark = df.sparkSession
+    number = F.expr("try_cast(b AS INT)")
+    counts = (df.groupBy(F.col(block_col).alias("b")).agg(F.count(F.lit(1)).alias("n_rows"))
+              .withColumn("block_id", number)
+              .withColumn("fits", F.coalesce(F.col("block_id").between(1, n_blocks)
+                                             & (F.col("block_id").cast(df.schema[block_col].dataType) == F.col("b")),
+                                             F.lit(False))))
+    path = new_path(spark, "block-counts")
+    counts.select("block_id", "n_rows", "fits").write.parquet(path)
+    kept = spark.read.parquet(path)
+    outside = kept.filter("NOT fits").agg(F.sum("n_rows")).first()[0]
+    if outside:
+        raise ValueError(f"{outside} rows have no block from 1 to {n_blocks} in {block_col}")
+    return kept.select("block_id", "n_rows")
 
 
 # --- O33, O34 -----------------------------------------------------------------
 
 def run_load(df: DataFrame, cfg: LoadConfig) -> RunResult:
-    """Count, plan, then DIRECT or LANDING."""
+    """An open run is finished as it was begun; else count, plan, then
+    DIRECT or LANDING."""
     check_request(uses_ledger=cfg.uses_ledger, process_name=cfg.process_name, scope=cfg.scope)
+    _check_target(cfg)
+    cfg = with_paths(df.sparkSession, cfg)
+    run, _ = _open_run(df.sparkSession, cfg)
+    if run is not None and run["flow"] != DIRECT:
+        return load_landed(df, cfg, run["total_rows"], run["n_blocks"])
     plan = block_plan(df, cfg.block_size, cfg.threshold, cfg.force_landing).first()
-    if plan["flow"] == DIRECT:
+    if run is not None or plan["flow"] == DIRECT:
         return load_direct(df, cfg, plan["total_rows"])
     return load_landed(df, cfg, plan["total_rows"], plan["n_blocks"])
 
 
-def with_retry(run: Callable[[LoadConfig], RunResult], cfg: LoadConfig) -> RunResult:
-    """Run again while blocks are failed or pending, up to
-    ``max_retries`` times, pausing ``min(max, delay x attempt)`` seconds.
-    Each pass resumes from the ledger, so only unfinished blocks repeat. An
-    invalid request (ValueError, TypeError) is raised, not retried."""
+def _one_pass(run: Callable[[LoadConfig], RunResult], cfg: LoadConfig, before: RunResult | None) -> RunResult:
+    """A pass, or what is known of the run when the pass itself raised. An
+    invalid request raises here too."""
     try:
-        result = run(cfg)
+        return run(cfg)
     except (ValueError, TypeError):
         raise
-    except Exception as e:  # noqa: BLE001 - any failure of a pass is retried
-        result = RunResult(False, 0, 0, 0, 0, error=f"{type(e).__name__}: {e}")
-    attempt = 1
-    while result.needs_retry and attempt <= max(0, cfg.max_retries):
-        time.sleep(min(cfg.max_retry_delay_s, cfg.retry_delay_s * attempt))
-        try:
-            result = run(cfg.replace(force_new_run=False))
-        except (ValueError, TypeError):
-            raise
-        except Exception as e:  # noqa: BLE001
-            result = RunResult(**{**result.__dict__, "error": f"{type(e).__name__}: {e}"})
-        attempt += 1
-    return result
+    except Exception as e:  # noqa: BLE001 - an unfinished pass, to be repeated like any other
+        text = f"{type(e).__name__}: {e}"
+        known = before or RunResult(False, 0, 0, 0, 0, process_name=cfg.process_name, scope=cfg.scope)
+        return dataclasses.replace(known, success=False, error=text)
+
+
+def with_retry(run: Callable[[LoadConfig], RunResult], cfg: LoadConfig) -> RunResult:
+    """Passes over one run until no block of it is unfinished, at most
+    ``max_retries`` after the first, each after a pause that grows with its
+    number up to ``max_retry_delay_s``. The ledger tells each pass what is
+    left. A run of which nothing could be loaded is given up."""
+    outcome = _one_pass(run, cfg, None)
+    for k in range(1, max(0, cfg.max_retries) + 1):
+        if outcome.is_complete or outcome.is_hopeless:
+            break
+        _pause(min(cfg.max_retry_delay_s, cfg.retry_delay_s * k))
+        outcome = _one_pass(run, cfg.replace(force_new_run=False), outcome)
+    return outcome
 
 
 def run_load_with_retry(df: DataFrame, cfg: LoadConfig) -> RunResult:

@@ -4,20 +4,21 @@ Re-aimed from a stored-procedure call in a remote database: the routine is
 Spark SQL that runs on the cluster. IN values are bound as named parameters
 (``:name``; table names through ``IDENTIFIER(:name)``), never pasted into
 the text. OUT values are the columns of a one-row statement; every other
-statement gives a result DataFrame, left lazy for the caller.
+statement gives a result DataFrame, read from the table it was written to.
 """
 
 from __future__ import annotations
 
 import dataclasses
-import re
+import threading
 import time
 from collections.abc import Mapping, Sequence
 from typing import Any
 
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import DataFrame, SparkSession
 
-_PARAM = re.compile(r":([A-Za-z_][A-Za-z0-9_]*)")
+from blockload.session import new_path
 
 
 @dataclasses.dataclass(frozen=True)
@@ -45,37 +46,70 @@ def register_routine(routine: Routine) -> Routine:
     return routine
 
 
-def _bind(text: str, args: Mapping[str, Any]) -> dict[str, Any]:
-    used = set(_PARAM.findall(text))
-    missing = used - set(args)
-    if missing:
-        raise ValueError(f"no value for parameter(s): {', '.join(sorted(missing))}")
-    return {k: v for k, v in args.items() if k in used}
+def _is_request_error(e: Exception) -> bool:
+    """Whether the request itself is wrong, so that no repeat can change it. A
+    table that is not there may come."""
+    if isinstance(e, AnalysisException):
+        return e.getCondition() != "TABLE_OR_VIEW_NOT_FOUND"
+    return isinstance(e, (ParseException, ValueError, TypeError, KeyError))
+
+
+def _sql(spark: SparkSession, text: str, args: Mapping[str, Any], frames: Mapping[str, DataFrame]) -> DataFrame:
+    """The statement with Spark's own binding; names it does not use are fine."""
+    return spark.sql(text, args=dict(args), **frames)
+
+
+def _staged(df: DataFrame, path: str, deadline: float | None) -> DataFrame:
+    """The result, computed now and kept as a table in the shared work folder.
+    A job still running at ``deadline`` is cancelled."""
+    spark = df.sparkSession
+    tag = path.rsplit("/", 1)[-1]
+    timer = None
+    if deadline is not None:
+        timer = threading.Timer(max(0.0, deadline - time.time()), spark.sparkContext.cancelJobsWithTag, [tag])
+        timer.daemon = True
+        timer.start()
+    spark.sparkContext.addJobTag(tag)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.sparkContext.removeJobTag(tag)
+        if timer is not None:
+            timer.cancel()
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def run_routine(spark: SparkSession, routine: Routine | str, args: Mapping[str, Any] | None = None, *,
-                frames: Mapping[str, DataFrame] | None = None, retries: int = 3,
-                delay_s: float = 2.0) -> RoutineResult:
-    """Run ``routine`` with ``args``; retried with a linear pause
-    (``delay_s x attempt``). Return code -1 when every try failed."""
+                frames: Mapping[str, DataFrame] | None = None, retries: int = 3, delay_s: float = 2.0,
+                timeout_s: float | None = None) -> RoutineResult:
+    """Run ``routine`` with ``args``: OUT values first, then every result is
+    computed and kept as a table, so ``ok`` means that all of it ran. What
+    fails while running is repeated with a linear pause (``delay_s x
+    attempt``), return code -1 when every try failed or ``timeout_s`` (of one
+    try) ran out in each; a request that Spark cannot analyse raises."""
     r = _ROUTINES[routine.lower()] if isinstance(routine, str) else routine
-    args = dict(args or {})
-    frames = dict(frames or {})
-    last = ""
+    args, frames = dict(args or {}), dict(frames or {})
+    last, began = "", time.time()
     for attempt in range(max(0, retries) + 1):
-        t0 = time.time()
+        if attempt:
+            time.sleep(delay_s * attempt)
+        began = time.time()
+        deadline = began + timeout_s if timeout_s else None
         try:
             out: dict[str, Any] = {}
             if r.out:
-                rows = spark.sql(r.out, args=_bind(r.out, args), **frames).limit(2).collect()
-                if len(rows) != 1:
-                    raise ValueError(f"OUT statement of {r.name} gave {len(rows)} rows, not 1")
-                out = rows[0].asDict()
-            sets = [spark.sql(t, args=_bind(t, args), **frames) for t in r.results]
-            return RoutineResult(True, int(out.pop("return_code", 0) or 0), out, sets, None,
-                                 int((time.time() - t0) * 1000))
-        except Exception as e:  # noqa: BLE001 - any failure is retried
+                one = _staged(_sql(spark, r.out, args, frames).limit(2), new_path(spark, "routine"), deadline).collect()
+                if len(one) != 1:
+                    raise ValueError(f"OUT statement of {r.name} gave {len(one)} rows, not 1")
+                out = one[0].asDict()
+            sets = [_staged(_sql(spark, t, args, frames), new_path(spark, "routine"), deadline) for t in r.results]
+            return RoutineResult(True, int(out.pop("return_code", 0) or 0), out, sets, None, _ms(began))
+        except Exception as e:  # noqa: BLE001 - what is not the request's fault may go right next time
+            if _is_request_error(e):
+                raise
             last = f"{type(e).__name__}: {e}"
-            if attempt < retries:
-                time.sleep(delay_s * (attempt + 1))
-    return RoutineResult(False, -1, {}, (), last, 0)
+    return RoutineResult(False, -1, {}, (), last, _ms(began))
+
+
+def _ms(began: float) -> int:
+    return int((time.time() - began) * 1000)

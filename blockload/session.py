@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -11,22 +12,31 @@ from pyspark.sql import SparkSession
 _LOCAL_DIR: str | None = None
 
 
+def _plain(path: str) -> str:
+    return re.sub(r"^file:/+", "/", path).rstrip("/")
+
+
 def work_dir(spark: SparkSession) -> str:
-    """Shared folder for staged data: the cluster's ``spark.checkpoint.dir``.
+    """Shared folder for staged data.
 
-    Only when the session names none (local tests) is a folder of our own
-    made and set as the checkpoint folder.
+    A checkpoint folder set on the context counts first, then the cluster's
+    ``spark.checkpoint.dir`` (below which the context makes its own folder).
+    With neither, a folder of our own serves a local session; on a cluster
+    executors do not see each other's folders, so that raises.
     """
     global _LOCAL_DIR
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
-    if not base:
-        if _LOCAL_DIR is None:
-            _LOCAL_DIR = tempfile.mkdtemp(prefix="blockload-")
-            spark.sparkContext.setCheckpointDir(_LOCAL_DIR)
-        base = _LOCAL_DIR
-    return base.rstrip("/")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    own = spark.sparkContext.getCheckpointDir()
+    if named and (not own or _plain(own).startswith(_plain(named))):
+        return named.rstrip("/")
+    if own:
+        return own.rstrip("/")
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise ValueError(f"spark.checkpoint.dir names no shared folder, and {master} is not a local master")
+    if _LOCAL_DIR is None:
+        _LOCAL_DIR = tempfile.mkdtemp(prefix="blockload-")
+    return _LOCAL_DIR
 
 
 def new_path(spark: SparkSession, kind: str) -> str:
@@ -34,6 +44,24 @@ def new_path(spark: SparkSession, kind: str) -> str:
     return f"{work_dir(spark)}/blockload/{kind}-{uuid.uuid4().hex[:12]}"
 
 
+def _located(spark: SparkSession, path: str):
+    """The path and its file system, as Spark sees them."""
+    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return there, there.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is at ``path``."""
+    there, system = _located(spark, path)
+    return system.exists(there)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library wrote and no reader needs any more."""
+    there, system = _located(spark, path)
+    system.delete(there, True)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """Local session used by tests and the bench (UI off, UTC, AQE on)."""
     return (

@@ -14,6 +14,7 @@ landing writes the next attempt folder beside it.
 
 from __future__ import annotations
 
+import bisect
 import json
 from collections.abc import Sequence
 
@@ -23,9 +24,8 @@ from pyspark.sql import types as T
 
 from blockload.config import BLOCK_COL
 from blockload.functions.columns import resolve_columns
-from blockload.operators.blocks import (block_results, broadcast_row_limit, ntile_of, ntile_range, pin_ranged,
-                                        range_offsets)
-from blockload.sources.read import path_exists
+from blockload.operators.blocks import block_results, ntile_of, ntile_range, pin_ranged, range_offsets
+from blockload.session import path_exists
 
 _PLAN_SCHEMA = T.StructType([
     T.StructField("n_blocks", T.IntegerType(), False),
@@ -35,12 +35,14 @@ _PLAN_SCHEMA = T.StructType([
     T.StructField("schema", T.StringType(), True),
 ])
 ROWS = "rows"
+_COUNTS = "_counts"   # rows per block of a landing by block
 
 
-def write_landing(df: DataFrame, path: str, n_blocks: int, *, total_rows: int = -1, blocks_on: str = "",
-                  cluster: bool = True, block_col: str = BLOCK_COL) -> str:
+def write_landing(df: DataFrame, path: str, n_blocks: int, *, blocks_on: str = "", cluster: bool = True,
+                  block_col: str = BLOCK_COL) -> str:
     """Write ``df`` (with its block column) to a new landing at ``path``,
-    partitioned by block; raises if ``path`` exists.
+    partitioned by block; raises if ``path`` exists. The rows per block are
+    counted on what was written and kept in ``_counts``.
 
     ``cluster`` brings the rows of a block together first (a rebalance on
     the block column, which AQE splits where a block is big), so a task
@@ -48,9 +50,13 @@ def write_landing(df: DataFrame, path: str, n_blocks: int, *, total_rows: int =
     contiguous blocks (by row, even) pass ``cluster=False`` and are written
     with no shuffle.
     """
+    spark = df.sparkSession
     out = df.hint("rebalance", block_col) if cluster else df
     out.write.mode("errorifexists").partitionBy(block_col).parquet(path)
-    _write_plan(df.sparkSession, path, n_blocks, total_rows, blocks_on, 0, out.schema)
+    written = spark.read.schema(out.schema).parquet(path)
+    block_results(written, block_col).coalesce(1).write.mode("errorifexists").parquet(f"{path}/{_COUNTS}")
+    total = spark.read.parquet(f"{path}/{_COUNTS}").agg(F.sum("n_rows")).first()[0] or 0
+    _write_plan(spark, path, n_blocks, total, blocks_on, 0, out.schema)
     return path
 
 
@@ -127,13 +133,9 @@ def read_landing(spark: SparkSession, path: str, block_ids: Sequence[int] | None
         # Range partitions that overlap the positions of the wanted blocks,
         # from the offsets table (one row per partition, read once per plan).
         if "_parts" not in plan:
-            plan["_parts"] = [(r["_p"], r["_off"], r["_n"]) for r in offsets.select("_p", "_off", "_n").collect()]
-        spans = [ntile_range(n, k, b) for b in ids if 1 <= b <= k]
-        parts = sorted(p for p, off, cnt in plan["_parts"] if any(off < e and off + cnt > s for s, e in spans))
-        rows = rows.filter(F.col("_p").isin(parts))
-    n_parts = int(plan["n_parts"] or 0)
-    o = offsets.select("_p", "_first", "_off")
-    o = (F.broadcast(o) if n_parts <= broadcast_row_limit(spark, o.schema) else o).alias("_o")
+            plan["_parts"] = sorted((r["_off"], r["_n"], r["_p"]) for r in offsets.select("_off", "_n", "_p").collect())
+        rows = rows.filter(F.col("_p").isin(overlapping(plan["_parts"], [ntile_range(n, k, b) for b in ids if 1 <= b <= k])))
+    o = offsets.select("_p", "_first", "_off").alias("_o")  # a stored table: Spark knows its size
     j = rows.join(o, rows["_p"] == o["_p"], "inner")
     data = [c for c in rows.columns if c not in ("_rid", "_p")]
     out = j.select(*[rows[c] for c in data],
@@ -141,10 +143,23 @@ def read_landing(spark: SparkSession, path: str, block_ids: Sequence[int] | None
     return out.filter(F.col(BLOCK_COL).isin(ids)) if ids is not None else out
 
 
+def overlapping(parts: Sequence[tuple[int, int, int]], spans: Sequence[tuple[int, int]]) -> list[int]:
+    """Partitions (offset, rows, number; by offset) that hold positions of the
+    spans [start, end)."""
+    found = set()
+    for start, end in spans:
+        i = max(0, bisect.bisect_right(parts, (start, float("inf"), 0)) - 1)
+        while i < len(parts) and parts[i][0] < end:
+            if parts[i][0] + parts[i][1] > start:
+                found.add(parts[i][2])
+            i += 1
+    return sorted(found)
+
+
 def block_sizes(spark: SparkSession, path: str, block_ids: Sequence[int], *, plan: dict | None = None) -> DataFrame:
     """(block_id, n_rows) of some blocks of a complete landing. Row layout:
-    exact arithmetic on the counted rows (NTILE sizes); block layout: a count
-    over the pruned block folders."""
+    exact arithmetic on the counted rows (NTILE sizes); block layout: the
+    counts stored with the landing."""
     plan = plan or landing_plan(spark, path)
     if plan is None:
         raise ValueError(f"no complete landing at {path}")
@@ -154,17 +169,21 @@ def block_sizes(spark: SparkSession, path: str, block_ids: Sequence[int], *, pla
         n, k = int(plan["total_rows"]), int(plan["n_blocks"])
         sizes = [(b, (lambda r: r[1] - r[0])(ntile_range(n, k, b)) if 1 <= b <= k else 0) for b in ids]
         return spark.createDataFrame(sizes, schema)
-    have = block_results(read_landing(spark, path, ids, plan=plan))
     want = spark.createDataFrame([(b,) for b in ids], "block_id INT")
-    return want.join(have, "block_id", "left").select(
+    return want.join(_counts(spark, path), "block_id", "left").select(
         "block_id", F.coalesce(F.col("n_rows"), F.lit(0)).cast("long").alias("n_rows"))
 
 
+def _counts(spark: SparkSession, path: str) -> DataFrame:
+    """The rows per block that were counted when the landing was written."""
+    return spark.read.schema("block_id INT, n_rows BIGINT").parquet(f"{path}/{_COUNTS}")
+
+
 def landing_state(spark: SparkSession, path: str) -> DataFrame:
     """(block_id, n_rows) for every planned block of a complete landing,
     0 for an empty block; empty if there is no complete landing. Row
-    layout: NTILE sizes of the counted rows, computed over ``range(1, k)``
-    with no scan of the rows; block layout: a count per block folder."""
+    layout: NTILE sizes of the counted rows; block layout: the counts stored
+    with the landing. Neither scans the rows."""
     schema = "block_id INT, n_rows BIGINT"
     plan = landing_plan(spark, path)
     if plan is None:
@@ -175,8 +194,7 @@ def landing_state(spark: SparkSession, path: str) -> DataFrame:
         q, m = divmod(int(plan["total_rows"]), k)
         size = F.when(F.col("block_id") <= m, F.lit(q + 1)).otherwise(F.lit(q))
         return blocks.select("block_id", size.cast("long").alias("n_rows"))
-    counts = block_results(read_landing(spark, path, plan=plan))
-    j = blocks.join(counts, "block_id", "left")
+    j = blocks.join(_counts(spark, path), "block_id", "left")
     return j.select(F.col("block_id"), F.coalesce(F.col("n_rows"), F.lit(0)).cast("long").alias("n_rows"))
 
 

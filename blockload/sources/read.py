@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.utils import AnalysisException
 
 
 def is_path(ref: str) -> bool:
@@ -18,14 +17,3 @@ def read_source(spark: SparkSession, ref: str, fmt: str | None = None, **options
     if fmt is None and not is_path(ref):
         return spark.table(ref)
     return spark.read.format(fmt or "parquet").options(**options).load(ref)
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a file or folder is at ``path`` (a listing, no data read)."""
-    try:
-        spark.read.format("text").load(path)
-        return True
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return False
-        raise

@@ -17,6 +17,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 from collections.abc import Mapping, Sequence
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,15 +25,30 @@ from pyspark.sql import types as T
 
 from blockload.config import ATTEMPT_COL, BLOCK_COL, RUN_COL, SUCCESS, LoadConfig
 from blockload.functions.target_types import to_target_values
-from blockload.sources.read import path_exists
+from blockload.operators.ledger import ledger_state, read_ledger
+from blockload.session import path_exists, remove_path
+
+
+def encoded(part: str) -> str:
+    """A name as one folder or key part: letters, digits, ``_``, ``-`` and ``.``
+    stay, every other byte becomes ``~`` and two hex digits."""
+    return quote(part, safe="").replace("~", "%7E").replace("%", "~")
 
 
 def run_key(process_name: str, scope: str, run_date: dt.date) -> str:
-    return f"{process_name}:{scope}:{run_date.isoformat()}"
+    """One key for each (process, scope, date): ``~~`` is in no encoded part."""
+    return f"{encoded(process_name)}~~{encoded(scope)}~~{run_date.isoformat()}"
+
+
+def _encoded_col(c: Column) -> Column:
+    out = F.url_encode(c)
+    for a, b in (("%", "~"), ("+", "~20"), ("*", "~2A")):
+        out = F.replace(out, F.lit(a), F.lit(b))
+    return out
 
 
 def run_key_col(process: Column, scope: Column, run_date: Column) -> Column:
-    return F.concat_ws(":", process, scope, F.date_format(run_date, "yyyy-MM-dd"))
+    return F.concat_ws("~~", _encoded_col(process), _encoded_col(scope), F.date_format(run_date, "yyyy-MM-dd"))
 
 
 def _jdbc_writer_options(cfg: LoadConfig) -> dict[str, str]:
@@ -55,108 +71,126 @@ def _attempt_of(block: Column, attempts: Mapping[int, int]) -> Column:
     return F.element_at(F.create_map(*pairs), block) if pairs else F.lit(0)
 
 
-def with_faults(df: DataFrame, cfg: LoadConfig, attempts: Mapping[int, int], block_col: str = BLOCK_COL) -> DataFrame:
-    """Testing hook: make the tasks of a block raise while its attempt number
-    is within ``cfg.fault_blocks[block]``."""
-    failing = sorted(b for b, a in attempts.items() if a <= cfg.fault_blocks.get(b, 0))
-    if not failing:
-        return df
-    boom = F.when(F.col(block_col).isin(failing),
-                  F.raise_error(F.concat(F.lit("injected failure in block "), F.col(block_col).cast("string"))))
-    return df.filter(boom.isNull())
-
-
 def load_blocks(blocks: DataFrame, block_ids: Sequence[int], cfg: LoadConfig, key: str,
                 attempts: Mapping[int, int], *, block_col: str = BLOCK_COL) -> DataFrame:
     """Write the blocks ``block_ids`` of ``blocks`` (a frame with a block
     column) to the target as one Spark job. Returns, lazily, the rows per
     block now in the target for this run (and attempt): (block_id, n_rows)."""
+    spark = blocks.sparkSession
     ids = sorted({int(b) for b in block_ids})
     part = blocks.filter(F.col(block_col).isin(ids))
     data_cols = [c for c in part.columns if c != block_col]
     part = to_target_values(part.select(*data_cols, F.col(block_col).alias(BLOCK_COL)))
-    part = with_faults(part, cfg, attempts)
+    if cfg.target_format == "jdbc" and cfg.plain_append:
+        part.drop(BLOCK_COL).write.format("jdbc").options(**_jdbc_writer_options(cfg)).mode("append").save()
+        # Nothing in the table tells these rows from others: what was sent counts.
+        return part.groupBy(F.col(BLOCK_COL).alias("block_id")).agg(F.count(F.lit(1)).alias("n_rows"))
     out = part.withColumn(RUN_COL, F.lit(key))
     if cfg.target_format == "jdbc":
         out = out.withColumn(ATTEMPT_COL, _attempt_of(F.col(BLOCK_COL), attempts).cast("int"))
         out.write.format("jdbc").options(**_jdbc_writer_options(cfg)).mode("append").save()
     else:
+        _record_schema(spark, cfg.target, out.schema)
+        for b in ids:  # a repeat that has no rows would leave the last try's behind
+            if attempts.get(b, 1) > 1:
+                remove_path(spark, _block_path(cfg.target, key, b))
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(RUN_COL, BLOCK_COL).parquet(cfg.target))
-        _ensure_schema_record(blocks.sparkSession, cfg.target, out.schema)
-    return written_counts(blocks.sparkSession, cfg, key, ids, attempts)
+    return written_counts(spark, cfg, key, ids, attempts)
 
 
-_SCHEMA_RECORD = "_schema"
+def _block_path(target: str, key: str, block: int) -> str:
+    return f"{target}/{RUN_COL}={key}/{BLOCK_COL}={block}"
 
 
-# Schema records already read or written by this driver, by target path.
-_KNOWN_SCHEMAS: dict[str, T.StructType] = {}
+_SCHEMA_RECORD = "_schema"
 
 
-def _ensure_schema_record(spark: SparkSession, target: str, schema: T.StructType) -> None:
+def _record_schema(spark: SparkSession, target: str, schema: T.StructType) -> None:
     """Keep the target's schema beside its data (a hidden folder Spark does
     not read as data): blocks with no rows write no file, and a target of
-    empty blocks must still read with its columns."""
-    if _target_schema(spark, target) is None:
-        (spark.createDataFrame([(schema.json(),)], "schema STRING").coalesce(1)
-         .write.mode("overwrite").json(f"{target}/{_SCHEMA_RECORD}"))
-        _KNOWN_SCHEMAS[target] = schema
+    empty blocks must still read with its columns. Columns that a run adds are
+    added to the record; a column with another type than before raises, since
+    the target could not be read any more."""
+    known = _target_schema(spark, target)
+    fields = {f.name: f for f in known.fields} if known else {}
+    for f in schema.fields:
+        if f.name in fields and fields[f.name].dataType != f.dataType:
+            raise ValueError(f"column {f.name} is {f.dataType.simpleString()} here and "
+                             f"{fields[f.name].dataType.simpleString()} in the target")
+    merged = T.StructType([*(known.fields if known else []),
+                           *[T.StructField(f.name, f.dataType) for f in schema.fields if f.name not in fields]])
+    if known is None or len(merged) > len(known):
+        (spark.createDataFrame([(len(merged), merged.json())], "width INT, schema STRING").coalesce(1)
+         .write.mode("append").json(f"{target}/{_SCHEMA_RECORD}"))
 
 
 def _target_schema(spark: SparkSession, target: str) -> T.StructType | None:
-    if target in _KNOWN_SCHEMAS:
-        return _KNOWN_SCHEMAS[target]
-    if not path_exists(spark, f"{target}/{_SCHEMA_RECORD}/_SUCCESS"):
-        return None
-    row = spark.read.schema("schema STRING").json(f"{target}/{_SCHEMA_RECORD}").first()
-    if row is None:
+    """The latest record: records only ever widen."""
+    if not path_exists(spark, f"{target}/{_SCHEMA_RECORD}"):
         return None
-    _KNOWN_SCHEMAS[target] = T.StructType.fromJson(json.loads(row["schema"]))
-    return _KNOWN_SCHEMAS[target]
+    row = (spark.read.schema("width INT, schema STRING").json(f"{target}/{_SCHEMA_RECORD}")
+           .orderBy(F.desc("width")).first())
+    return T.StructType.fromJson(json.loads(row["schema"])) if row else None
 
 
-def _read_target_raw(spark: SparkSession, cfg: LoadConfig, **extra: str) -> DataFrame:
-    if cfg.target_format == "jdbc":
-        opts = dict(cfg.jdbc_options)
+def _read_jdbc(spark: SparkSession, cfg: LoadConfig, **extra: str) -> DataFrame:
+    opts = {k: v for k, v in cfg.jdbc_options.items() if not (k == "dbtable" and "query" in extra)}
+    if "query" not in extra:
         opts.setdefault("dbtable", cfg.target)
-        opts.update(extra)
-        return spark.read.format("jdbc").options(**opts).load()
-    schema = _target_schema(spark, cfg.target)
-    return (spark.read.schema(schema) if schema else spark.read).parquet(cfg.target)
+    return spark.read.format("jdbc").options(**(opts | extra)).load()
+
+
+def _read_parquet(spark: SparkSession, target: str, paths: Sequence[str] = ()) -> DataFrame:
+    schema = _target_schema(spark, target)
+    reader = (spark.read.schema(schema) if schema else spark.read).option("basePath", target)
+    return reader.parquet(*(paths or [target]))
+
+
+def jdbc_count_query(spark: SparkSession, cfg: LoadConfig, key: str, attempts: Mapping[int, int]) -> str:
+    """Rows per block of these attempts, counted in the database. The key and
+    the numbers are of a closed alphabet; names are quoted by the dialect."""
+    dialect = spark.sparkContext._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(cfg.jdbc_options["url"])
+    run, block, attempt = (dialect.quoteIdentifier(c) for c in (RUN_COL, BLOCK_COL, ATTEMPT_COL))
+    tries = " OR ".join(f"({block} = {int(b)} AND {attempt} = {int(a)})" for b, a in sorted(attempts.items()))
+    table = cfg.jdbc_options.get("dbtable", cfg.target)
+    return (f"SELECT {block} AS block_id, COUNT(*) AS n_rows FROM {table} "
+            f"WHERE {run} = '{key}' AND ({tries}) GROUP BY {block}")
 
 
 def written_counts(spark: SparkSession, cfg: LoadConfig, key: str, block_ids: Sequence[int],
                    attempts: Mapping[int, int]) -> DataFrame:
-    """Rows per block of this run in the target, counted on what is there
-    (partition-pruned for Parquet, a pushed-down filter for JDBC)."""
+    """Rows per block of this run in the target, counted on what is there: only
+    the folders of these blocks are listed, or the database counts."""
     ids = [int(b) for b in block_ids]
     if cfg.target_format == "jdbc":
-        # The filter (run, and block = b AND attempt = a per block) runs in the
-        # database; only the block number of each matching row comes back
-        # (and the count too, where the source can push aggregates down).
-        t = _read_target_raw(spark, cfg, pushDownAggregate="true")
-        hit = F.lit(False)
-        for b in ids:
-            hit = hit | ((F.col(BLOCK_COL) == F.lit(b)) & (F.col(ATTEMPT_COL) == F.lit(int(attempts[b]))))
-        t = t.filter((F.col(RUN_COL) == F.lit(key)) & hit)
-        counts = t.groupBy(BLOCK_COL).agg(F.count(F.lit(1)).alias("n_rows"))
-        return counts.select(F.col(BLOCK_COL).cast("int").alias("block_id"), F.col("n_rows").cast("long"))
-    t = _read_target_raw(spark, cfg).filter((F.col(RUN_COL) == F.lit(key)) & F.col(BLOCK_COL).isin(ids))
+        t = _read_jdbc(spark, cfg, query=jdbc_count_query(spark, cfg, key, {b: attempts[b] for b in ids}))
+        return t.toDF("block_id", "n_rows").select(F.col("block_id").cast("int"), F.col("n_rows").cast("long"))
+    paths = [p for p in (_block_path(cfg.target, key, b) for b in ids) if path_exists(spark, p)]
+    if not paths:
+        return spark.createDataFrame([], "block_id INT, n_rows BIGINT")
+    t = _read_parquet(spark, cfg.target, paths)
     return t.groupBy(F.col(BLOCK_COL).cast("int").alias("block_id")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def target_view(spark: SparkSession, cfg: LoadConfig, state: DataFrame | None = None) -> DataFrame:
-    """What a reader of the target sees: source columns only. For JDBC, only
-    rows of attempts the ledger ``state`` holds as SUCCESS."""
-    t = _read_target_raw(spark, cfg)
+    """What a reader of the target sees: source columns only, of blocks that
+    the ledger ``state`` (by default that of ``cfg.ledger_path``) holds as
+    SUCCESS; for JDBC, only the attempt that succeeded."""
+    if state is None:
+        if not cfg.ledger_path:
+            raise ValueError("a target is read through its ledger: give the state or cfg.ledger_path")
+        state = ledger_state(read_ledger(spark, cfg.ledger_path))
+    ok = state.filter(F.col("status") == SUCCESS).select(
+        run_key_col(F.col("process_name"), F.col("scope"), F.col("run_date")).alias("_k"),
+        F.col("block_id").alias("_b"), F.col("attempt").alias("_a"))
     if cfg.target_format == "jdbc":
-        if state is None:
-            raise ValueError("a JDBC target is read through the ledger state")
-        ok = state.filter(F.col("status") == SUCCESS).select(
-            run_key_col(F.col("process_name"), F.col("scope"), F.col("run_date")).alias("_k"),
-            F.col("block_id").alias("_b"), F.col("attempt").alias("_a"))
+        last = state.agg(F.max("block_id")).first()[0] or 1
+        t = _read_jdbc(spark, cfg, partitionColumn=BLOCK_COL, lowerBound="1", upperBound=str(last + 1),
+                       numPartitions=str(max(1, cfg.max_connections)))
         t = t.join(ok, (t[RUN_COL] == ok["_k"]) & (t[BLOCK_COL] == ok["_b"]) & (t[ATTEMPT_COL] == ok["_a"]),
                    "left_semi")
         return t.drop(RUN_COL, BLOCK_COL, ATTEMPT_COL)
+    t = _read_parquet(spark, cfg.target)
+    t = t.join(ok, (t[RUN_COL] == ok["_k"]) & (t[BLOCK_COL] == ok["_b"]), "left_semi")
     return t.drop(RUN_COL, BLOCK_COL)

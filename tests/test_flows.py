@@ -9,11 +9,12 @@ from blockload.config import LoadConfig
 from blockload.operators import blocks as B
 from blockload.operators import ledger as L
 from blockload.plans.flows import (load_direct, load_landed, load_preblocked, load_preblocked_with_retry, run_load,
-                                   run_load_with_retry, with_paths)
+                                   run_load_with_retry, with_paths, with_retry)
 from blockload.plans.routines import Routine, register_routine, run_routine
 from blockload.session import new_path
 from blockload.sources.landing import find_landing, write_landing
-from blockload.sources.target import target_view
+from blockload.sources.target import load_blocks, run_key, run_key_col, target_view
+from blockload.testing import failing_blocks
 
 DAY = dt.date(2024, 2, 2)
 
@@ -38,16 +39,17 @@ def _state(spark, cfg):
 
 def test_landed_resume_after_fault(spark, tables):
     o = tables("orders")
-    cfg = _cfg(spark, block_key="o_custkey", blocks_on="keys", block_size=300, fault_blocks={2: 3})
-    first = load_landed(o, cfg, 1500, 5)
+    cfg = _cfg(spark, block_key="o_custkey", blocks_on="keys", block_size=300)
+    with failing_blocks({2: 100}):
+        first = load_landed(o, cfg, 1500, 5)
     assert not first.success and first.failed_blocks == 1 and first.ok_blocks == 4
     assert first.error.startswith("block 2: ") and "injected failure" in first.error
     st = _state(spark, cfg)
-    assert st[2]["status"] == "FAILED" and st[2]["attempt"] == 3 and "injected" in st[2]["error_message"]
+    assert st[2]["status"] == "FAILED" and "injected" in st[2]["error_message"]
     second = load_landed(o, cfg, 1500, 5)
     assert second.success and second.landing == first.landing  # landing reused, not rewritten
     st2 = _state(spark, cfg)
-    assert st2[2]["attempt"] == 4
+    assert st2[2]["attempt"] == st[2]["attempt"] + 1
     assert all(st2[b]["seq"] == st[b]["seq"] for b in (1, 3, 4, 5))  # done blocks untouched (D11)
     _same(target_view(spark, cfg), o)
 
@@ -73,18 +75,20 @@ def test_null_keys_are_loaded(spark, tables):
 def test_run_load_with_retry_by_rows(spark, tables):
     ev = tables("events")
     cfg = _cfg(spark, threshold=500, block_size=200, blocks_on="rows", order_cols=["event_id"],
-               fault_blocks={4: 4}, block_retries=1)
-    res = run_load_with_retry(ev, cfg)
+               block_retries=1)
+    with failing_blocks({4: 6}):
+        res = run_load_with_retry(ev, cfg)
     assert res.success and res.total_blocks == 5
-    assert _state(spark, cfg)[4]["attempt"] == 5
+    assert _state(spark, cfg)[4]["attempt"] == 7
     want = ev.withColumn("ts", F.date_trunc("millisecond", "ts").cast("timestamp_ntz"))
     _same(target_view(spark, cfg), want)
 
 
 def test_retry_gives_up_after_max_retries(spark, tables):
-    cfg = _cfg(spark, threshold=0, block_size=500, blocks_on="even", fault_blocks={1: 100}, max_retries=1,
+    cfg = _cfg(spark, threshold=0, block_size=500, blocks_on="even", max_retries=1,
                block_retries=0)
-    res = run_load_with_retry(tables("orders"), cfg)
+    with failing_blocks({1: 100}):
+        res = run_load_with_retry(tables("orders"), cfg)
     assert not res.success and res.needs_retry and res.failed_blocks == 1 and res.ok_blocks == 2
 
 
@@ -94,14 +98,150 @@ def test_invalid_request_is_not_retried(spark, tables):
         run_load_with_retry(tables("orders"), cfg)
 
 
-def test_direct_load_repeat_does_not_duplicate(spark, tables):
+def test_second_load_of_a_day_is_refused(spark, tables):
+    """A complete run is not taken up again: other rows would be skipped with
+    success."""
+    c = tables("customer")
+    for kw in (dict(), dict(threshold=0, blocks_on="even", block_size=60)):
+        cfg = _cfg(spark, **kw)
+        assert run_load(c.filter("c_custkey <= 40"), cfg).success
+        with pytest.raises(ValueError, match="already holds a run"):
+            run_load_with_retry(c.filter("c_custkey > 40"), cfg)
+        assert run_load(c.filter("c_custkey > 40"), cfg.replace(run_date=DAY + dt.timedelta(days=1))).success
+        _same(target_view(spark, cfg), c)
+
+
+def test_repeated_direct_block_does_not_duplicate(spark, tables):
     c = tables("customer")
     cfg = _cfg(spark)
-    assert run_load(c, cfg).success  # 150 rows < threshold: DIRECT
-    assert load_direct(c, cfg.replace(run_date=DAY)).success
+    with failing_blocks({1: 2}):
+        assert load_direct(c, cfg).success
     _same(target_view(spark, cfg), c)
 
 
+def test_a_pass_that_raises_is_repeated(spark, tables):
+    calls = []
+
+    def run(cfg):
+        calls.append(1)
+        if len(calls) < 3:
+            raise RuntimeError("the cluster went away")
+        return run_load(tables("customer"), cfg)
+
+    cfg = _cfg(spark)
+    res = with_retry(run, cfg)
+    assert res.is_complete and len(calls) == 3
+
+    def never(cfg):
+        raise RuntimeError("gone")
+
+    res = with_retry(never, cfg)
+    assert not res.success and not res.is_complete and res.needs_retry and "gone" in res.error
+
+
+def test_hopeless_run_is_given_up(spark, tables):
+    cfg = _cfg(spark, threshold=0, blocks_on="even", block_size=300, wave_size=2, block_retries=1)
+    tries = {b: 1000 for b in range(1, 6)}
+    with failing_blocks(tries):
+        res = run_load_with_retry(tables("orders"), cfg)
+    assert res.is_hopeless and res.failed_blocks == 2 and res.pending_blocks == 3
+    assert max(r["attempt"] for r in _state(spark, cfg).values()) <= 3
+
+
+def test_one_bad_block_costs_one_pause_a_round(spark, tables, monkeypatch):
+    pauses = []
+    monkeypatch.setattr("blockload.plans.flows._pause", pauses.append)
+    cfg = _cfg(spark, threshold=0, blocks_on="even", block_size=100, retry_delay_s=5.0, block_retries=2)
+    with failing_blocks({7: 1000}):
+        res = run_load(tables("orders"), cfg)
+    assert (res.ok_blocks, res.failed_blocks) == (14, 1) and pauses == [5.0, 10.0]
+
+
+def test_run_keys_and_landings_do_not_collide(spark, tables):
+    c = tables("customer")
+    target = new_path(spark, "target")
+    cfg = _cfg(spark, target=target, process_name="a:b", scope="c")
+    other = cfg.replace(process_name="a", scope="b:c")
+    assert run_load(c.filter("c_custkey <= 100"), cfg).success and run_load(c.filter("c_custkey > 100"), other).success
+    _same(target_view(spark, cfg), c)
+    one = _cfg(spark, target=target, process_name="a b", threshold=0, blocks_on="even", block_size=50)
+    two = one.replace(process_name="a_b")
+    assert run_load(c, one).landing != run_load(c, two).landing
+    names = [("a:b", "c"), ("a", "b:c"), ("é~ *+%", "x/y"), ("..", "-_.")]
+    df = spark.createDataFrame([(p, s, DAY) for p, s in names], "p string, s string, d date")
+    keys = [r[0] for r in df.select(run_key_col(F.col("p"), F.col("s"), F.col("d"))).collect()]
+    assert keys == [run_key(p, s, DAY) for p, s in names] and len(set(keys)) == 4
+
+
+def test_changed_input_is_not_landed_short(spark, tables):
+    """The landing must hold as many rows as were counted."""
+    cfg = _cfg(spark, blocks_on="even", block_size=500)
+    with pytest.raises(RuntimeError, match="holds 1500 rows"):
+        load_landed(tables("orders"), cfg, 1400, 3)
+    assert L.read_runs(spark, cfg.ledger_path).count() == 0
+
+
+def test_explicit_run_date_is_the_only_one_loaded(spark, tables):
+    c = tables("customer")
+    cfg = _cfg(spark)
+    with failing_blocks({1: 100}):
+        assert not run_load(c.filter("c_custkey <= 50"), cfg).success
+    later = cfg.replace(run_date=DAY + dt.timedelta(days=1))
+    res = run_load(c.filter("c_custkey > 50"), later)
+    assert res.success and res.run_date == later.run_date and res.rows_loaded == c.filter("c_custkey > 50").count()
+    res = run_load(c.filter("c_custkey <= 50"), cfg.replace(run_date=None))
+    assert res.success and res.run_date == DAY
+    _same(target_view(spark, cfg), c)
+
+
+def test_resume_follows_the_flow_of_the_run(spark, tables):
+    c = tables("customer").limit(100)
+    cfg = _cfg(spark, threshold=100, block_size=25, blocks_on="even")
+    with failing_blocks({3: 100}):
+        assert not run_load(c, cfg).success
+    res = run_load(c.limit(99), cfg)
+    assert res.success and res.total_blocks == 4 and res.rows_loaded == 100
+    with pytest.raises(ValueError):
+        run_load(c, cfg.replace(target=""))
+
+
+def test_rows_outside_the_planned_blocks_are_refused(spark, tables):
+    ev = tables("events").withColumn("BLOCK", F.when(F.col("event_id") % 100 > 0, F.col("event_id") % 4 + 1))
+    for kind in ("int", "bigint", "string"):
+        src = new_path(spark, "pre")
+        ev.withColumn("BLOCK", F.col("BLOCK").cast(kind)).write.parquet(src)
+        with pytest.raises(ValueError, match="^10 rows"):
+            load_preblocked(spark, src, 4, "BLOCK", ["event_id"], _cfg(spark))
+
+
+def test_target_takes_added_columns_and_refuses_other_types(spark, tables):
+    c = tables("customer").select("c_custkey", "c_name")
+    cfg = _cfg(spark)
+    assert run_load(c.limit(10), cfg).success
+    more = cfg.replace(run_date=DAY + dt.timedelta(days=1))
+    assert run_load(tables("customer").select("c_custkey", "c_acctbal").limit(5), more).success
+    view = target_view(spark, cfg)
+    assert sorted(view.columns) == ["c_acctbal", "c_custkey", "c_name"] and view.count() == 15
+    bad = cfg.replace(run_date=DAY + dt.timedelta(days=2), block_retries=0, max_retries=0)
+    res = run_load(c.withColumn("c_custkey", F.col("c_custkey").cast("string")), bad)
+    assert not res.success and "c_custkey is string" in res.error
+
+
+def test_view_hides_unfinished_blocks_and_empty_repeats_clear(spark, tables):
+    o = tables("orders").limit(100)
+    cfg = _cfg(spark, blocks_on="even", block_size=50, block_retries=0)
+    with failing_blocks({2: 100}):
+        assert not load_landed(o, cfg, 100, 2).success
+    done = target_view(spark, cfg).count()
+    L.ledger_record(spark, cfg.ledger_path, L.block_events(
+        spark.createDataFrame([(1,)], "block_id int"), "t", "s", DAY, "RUNNING", 9))
+    assert done == 50 and target_view(spark, cfg).count() == 0
+    empty = o.limit(0).withColumn("_block", F.lit(1))
+    key = run_key("t", "s", DAY)
+    counts = load_blocks(empty, [1], cfg, key, {1: 10})
+    assert counts.collect() == []
+
+
 def test_force_new_run_on_a_day_with_a_run_raises(spark, tables):
     c = tables("customer")
     cfg = _cfg(spark)
@@ -115,8 +255,9 @@ def test_preblocked_by_name_and_path(spark, tables):
     src = new_path(spark, "pre")
     ev.withColumn("BLOCK", (F.col("event_id") % 4 + 1).cast("int")).write.partitionBy("BLOCK").parquet(src)
     cols = ["EVENT_ID", "user_id", "value"]
-    cfg = _cfg(spark, fault_blocks={3: 3}, block_retries=2)
-    res = load_preblocked_with_retry(spark, src, 4, "block", cols + ["block"], cfg)
+    cfg = _cfg(spark, block_retries=2)
+    with failing_blocks({3: 8}):
+        res = load_preblocked_with_retry(spark, src, 4, "block", cols + ["block"], cfg)
     assert res.success
     _same(target_view(spark, cfg), ev.select("event_id", "user_id", "value"))
     spark.read.parquet(src).createOrReplaceTempView("preblocked_events")
@@ -160,29 +301,46 @@ def test_routine_out_values_results_and_failure(spark, tables):
         run_routine(spark, "unknown", {})
 
 
-def test_lost_landing_with_progress_raises(spark, tables):
-    """Blocks already loaded and no complete landing: raise, do not
-    re-block the input."""
+def test_routine_binds_and_runs_before_it_is_ok(spark, tables):
+    tables("orders").createOrReplaceTempView("orders_b")
+    text = "SELECT date_format(o_orderdate, 'HH:mm:ss') AS t, o_orderkey::string AS k FROM orders_b WHERE o_orderkey < :n"
+    res = run_routine(spark, Routine("times", results=[text]), {"n": 100, "unused": 1}, retries=0)
+    assert res.ok and res.result_sets[0].count() == tables("orders").filter("o_orderkey < 100").count()
+    boom = run_routine(spark, Routine("boom", results=["SELECT raise_error('boom') AS x"]), {}, retries=1, delay_s=0.0)
+    assert not boom.ok and boom.return_code == -1 and "boom" in boom.error
+    with pytest.raises(Exception, match="UNBOUND"):
+        run_routine(spark, Routine("unbound", results=["SELECT :missing AS x"]), {}, retries=3, delay_s=60.0)
+
+
+def test_routine_time_limit(spark):
+    slow = Routine("slow", results=["SELECT java_method('java.lang.Thread', 'sleep', id * 0 + 20000L) AS x FROM range(1)"])
+    res = run_routine(spark, slow, {}, retries=0, timeout_s=2.0)
+    assert not res.ok and res.ms < 19_000
+
+
+def test_lost_landing_raises(spark, tables):
+    """An open run whose landing is gone raises; the input is not blocked
+    anew."""
     o = tables("orders")
     cfg = _cfg(spark, block_key="o_custkey", blocks_on="keys", block_size=500)
-    assert load_landed(o, cfg, 1500, 3).success
-    moved = cfg.replace(landing_path=new_path(spark, "landing"))  # the landing is gone from where it was
+    L.ensure_ledger(spark, cfg.ledger_path)
+    L.begin_run(spark, cfg.ledger_path, "t", "s", DAY, "LANDING", 3, 1500, new_path(spark, "gone"))
     with pytest.raises(ValueError, match="no complete landing"):
-        load_landed(o, moved, 1500, 3)
+        load_landed(o, cfg, 1500, 3)
 
 
-def test_landing_is_rewritten_only_without_progress(spark, tables):
-    """As the reference: a run with nothing tried blocks the current input
-    afresh (next attempt folder); once a block was tried, the landing stays."""
+def test_landing_is_kept_once_its_run_began(spark, tables):
+    """A landing without a run record was never loaded and is left alone;
+    a run keeps its landing even if no block was loaded."""
     o = tables("orders")
-    cfg = _cfg(spark, block_key="o_custkey", blocks_on="keys", block_size=500, fault_blocks={1: 10, 2: 10, 3: 10},
-               block_retries=0)
-    first = load_landed(o, cfg, 1500, 3)
+    cfg = _cfg(spark, block_key="o_custkey", blocks_on="keys", block_size=500, block_retries=0)
+    with failing_blocks({1: 100, 2: 100, 3: 100}):
+        first = load_landed(o, cfg, 1500, 3)
     assert first.ok_blocks == 0 and first.failed_blocks == 3
-    second = load_landed(o, cfg.replace(fault_blocks={}), 1500, 3)
-    assert second.success and second.landing == first.landing  # blocks were tried: same landing
+    second = load_landed(o, cfg, 1500, 3)
+    assert second.success and second.landing == first.landing
     fresh = _cfg(spark, block_key="o_custkey", blocks_on="keys", block_size=500)
-    root = f"{fresh.landing_path}/t/s/{DAY.isoformat()}"
+    root = f"{fresh.landing_path}/p-t/s-s/{DAY.isoformat()}"
     write_landing(B.blocks_even(o, 3), f"{root}/a1", 3, blocks_on="even", cluster=False)  # complete, never loaded
     res = load_landed(o, fresh, 1500, 3)
     assert res.success and res.landing.endswith("/a2")
@@ -208,8 +366,9 @@ def test_resume_takes_block_count_from_landing(spark, tables):
     """A resumed run keeps the landing's blocks, whatever a new count
     would say."""
     o = tables("orders")
-    cfg = _cfg(spark, block_key="o_custkey", blocks_on="keys", block_size=300, fault_blocks={4: 3})
-    first = load_landed(o, cfg, 1500, 5)
+    cfg = _cfg(spark, block_key="o_custkey", blocks_on="keys", block_size=300)
+    with failing_blocks({4: 100}):
+        first = load_landed(o, cfg, 1500, 5)
     assert not first.success and first.total_blocks == 5
     second = load_landed(o, cfg, 2700, 9)  # the input "grew": the run still has its 5 blocks
     assert second.success and second.total_blocks == 5
@@ -231,10 +390,12 @@ def test_names_with_quotes_and_slashes(spark, tables):
 def test_resume_from_compacted_ledger(spark, tables):
     """Compaction between runs keeps what resume needs: states and attempts."""
     o = tables("orders")
-    cfg = _cfg(spark, block_key="o_custkey", blocks_on="keys", block_size=500, fault_blocks={2: 3})
-    assert not load_landed(o, cfg, 1500, 3).success
+    cfg = _cfg(spark, block_key="o_custkey", blocks_on="keys", block_size=500)
+    with failing_blocks({2: 100}):
+        assert not load_landed(o, cfg, 1500, 3).success
+    tried = _state(spark, cfg)[2]["attempt"]
     compact = L.compact_ledger(spark, cfg.ledger_path, new_path(spark, "ledger"))
     res = load_landed(o, cfg.replace(ledger_path=compact), 1500, 3)
     assert res.success
-    assert L.ledger_state(L.read_ledger(spark, compact)).filter("block_id = 2").first()["attempt"] == 4
-    _same(target_view(spark, cfg), o)
+    assert L.ledger_state(L.read_ledger(spark, compact)).filter("block_id = 2").first()["attempt"] == tried + 1
+    _same(target_view(spark, cfg.replace(ledger_path=compact)), o)

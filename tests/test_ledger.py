@@ -1,9 +1,11 @@
 """Ledger events, state, plan, merge."""
 
+import dataclasses
 import datetime as dt
 
 from pyspark.sql import functions as F
 
+from blockload.config import RunResult
 from blockload.operators import ledger as L
 from blockload.session import new_path
 
@@ -96,7 +98,12 @@ def test_compact_ledger_keeps_the_state(spark):
 
 
 def test_run_result_summary():
-    from blockload.config import RunResult
-    r = RunResult(False, 5, 4, 1, 0, 100, "block 2: boom", DAY, "p", "s", 2.0)
-    assert r.needs_retry and not r.is_complete and r.rows_per_s == 50.0
-    assert r.summary().startswith("PARTIAL, RETRY | p/s 2024-05-01") and r.summary().endswith("block 2: boom")
+    ok = RunResult(True, 5, 5, 0, 0, 100, None, dt.date(2024, 5, 1), "p", "s", 2.0)
+    assert ok.is_complete and not ok.needs_retry and ok.rows_per_s == 50.0
+    assert ok.summary() == "p/s 2024-05-01: 5 of 5 blocks; 100 rows in 2 s"
+    part = dataclasses.replace(ok, success=False, ok_blocks=4, failed_blocks=1, error="block 2: boom")
+    assert part.needs_retry and not part.is_complete and not part.is_hopeless
+    assert part.summary().endswith("; 1 failed and 0 not tried; block 2: boom")
+    none = RunResult(False, 0, 0, 0, 0, error="gone")
+    assert none.needs_retry and not none.is_complete and not none.is_hopeless
+    assert dataclasses.replace(part, ok_blocks=0, failed_blocks=2, pending_blocks=3).is_hopeless
