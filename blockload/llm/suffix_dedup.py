@@ -266,7 +266,7 @@ def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _cut(names: list[str], length: int):
+def _cut(names: list[str], length: int, over_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             spans, kept = [], []
@@ -276,6 +276,8 @@ def _cut(names: list[str], length: int):
                     runs = [(0, len(raw))]
                 else:
                     runs = merge_spans([(s["begin"], s["end"]) for s in found.as_py() or []])
+                if over_words:
+                    runs = [(b, e) for b, e in runs if len(raw[b:e].split()) > over_words]
                 parts, at = [], 0
                 for begin, end in runs:
                     parts.append(raw[at:begin])
@@ -290,10 +292,11 @@ def _cut(names: list[str], length: int):
     return run
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = LENGTH, over_words: int = 0) -> DataFrame:
     """``docs`` with ``spans`` (begin, end: the maximal runs of bytes to remove),
     ``kept`` (the remaining bytes) and ``kept_text`` (those of them that are
-    whole characters). Needs columns doc_id and text."""
+    whole characters). Needs columns doc_id and text. With ``over_words`` only
+    runs of more than so many words are removed."""
     spark = docs.sparkSession
     ship(spark)
     names = [c for c in docs.columns if c.lower() not in ("spans", "kept", "kept_text")]
@@ -331,7 +334,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     told = rows.join(each, at, "left")
     schema = T.StructType([*[docs.schema[c] for c in names], *T._parse_datatype_string(
         "spans array<struct<begin:int,end:int>>, kept binary, kept_text string").fields])
-    return told.mapInArrow(tidy(_cut(names, length)), schema)
+    return told.mapInArrow(tidy(_cut(names, length, over_words)), schema)
 
 
 def span_report(docs: DataFrame) -> DataFrame:
@@ -344,12 +347,12 @@ def span_report(docs: DataFrame) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
+def without_repeats(docs: DataFrame, length: int = LENGTH, over_words: int = 0) -> DataFrame:
     """``docs`` with the repeated runs cut out of their texts. A character cut
     in two is left out whole; n_chars, if there, is counted anew; documents of
     which nothing but white space is left are dropped, others are kept."""
     plain, restored = sheltered(docs, "doc_id", "text", "n_chars")
-    cut = repeated_spans(plain)
+    cut = repeated_spans(plain, length, over_words)
     changed = F.size("spans") > 0
     kept = cut.where(~changed | F.col("kept_text").rlike(r"\S"))
     text = F.when(changed, F.col("kept_text")).otherwise(F.col("text"))

@@ -103,6 +103,20 @@ def test_repeated_spans_in_a_long_text(spark):
     assert (got.n_removed, got.n_spans) == (1000, 2)
 
 
+def test_only_long_passages_go(spark):
+    rnd = random.Random(2)
+
+    def words(n):
+        return " ".join("".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+
+    long, short = words(60), words(45)
+    rows = [(i, f"{words(40)} {long if i < 2 else short} {words(40)}", None, None, None) for i in range(4)]
+    out = {r.doc_id: r.text for r in suffix_dedup.without_repeats(
+        spark.createDataFrame(rows, SCHEMA), 256, 50).collect()}
+    assert all(long not in out[i] and len(WORD.findall(out[i])) in (80, 81) for i in (0, 1))
+    assert out[2] == rows[2][1] and out[3] == rows[3][1]
+
+
 def test_columns_of_the_collection_match_a_plain_comparison():
     rnd = np.random.default_rng(0)
     columns = rnd.integers(0, 2, (14, 60)).astype(np.int16)

@@ -269,7 +269,7 @@ def test_pipeline_stages_take_effect(spark):
     one = docs.where(~F.col("doc_id").isin(list(toxic) or [-1]))
     groups = ngram_join.jaccard_components(one, 5, 80).where("doc_id = component_id or n_shingles = 0")
     two = one.join(groups.select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
-    three = suffix_dedup.without_repeats(two)
+    three = suffix_dedup.without_repeats(two, 256, 50)
     four = rows_of(mixing.mixed_documents(three).select("doc_id", "source"))
     out = corpus_pipeline.run(spark, sf)
     assert rows_of(out.select("doc_id", "source")) == four and len(four) > 100
