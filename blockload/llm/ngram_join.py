@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blockload.llm.components import components, forest
-from blockload.llm.runtime import partitions_for, pick, sheltered, ship, staged, tidy
+from blockload.llm.runtime import partitions_for, pick, release, sheltered, ship, staged, tidy, unstage
 
 WORDS = 4
 PERCENT = 85
@@ -55,7 +55,7 @@ NULL_ID = -(1 << 63)
 SETS = "doc long, text_digest long, n long, class long, other long"
 SLICES = "slice long, digests binary, classes binary, a binary, b binary"
 LINKS = "a long, b long"
-MEMBERS = "doc long, cluster long, class long, grams binary"
+MEMBERS = "cluster long, class long, m long, parts long, grams binary"
 
 # Any fixed odd numbers serve; they only have to be the same in all tasks.
 _RNG = np.random.default_rng(5)
@@ -294,20 +294,25 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _member_sets(words: int):
-    """The sets of cluster members; a row whose text is not the class's own
-    (another row with its id) gives none."""
-    names = ["doc", "cluster", "class", "grams"]
+    """The sets of cluster members, each once a task. A row whose text is not
+    the class's own gives none."""
+    names = ["cluster", "class", "m", "parts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            doc, cluster, own = (batch.column(c).to_pylist() for c in ("doc", "cluster", "class"))
+            own = batch.column("class").to_pylist()
             for first, texts in _texts(batch):
-                rows = [(doc[first + i], cluster[first + i], own[first + i], grams.tobytes())
-                        for i, grams in enumerate(gram_sets(texts, words)) if set_digest(grams)[0] == own[first + i]]
+                rows, sets = [], []
+                for i, grams in enumerate(gram_sets(texts, words), first):
+                    if own[i] not in seen and set_digest(grams)[0] == own[i]:
+                        seen.add(own[i])
+                        rows.append(i)
+                        sets.append(grams.tobytes())
                 if rows:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
-                        names=names)
+                    part = batch.take(pa.array(rows))
+                    yield pa.RecordBatch.from_arrays([*[part.column(n) for n in names], pa.array(sets, pa.binary())],
+                                                     names=[*names, "grams"])
     return run
 
 
@@ -400,7 +405,9 @@ def component_rows(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     n_slices = min(partitions_for(int((stats.grams or 0) * 0.4), SLICE_ROWS), MOST_SLICES)
     slices = rows.mapInArrow(tidy(_sliced(words, percent, n_slices)), SLICES)
     agreeing = slices.repartition(n_slices, "slice").sortWithinPartitions("slice").mapInArrow(tidy(_agreeing), LINKS)
-    links = _links(rows, classes, components(agreeing), words, percent)
+    clusters = staged(components(agreeing), "grams-clusters")
+    release(docs.sparkSession)  # the slices are not needed any more
+    links = _links(rows, classes, clusters, words, percent)
 
     found = components(links)
     named = found.join(classes.select(F.col("class").alias("node"), "least"), "node")
@@ -433,19 +440,21 @@ def _links(rows: DataFrame, classes: DataFrame, clusters: DataFrame, words: int,
     parts = F.greatest(F.ceil(F.col("m") / CHUNK), F.ceil(F.col("grams") / CHUNK_GRAMS)).cast("long")
     members = staged(members.join(size, "cluster").select("row.doc", "row.text_digest", "cluster", "class", "m",
                                                           parts.alias("parts")), "grams-members")
-    text = rows.join(members.select("doc", "text_digest", "cluster", "class"), ["doc", "text_digest"])
-    grams = text.mapInArrow(tidy(_member_sets(words)), MEMBERS).dropDuplicates(["class"])
-    spread = staged(grams.join(members.select("class", "m", "parts"), "class"), "grams-members-sets")
+    text = rows.join(members, ["doc", "text_digest"])
+    spread = staged(text.mapInArrow(tidy(_member_sets(words)), MEMBERS), "grams-members-sets")
+    release(rows.sparkSession)
     part = F.pmod(F.xxhash64("class"), F.col("parts"))
     shared = (F.col("parts") > 1) & (F.pmod(F.xxhash64(F.lit(1), "class"), F.col("m")) < SHARED)
     every = F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)
     first = spread.withColumn("part", F.explode(F.when(shared, every).otherwise(F.array(part)))).withColumn(
         "left", F.lit(True))
     links = staged(_compare(first, percent), "grams-links")
+    release(rows.sparkSession)
 
     # Large clusters: what is outside the main component meets all of the cluster.
     large = members.where("parts > 1").select("class", "cluster", "parts")
     if not large.limit(1).count():
+        unstage(spread)
         return links
     labelled = large.join(components(links).withColumnRenamed("node", "class"), "class", "left").withColumn(
         "component", F.coalesce("component", "class"))
@@ -464,6 +473,8 @@ def _links(rows: DataFrame, classes: DataFrame, clusters: DataFrame, words: int,
         "part", F.pmod(F.xxhash64(F.lit(2), "class"), F.col("groups")) * F.col("parts") + F.col("p"))
     keep = ["cluster", "part", "class", "grams", "left"]
     more = staged(_compare(column.select(*keep).unionByName(row.select(*keep)), percent), "grams-links")
+    unstage(spread)
+    release(rows.sparkSession)
     return links.unionByName(more)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import gc
 import io
 import os
 import tempfile
@@ -79,6 +80,14 @@ def staged(df: DataFrame, kind: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished jobs now. Its cleaner
+    follows the driver's garbage collection, which an idle driver may not see
+    for half an hour, while the files fill the executors' disks."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def unstage(*frames: DataFrame) -> None:
     """Remove the files of staged tables that no later job reads."""
     for df in frames:
