@@ -7,9 +7,11 @@ into column blocks, and size-derived bounds decide which entries are needed:
 sets of sizes a and b that reach the similarity differ in few n-grams, so cut
 into one block more than that, they agree in a whole block. Only documents
 with an equal, non-empty block are compared; a passage that many documents
-share does not make them agree in a block. Documents that agree, directly or
-through others, form a cluster; in a cluster overlaps are accumulated column
-by column, and pairs below the bound are dropped.
+share seldom makes them agree in a block, and a second bound drops those
+that do not share enough of their n-grams with all other such documents
+together. Documents that agree, directly or through others, form a cluster;
+in a cluster overlaps are accumulated column by column, and pairs below the
+bound are dropped.
 
 Exactness: a level's block count exceeds the possible differences by a margin
 for blocks that are empty in both sets; a document with more empty blocks than
@@ -55,7 +57,7 @@ NULL_ID = -(1 << 63)
 SETS = "doc long, text_digest long, n long, class long, other long"
 SLICES = "slice long, digests binary, classes binary, a binary, b binary"
 LINKS = "a long, b long"
-MEMBERS = "cluster long, class long, m long, parts long, grams binary"
+MEMBERS = "class long, grams binary"
 
 # Any fixed odd numbers serve; they only have to be the same in all tasks.
 _RNG = np.random.default_rng(5)
@@ -230,45 +232,107 @@ def _unpack48(data: bytes) -> np.ndarray:
     return low.astype(np.uint64) | (high.astype(np.uint64) << np.uint64(32))
 
 
-def _sliced(words: int, percent: int, n_slices: int):
+def _by_slice(digest: np.ndarray, owner: np.ndarray, a: np.ndarray, b: np.ndarray, n_slices: int) -> pa.RecordBatch:
+    """Sorted digests with their owners as one row per slice; the pairs (a, b)
+    ride along."""
+    at = ((digest >> np.uint64(32)) * np.uint64(n_slices)) >> np.uint64(32)
+    cuts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+    ends = np.r_[cuts[1:], len(at)]
+    share = np.linspace(0, len(a), len(cuts) + 1).astype(int)
+    cols = [[_pack48(digest[x:y]) for x, y in zip(cuts, ends)], [owner[x:y].tobytes() for x, y in zip(cuts, ends)],
+            [a[x:y].tobytes() for x, y in zip(share[:-1], share[1:])],
+            [b[x:y].tobytes() for x, y in zip(share[:-1], share[1:])]]
+    return pa.RecordBatch.from_arrays([pa.array(at[cuts].astype(np.int64)), *[pa.array(c, pa.binary()) for c in cols]],
+                                      names=["slice", "digests", "classes", "a", "b"])
+
+
+def _texts_sets(words: int):
+    """(set, class) of the texts of a batch."""
+    def feed(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, int]]:
+        for _, texts in _texts(batch):
+            for grams in gram_sets(texts, words):
+                if len(grams):
+                    yield grams, set_digest(grams)[0]
+    return feed
+
+
+def _stored_sets(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, int]]:
+    """(set, class) of a batch of stored sets."""
+    for own, grams in zip(batch.column("class").to_pylist(), batch.column("grams")):
+        yield np.frombuffer(grams.as_py(), np.uint64), own
+
+
+def _flushes(feed, digests_of, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Digests and their owners, a bounded number at a time."""
+    digests, owners, held = [], [], 0
+    for batch in batches:
+        for grams, own in feed(batch):
+            digest = digests_of(grams)
+            digests.append(digest)
+            owners.append(np.full(len(digest), own, np.int64))
+            held += len(digest)
+            if held >= FLUSH_ROWS:
+                yield np.concatenate(digests), np.concatenate(owners)
+                digests, owners, held = [], [], 0
+    if held:
+        yield np.concatenate(digests), np.concatenate(owners)
+
+
+def _sliced(feed, percent: int, n_slices: int):
+    """Block digests by slice of their range, with the links that a task sees
+    itself; a digest of several owners goes on with the least one only."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = Levels(percent)
-        digests: list[np.ndarray] = []
-        owners: list[np.ndarray] = []
+        for digest, owner in _flushes(feed, lambda grams: block_digests(grams, levels), batches):
+            digest, least, a, b = _merged(digest, owner)
+            a, b = forest(a, b) if len(a) else (a, b)
+            yield _by_slice(digest, least, a, b, n_slices)
+    return run
 
-        def out() -> pa.RecordBatch:
-            digest, least, a, b = _merged(np.concatenate(digests), np.concatenate(owners))
-            if len(a):
-                a, b = forest(a, b)
-            at = ((digest >> np.uint64(32)) * np.uint64(n_slices)) >> np.uint64(32)
-            cuts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-            ends = np.r_[cuts[1:], len(at)]
-            share = np.linspace(0, len(a), len(cuts) + 1).astype(int)
-            cols = [at[cuts].astype(np.int64), [_pack48(digest[x:y]) for x, y in zip(cuts, ends)],
-                    [least[x:y].tobytes() for x, y in zip(cuts, ends)],
-                    [a[x:y].tobytes() for x, y in zip(share[:-1], share[1:])],
-                    [b[x:y].tobytes() for x, y in zip(share[:-1], share[1:])]]
-            return pa.RecordBatch.from_arrays([pa.array(cols[0]), *[pa.array(c, pa.binary()) for c in cols[1:]]],
-                                              names=["slice", "digests", "classes", "a", "b"])
-
-        held = 0
-        for batch in batches:
-            for _, texts in _texts(batch):
-                for grams in gram_sets(texts, words):
-                    if not len(grams):
-                        continue
-                    digest = block_digests(grams, levels)
-                    digests.append(digest)
-                    owners.append(np.full(len(digest), set_digest(grams)[0], np.int64))
-                    held += len(digest)
-                    if held >= FLUSH_ROWS:
-                        yield out()
-                        digests, owners, held = [], [], 0
-        if held:
-            yield out()
+
+def _tally(digest: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct digests with their owner, ``NULL_ID`` where there are several;
+    and how many digests of several each owner has."""
+    order = np.argsort(digest, kind="stable")
+    digest, owner = digest[order], owner[order]
+    new = np.flatnonzero(np.r_[True, digest[1:] != digest[:-1]])
+    size = np.diff(np.r_[new, len(digest)])
+    many = np.repeat(size > 1, size) & (owner != NULL_ID)
+    who, count = np.unique(owner[many], return_counts=True)
+    return digest[new], np.where(size > 1, NULL_ID, owner[new]), who, count
+
+
+def _gram_slices(n_slices: int):
+    """N-grams by slice, with the shared ones that a task sees itself."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for digest, owner in _flushes(_stored_sets, lambda grams: grams, batches):
+            digest, owner, who, count = _tally(digest, owner)
+            yield _by_slice(digest, owner, who, count, n_slices)
     return run
 
 
+def _shared_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(class, n): n-grams of a slice that another class has too."""
+    now, rows = None, []
+
+    def out() -> pa.RecordBatch:
+        parts = [(np.frombuffer(a, np.int64), np.frombuffer(b, np.int64)) for _, _, a, b in rows]
+        _, _, who, count = _tally(np.concatenate([_unpack48(d) for d, _, _, _ in rows]),
+                                  np.concatenate([np.frombuffer(c, np.int64) for _, c, _, _ in rows]))
+        who, count = np.concatenate([who, *[a for a, _ in parts]]), np.concatenate([count, *[b for _, b in parts]])
+        return pa.RecordBatch.from_arrays([pa.array(who, pa.int64()), pa.array(count, pa.int64())], names=["class", "n"])
+
+    for batch in batches:
+        for at, *row in zip(*(batch.column(c).to_pylist() for c in ("slice", "digests", "classes", "a", "b"))):
+            if now is not None and at != now:
+                yield out()
+                rows = []
+            now = at
+            rows.append(row)
+    if now is not None:
+        yield out()
+
+
 def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links of documents with an equal block, slice by slice."""
     now, digests, owners, pairs = None, [], [], []
@@ -294,25 +358,22 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _member_sets(words: int):
-    """The sets of cluster members, each once a task. A row whose text is not
-    the class's own gives none."""
-    names = ["cluster", "class", "m", "parts"]
-
+    """The sets of the classes asked for, each once a task. A row whose text
+    is not the class's own gives none."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
             own = batch.column("class").to_pylist()
             for first, texts in _texts(batch):
-                rows, sets = [], []
+                rows = []
                 for i, grams in enumerate(gram_sets(texts, words), first):
                     if own[i] not in seen and set_digest(grams)[0] == own[i]:
                         seen.add(own[i])
-                        rows.append(i)
-                        sets.append(grams.tobytes())
+                        rows.append((own[i], grams.tobytes()))
                 if rows:
-                    part = batch.take(pa.array(rows))
-                    yield pa.RecordBatch.from_arrays([*[part.column(n) for n in names], pa.array(sets, pa.binary())],
-                                                     names=[*names, "grams"])
+                    yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in rows], pa.int64()),
+                                                      pa.array([g for _, g in rows], pa.binary())],
+                                                     names=["class", "grams"])
     return run
 
 
@@ -402,12 +463,11 @@ def component_rows(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     if classes.where("clash").limit(1).count():
         raise ValueError("two different sets have one digest; change the fixed numbers of this module")
 
-    n_slices = min(partitions_for(int((stats.grams or 0) * 0.4), SLICE_ROWS), MOST_SLICES)
-    slices = rows.mapInArrow(tidy(_sliced(words, percent, n_slices)), SLICES)
-    agreeing = slices.repartition(n_slices, "slice").sortWithinPartitions("slice").mapInArrow(tidy(_agreeing), LINKS)
+    sets_left = _candidates(rows, classes, words, percent, int(stats.grams or 0))
+    agreeing = _agreements(sets_left, _stored_sets, percent, sets_left.agg(
+        F.sum(F.octet_length("grams") / 8)).head()[0] or 0)
     clusters = staged(components(agreeing), "grams-clusters")
-    release(docs.sparkSession)  # the slices are not needed any more
-    links = _links(rows, classes, clusters, words, percent)
+    links = _links(sets_left, classes, clusters, percent)
 
     found = components(links)
     named = found.join(classes.select(F.col("class").alias("node"), "least"), "node")
@@ -433,23 +493,56 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         F.when(F.col("doc") != NULL_ID, F.col("doc")).alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
 
 
-def _links(rows: DataFrame, classes: DataFrame, clusters: DataFrame, words: int, percent: int) -> DataFrame:
-    """Spanning links of all documents that reach the similarity."""
-    members = clusters.select(F.col("node").alias("class"), F.col("component").alias("cluster")).join(classes, "class")
+def _slices_for(n_digests: float) -> int:
+    return min(partitions_for(int(n_digests), SLICE_ROWS), MOST_SLICES)
+
+
+def _agreements(rows: DataFrame, feed, percent: int, n_grams: float) -> DataFrame:
+    """Links of classes that agree in a column block."""
+    n = _slices_for(n_grams * 0.4)
+    slices = rows.mapInArrow(tidy(_sliced(feed, percent, n)), SLICES)
+    return slices.repartition(n, "slice").sortWithinPartitions("slice").mapInArrow(tidy(_agreeing), LINKS)
+
+
+def _candidates(rows: DataFrame, classes: DataFrame, words: int, percent: int, n_grams: int) -> DataFrame:
+    """The stored sets (class, grams) that may have a partner: they agree in a
+    block with another, and enough of their n-grams are in other such sets.
+    The second bound leaves out documents that only share a passage, which
+    would else tie all others together into one cluster."""
+    agreeing = staged(_agreements(rows, _texts_sets(words), percent, n_grams), "grams-agreeing")
+    release(rows.sparkSession)
+    wanted = (agreeing.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+              .join(classes, "class").select("row.doc", "row.text_digest", "class", "n"))
+    wanted = staged(wanted, "grams-wanted")
+    text = rows.join(wanted.drop("n"), ["doc", "text_digest"])
+    sets = staged(text.mapInArrow(tidy(_member_sets(words)), MEMBERS), "grams-wanted-sets")
+    release(rows.sparkSession)
+    n = _slices_for(wanted.agg(F.sum("n")).head()[0] or 0)
+    slices = sets.mapInArrow(tidy(_gram_slices(n)), SLICES)
+    shared = (slices.repartition(n, "slice").sortWithinPartitions("slice").mapInArrow(
+        tidy(_shared_grams), "class long, n long").groupBy("class").agg(F.sum("n").alias("shared")))
+    enough = wanted.join(shared, "class").where(F.col("shared") * 100 >= F.col("n") * percent).select("class")
+    left = staged(sets.join(enough, "class", "left_semi").dropDuplicates(["class"]), "grams-sets-left")
+    unstage(sets)
+    release(rows.sparkSession)
+    return left
+
+
+def _links(sets: DataFrame, classes: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
+    """Spanning links of all sets that reach the similarity."""
+    members = clusters.select(F.col("node").alias("class"), F.col("component").alias("cluster")).join(
+        classes.select("class", "n"), "class")
     size = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("grams"))
     parts = F.greatest(F.ceil(F.col("m") / CHUNK), F.ceil(F.col("grams") / CHUNK_GRAMS)).cast("long")
-    members = staged(members.join(size, "cluster").select("row.doc", "row.text_digest", "cluster", "class", "m",
-                                                          parts.alias("parts")), "grams-members")
-    text = rows.join(members, ["doc", "text_digest"])
-    spread = staged(text.mapInArrow(tidy(_member_sets(words)), MEMBERS), "grams-members-sets")
-    release(rows.sparkSession)
+    members = staged(members.join(size, "cluster").select("cluster", "class", "m", parts.alias("parts")), "grams-members")
+    spread = staged(sets.join(members, "class"), "grams-members-sets")
     part = F.pmod(F.xxhash64("class"), F.col("parts"))
     shared = (F.col("parts") > 1) & (F.pmod(F.xxhash64(F.lit(1), "class"), F.col("m")) < SHARED)
     every = F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)
     first = spread.withColumn("part", F.explode(F.when(shared, every).otherwise(F.array(part)))).withColumn(
         "left", F.lit(True))
     links = staged(_compare(first, percent), "grams-links")
-    release(rows.sparkSession)
+    release(sets.sparkSession)
 
     # Large clusters: what is outside the main component meets all of the cluster.
     large = members.where("parts > 1").select("class", "cluster", "parts")
@@ -474,7 +567,7 @@ def _links(rows: DataFrame, classes: DataFrame, clusters: DataFrame, words: int,
     keep = ["cluster", "part", "class", "grams", "left"]
     more = staged(_compare(column.select(*keep).unionByName(row.select(*keep)), percent), "grams-links")
     unstage(spread)
-    release(rows.sparkSession)
+    release(sets.sparkSession)
     return links.unionByName(more)
 
 
