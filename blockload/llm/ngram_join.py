@@ -514,7 +514,8 @@ def _candidates(rows: DataFrame, classes: DataFrame, words: int, percent: int, n
     wanted = (agreeing.select(F.explode(F.array("a", "b")).alias("class")).distinct()
               .join(classes, "class").select("row.doc", "row.text_digest", "class", "n"))
     wanted = staged(wanted, "grams-wanted")
-    text = rows.join(wanted.drop("n"), ["doc", "text_digest"])
+    # A shuffle at every size: whether the ids fit a broadcast changes nothing.
+    text = rows.join(wanted.drop("n").hint("merge"), ["doc", "text_digest"])
     sets = staged(text.mapInArrow(tidy(_member_sets(words)), MEMBERS), "grams-wanted-sets")
     release(rows.sparkSession)
     n = _slices_for(wanted.agg(F.sum("n")).head()[0] or 0)
@@ -583,7 +584,7 @@ def without_near_copies(docs: DataFrame, words: int, percent: int) -> DataFrame:
     own = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
     plain, restored = sheltered(docs, "doc_id", "text")
     numbered = plain.withColumn("__own", own).withColumn("__text", F.xxhash64("text"))
-    left = numbered.join(kept, (F.col("__own") == F.col("__kept")) & (F.col("__text") == F.col("__kept_text")),
+    left = numbered.join(kept.hint("merge"), (F.col("__own") == F.col("__kept")) & (F.col("__text") == F.col("__kept_text")),
                          "left_semi")
     if linked.groupBy("doc", "text_digest").count().where("count > 1").limit(1).count():
         left = left.dropDuplicates(["__own", "__text"])
