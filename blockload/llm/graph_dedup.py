@@ -6,16 +6,18 @@ pruned (a neighbour that is much closer to one already taken is left out), and
 the links both ways. The adjacency lists of a vector from all its shards are
 united into one flat graph. Every vector is then searched for: in each of its
 shards greedily from the medoid, and on, in widening range, from every vector
-found near enough, until no such vector is left unvisited. What is found is
-verified by its cosine in double precision; recall is audited on sampled
-queries against all rows, and the search is repeated with more effort if it
-falls short.
+found near enough, until no such vector is left unvisited. Vectors for which
+any is found are then compared with all of their shards, by their cosine in
+double precision. Recall is audited on sampled queries against all rows, and
+the search is repeated with more effort while it falls short of ``ENOUGH``;
+after the last effort, or if too few links are seen to judge, all shards that
+the triangle inequality does not rule out are compared.
 
 Scale: the clusters are fitted on a bounded sample (``SAMPLE_ROWS``). Shards are
 cut into cells of about ``CELL`` vectors by salting; a query visits all cells
 of its shards, so a hot cluster is many tasks and no link is lost. Equal
-vectors are one class. A pair counts in the first shard it shares; a task
-returns counts and one link per vector, never pairs.
+vectors are one class. A pair counts in the first shard it shares, where it is
+always compared; a task returns counts and one link per vector, never pairs.
 
 Defined results: vectors that are null, empty or zero, or hold null or
 non-finite components link with nothing and are their own component; vectors
@@ -47,12 +49,18 @@ DEGREE = 16
 CANDIDATES = 48
 ALPHA = 1.2
 SLACK = 0.05                # vectors this little below the threshold are still expanded
-AUDIT_QUERIES = 256
+AUDIT_QUERIES = 1024        # classes that the audit draws at a time
+AUDIT_GROUPS = 50           # groups that its linked queries must make up, each worth one over its group's classes
+AUDIT_DRAWS = 65_536        # classes after which it draws no more
 ENOUGH = 0.97               # audited recall at which no further attempt is made
+AT_ONCE = 256               # queries compared with a cell at a time
+HELD = 4096                 # queries a task holds
 
 PLACED = "class long, copies long, unit binary, dim int, shards array<int>"
 EDGES = "class long, near array<long>"
-FOUND = "class long, n long, peer long"
+FOUND = "class long, peer long"
+LINKS = "class long, n long, peer long"
+VISITS = "class long, copies long, unit binary, dim int, home int, shards array<int>"
 
 
 def usable_classes(vectors: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
@@ -203,7 +211,6 @@ def range_search(q: np.ndarray, points: np.ndarray, near: list[np.ndarray], star
 
 def _searcher(beam: int, threshold: float):
     def work(key: tuple, rows: list[dict]) -> Iterator[pa.RecordBatch]:
-        shard = key[1]
         members = [r for r in rows if r["member"]]
         if not members:
             return
@@ -211,8 +218,6 @@ def _searcher(beam: int, threshold: float):
         at = {c: i for i, c in enumerate(own.tolist())}
         points = np.array([np.frombuffer(r["unit"]) for r in members])
         near = [np.array([at[c] for c in r["near"] or () if c in at], np.int64) for r in members]
-        shards = [set(r["shards"]) for r in members]
-        copies = np.array([r["copies"] for r in members], np.int64)
         middle = points.sum(axis=0)
         start = int((points @ middle).argmax())
         found: dict[int, set[int]] = {}
@@ -224,34 +229,106 @@ def _searcher(beam: int, threshold: float):
             if c in at:                     # found from one side is found from both
                 for j in got:
                     found.setdefault(int(own[j]), set()).add(at[c])
-        of = {r["class"]: set(r["shards"]) for r in rows}
-        ids, counts, a, b = [], [], [], []
-        for c, got in found.items():
-            if not got:
-                continue
-            first = [j for j in got if min(of[c] & shards[j]) == shard]
-            ids.append(c)
-            counts.append(int(copies[first].sum()) if first else 0)
-            a += [c] * len(got)
-            b += own[list(got)].tolist()
-        if ids:
+        a = [c for c, got in found.items() for _ in got]
+        b = [c for got in found.values() for c in own[list(got)].tolist()]
+        if a:
             root, node = forest(np.array(a, np.int64), np.array(b, np.int64))
-            peer = dict(zip(node.tolist(), root.tolist()))
-            rest = [c for c in peer if c not in found or not found[c]]
-            ids, counts = ids + rest, counts + [0] * len(rest)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(counts, pa.int64()),
-                 pa.array([peer.get(c, c) for c in ids], pa.int64())], names=["class", "n", "peer"])
-    return _by_cell(work, ["class", "n", "peer"])
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(root)], names=["class", "peer"])
+    return _by_cell(work, ["class", "peer"])
+
+
+def shared_before(asked: list[list[int]], members: list[list[int]], shard: int) -> np.ndarray:
+    """Which (query, member) pairs also share a shard before ``shard``."""
+    before = sorted({s for m in members for s in m if s < shard})
+    at = {s: i for i, s in enumerate(before)}
+
+    def marks(lists: list[list[int]]) -> np.ndarray:
+        out = np.zeros((len(lists), len(before)), np.float32)
+        for i, some in enumerate(lists):
+            out[i, [at[s] for s in some if s in at]] = 1
+        return out
+
+    return marks(asked) @ marks(members).T > 0
+
+
+def _compare(shard: int, members: list[dict], asked: list[dict], threshold: float) -> Iterator[pa.RecordBatch]:
+    """Links of the queries with the members of a cell, and their rows in the
+    pairs that share no earlier shard."""
+    if not members:
+        return
+    points = np.array([np.frombuffer(r["unit"]) for r in members])
+    own = np.array([r["class"] for r in members], np.int64)
+    copies = np.array([r["copies"] for r in members], np.int64)
+    ids, counts, roots, nodes = [], [], [], []
+    for k in range(0, len(asked), AT_ONCE):
+        some = asked[k:k + AT_ONCE]
+        c = np.array([r["class"] for r in some], np.int64)
+        hit = np.array([np.frombuffer(r["unit"]) for r in some]) @ points.T >= threshold
+        hit &= c[:, None] != own[None, :]
+        linked = np.flatnonzero(hit.any(axis=1))
+        if not len(linked):
+            continue
+        first = hit[linked] & ~shared_before([some[i]["shards"] for i in linked], [r["shards"] for r in members], shard)
+        ids.append(c[linked])
+        counts.append(first @ copies)
+        i, j = np.nonzero(hit)
+        root, node = forest(c[i], own[j])
+        roots.append(root)
+        nodes.append(node)
+    if ids:
+        linked, n = np.concatenate(ids), np.concatenate(counts)
+        root, node = forest(np.concatenate(roots), np.concatenate(nodes))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.r_[linked, node]), pa.array(np.r_[n, np.zeros(len(node), np.int64)]),
+             pa.array(np.r_[linked, root])], names=["class", "n", "peer"])
+
+
+def _comparer(threshold: float):
+    """Compares the queries of each (dim, shard, cell) with all its members;
+    members come first, queries are taken ``HELD`` at a time."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, members, asked = None, [], []
+        for batch in batches:
+            for row in batch.to_pylist():
+                now = (row["dim"], row["shard"], row["cell"])
+                if now != key:
+                    if asked:
+                        yield from _compare(key[1], members, asked, threshold)
+                    key, members, asked = now, [], []
+                if row["member"]:
+                    members.append(row)
+                elif len(asked) >= HELD:
+                    yield from _compare(key[1], members, asked, threshold)
+                    asked = []
+                if row["asked"]:
+                    asked.append(row)
+        if asked:
+            yield from _compare(key[1], members, asked, threshold)
+    return run
+
+
+def compared(rows: DataFrame, threshold: float) -> DataFrame:
+    """(class, n, peer) of the rows asked for against the members of their cells."""
+    rows = rows.select("dim", "shard", "cell", "class", "copies", "unit", "shards", "member", "asked")
+    rows = rows.repartition("dim", "shard", "cell").sortWithinPartitions("dim", "shard", "cell", F.desc("member"))
+    return staged(rows.mapInArrow(_comparer(threshold), LINKS), "vector-links")
+
+
+def in_cells(placed: DataFrame) -> DataFrame:
+    """Rows by each of their ``shards``, with the shard's number of cells."""
+    in_shard = placed.withColumn("shard", F.explode("shards"))
+    home = in_shard if "home" not in placed.columns else in_shard.where("shard = home")
+    cells = home.groupBy("dim", "shard").agg(F.ceil(F.count(F.lit(1)) / (2 * CELL)).cast("long").alias("cells"))
+    return in_shard.join(cells, ["dim", "shard"]).withColumn("cell", F.pmod(F.xxhash64("class"), F.col("cells")))
+
+
+EVERY_CELL = "explode(sequence(0L, cells - 1))"
 
 
 def search_links(classes: DataFrame, centres: np.ndarray, overlap: int, beam: int, threshold: float) -> DataFrame:
     """(class, n, peer): linked rows of other classes counted in a cell, and a
     class it is linked with, directly or through others."""
-    placed = staged(classes.mapInArrow(_placer(centres, overlap), PLACED), "vector-places")
-    in_shard = placed.withColumn("shard", F.explode("shards"))
-    cells = in_shard.groupBy("dim", "shard").agg(F.ceil(F.count(F.lit(1)) / (2 * CELL)).cast("long").alias("cells"))
-    dealt = in_shard.join(cells, ["dim", "shard"]).withColumn("cell", F.pmod(F.xxhash64("class"), F.col("cells")))
+    dealt = in_cells(staged(classes.mapInArrow(_placer(centres, overlap), PLACED), "vector-places"))
 
     def together(df: DataFrame) -> DataFrame:
         return df.repartition("dim", "shard", "cell").sortWithinPartitions("dim", "shard", "cell", "class")
@@ -259,12 +336,63 @@ def search_links(classes: DataFrame, centres: np.ndarray, overlap: int, beam: in
     built = together(dealt.select("dim", "shard", "cell", "class", "unit")).mapInArrow(_by_cell(_build, []), EDGES)
     graph = built.groupBy("class").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
     graph = staged(graph, "vector-graph")
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1))
-    asked = dealt.withColumn("home", F.col("cell")).withColumn("cell", every)
-    asked = asked.join(graph, "class", "left").select(
-        "dim", "shard", "cell", "class", "copies", "unit", "shards", (F.col("home") == F.col("cell")).alias("member"),
-        F.when(F.col("home") == F.col("cell"), F.col("near")).alias("near"))
-    return staged(together(asked).mapInArrow(_searcher(beam, threshold), FOUND), "vector-links")
+    visits = dealt.withColumn("home", F.col("cell")).withColumn("cell", F.expr(EVERY_CELL)).withColumn(
+        "member", F.col("home") == F.col("cell"))
+    asked = visits.join(graph, "class", "left").select(
+        "dim", "shard", "cell", "class", "unit", "member", F.when(F.col("member"), F.col("near")).alias("near"))
+    found = staged(together(asked).mapInArrow(_searcher(beam, threshold), FOUND), "vector-found")
+    linked = found.select(F.explode(F.array("class", "peer")).alias("class")).distinct()
+    visits = visits.join(linked.withColumn("asked", F.lit(True)), "class", "left")
+    return compared(visits.withColumn("asked", F.coalesce("asked", F.lit(False))).where("member or asked"), threshold)
+
+
+def _visitor(centres: np.ndarray, angles: np.ndarray, threshold: float):
+    """The shards that may hold a vector near enough, by the triangle
+    inequality; ``angles[s]`` is the largest of a member of s to its centre."""
+    reach = angles + np.arccos(np.clip(threshold, -1, 1)) + 1e-6
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shards = []
+            for raw in batch.column("unit"):
+                u = np.frombuffer(raw.as_py())
+                w = min(len(u), centres.shape[1])
+                away = np.arccos(np.clip(centres[:, :w] @ u[:w], -1, 1))
+                shards.append(np.flatnonzero(away <= reach).astype(np.int32).tolist())
+            home = batch.column("shards").flatten()
+            cols = [batch.column(c) for c in ("class", "copies", "unit", "dim")]
+            yield pa.RecordBatch.from_arrays([*cols, home, pa.array(shards, pa.list_(pa.int32()))],
+                                             names=["class", "copies", "unit", "dim", "home", "shards"])
+    return run
+
+
+def _leaner(centres: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            home = batch.column("shards").flatten().to_numpy()
+            near = []
+            for raw, s in zip(batch.column("unit"), home):
+                u = np.frombuffer(raw.as_py())
+                w = min(len(u), centres.shape[1])
+                near.append(float(centres[s, :w] @ u[:w]))
+            yield pa.RecordBatch.from_arrays([pa.array(home), pa.array(near, pa.float64())], names=["shard", "near"])
+    return run
+
+
+def exact_links(classes: DataFrame, centres: np.ndarray, threshold: float) -> DataFrame:
+    """As ``search_links``, without a loss: each vector lies in its nearest
+    shard and is compared with all shards that may hold one near enough."""
+    placed = staged(classes.mapInArrow(_placer(centres, 1), PLACED), "vector-places")
+    least = placed.mapInArrow(_leaner(centres), "shard int, near double").groupBy("shard").agg(F.min("near").alias("near"))
+    angles = np.full(len(centres), -np.inf)
+    for r in least.collect():
+        angles[r.shard] = np.arccos(np.clip(r.near, -1, 1))
+    dealt = in_cells(placed.mapInArrow(_visitor(centres, angles, threshold), VISITS))
+    visits = dealt.withColumn("own", F.col("cell")).withColumn("cell", F.expr(EVERY_CELL))
+    member = (F.col("shard") == F.col("home")) & (F.col("cell") == F.col("own"))
+    # A member is in its home only, so that every pair has one shard.
+    return compared(visits.withColumn("member", member).withColumn("asked", F.lit(True)).withColumn(
+        "shards", F.array("shard")), threshold)
 
 
 def _scan(queries: list[tuple[int, bytes]], threshold: float):
@@ -275,7 +403,7 @@ def _scan(queries: list[tuple[int, bytes]], threshold: float):
         for i, (_, raw) in enumerate(queries):
             by_dim.setdefault(len(raw) // 8, []).append(i)
         for batch in batches:
-            total = np.zeros(len(ids), np.int64)
+            total, others = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
             dims = batch.column("dim").to_numpy()
             own, copies = batch.column("class").to_numpy(), batch.column("copies").to_numpy()
             for dim, at in by_dim.items():
@@ -286,20 +414,51 @@ def _scan(queries: list[tuple[int, bytes]], threshold: float):
                 q = np.array([np.frombuffer(queries[i][1]) for i in at])
                 hit = (q @ points.T >= threshold) & (ids[at][:, None] != own[rows][None, :])
                 total[at] += hit @ copies[rows]
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], names=["class", "n"])
+                others[at] += hit.sum(axis=1)
+            some = others > 0
+            yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(total[some]), pa.array(others[some])],
+                                             names=["class", "n", "others"])
     return run
 
 
-def audit(classes: DataFrame, counts: DataFrame, threshold: float = THRESHOLD, queries: int = AUDIT_QUERIES) -> float:
-    """Recall of the link counts, on a bounded sample of queries against all
-    rows by brute force."""
-    one = classes.mapInArrow(_placer(np.zeros((1, 1)), 1), PLACED)
-    asked = [(r["class"], bytes(r.unit)) for r in one.select("class", "unit").orderBy(
-        F.xxhash64(F.lit(9), "class")).limit(queries).collect()]
-    true = one.mapInArrow(_scan(asked, threshold), "class long, n long").groupBy("class").agg(F.sum("n").alias("true"))
-    both = true.join(counts, "class", "left").agg(
-        F.sum("true").alias("t"), F.sum(F.least("true", F.coalesce("n", F.lit(0)))).alias("f")).head()
-    return both.f / both.t if both.t else 1.0
+def linked_sample(classes: DataFrame, threshold: float) -> tuple[list, bool]:
+    """(class, true, others) of sampled queries with a true partner, by brute
+    force against all rows: linked rows and linked classes. Queries are drawn
+    until the linked ones make up ``AUDIT_GROUPS`` groups or none is left;
+    False if ``AUDIT_DRAWS`` did not suffice."""
+    every = staged(classes.mapInArrow(_placer(np.zeros((1, 1)), 1), PLACED).withColumn(
+        "draw", F.xxhash64(F.lit(9), "class")), "vector-audit")
+    linked, drawn, rest = [], 0, every
+    while sum(1 / (r.others + 1) for r in linked) < AUDIT_GROUPS:
+        if drawn >= AUDIT_DRAWS:
+            return linked, False
+        asked = rest.select("class", "unit", "draw").orderBy("draw").limit(AUDIT_QUERIES).collect()
+        if not asked:
+            break
+        scan = _scan([(r["class"], bytes(r.unit)) for r in asked], threshold)
+        linked += every.mapInArrow(scan, "class long, n long, others long").groupBy("class").agg(
+            F.sum("n").alias("true"), F.sum("others").alias("others")).collect()
+        drawn, rest = drawn + len(asked), every.where(F.col("draw") > asked[-1].draw)
+    return linked, True
+
+
+def recall_of(linked: list, counts: DataFrame) -> float:
+    """Recall of the link counts on the sample: the mean over the linked
+    queries, or over their groups (so that large ones do not hide small ones),
+    whichever is less."""
+    if not linked:
+        return 1.0
+    spark = counts.sparkSession
+    asked = spark.createDataFrame([(r["class"], r.true, r.others) for r in linked], "class long, true long, others long")
+    got = asked.join(counts, "class", "left").select(
+        (F.least("true", F.coalesce("n", F.lit(0))) / F.col("true")).alias("part"), (1 / (F.col("others") + 1)).alias("w"))
+    r = got.agg(F.avg("part").alias("each"), (F.sum(F.col("part") * F.col("w")) / F.sum("w")).alias("group")).head()
+    return min(r.each, r.group)
+
+
+def audit(classes: DataFrame, counts: DataFrame, threshold: float = THRESHOLD) -> float:
+    """Recall of the link counts on sampled queries against all rows."""
+    return recall_of(linked_sample(classes, threshold)[0], counts)
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, column: str = "embedding") -> DataFrame:
@@ -307,11 +466,13 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, column: st
     ship(vectors.sparkSession)
     rows, classes = usable_classes(vectors, column)
     centres = fit_clusters(classes, classes.count())
-    for overlap, beam in EFFORTS:
-        links = search_links(classes, centres, overlap, beam, threshold)
+    linked, judged = linked_sample(classes, threshold)
+    # Last, or if the sample cannot tell, all that may be near enough is compared.
+    for overlap, beam in [*(EFFORTS if judged else ()), (None, None)]:
+        links = search_links(classes, centres, overlap, beam, threshold) if overlap else exact_links(
+            classes, centres, threshold)
         counts = staged(links.groupBy("class").agg(F.sum("n").alias("n")), "vector-counts")
-        recall = audit(classes, counts, threshold)
-        if recall >= ENOUGH:
+        if overlap is None or recall_of(linked, counts) >= ENOUGH:
             break
     found = components(links.select(F.col("class").alias("a"), F.col("peer").alias("b")))
     named = found.join(classes.select(F.col("class").alias("node"), "least"), "node")

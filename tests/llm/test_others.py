@@ -288,3 +288,56 @@ def test_records_of_json_files(spark, tmp_path):
     records = spark.read.text(str(tmp_path / "r.jsonl")).select(F.parse_json("value").alias("record"))
     made = chat.format_turns(chat.canonical_turns(records)).select("layout", "formatted").collect()
     assert {r.layout for r in made} == {"prompt", "messages"} and all(r.formatted.startswith("<s>user\n") for r in made)
+
+
+def lone_pairs_beside_a_large_group():
+    """A group of 200 near copies, and 150 pairs of vectors that have one partner each."""
+    rng = np.random.default_rng(8)
+    base, singles = rng.normal(size=32), rng.normal(size=(150, 32))
+    rows = [(i, (base + rng.normal(size=32) * 0.05).tolist()) for i in range(200)]
+    for k, x in enumerate(singles):
+        rows += [(1000 + 2 * k, x.tolist()), (1001 + 2 * k, (x + rng.normal(size=32) * 0.3).tolist())]
+    units = np.array([np.array(x) / np.linalg.norm(x) for _, x in rows])
+    return rows, dict(zip([i for i, _ in rows], ((units @ units.T >= 0.9).sum(axis=1) - 1).tolist()))
+
+
+def test_lost_lone_pairs_fail_the_audit(spark):
+    rows, true = lone_pairs_beside_a_large_group()
+    _, classes = graph_dedup.usable_classes(frame(spark, rows), "embedding")
+    kept = spark.createDataFrame([(i, n) for i, n in true.items() if i < 1000], "least long, n long")
+    assert graph_dedup.audit(classes, classes.join(kept, "least").select("class", "n")) < 0.9
+
+
+@pytest.mark.parametrize("draws", [65_536, 0])
+def test_links_are_whole_when_no_effort_is_enough(spark, monkeypatch, draws):
+    """One shard to a vector and a beam of one lose pairs across 20 clusters;
+    without draws the audit cannot tell."""
+    rows, true = lone_pairs_beside_a_large_group()
+    monkeypatch.setattr(graph_dedup, "EFFORTS", ((1, 1),))
+    monkeypatch.setattr(graph_dedup, "CELL", 25)
+    monkeypatch.setattr(graph_dedup, "AUDIT_DRAWS", draws, raising=False)
+    got = {r.vec_id: r.n_links for r in graph_dedup.near_duplicates(frame(spark, rows)).collect()}
+    assert got == true
+
+
+def test_a_pair_found_only_in_a_later_shard_counts(spark, monkeypatch):
+    """A pair that the search sees in one of its shards only is counted once."""
+    rows, true = lone_pairs_beside_a_large_group()
+    _, classes = graph_dedup.usable_classes(frame(spark, rows), "embedding")
+    monkeypatch.setattr(graph_dedup, "CELL", 200)
+    whole = graph_dedup._searcher
+
+    def late(beam, threshold):
+        run = whole(beam, threshold)
+
+        def only_last(batches):
+            for batch in batches:
+                yield from run(iter([batch.filter([s != 0 for s in batch.column("shard").to_pylist()])]))
+        return only_last
+
+    monkeypatch.setattr(graph_dedup, "_searcher", late)
+    centres = graph_dedup.fit_clusters(classes, 400)
+    assert len(centres) == 2
+    links = graph_dedup.search_links(classes, centres, 2, 32, 0.9).groupBy("class").agg(F.sum("n").alias("n"))
+    got = {r.least: r.n for r in classes.join(links, "class").collect()}
+    assert got == {i: n for i, n in true.items() if n}
