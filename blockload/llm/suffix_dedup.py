@@ -32,6 +32,8 @@ kept, except those with the names of the columns that are added.
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,6 +55,8 @@ NULL_ID = -(1 << 63)
 ANCHORS = "key long, d1 long, d2 long, pos int, lo int, hi int"
 WINDOWS = "key long, d1 long, d2 long, pos int, lo int, data binary"
 SPANS = "d1 long, d2 long, begin int, end int"
+PASSAGES = "digest binary, d1 long, d2 long, begin int, end int"
+_WORD = re.compile(rb"\S+")
 
 # Any fixed odd numbers and any fixed table serve; the digest only has to be
 # the same in all tasks.
@@ -266,6 +270,41 @@ def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def _passages(over_words: int):
+    """Strings of ``over_words`` + 1 words in the runs of repeated bytes. Runs
+    may touch that repeat apart from each other, so their strings are counted."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text, found, d1, d2 in zip(*(batch.column(c) for c in ("__text", "__found", "__d1", "__d2"))):
+                raw = text.as_py().encode("utf-8", "surrogatepass")
+                digests, begins, ends = [], [], []
+                for b, e in merge_spans([(s["begin"], s["end"]) for s in found.as_py()]):
+                    words = [m.span() for m in _WORD.finditer(raw, b, e)]
+                    if words and b and words[0][0] == b and not raw[b - 1:b].isspace():
+                        words = words[1:]                # a part of a word
+                    if words and words[-1][1] == e < len(raw) and not raw[e:e + 1].isspace():
+                        words = words[:-1]
+                    for (begin, _), (_, end) in zip(words, words[over_words:]):
+                        digests.append(hashlib.md5(raw[begin:end]).digest())
+                        begins.append(begin)
+                        ends.append(end)
+                if digests:
+                    n = len(digests)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(digests, pa.binary()), pa.array([d1.as_py()] * n, pa.int64()),
+                         pa.array([d2.as_py()] * n, pa.int64()), pa.array(begins, pa.int32()), pa.array(ends, pa.int32())],
+                        names=["digest", "d1", "d2", "begin", "end"])
+    return run
+
+
+def _repeated_passages(passages: DataFrame) -> DataFrame:
+    """Spans of the passages that stand in two places."""
+    place = F.struct("d1", "d2", "begin")
+    twice = (passages.groupBy("digest").agg(F.min(place).alias("a"), F.max(place).alias("b"))
+             .where("a <> b").select("digest"))
+    return passages.join(twice, "digest", "left_semi").select("d1", "d2", "begin", "end")
+
+
 def _cut(names: list[str], length: int, over_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -296,7 +335,12 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, over_words: int = 0) -
     """``docs`` with ``spans`` (begin, end: the maximal runs of bytes to remove),
     ``kept`` (the remaining bytes) and ``kept_text`` (those of them that are
     whole characters). Needs columns doc_id and text. With ``over_words`` only
-    runs of more than so many words are removed."""
+    repeated strings of more than so many words are removed, all of them:
+    ``length`` is lowered to the bytes that so many words have at least."""
+    if over_words:
+        length = min(length, 2 * over_words + 1)
+        if length < ANCHOR:
+            raise ValueError(f"over_words must be at least {ANCHOR // 2}")
     spark = docs.sparkSession
     ship(spark)
     names = [c for c in docs.columns if c.lower() not in ("spans", "kept", "kept_text")]
@@ -328,7 +372,15 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, over_words: int = 0) -
         tidy(_windows(length, True)), WINDOWS)
     spans = given.repartition("key").sortWithinPartitions("key").mapInArrow(tidy(_matched(length)), SPANS).unionByName(
         _hot_spans(very, length))
-    found = spans.groupBy("d1", "d2").agg(F.collect_set(F.struct("begin", "end")).alias("__found"))
+    by_text = F.collect_set(F.struct("begin", "end")).alias("__found")
+    found = spans.groupBy("d1", "d2").agg(by_text)
+    if over_words:
+        held = staged(found.join(classes.select("d1", "d2", "row"), ["d1", "d2"]).select(
+            F.col("d1").alias("__s1"), F.col("d2").alias("__s2"), F.col("row").alias("__srow"), "__found"), "suffix-runs")
+        # Rows of a class with one id are alike: the strings of each are one place.
+        passages = rows.join(held, at).select("__text", "__found", "__d1", "__d2").mapInArrow(
+            tidy(_passages(over_words)), PASSAGES)
+        found = _repeated_passages(staged(passages, "suffix-passages")).groupBy("d1", "d2").agg(by_text)
     each = (ids.distinct().join(classes.select("d1", "d2", F.col("copies").alias("__copies")), ["d1", "d2"])
             .join(found, ["d1", "d2"], "left")).toDF("__s1", "__s2", "__srow", "__copies", "__found")
     told = rows.join(each, at, "left")

@@ -8,9 +8,8 @@ as the next stage's input. All stages but the last return the columns of
 1. toxicity: documents that the classifier chain rejects go.
 2. n-gram Jaccard join: of each group of near copies (five words, similarity
    of at least 0.8) the document with the least id stays.
-3. suffix-array dedup: passages of more than 50 words that repeat (by strings
-   of 256 bytes) are cut out of the texts; a document of which nothing is left
-   goes.
+3. suffix-array dedup: passages of more than 50 words that repeat are cut out
+   of the texts; a document of which nothing is left goes.
 4. mixing: copies of documents are taken until the sources' targets are met.
 5. BPE: the ids of each text, and how many there are.
 """
@@ -27,8 +26,8 @@ from blockload.session import new_path
 
 NEAR_WORDS = 5
 NEAR_PERCENT = 80
-PASSAGE_BYTES = 256     # a passage of more than 50 words has more bytes, but for rows of the shortest words
 PASSAGE_WORDS = 50
+PASSAGE_BYTES = 2 * PASSAGE_WORDS + 1     # of 51 words of one byte and what separates them, the shortest passage
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -341,3 +341,25 @@ def test_a_pair_found_only_in_a_later_shard_counts(spark, monkeypatch):
     links = graph_dedup.search_links(classes, centres, 2, 32, 0.9).groupBy("class").agg(F.sum("n").alias("n"))
     got = {r.least: r.n for r in classes.join(links, "class").collect()}
     assert got == {i: n for i, n in true.items() if n}
+
+
+def test_passages_of_short_words_go(spark):
+    """51 words of one to three letters repeat; so do, apart from each other,
+    two neighbours of 30 words, which stay."""
+    rnd = random.Random(12)
+
+    def words(n, size):
+        return " ".join("".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(*size))) for _ in range(n))
+
+    passage, one, two = words(51, (1, 3)), words(30, (5, 6)), words(30, (5, 6))
+    least = " ".join(rnd.choice("abcdefgh") for _ in range(51))
+    assert len(passage) < 256 and len(least) == 101
+    fills = [words(40, (6, 6)) for _ in range(14)]
+    texts = [f"{fills[0]} {passage} {fills[1]}", f"{fills[2]} {passage} {fills[3]}",
+             f"{fills[4]} {one} {two} {fills[5]}", f"{fills[6]} {one} {fills[7]}", f"{fills[8]} {two} {fills[9]}",
+             f"{fills[10]} {least} {fills[11]}", f"{fills[12]} {least} {fills[13]}"]
+    rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text.split() for r in corpus_pipeline.cut_repeats(spark, docs, "").collect()}
+    want = {i: t.replace(passage, "").replace(least, "").split() for i, t in enumerate(texts)}
+    assert got == want
