@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blockload.llm import bpe, chat, graph_dedup, mixing, ngram_join, suffix_dedup, token_counts, topk, toxicity, warc
+from blockload.llm import (bpe, chat, exact_dedup, graph_dedup, mixing, ngram_join, suffix_dedup, token_counts, topk,
+                           toxicity, warc, whitening)
 
 
 def tokenizer_path(name: str) -> str:
@@ -75,6 +76,14 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_topk": op2_topk,
@@ -86,6 +95,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_bpe": op9_bpe,
     "op10_mix": op10_mix,
+    "op11_whitening": op11_whitening,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -188,4 +199,11 @@ ORACLE_SQL: dict[str, str] = {
         n AS (SELECT a, count(*) AS links FROM e GROUP BY a)
         SELECT vec_id, coalesce(links, 0) AS n_links, component_id, vec_id = component_id AS kept
         FROM embeddings JOIN c ON node = vec_id LEFT JOIN n ON a = vec_id""",
+    "op13_exact_dedup": """
+        WITH t AS (
+          SELECT doc_id, coalesce(length(text), 0) AS chars,
+                 regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') AS norm FROM documents)
+        SELECT doc_id, first(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
+               row_number() OVER w = 1 AS kept, sha256(norm) AS text_sha256
+        FROM t WINDOW w AS (PARTITION BY norm ORDER BY chars DESC, doc_id NULLS LAST)""",
 }
