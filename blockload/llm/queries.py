@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blockload.llm import (bpe, chat, exact_dedup, graph_dedup, mixing, ngram_join, suffix_dedup, token_counts, topk,
-                           toxicity, warc, whitening)
+from blockload.llm import (bpe, chat, collocations, exact_dedup, graph_dedup, mixing, ngram_join, suffix_dedup,
+                           token_counts, topk, toxicity, warc, whitening)
 
 
 def tokenizer_path(name: str) -> str:
@@ -80,6 +80,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -96,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe": op9_bpe,
     "op10_mix": op10_mix,
     "op11_whitening": op11_whitening,
+    "op12_collocations": op12_collocations,
     "op13_exact_dedup": op13_exact_dedup,
 }
 
@@ -199,6 +204,30 @@ ORACLE_SQL: dict[str, str] = {
         n AS (SELECT a, count(*) AS links FROM e GROUP BY a)
         SELECT vec_id, coalesce(links, 0) AS n_links, component_id, vec_id = component_id AS kept
         FROM embeddings JOIN c ON node = vec_id LEFT JOIN n ON a = vec_id""",
+    "op12_collocations": """
+        WITH p AS (
+          SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+          FROM documents),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS t FROM p),
+        s AS (SELECT lang, t, unnest(generate_series(1, len(t))) AS i FROM w WHERE len(t) > 0),
+        f AS (SELECT lang, m, array_to_string(t[i:i + m - 1], ' ') AS phrase, count(*) AS f
+              FROM s, (SELECT unnest([1, 2, 3]) AS m) WHERE i + m - 1 <= len(t) GROUP BY ALL),
+        n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+        c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS t FROM f WHERE m > 1 AND f >= 10),
+        kept AS (
+          SELECT * FROM c WHERE m = 3 OR NOT EXISTS (
+            SELECT 1 FROM c x WHERE x.m = 3 AND x.lang = c.lang AND 100 * x.a >= 50 * c.a
+              AND (array_to_string(x.t[1:2], ' ') = c.phrase OR array_to_string(x.t[2:3], ' ') = c.phrase))),
+        cuts AS (
+          SELECT c.lang, c.phrase, c.a, k, x.f AS l, y.f AS r,
+                 (1000000::HUGEINT * c.a * c.a // (x.f::HUGEINT * y.f))::BIGINT AS score
+          FROM (SELECT *, unnest(generate_series(1, m - 1)) AS k FROM kept) c
+          JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.t[1:k], ' ')
+          JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.t[k + 1:m], ' ')),
+        best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM r JOIN n USING (lang) WHERE rank <= 2000""",
     "op13_exact_dedup": """
         WITH t AS (
           SELECT doc_id, coalesce(length(text), 0) AS chars,
