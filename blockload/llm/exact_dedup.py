@@ -35,7 +35,7 @@ BLANK = " \t\n\x0b\x0c\r"
 
 PREFIX = 16                  # characters of a text in a splitter
 PARTITION_BYTES = 64 << 20   # normalised text of a range, on average
-GROUP_BYTES = 16 << 20       # a larger group of equals is dealt over ranges
+GROUP_BYTES = 1 << 20        # a larger group of equals is dealt over ranges
 MOST_LARGE = 4096
 
 
@@ -43,13 +43,16 @@ def normalised(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), BLANK, "")
 
 
-def _large_groups(rows: DataFrame) -> tuple[list[int], int, int]:
-    """Digests of the groups over the limit (bounded), the bytes of all rows
-    and the limit."""
+def _large_groups(rows: DataFrame) -> tuple[dict[int, list[int]], int]:
+    """Digests of the groups over the limit (bounded), by the ranges that they
+    are dealt over (powers of two), and the bytes of all rows."""
     sizes = staged(rows.groupBy("__digest").agg(F.sum("__bytes").alias("b")), "sort-sizes")
     total = sizes.agg(F.sum("b")).head()[0] or 0
     limit = max(GROUP_BYTES, -(-total // MOST_LARGE))
-    return [r[0] for r in sizes.where(F.col("b") > limit).select("__digest").collect()], total, limit
+    large: dict[int, list[int]] = {}
+    for digest, size in sizes.where(F.col("b") > limit).collect():
+        large.setdefault(1 << (size // limit).bit_length(), []).append(digest)
+    return large, total
 
 
 def _compared(docs: DataFrame, carried: list[str]) -> DataFrame:
@@ -57,12 +60,14 @@ def _compared(docs: DataFrame, carried: list[str]) -> DataFrame:
     text_sha256."""
     norm = normalised(F.col("text"))
     keys = docs.select(F.xxhash64(norm).alias("__digest"), (F.octet_length(norm) + 64).cast("long").alias("__bytes"))
-    large, total, limit = _large_groups(keys)
-    spread = F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(partitions_for(total, limit))) + 1
+    large, total = _large_groups(keys)
+    spread = F.xxhash64("doc_id", F.monotonically_increasing_id())
     rows = docs.select(*carried, F.col("doc_id").cast("long").alias("__id"),
-                       F.length(F.coalesce("text", F.lit(""))).alias("__chars"), norm.alias("__norm"))
+                       F.length(F.coalesce("text", F.lit(""))).alias("__chars"), norm.alias("__norm"), spread.alias("__spread"))
     rows = rows.withColumn("__digest", F.xxhash64("__norm"))
-    piece = F.when(F.col("__digest").isin(large), spread).otherwise(F.lit(0)) if large else F.lit(0)
+    piece = F.lit(0)
+    for pieces, digests in large.items():
+        piece = F.when(F.col("__digest").isin(digests), F.pmod("__spread", F.lit(pieces)) + 1).otherwise(piece)
     rows = rows.withColumn("__start", F.left("__norm", F.lit(PREFIX))).withColumn("__piece", piece.cast("long"))
 
     place = ["__start", "__digest", *(["__piece"] if large else [])]
