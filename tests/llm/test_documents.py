@@ -86,12 +86,81 @@ def brute_spans(texts, length=400):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("hot", [100_000, 2])
-def test_repeated_spans(docs, texts, hot, monkeypatch):
+def brute_passages(texts, size=51):
+    """Runs of words in strings of ``size`` words that stand in two places, and
+    in two documents, as byte spans."""
+    raws = [(t or "").encode() for _, t in texts]
+    words = [[m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", r)] for r in raws]
+    strings = [[tuple(r[a:b] for a, b in w[i:i + size]) for i in range(len(w) - size + 1)] for r, w in zip(raws, words)]
+    places, owners = Counter(x for s in strings for x in s), Counter(x for s in strings for x in set(s))
+
+    def runs(w, marks):
+        return suffix_dedup.merge_spans([(w[i][0], w[i + size - 1][1]) for i, m in enumerate(marks) if m])
+
+    return ([runs(w, [places[x] > 1 for x in s]) for w, s in zip(words, strings)],
+            [runs(w, [owners[x] > 1 for x in s]) for w, s in zip(words, strings)])
+
+
+@pytest.mark.parametrize("hot,few", [(100_000, 10_000), (2, 0)])
+def test_repeated_spans(docs, texts, hot, few, monkeypatch):
+    """Of bytes, and of words in other documents; all anchors hot, or met by a
+    broadcast."""
     short = [t for t in texts if len(t[1] or "") < 20_000]
     monkeypatch.setattr(suffix_dedup, "HOT_WINDOWS", hot)
+    monkeypatch.setattr(suffix_dedup, "BROADCAST_ROWS", few)
     some = docs.where("coalesce(length(text), 0) < 20000")
-    assert rows_of(suffix_dedup.span_report(some), "*") == brute_spans(short)
+    got = suffix_dedup.span_report(some).cache()
+    assert rows_of(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute_spans(short)
+    shared = brute_passages(short)[1]
+    want = [(i, len(r), sum(e - b for b, e in r), bool(r)) for (i, _), r in zip(short, shared)]
+    assert rows_of(got, "doc_id", "n_passages", "passage_bytes", "in_other_documents") == sorted(want, key=repr)
+    assert any(len(r) > 1 for r in shared)
+
+
+@pytest.mark.parametrize("hot", [100_000, 2])
+def test_repeated_passages(spark, hot, monkeypatch):
+    """Words of one to three letters, other white space between them, runs that
+    touch, repeats in one text, copies: cut are the strings of 51 equal words."""
+    monkeypatch.setattr(suffix_dedup, "HOT_WINDOWS", hot)
+    rnd = random.Random(8)
+
+    def words(n, most=3):
+        return ["".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(1, most))) for _ in range(n)]
+
+    def text(w):
+        return "".join(x + rnd.choice([" ", " ", "  ", "\n", "\t"]) for x in w)
+
+    shared = [words(rnd.randint(48, 56)) for _ in range(8)] + [words(300)]
+    rows = []
+    for i in range(80):
+        parts = words(rnd.randint(0, 40), 9)
+        for _ in range(rnd.randint(0, 3)):
+            parts = parts + rnd.choice(shared) + words(rnd.choice([0, 0, 5]))
+        rows.append((i, text(parts)))
+    rows += [(100, rows[3][1]), (101, " " + text(shared[-1]) + " "), (101, " " + text(shared[-1])), (102, None),
+             (103, ""), (104, "x " * 200), (105, text(words(50))), (106, "y" * 3000 + " " + text(shared[-1]))]
+    df = spark.createDataFrame([(*r, None, None, None) for r in rows], SCHEMA).repartition(4)
+    got = suffix_dedup.repeated_spans(df, over_words=50)
+    found = sorted(((r.doc_id, r.text, tuple((s.begin, s.end) for s in r.spans)) for r in got.collect()), key=repr)
+    assert found == sorted(((i, t, tuple(s)) for (i, t), s in zip(rows, brute_passages(rows)[0])), key=repr)
+
+
+def test_passages_of_a_long_text(monkeypatch):
+    """Pieces of any size file the same strings; words larger than a piece too."""
+    rnd = random.Random(9)
+    raw = " ".join("w" * rnd.choice([1, 2, 3, 900]) + str(rnd.randint(0, 9)) for _ in range(400)).encode()
+    kind = suffix_dedup.ByWord(51)
+
+    def strings():
+        found = set()
+        for at, piece in kind.pieces(raw):
+            w = [m.span() for m in re.finditer(rb"\S+", piece)]
+            found |= {(at + a, at + b) for (a, _), (_, b) in zip(w, w[50:])}
+        return found
+
+    whole = strings()
+    monkeypatch.setattr(suffix_dedup, "BUFFER", 700)
+    assert len(list(kind.pieces(raw))) > 3 and strings() == whole and len(whole) == 350
 
 
 def test_repeated_spans_in_a_long_text(spark):

@@ -251,7 +251,8 @@ def test_empty_tables(spark):
 
 def test_contract_columns(spark):
     want = {
-        "op1_suffix_dedup": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+        "op1_suffix_dedup": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passages", "passage_bytes",
+                             "in_other_documents"],
         "op4_chat": ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"],
         "op6_token_counts": ["doc_id", "n_bytes", "n_tokens", "over_limit"],
         "op8_warc": ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"],
