@@ -27,7 +27,6 @@ from blockload.session import new_path
 NEAR_WORDS = 5
 NEAR_PERCENT = 80
 PASSAGE_WORDS = 50
-PASSAGE_BYTES = 2 * PASSAGE_WORDS + 1     # of 51 words of one byte and what separates them, the shortest passage
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +40,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return suffix_dedup.without_repeats(docs, PASSAGE_BYTES, PASSAGE_WORDS)
+    return suffix_dedup.without_repeats(docs, over_words=PASSAGE_WORDS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
