@@ -4,15 +4,19 @@ A text's key is the digest of its normalised content and the digest of the
 tokenizer's file. Normalising only joins runs of white space and trims, which
 the tokenizer undoes to the same effect (``collapses_space`` checks that it
 drops white space; otherwise the text itself is digested). Keys are joined to
-the cache, a Parquet table; one row of each key that it lacks is encoded, by
+the cache, a Parquet table; one text of each key that it lacks is encoded, by
 the tokenizers library, and the new counts are appended.
 
-Scale: keys are 32 bytes, and only the rows chosen to be encoded carry their
-text through a shuffle-free scan: the chosen (key, id) pairs join the text by
-key and id, so copies are encoded once however many there are, and a hot key
-is one row after the partial aggregation. A cache can be shared by runs: it
-is only appended to, and doubled keys of concurrent writers are merged on
-reading.
+Scale: one scan digests the texts and stores (doc_id, size, key), which all else
+is joined to. A second scan gives each task's distinct texts, of which those that
+the cache lacks are shuffled by key and met once each; without a miss it does not
+run. So a hot text travels once a task, and is encoded once however many rows
+hold it and whatever their ids. A cache can be shared by runs: it is only
+appended to, and doubled keys of concurrent writers are merged on reading.
+
+Where the tokenizer provably works word by word (``word_by_word``), a text's
+count is the sum over its words, and the library encodes each distinct word
+once per worker, not each text.
 
 Defined results: a null text counts as empty (0 bytes, 0 tokens); repeated
 rows and ties give one result each; extra columns are not read.
@@ -22,20 +26,24 @@ from __future__ import annotations
 
 import hashlib
 import json
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blockload.llm.runtime import ship, tidy
+from blockload.llm.runtime import pick, ship, staged, tidy
 from blockload.session import new_path
 
 CACHE_SCHEMA = "content string, tokenizer string, n_tokens long"
 PIECE_CHARS = 200_000   # longer texts are encoded in pieces that end at white space
+KNOWN_WORDS = 200_000   # words whose counts a worker keeps
+KNOWN_CHARS = 100       # longer words are not kept
+SEEN_TEXTS = 500_000    # keys of which a task remembers that it gave their text
 
-# Fixed value: the white space that is joined and trimmed.
-SPACE = r"[\x20\x09-\x0D]+"
+# Fixed value: a way of splitting that never joins what white space separates.
+WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 def tokenizer_digest(path: str) -> str:
@@ -61,11 +69,60 @@ def collapses_space(path: str) -> bool:
     return joined and dropped and not strips
 
 
-def content_digest(text: Column, collapse: bool) -> Column:
-    text = F.coalesce(text, F.lit(""))
-    if collapse:
-        text = F.trim(F.regexp_replace(text, SPACE, " "))
-    return F.sha2(text, 256)
+def word_by_word(path: str) -> bool:
+    """Whether the parts of a text between white space are encoded each by
+    itself: the steps before the model are of the kinds listed, split by the
+    known pattern, and no added token has white space in it."""
+    if not collapses_space(path):
+        return False
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    steps = [s["type"] for s in spec["normalizer"]["normalizers"]]
+    splits = spec["pre_tokenizer"]["pretokenizers"]
+    return (set(steps) <= {"NFC", "Replace", "Lowercase"} and steps.count("Replace") == 1
+            and [s["type"] for s in splits] == ["Split", "ByteLevel"]
+            and splits[0]["pattern"] == {"Regex": WORD_SPLIT} and not splits[1]["add_prefix_space"]
+            and not splits[1]["use_regex"] and spec["model"]["type"] == "BPE"
+            and not any(any(c.isspace() for c in t["content"]) for t in spec["added_tokens"]))
+
+
+def content_digest(raw: bytes, collapse: bool) -> str:
+    """Digest of a text's bytes; ``split`` parts at space and the code points 9 to 13."""
+    return hashlib.sha256(b" ".join(raw.split()) if collapse else raw).hexdigest()
+
+
+def _raw(text: pa.Scalar) -> bytes:
+    return (text.as_py() or "").encode("utf-8", "surrogatepass")
+
+
+def _keyed(collapse: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raws = [_raw(t) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array([len(r) for r in raws], pa.int64()),
+                 pa.array([content_digest(r, collapse) for r in raws], pa.string())],
+                names=["doc_id", "n_bytes", "content"])
+    return run
+
+
+def _texts(collapse: bool):
+    """(content, text), as a rule once for each key of a task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[str] = set()
+        for batch in batches:
+            keys, rows = [], []
+            for i, t in enumerate(batch.column("text")):
+                key = content_digest(_raw(t), collapse)
+                if key not in seen:
+                    if len(seen) >= SEEN_TEXTS:
+                        seen.clear()
+                    seen.add(key)
+                    keys.append(key)
+                    rows.append(i)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), batch.column("text").take(pa.array(rows, pa.int64()))],
+                                             names=["content", "text"])
+    return run
 
 
 _LOADED: dict[str, object] = {}
@@ -110,12 +167,34 @@ def _pieces(text: str, size: int) -> list[str]:
     return out
 
 
-def _counter(path: str, collapse: bool):
+_KNOWN: dict[tuple[str, bytes], int] = {}
+
+
+def count_words(path: str, texts: list[bytes]) -> list[int]:
+    """Tokens of each text, by its words; words that the worker does not know
+    yet are encoded by the library."""
+    count = load_tokenizer(path)
+    if len(_KNOWN) > KNOWN_WORDS:
+        _KNOWN.clear()
+    found = [Counter(t.split()) for t in texts]
+    new = list({w for words in found for w in words if (path, w) not in _KNOWN})
+    numbers = dict(zip(new, count([w.decode("utf-8") for w in new]))) if new else {}
+    sums = [sum(n * (numbers[w] if w in numbers else _KNOWN[path, w]) for w, n in words.items()) for words in found]
+    _KNOWN.update(((path, w), n) for w, n in numbers.items() if len(w) <= KNOWN_CHARS)
+    return sums
+
+
+def _counter(path: str, collapse: bool, by_word: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = load_tokenizer(path)
         for batch in batches:
             keys, counts = batch.column("content"), []
             texts = batch.column("text")
+            if by_word:
+                for start in range(0, batch.num_rows, 64):
+                    counts += count_words(path, [_raw(t) for t in texts.slice(start, 64)])
+                yield pa.RecordBatch.from_arrays([keys, pa.array(counts, pa.int64())], names=["content", "n_tokens"])
+                continue
             for start in range(0, batch.num_rows, 16):  # few texts at a time bound the encodings held
                 group, owner = [], []
                 for i, text in enumerate(texts.slice(start, 16).to_pylist()):
@@ -151,21 +230,19 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str | None = None, limi
     ship(spark)
     cache = cache or new_path(spark, "token-cache")
     version, collapse = tokenizer_digest(tokenizer), collapses_space(tokenizer)
-    text = F.coalesce(F.col("text"), F.lit(""))
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"),
-                        F.octet_length(text).cast("long").alias("n_bytes"),
-                        content_digest(F.col("text"), collapse).alias("content"))
-    stored = read_cache(spark, cache).where(F.col("tokenizer") == version).select("content", "n_tokens")
-
-    # One row of each missing key: its smallest id, nulls counting as least.
-    rank = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
-    misses = (keyed.select("content", rank.alias("_rank")).groupBy("content").agg(F.min("_rank").alias("_rank"))
-              .join(stored, "content", "left_anti"))
-    chosen = (keyed.select("content", "text", rank.alias("_rank"))
-              .join(misses, ["content", "_rank"], "left_semi").select("content", "text"))
-    counted = chosen.mapInArrow(tidy(_counter(tokenizer, collapse)), "content string, n_tokens long")
-    (counted.select("content", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache))
-
-    counts = read_cache(spark, cache).where(F.col("tokenizer") == version).select("content", "n_tokens")
-    return keyed.select("doc_id", "n_bytes", "content").join(counts, "content").select(
+    rows = pick(docs, "doc_id", "text").select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    keyed = staged(rows.mapInArrow(tidy(_keyed(collapse)), "doc_id long, n_bytes long, content string"), "token-keys")
+
+    def stored() -> DataFrame:
+        return read_cache(spark, cache).where(F.col("tokenizer") == version).select("content", "n_tokens")
+
+    misses = staged(keyed.select("content").distinct().join(stored(), "content", "left_anti"), "token-misses")
+    if not misses.isEmpty():
+        texts = rows.select("text").mapInArrow(tidy(_texts(collapse)), "content string, text string")
+        chosen = texts.join(misses, "content", "left_semi").groupBy("content").agg(F.first("text").alias("text"))
+        counted = chosen.mapInArrow(tidy(_counter(tokenizer, collapse, word_by_word(tokenizer))),
+                                    "content string, n_tokens long")
+        counted.select("content", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache)
+    return keyed.join(stored(), "content").select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

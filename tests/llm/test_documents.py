@@ -369,6 +369,30 @@ def test_token_counts(spark, docs, texts, tmp_path, name):
     assert spark.read.parquet(cache).count() == full      # nothing was encoded anew
 
 
+def test_distinct_misses_are_encoded_once(spark, tmp_path):
+    """50 rows of null id and 10 of one id hold two texts (white space apart):
+    two counts are stored, and a second call stores none."""
+    path, cache = tokenizer_path("word_bpe_49k.json"), str(tmp_path / "cache")
+    rows = [(None, "one text here" + " " * (i % 3)) for i in range(50)] + [(7, "another  one") for _ in range(10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    for _ in range(2):
+        assert token_counts.token_counts(df, path, cache).count() == 60
+        assert spark.read.parquet(cache).count() == 2
+
+
+def test_words_by_themselves_count_as_in_the_text():
+    path = tokenizer_path("word_bpe_49k.json")
+    assert token_counts.word_by_word(path)
+    assert not any(token_counts.word_by_word(tokenizer_path(n)) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    rnd, whole = random.Random(6), token_counts.load_tokenizer(path)
+    marks = ["a", "Z", "é", "e\u0301", "\u0301", "Σ", "ς", "İ", "ﬁ", "日", "\u00a0", "\u2003", "\u0085", "\u200b", "'s", "'", "9",
+             "<|endoftext|>", "<|start", "oftext|>", "the", "ing", " ", "\t", "\n", "\r\n", "\x0b", "\x0c", "\x1c", ".", "\x00", "🙂", "ก็"]
+    texts = ["".join(rnd.choices(marks, k=rnd.randint(0, 40))) for _ in range(3000)]
+    for start in range(0, 3000, 500):
+        part = texts[start:start + 500]
+        assert token_counts.count_words(path, [t.encode() for t in part]) == whole(part)
+
+
 def test_long_texts_are_counted_in_pieces(monkeypatch):
     monkeypatch.setattr(token_counts, "PIECE_CHARS", 10)
     text = "one two  three <|endoftext|> four'll fünf 12 345\n\nsix " * 20
