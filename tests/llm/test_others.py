@@ -230,13 +230,63 @@ def test_magic_inside_members_is_not_a_record():
 
     for step in (1, 100, 5000, len(data)):
         got = [at for b in range(0, len(data), step)
-               for at, _ in warc.members(Source(), b, min(b + step, len(data)), len(data), window=300)]
+               for at, part, _, _ in warc.members(Source(), b, min(b + step, len(data)), len(data), window=300)
+               if part >= 0]
         assert got == starts
         if step == 1:
             continue
     assert not list(warc.members(io.BytesIO(b""), 0, 0, 0))
 
 
+def record(i, payload):
+    block = b"HTTP/1.1 200 OK\r\n\r\n" + payload
+    return (f"WARC/1.0\r\nWARC-Type: response\r\nX-Page-ID: {i}\r\nContent-Length: {len(block)}\r\n\r\n".encode()
+            + block + b"\r\n\r\n")
+
+
+@pytest.fixture(scope="module")
+def strange_archives(spark, tmp_path_factory):
+    """name -> (bytes, page ids that can be read, damages)."""
+    body = [record(i, b"text %d " % i * 300) for i in range(6)]
+    zipped = [gzip.compress(b) for b in body]
+    broken = bytearray(zipped[1])
+    broken[-6] ^= 1                                                     # the checksum
+    lost = b"\x00\x01" + zipped[1][2:]                                  # no magic
+    cases = {
+        "many": (gzip.compress(b"".join(body[:3])) + zipped[3] + gzip.compress(b"".join(body[4:])), range(6), 0),
+        "plain": (b"".join(body), range(6), 0),
+        "plain-cut": (b"".join(body)[:-900], range(5), 1),
+        "cut": (b"".join(zipped)[:-20], range(5), 1),
+        "cut-early": (b"".join(zipped[:5]) + zipped[5][:6], range(5), 1),
+        "broken": (zipped[0] + bytes(broken) + zipped[2], (0, 2), 1),
+        "lost": (zipped[0] + lost + zipped[2], (0, 2), 1),
+        "padded": (zipped[0] + bytes(700) + zipped[1], (0, 1), 0),
+        "length": (zipped[0] + gzip.compress(body[1].replace(b"Length: ", b"Length: x")) + zipped[2], (0, 2), 1),
+        "empty": (b"", (), 0),
+    }
+    folder = tmp_path_factory.mktemp("warc")
+    for name, (data, _, _) in cases.items():
+        (folder / f"{name}.warc").write_bytes(data)
+    return folder, cases
+
+
+@pytest.mark.parametrize("size", [1 << 24, 100])
+def test_strange_archives_lose_nothing_in_silence(spark, strange_archives, size):
+    folder, cases = strange_archives
+    files = spark.createDataFrame([(n, str(folder / f"{n}.warc"), len(d)) for n, (d, _, _) in cases.items()],
+                                  "name string, path string, bytes long")
+    got = warc.read_archives(files.select("path", "bytes"), range_bytes=size, damaged="report").collect()
+    for name, (_, ids, damages) in cases.items():
+        rows = [r for r in got if r.path.endswith(f"/{name}.warc")]
+        found = [r for r in rows if r.record_type == "response"]
+        assert sorted(r.page_id for r in found) == sorted(ids), name
+        assert all(bytes(r.payload) == b"text %d " % r.page_id * 300 for r in found)
+        assert len(rows) - len(found) == damages, name
+        if damages:
+            with pytest.raises(Exception, match=f"{name}.warc at byte"):
+                warc.read_archives(files.where(F.col("name") == name).select("path", "bytes"), range_bytes=size).collect()
+
+
 # --- queries and the pipeline
 
 def test_empty_tables(spark):
