@@ -72,7 +72,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).select(
+    return mixing.mix(table(spark, sf_dir, "documents"), columns=["doc_id"]).select(
         F.col("doc_id").cast("long").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
@@ -141,10 +141,12 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN page_id < first THEN first END AS refers_to
         FROM p LEFT JOIN f ON p.d = f.d""",
     "op10_mix": """
-        WITH d AS (
+        WITH e AS (
           SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
-                 md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS o
+                 md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || md5(coalesce(text, ''))) AS o
           FROM documents),
+        i AS (SELECT *, row_number() OVER (PARTITION BY source, o) - 1 AS m FROM e),
+        d AS (SELECT doc_id, source, size, CASE WHEN m = 0 THEN o ELSE md5(o || ':' || m) END AS o FROM i),
         s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
         r AS (SELECT *, row_number() OVER (ORDER BY source COLLATE "binary" NULLS LAST) AS rank FROM s),
         w AS (SELECT *, CASE (rank - 1) % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS weight,
@@ -224,7 +226,7 @@ ORACLE_SQL: dict[str, str] = {
                  (1000000::HUGEINT * c.a * c.a // (x.f::HUGEINT * y.f))::BIGINT AS score
           FROM (SELECT *, unnest(generate_series(1, m - 1)) AS k FROM kept) c
           JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.t[1:k], ' ')
-          JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.t[k + 1:m], ' ')),
+          JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.t[k + 1:c.m], ' ')),
         best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
         r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
         SELECT lang, rank, phrase, a, l, r, n, score FROM r JOIN n USING (lang) WHERE rank <= 2000""",

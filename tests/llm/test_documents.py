@@ -287,8 +287,32 @@ def test_mix_meets_its_targets(docs, texts):
     assert abs(sum(s["target"] for s in by_source.values()) - 1.5 * total) < 1e-6
     for s in by_source.values():
         assert s["target"] <= 2 * s["size"] and abs(s["taken"] - s["target"]) <= s["most"]
-    again = {(r.doc_id, r.text): r.taken for r in mixing.mix(docs.repartition(3)).collect()}
-    assert again == {(r["doc_id"], r["text"]): r["taken"] for r in got}
+    again = Counter((r.doc_id, r.text, r.source, r.taken) for r in mixing.mix(docs.repartition(3)).collect())
+    assert again == Counter((r["doc_id"], r["text"], r["source"], r["taken"]) for r in got)
+
+
+def test_mix_tells_rows_of_one_id_apart(spark, monkeypatch):
+    """Null ids with texts of their own, and rows that repeat whole, over many
+    parts: each has its place, so targets are met to a document."""
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 16)
+    rows = [(i, f"{i} a a a a", "a") for i in range(300)]
+    rows += [(None, f"{i} b" + " b" * (i % 9), "b") for i in range(800)]
+    rows += [(7, "the same row again", "c")] * 900 + [(None, "no id", None)] * 500 + [(None, None, "c")] * 20
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    runs = []
+    for parts in (9, 2):
+        got = mixing.mix(df.repartition(parts), columns=["doc_id"]).collect()
+        assert len(got) == len(rows) and got[0].__fields__[0] == "doc_id"
+        by_target = {}
+        for r in got:
+            t = by_target.setdefault((r.target, r.source_size), [0, 0])
+            t[0], t[1] = t[0] + r.taken, max(t[1], r.size)
+            assert r.taken in (0, r.size, 2 * r.size)
+        assert len(by_target) == 4
+        for (target, _), (taken, most) in by_target.items():
+            assert abs(taken - target) <= most
+        runs.append(Counter((r.doc_id, r.size, r.target, r.taken) for r in got))
+    assert runs[0] == runs[1]
 
 
 def brute_targets(sizes, weights=(3, 1, 2)):
@@ -317,7 +341,7 @@ def test_source_targets(spark, sizes):
 def test_mixed_documents_repeat_what_is_taken(docs):
     df = clashing(docs)
     out = mixing.mixed_documents(df)
-    assert out.schema == df.schema
+    assert out.dtypes == df.dtypes
     taken = {(r.doc_id, r.text): r.taken for r in mixing.mix(docs).collect() if r.doc_id not in (5, None)}
     rows = Counter((r.doc_id, r.text) for r in out.collect())
     for (d, t), words in taken.items():
