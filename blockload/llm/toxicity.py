@@ -10,14 +10,19 @@ by their log odds in the category (so that rare telling words count), with
 unit length per text. The cut for rejecting is the one with the best F1 score
 on the out-of-fold predictions.
 
-The models are fitted on at most ``SAMPLE_ROWS`` labelled rows, those with the
-least digest of doc_id: a documented bound, so that one task fits them in
-bounded memory. Scoring is a map over all rows and whole texts, without a
-shuffle; a model is ``CATEGORIES`` x ``BUCKETS`` numbers.
+The models are fitted on at most ``SAMPLE_ROWS`` labelled rows, a documented
+bound, so that one task fits them in bounded memory: of each combination of
+labels the ``LEAST_ROWS`` with the least digest of doc_id, so that rare ones are
+there, then others by that digest. Where that makes a combination's share larger
+than it is among all labels, its rows weigh less when the cut is chosen. Scoring
+is a map over all rows and whole texts, without a shuffle; a model is
+``CATEGORIES`` x ``BUCKETS`` numbers.
 
 Defined results: a null text or one without words has probability 0 in all
-categories and is kept; without labels of both kinds all probabilities are 0;
-of repeated labels of a doc_id the larger counts; extra columns are kept.
+categories and is kept; a category that lacks labels of both kinds in some fold
+has probability 0 and tells the later ones nothing, and rejects no document if it
+is the last one; of repeated labels of a doc_id the larger counts, for each
+category by itself; extra columns are kept.
 """
 
 from __future__ import annotations
@@ -29,13 +34,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from blockload.llm.runtime import pick, ship, tidy
+from blockload.llm.runtime import pick, ship, staged, tidy
 
 SAMPLE_ROWS = 6000
+LEAST_ROWS = 200        # of each combination of labels
 BUCKETS = 1 << 18
 PREFIX = 5
 FOLDS = 3
@@ -43,7 +49,7 @@ STEPS = 60
 RATE, MOMENTUM, RIDGE, SMOOTH = 2.0, 0.9, 1e-4, 0.05
 KNOWN_WORDS = 100_000
 
-FEATURES = "doc_id long, labels array<double>, columns binary, values binary"
+FEATURES = "doc_id long, labels array<double>, weight double, columns binary, values binary"
 MODEL = "category int, bias double, earlier array<double>, weights binary, cut double"
 
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -78,8 +84,8 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         made = [features(t.as_py()) for t in batch.column("text")]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("labels"), pa.array([c.tobytes() for c, _ in made], pa.binary()),
-             pa.array([v.tobytes() for _, v in made], pa.binary())], names=["doc_id", "labels", "columns", "values"])
+            [batch.column("doc_id"), batch.column("labels"), batch.column("weight"), pa.array([c.tobytes() for c, _ in made], pa.binary()),
+             pa.array([v.tobytes() for _, v in made], pa.binary())], names=["doc_id", "labels", "weight", "columns", "values"])
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
@@ -123,30 +129,28 @@ class Sample:
         return _sigmoid(np.bincount(self.row, self.val * w[self.col], self.n) + extra @ e + b)
 
 
-def best_cut(y: np.ndarray, p: np.ndarray) -> float:
+def best_cut(y: np.ndarray, p: np.ndarray, weight: np.ndarray) -> float:
     """The cut with the best F1 score, in the middle of its gap."""
     order = np.argsort(-p, kind="stable")
-    hits = np.cumsum(y[order])
-    f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
+    hits = np.cumsum((weight * y)[order])
+    f1 = 2 * hits / (np.cumsum(weight[order]) + (weight * y).sum())
     k = int(f1.argmax())
     below = p[order[k + 1]] if k + 1 < len(p) else 0.0
     return float((p[order[k]] + below) / 2)
 
 
-def fit_chain(sample: Sample, labels: np.ndarray, fold: np.ndarray) -> list[tuple]:
-    """(bias, weights of the earlier probabilities, weights, cut) per category."""
-    models, earlier = [], np.zeros((sample.n, 0))
+def fit_chain(sample: Sample, labels: np.ndarray, fold: np.ndarray, weight: np.ndarray) -> dict[int, tuple]:
+    """(bias, weights of the earlier probabilities, weights, cut) per category;
+    one that cannot be fitted in every fold is left out, its probability 0."""
+    models, earlier = {}, np.zeros((sample.n, 0))
     for k in range(labels.shape[1]):
-        y = labels[:, k]
-        kinds = [y[fold != f] for f in range(FOLDS)]
-        if not all(0 < part.sum() < len(part) for part in kinds):
-            return []
-        out = np.zeros(sample.n)
-        for f in range(FOLDS):
-            held = fold == f
-            out[held] = sample.predict(*sample.fit(y, earlier, ~held), earlier)[held]
-        w, e, b = sample.fit(y, earlier, np.ones(sample.n, bool))
-        models.append((b, e.tolist(), w.astype(np.float32), best_cut(y, out)))
+        y, out = labels[:, k], np.zeros(sample.n)
+        if all(0 < part.sum() < len(part) for part in (y[fold != f] for f in range(FOLDS))):
+            for f in range(FOLDS):
+                held = fold == f
+                out[held] = sample.predict(*sample.fit(y, earlier, ~held), earlier)[held]
+            w, e, b = sample.fit(y, earlier, np.ones(sample.n, bool))
+            models[k] = (b, e.tolist(), w.astype(np.float32), best_cut(y, out, weight))
         earlier = np.column_stack([earlier, out])
     return models
 
@@ -157,7 +161,8 @@ def _trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sample = Sample([np.frombuffer(r["columns"], np.int32) for r in rows],
                         [np.frombuffer(r["values"], np.float32) for r in rows])
         fold = np.array([zlib.crc32(str(r["doc_id"]).encode()) % FOLDS for r in rows])
-        for k, (b, e, w, cut) in enumerate(fit_chain(sample, np.array([r["labels"] for r in rows], float), fold)):
+        labels, weight = np.array([r["labels"] for r in rows], float), np.array([r["weight"] for r in rows])
+        for k, (b, e, w, cut) in fit_chain(sample, labels, fold, weight).items():
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k], pa.int32()), pa.array([b]), pa.array([e], pa.list_(pa.float64())),
                  pa.array([w.tobytes()], pa.binary()), pa.array([cut])],
@@ -167,19 +172,32 @@ def _trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, labels: DataFrame, categories: list[Column], sample_rows: int = SAMPLE_ROWS) -> list:
     """The chain's models, fitted in one task on a bounded sample."""
     ship(docs.sparkSession)
-    wanted = F.array(*[c.cast("double") for c in categories])
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), wanted.alias("labels"))
-    known = known.where(F.col("doc_id").isNotNull() & F.forall("labels", lambda v: v.isNotNull()))
-    known = (known.groupBy("doc_id").agg(F.max("labels").alias("labels"))
-             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows))   # a proven bound for the broadcast
-    rows = pick(docs, "doc_id", "text").join(F.broadcast(known), "doc_id").select(
-        F.col("doc_id").cast("long").alias("doc_id"), "text", "labels")
+    names = [f"c{k}" for k in range(len(categories))]
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"),
+                          *[c.cast("double").alias(n) for n, c in zip(names, categories)])
+    known = known.dropna().groupBy("doc_id").agg(*[F.max(n).alias(n) for n in names]).select(
+        "doc_id", F.array(*names).alias("labels"))
+    known = staged(known, "known-labels")
+    digest = [F.xxhash64("doc_id"), "doc_id"]
+    # Spark cuts each combination to sample_rows before it numbers them.
+    place = F.row_number().over(Window.partitionBy("labels").orderBy(*digest))
+    known_sample = known.withColumn("place", place).where(F.col("place") <= sample_rows)
+    known_sample = staged(known_sample.orderBy(F.col("place") > LEAST_ROWS, *digest).limit(sample_rows), "label-sample")
+    # As many rows as there are combinations of labels.
+    share = known.groupBy("labels").agg(F.count(F.lit(1)).alias("all")).join(
+        known_sample.groupBy("labels").agg(F.count(F.lit(1)).alias("some")), "labels")
+    weighed = known_sample.join(share, "labels").select(
+        "doc_id", "labels", (F.col("all") / F.col("some")).cast("double").alias("weight"))
+    rows = pick(docs, "doc_id", "text").join(F.broadcast(weighed), "doc_id").select(   # sample_rows at most
+        F.col("doc_id").cast("long").alias("doc_id"), "text", "labels", "weight")
     made = rows.mapInArrow(tidy(_featured, _KNOWN), FEATURES).orderBy(F.xxhash64("doc_id"), "doc_id", "columns").limit(sample_rows)
     return sorted(made.mapInArrow(tidy(_trained), MODEL).collect(), key=lambda m: m.category)
 
 
 def _scorer(models: list, names: list[str]):
-    chain = [(m.bias, list(m.earlier), np.frombuffer(m.weights, np.float32).astype(np.float64), m.cut) for m in models]
+    fitted = {m.category: (m.bias, list(m.earlier), np.frombuffer(m.weights, np.float32).astype(np.float64), m.cut)
+              for m in models}
+    chain = [fitted.get(k) for k in range(len(names))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,10 +206,14 @@ def _scorer(models: list, names: list[str]):
             for text in batch.column("text"):
                 columns, values = features(text.as_py())
                 row: list[float] = []
-                for b, e, w, _ in chain if len(columns) else []:
+                for model in chain if len(columns) else []:
+                    if model is None:
+                        row.append(0.0)
+                        continue
+                    b, e, w, _ = model
                     z = float(values @ w[columns]) + b + sum(x * p for x, p in zip(e, row))
                     row.append(float(_sigmoid(np.float64(z))))
-                hit.append(bool(row) and row[-1] >= chain[-1][3])
+                hit.append(bool(row) and chain[-1] is not None and row[-1] >= chain[-1][3])
                 for out, p in zip(probs, row or [0.0] * len(names)):
                     out.append(p)
             yield pa.RecordBatch.from_arrays(

@@ -5,6 +5,7 @@ tables, extra columns with clashing names."""
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -436,6 +437,66 @@ def test_toxicity_on_held_out_rows(spark):
     assert c.get((0, True), 0) / (c[0, False] + c.get((0, True), 0)) < 0.02
 
 
+def test_toxicity_against_one_process(spark, monkeypatch):
+    """The same rows, models and probabilities as without Spark."""
+    monkeypatch.setattr(toxicity, "LEAST_ROWS", 30)
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    known = {}
+    for r in labels.withColumn("h", F.xxhash64("doc_id")).collect():
+        if r.toxic is not None:
+            y = known.setdefault(r.doc_id, (r.h, [0.0, 0.0]))[1]
+            y[0], y[1] = max(y[0], float(r.quality == 0)), max(y[1], float(r.toxic == 1))
+    order = sorted(known, key=lambda d: (known[d][0], d))
+    groups = {}
+    for d in order:
+        groups.setdefault(tuple(known[d][1]), []).append(d)
+    first = {d for g in groups.values() for d in g[:30]}
+    chosen = sorted(order, key=lambda d: (d not in first, known[d][0], d))[:250]
+    assert len(chosen) == 250 < len(known)
+    weight = {d: len(g) / sum(x in chosen for x in g) for g in groups.values() for d in g}
+    chosen = sorted(d for d in chosen if d in texts)
+    made = [toxicity.features(texts[d]) for d in chosen]
+    models = toxicity.fit_chain(toxicity.Sample([c for c, _ in made], [v for _, v in made]),
+                                np.array([known[d][1] for d in chosen]),
+                                np.array([zlib.crc32(str(d).encode()) % toxicity.FOLDS for d in chosen]),
+                                np.array([weight[d] for d in chosen]))
+    fitted = toxicity.train(docs, labels, [F.coalesce(F.col("quality") == 0, F.lit(False)), F.col("toxic") == 1], 250)
+    assert [m.category for m in fitted] == sorted(models) == [0, 1]
+    want = {}
+    for d, t in texts.items():
+        columns, values = toxicity.features(t)
+        p = []
+        for k in (0, 1) if len(columns) else ():
+            b, e, w, _ = models[k]
+            p.append(1 / (1 + np.exp(-(values @ w[columns].astype(float) + b + sum(x * q for x, q in zip(e, p))))))
+        want[d] = (p or [0.0, 0.0]) + [bool(p) and p[1] >= models[1][3]]
+    got = toxicity.score(docs, fitted, ["p_unfit", "p_toxic"]).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        assert (r.p_unfit, r.p_toxic) == pytest.approx(want[r.doc_id][:2], abs=1e-6) and r.rejected == want[r.doc_id][2]
+
+
+def test_toxicity_with_labels_in_parts(spark):
+    """A category that cannot be learned stops no other; labels of a row that
+    is there twice count each by itself; rare labels are in the sample."""
+    rnd = random.Random(4)
+    bad, good = ["slurb", "vexon", "grawk"], [f"word{i}" for i in range(60)]
+    rows = [(i, " ".join(rnd.choices(good, k=30) + ([rnd.choice(bad)] * 3 if i % 5 == 0 else []))) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kind = "doc_id long, quality int, toxic int"
+    toxic = {i for i in range(0, 300, 5)}
+    cases = {
+        "no quality": [(i, None, int(i in toxic)) for i in range(300)],
+        "other label first": [(i, 1, 0) for i in range(300)] + [(i, 0 if i % 3 else 1, int(i in toxic)) for i in range(300)],
+        "unfit of clean rows": [(i, 0, 0) for i in range(300)] + [(i, 1, 1) for i in toxic],
+        "rare": [(i, 1, int(i in toxic)) for i in range(300)] + [(10_000 + i, 1, 0) for i in range(30_000)],
+    }
+    for name, labels in cases.items():
+        out = toxicity.toxicity(docs, spark.createDataFrame(labels, kind)).collect()
+        assert {r.doc_id for r in out if r.rejected} == toxic, name
+
+
 def test_toxicity_without_usable_labels(spark, docs):
     none = spark.createDataFrame([(1, None, None), (None, 1, 1)], "doc_id long, quality int, toxic int")
     df = clashing(docs)
