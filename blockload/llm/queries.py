@@ -107,15 +107,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op2_topk": """
         WITH v AS (
-          SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS n
+          SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS n,
+                 row_number() OVER () AS i
           FROM embeddings
           WHERE embedding IS NOT NULL AND len(embedding) > 0
             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
         s AS (
-          SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+          SELECT q.vec_id AS query_id, c.vec_id AS vec_id, q.i,
                  list_sum(list_transform(list_zip(q.n, c.n), lambda p: p[1] * p[2]))::BIGINT AS score
-          FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(q.n) = len(c.n)),
-        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS k FROM s)
+          FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.i <> q.i AND len(q.n) = len(c.n)),
+        r AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, vec_id) AS k FROM s)
         SELECT query_id, CAST(k AS INTEGER) AS rank, vec_id, score FROM r WHERE k <= 20""",
     "op4_chat": """
         WITH t AS (

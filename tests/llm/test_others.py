@@ -5,7 +5,9 @@ import gzip
 import hashlib
 import io
 import json
+import math
 import random
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -54,12 +56,38 @@ def test_top_k(spark, vectors, monkeypatch, scale, block):
     """At scale 300 cells are coarse, so bounds rule out less."""
     monkeypatch.setattr(topk, "BLOCK_VECTORS", block)
     rows = [(i, [v * scale if v is not None else None for v in x] if x is not None else None) for i, x in vectors]
-    ints = {i: np.floor(64 * np.array(x)).astype(np.int64) for i, x in rows if i is not None and usable(x)}
+    assert rows_of(topk.top_k(frame(spark, rows))) == brute_top_k(rows)
+
+
+def brute_top_k(rows, step=20, k=20):
+    """Over rows: rows of one id and rows that repeat are candidates too."""
+    ints = [(i, [math.floor(64 * Fraction(v)) for v in x]) for i, x in rows if usable(x)]
     want = []
-    for q in sorted(i for i in ints if i % 20 == 0):
-        scores = sorted((-int(ints[q] @ v), i) for i, v in ints.items() if i != q and len(v) == len(ints[q]))
-        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scores[:20])]
-    assert rows_of(topk.top_k(frame(spark, rows))) == sorted(want, key=repr)
+    for a, (q, x) in enumerate(ints):
+        if q is not None and q % step == 0:
+            scores = sorted((-sum(m * n for m, n in zip(x, y)), i is None, i or 0, i)
+                            for b, (i, y) in enumerate(ints) if a != b and len(x) == len(y))
+            want += [(q, r + 1, i, -s) for r, (s, _, _, i) in enumerate(scores[:k])]
+    return sorted(want, key=repr)
+
+
+def test_top_k_of_one_id_and_of_large_numbers(spark, vectors, monkeypatch):
+    """Rows of one id with other vectors, repeated queries, and components far
+    past 2^24, where cells are coarse and sums pass 53 bits."""
+    monkeypatch.setattr(topk, "BLOCK_VECTORS", 64)
+    rng = np.random.default_rng(9)
+    rows = [(i % 7 * 20, rng.normal(size=16).tolist()) for i in range(60)] + vectors[:100]
+    rows += [(i, (rng.normal(size=16) * 2.0 ** 22).tolist()) for i in range(300, 340)]
+    rows += [(i, [float(2.0 ** rng.integers(12, 24) * s) for s in rng.choice([-1, 1], 8)]) for i in range(1000, 1060)]
+    rows += [(1100, [2.0 ** 23.9] * 64), (1101, [2.0 ** 23.9, -2.0 ** 23.9] * 32), (1120, [1e-300] * 64), (1121, [0.0] * 64)]
+    rows += [(1200, [1e100, 0.0, 1.0]), (1201, [0.0, 1e100, 2.0]), (1202, [-1e100, 0.0, 2.0])]
+    want = [w for w in brute_top_k(rows) if w[0] != 1200]
+    got = rows_of(topk.top_k(frame(spark, [r for r in rows if r[0] != 1202])))
+    assert [g for g in got if g[0] != 1200] == want
+    assert [g for g in got if g[0] == 1200] == [(1200, 1, 1201, 64 * 128)]
+    for more in ([(1202, [-1e100, 0.0, 2.0])], [(1203, [1e300, 0.0, 2.0])]):
+        with pytest.raises(Exception, match="OVERFLOW|2\\^490"):
+            topk.top_k(frame(spark, [(1200, [1e100, 0.0, 1.0]), *more])).collect()
 
 
 def test_near_duplicates(spark, vectors):
