@@ -418,6 +418,74 @@ def q_added_column(spark, sf_dir):
     return target_view(spark, cfg)
 
 
+def q_reserved_columns(spark, sf_dir):
+    """A source column with a name that the library adds is refused before any
+    job, in every flow; under another name all rows are loaded."""
+    o = _t(spark, sf_dir, "orders")
+    cfg = _flow_cfg(spark, threshold=0, block_size=5000, blocks_on="rows", order_cols=["o_orderkey"])
+    for name in ("_run", "_Block", "_attempt", "_p", "_rid"):
+        for flow in (run_load, load_direct):
+            try:
+                flow(o.withColumnRenamed("o_orderstatus", name), cfg)
+            except ValueError:
+                continue
+            raise RuntimeError(f"a column {name} was accepted")
+    if not run_load(o.withColumnRenamed("o_orderstatus", "run"), cfg).is_complete:
+        raise RuntimeError("the load failed")
+    return target_view(spark, cfg)
+
+
+def q_same_name_other_case(spark, sf_dir):
+    """Two days into one target, the second with its names in upper case: one
+    column each."""
+    c = _t(spark, sf_dir, "customer")
+    cfg = _flow_cfg(spark)
+    upper = c.filter("c_nationkey >= 10").toDF(*[n.upper() for n in c.columns])
+    done = [run_load(c.filter("c_nationkey < 10"), cfg).is_complete,
+            run_load(upper, cfg.replace(run_date=RUN_DAY + dt.timedelta(days=1))).is_complete]
+    if not all(done):
+        raise RuntimeError(f"unexpected outcome: {done}")
+    return target_view(spark, cfg)
+
+
+def q_preblocked_changed(spark, sf_dir):
+    """A pre-blocked source that has other rows when a run is resumed is refused,
+    as many rows or not; with the first rows again the run is finished."""
+    ev = _t(spark, sf_dir, "events").withColumn("BLOCK", F.col("event_id") % 5 + 1)
+    src, cols = new_path(spark, "preblocked"), ["event_id", "user_id", "value"]
+    ev.write.parquet(src)
+    cfg = _flow_cfg(spark)
+    with failing_blocks({4: 100}):
+        first = load_preblocked(spark, src, 5, "BLOCK", cols, cfg)
+    for other in (ev.withColumn("value", F.col("value") + 1), ev.union(ev)):
+        other.write.mode("overwrite").parquet(src)
+        spark.catalog.refreshByPath(src)
+        try:
+            load_preblocked(spark, src, 5, "BLOCK", cols, cfg)
+        except ValueError:
+            continue
+        raise RuntimeError("a changed source was taken")
+    ev.write.mode("overwrite").parquet(src)
+    spark.catalog.refreshByPath(src)
+    second = load_preblocked(spark, src, 5, "BLOCK", cols, cfg)
+    if first.ok_blocks != 4 or not second.is_complete:
+        raise RuntimeError(f"unexpected outcome: {first} / {second}")
+    return target_view(spark, cfg)
+
+
+def q_all_waves_tried(spark, sf_dir):
+    """The first wave fails whole in the first passes: the other waves are
+    loaded all the same, and the retry loop ends the load."""
+    o = _t(spark, sf_dir, "orders")
+    cfg = _flow_cfg(spark, block_size=3000, threshold=0, blocks_on="even", block_retries=0, wave_size=1)
+    with failing_blocks({1: 2}):
+        first = run_load(o, cfg)
+        result = run_load_with_retry(o, cfg)
+    if first.failed_blocks != 1 or first.is_hopeless or not result.is_complete:
+        raise RuntimeError(f"unexpected outcome: {first} / {result}")
+    return target_view(spark, cfg)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "read_source": q_read_source,
     "resolve_columns": q_resolve_columns,
@@ -426,6 +494,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "resume_smaller_input": q_resume_smaller_input,
     "preblocked_out_of_range": q_preblocked_out_of_range,
     "added_column": q_added_column,
+    "reserved_columns": q_reserved_columns,
+    "same_name_other_case": q_same_name_other_case,
+    "preblocked_changed": q_preblocked_changed,
+    "all_waves_tried": q_all_waves_tried,
     "exclude_columns": q_exclude_columns,
     "distinct_keys": q_distinct_keys,
     "block_plan": q_block_plan,
@@ -526,8 +598,12 @@ _ORACLE: dict[str, str] = {
                       UNION ALL SELECT c_custkey, c_name FROM customer""",
     "resolve_columns": "SELECT o_totalprice, o_orderkey FROM orders",
     "check_request": "SELECT p_partkey FROM part",
-    "load_twice": "SELECT * REPLACE (date_trunc('millisecond', o_orderdate) AS o_orderdate) FROM orders",
-    "resume_smaller_input": "SELECT * REPLACE (date_trunc('millisecond', o_orderdate) AS o_orderdate) FROM orders",
+    "load_twice": "SELECT * FROM orders",
+    "reserved_columns": "SELECT * RENAME (o_orderstatus AS run) FROM orders",
+    "same_name_other_case": "SELECT * FROM customer",
+    "preblocked_changed": "SELECT event_id, user_id, value FROM events",
+    "all_waves_tried": "SELECT * FROM orders",
+    "resume_smaller_input": "SELECT * FROM orders",
     "preblocked_out_of_range": """SELECT count(*) FILTER (event_id % 5 + 1 > 4) AS n_refused, count(*) AS n_rows,
                                          CAST(sum(event_id) AS BIGINT) AS sum_ids FROM events""",
     "added_column": """SELECT c_custkey, c_name, CASE WHEN c_nationkey >= 10 THEN c_acctbal END AS c_acctbal
@@ -608,7 +684,7 @@ FROM orders GROUP BY o_orderstatus""",
     "load_direct": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
     "load_landed": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders",
     "load_preblocked": """
-SELECT event_id, DATE_TRUNC('millisecond', ts) AS ts, user_id, event_type, value, props FROM events""",
+SELECT event_id, ts, user_id, event_type, value, props FROM events""",
     "run_load": """
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
        l_returnflag, l_linestatus, l_shipdate FROM lineitem""",

@@ -32,6 +32,9 @@ ERROR_MAX_CHARS = 500
 BLOCK_COL = "_block"
 RUN_COL = "_run"
 ATTEMPT_COL = "_attempt"
+POSITION_COLS = ("_p", "_rid")
+# Names that a landing or a target adds to the rows; no source column may have one.
+RESERVED_COLS = (BLOCK_COL, RUN_COL, ATTEMPT_COL, *POSITION_COLS)
 
 
 @dataclasses.dataclass(frozen=True)
@@ -70,9 +73,20 @@ class LoadConfig:
     # A date given here is the only one loaded or resumed; without one the
     # latest open run of process and scope is resumed, or today's is begun.
     run_date: dt.date | None = None
+    # Digits of a second that the target keeps: 3 cuts timestamps to
+    # milliseconds, 6 keeps them. None is 3 for JDBC and 6 for Parquet.
+    timestamp_scale: int | None = None
     # JDBC only, for a table that cannot take the run, block and attempt
     # columns: rows are appended as they are, at least once.
     plain_append: bool = False
+
+    @property
+    def cuts_to_millis(self) -> bool:
+        scale = self.timestamp_scale if self.timestamp_scale is not None else (3 if self.target_format == "jdbc" else 6)
+        if scale not in (3, 6):
+            raise ValueError(f"timestamp_scale must be 3 or 6, not {scale!r}")
+        return scale == 3
+
     @property
     def uses_ledger(self) -> bool:
         return bool(self.ledger_path)
@@ -111,8 +125,8 @@ class RunResult:
 
     @property
     def is_hopeless(self) -> bool:
-        """Blocks were tried and not one was loaded: repeating will not help."""
-        return self.failed_blocks > 0 and self.ok_blocks == 0
+        """Every block of the run was tried and failed: repeating will not help."""
+        return 0 < self.failed_blocks == self.total_blocks
 
     @property
     def rows_per_s(self) -> float:

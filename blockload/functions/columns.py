@@ -11,7 +11,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-from blockload.config import DEFAULT_EXCLUDE
+from blockload.config import DEFAULT_EXCLUDE, RESERVED_COLS
 
 # Fixed value: the identifier pattern a block column name must match.
 IDENTIFIER = re.compile(r"[a-zA-Z_][a-zA-Z0-9_]*")
@@ -57,6 +57,19 @@ def check_block_column(schema: StructType, block_col: str) -> str:
     return resolve_columns(schema, [block_col]).fields[0].name
 
 
+def check_names(schema: DataFrame | StructType, reserved: Iterable[str] = RESERVED_COLS) -> None:
+    """Refuse columns that the library's own would overwrite, and columns whose
+    names are equal but for case, which no target keeps apart."""
+    schema = schema if isinstance(schema, StructType) else schema.schema
+    names = _by_lower_name(schema)
+    for own in reserved:
+        if own.lower() in names:
+            raise ValueError(f"column {names[own.lower()][0]!r} has a reserved name ({', '.join(reserved)}); rename it")
+    alike = [", ".join(found) for found in names.values() if len(found) > 1]
+    if alike:
+        raise ValueError(f"columns whose names differ by case only: {'; '.join(alike)}")
+
+
 def check_request(
     df: DataFrame | StructType | None = None,
     *,
@@ -67,8 +80,10 @@ def check_request(
     uses_ledger: bool = False,
     process_name: str = "",
     scope: str = "",
+    loads: DataFrame | StructType | None = None,
 ) -> None:
-    """Preconditions, raised before any job runs."""
+    """Preconditions, raised before any job runs. ``loads``: the columns
+    that will be loaded."""
     if path is not None and not path:
         raise ValueError("a path is required")
     if n_blocks is not None and n_blocks <= 0:
@@ -77,6 +92,8 @@ def check_request(
         raise ValueError("the column list is empty")
     if uses_ledger and not (process_name and scope):
         raise ValueError("process_name and scope are required with a ledger")
+    if loads is not None:
+        check_names(loads)
     if df is not None:
         schema = df if isinstance(df, StructType) else df.schema
         if block_col is not None:

@@ -82,17 +82,18 @@ def truncate_to_millis(c: Column) -> Column:
     return F.timestamp_add("MICROSECOND", -micros_of_ms, c)
 
 
-def to_target_values(df: DataFrame) -> DataFrame:
+def to_target_values(df: DataFrame, millis: bool = True) -> DataFrame:
     """Values that fit the target types. Bytes and shorts widen to int,
-    timestamps are cut to milliseconds, arrays, maps and structs become JSON
-    text, null stays null. Other types are refused before any job runs."""
+    timestamps are cut to milliseconds (unless the target keeps more,
+    ``millis=False``), arrays, maps and structs become JSON text, null stays
+    null. Other types are refused before any job runs."""
     cols = []
     for f in df.schema.fields:
         c, t = df[f.name], f.dataType
         if isinstance(t, (T.ByteType, T.ShortType)):
             c = c.cast("int")
         elif isinstance(t, (T.TimestampType, T.TimestampNTZType)):
-            c = truncate_to_millis(c)
+            c = truncate_to_millis(c) if millis else c
         elif isinstance(t, NESTED):
             c = F.to_json(c)
         else:

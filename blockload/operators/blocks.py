@@ -21,9 +21,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from blockload.config import BLOCK_COL, DIRECT, LANDING
+from blockload.config import BLOCK_COL, DIRECT, LANDING, POSITION_COLS
+from blockload.functions.columns import check_names
 from blockload.session import new_path
 
 # Bits of monotonically_increasing_id that hold the row index in a partition.
@@ -95,6 +97,7 @@ def pin_ranged(df: DataFrame, keys: Sequence[str], path: str, num_partitions: in
     and ``_p`` (the partition, also the folder), to ``path``; return the
     written rows. Reads of ``path`` always see the same partitions, while a
     recomputed range exchange would sample new bounds."""
+    check_names(df, POSITION_COLS)
     ranged = (
         (df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys))
         .sortWithinPartitions(*keys)
@@ -124,6 +127,7 @@ def range_offsets(pinned: DataFrame, group_cols: Sequence[str] = ()) -> DataFram
 def _positions(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str] = (),
                num_partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
+    check_names(df, (*POSITION_COLS, "_pos", "_gsize"))
     group_cols, order_cols = list(group_cols), list(order_cols)
     if not order_cols:
         raise ValueError("order_cols is empty")
@@ -193,6 +197,7 @@ def attach_blocks(df: DataFrame, key_map: DataFrame, key: str, map_key: str | No
     else both sides are shuffled and AQE splits a hot key's partition. A
     row whose key is not in the map raises. Column order of ``df`` is kept,
     ``_block`` is added last."""
+    check_names(df, (BLOCK_COL,))
     map_key = map_key or key
     m = key_map.select(key_map[map_key].alias("_k"), key_map[BLOCK_COL].alias("_kb"))
     joined = df.join(m, df[key].eqNullSafe(m["_k"]), "left")
@@ -211,6 +216,7 @@ def blocks_by_row(df: DataFrame, order_cols: Sequence[str], n_blocks: int, *,
     """NTILE(n) over all rows in ``order_cols`` order; blocks differ by at
     most one row. Equal to Spark's ``ntile`` over an unpartitioned window
     when the order is total, without that window's single task."""
+    check_names(df, (BLOCK_COL,))
     if num_partitions is None:  # range partitions are never split by AQE: size them by the rows
         num_partitions = range_partitions(df.sparkSession, df.count())
     pos = row_positions(df, order_cols, num_partitions=num_partitions)
@@ -235,12 +241,29 @@ def block_results(df: DataFrame, block_col: str = BLOCK_COL) -> DataFrame:
     return df.groupBy(F.col(block_col).alias("block_id")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def row_digest(df: DataFrame, columns: Sequence[str]) -> Column:
+    """An aggregate over rows that no order changes: the sum of two 64-bit
+    digests of each row, as decimals. Equal rows count as often as they are
+    there. Types that Spark's hash refuses are digested as JSON text."""
+    def plain(f: T.StructField) -> Column:
+        unhashed = any(kind in f.dataType.simpleString() for kind in ("map<", "variant"))
+        return F.to_json(df[f.name]) if unhashed else df[f.name]
+
+    values = [plain(df.schema[c]) for c in columns]
+    values += [v.isNull() for v in values]   # the hash skips nulls
+    total = F.lit(0).cast("decimal(38,0)")
+    for k, seed in enumerate((F.lit(1), F.lit(2))):
+        total = total + F.xxhash64(seed, *values).cast("decimal(20,0)") * F.lit(1 if k == 0 else 3)
+    return F.sum(total).cast("decimal(38,0)")
+
+
 def chunk_rows(df: DataFrame, limit: int, order_cols: Sequence[str], block_col: str = BLOCK_COL, *,
                num_partitions: int | None = None) -> DataFrame:
     """Number the rows of each block in chunks of ``limit`` rows in
     ``order_cols`` order (``_chunk``, 0-based; the last chunk may be short).
     ``limit <= 0`` means one chunk per block. A big block is spread over
     several tasks, since the position comes from ``row_positions``."""
+    check_names(df, ("_chunk",))
     if limit <= 0:
         return df.withColumn("_chunk", F.lit(0))
     if num_partitions is None:  # range partitions are never split by AQE: size them by the rows

@@ -19,14 +19,15 @@ import datetime as dt
 import time
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from blockload.config import BLOCK_COL, DIRECT, FAILED, LANDING, PREBLOCKED, RUNNING, SUCCESS, LoadConfig, RunResult
 from blockload.functions.columns import check_block_column, check_request, exclude_columns, resolve_columns
 from blockload.operators import ledger as L
-from blockload.operators.blocks import block_plan, blocks_by_key, blocks_by_row, blocks_even, range_partitions
+from blockload.operators.blocks import (block_plan, blocks_by_key, blocks_by_row, blocks_even, range_partitions,
+                                        row_digest)
 from blockload.session import new_path
 from blockload.sources.landing import (block_sizes, find_landing, landing_plan, read_landing, write_landing,
                                        write_row_landing)
@@ -168,16 +169,16 @@ class _Pass:
         half = len(failed) // 2
         return self.isolate(failed[:half]) + self.isolate(failed[half:])
 
-    def wave(self, ids: list[int]) -> bool:
-        """Load a wave; one linear pause before each round of repeats.
-        Whether any block of the run has been loaded in this pass."""
+    def wave(self, ids: list[int], retry: bool) -> list[int]:
+        """Load a wave; with ``retry``, one linear pause before each round of
+        repeats. Returns the blocks that failed."""
         failed = self.attempt(ids)
         for k in range(1, max(self.cfg.block_retries, len(ids) > 1) + 1):
-            if not failed:
+            if not failed or (not retry and len(failed) == len(ids)):
                 break
             _pause(self.cfg.retry_delay_s * k)
             failed = self.isolate(failed)
-        return self.loaded > 0 or not failed
+        return failed
 
     def load(self, t0: float, **known) -> RunResult:
         L.ledger_record(self.spark, self.cfg.ledger_path, L.ledger_init(self.plan, self.state()))
@@ -187,9 +188,11 @@ class _Pass:
         self.attempts = dict(todo)  # block numbers only, never rows
         self.loaded = L.completed_blocks(state).count()
         size = max(1, self.cfg.wave_size)
+        hopeful = True  # until a wave failed whole and nothing of the run is loaded
         for i in range(0, len(todo), size):
-            if not self.wave([b for b, _ in todo[i:i + size]]):
-                break  # hopeless: the first wave failed in every block
+            ids = [b for b, _ in todo[i:i + size]]
+            failed = self.wave(ids, hopeful)  # every block is tried; without hope once
+            hopeful = self.loaded > 0 or (hopeful and len(failed) < len(ids))
         return self.result(t0, **known)
 
     def result(self, t0: float, **known) -> RunResult:
@@ -220,11 +223,12 @@ def load_direct(df: DataFrame, cfg: LoadConfig, total_rows: int | None = None) -
     resumed direct load writes its current input: nothing of it was loaded."""
     spark = df.sparkSession
     _check_target(cfg)
+    check_request(loads=df)
+    src = exclude_columns(df, cfg.exclude_columns)
     cfg = with_paths(spark, cfg)
     t0 = time.time()
     run, run_date = _open_run(spark, cfg)
     _follow(run, DIRECT)
-    src = exclude_columns(df, cfg.exclude_columns)
     n = src.count() if total_rows is None else int(total_rows)
     if run is None:
         L.begin_run(spark, cfg.ledger_path, *_names(cfg), run_date, DIRECT, 1, n, None)
@@ -292,11 +296,12 @@ def load_landed(df: DataFrame, cfg: LoadConfig, total_rows: int, n_blocks: int)
     its own landing, with the block count it was written with."""
     spark = df.sparkSession
     _check_target(cfg)
+    check_request(loads=df)
+    src = exclude_columns(df, cfg.exclude_columns)
     cfg = with_paths(spark, cfg)
     t0 = time.time()
     run, run_date = _open_run(spark, cfg)
     _follow(run, LANDING)
-    src = exclude_columns(df, cfg.exclude_columns)
     if run is None:
         landing = _new_landing(src, cfg, run_date, total_rows, n_blocks)
         landed = landing_plan(spark, landing)["total_rows"]
@@ -339,14 +344,20 @@ def load_preblocked(spark: SparkSession, source: str, n_blocks: int, block_col:
     cols = [c for c in columns if c.lower() != bc.lower()]
     check_request(columns=cols)
     fields = resolve_columns(df, cols).fieldNames()
+    check_request(loads=df.select(*fields))
     run, run_date = _open_run(spark, cfg)
     _follow(run, PREBLOCKED)
     if run is not None and run["n_blocks"] != n_blocks:
         raise ValueError(f"the open run of {run_date} has {run['n_blocks']} blocks, not {n_blocks}")
-    counts = _preblocked_counts(df, bc, n_blocks)
+    counts = _preblocked_counts(df, bc, n_blocks, fields)
     if run is None:
+        # The counts and digests stay with the run: a later pass must find the same.
+        kept = new_path(spark, "counts", below=f"{cfg.ledger_path}/_counts")
+        counts.coalesce(1).write.parquet(kept)
         total = counts.agg(F.sum("n_rows")).first()[0] or 0
-        L.begin_run(spark, cfg.ledger_path, *_names(cfg), run_date, PREBLOCKED, n_blocks, total, None)
+        L.begin_run(spark, cfg.ledger_path, *_names(cfg), run_date, PREBLOCKED, n_blocks, total, kept)
+    elif run["landing"]:
+        _same_source(spark.read.schema(counts.schema).parquet(run["landing"]), counts, run_date)
     kind = df.schema[bc].dataType
 
     def blocks(ids: list[int]) -> DataFrame:
@@ -362,24 +373,42 @@ def load_preblocked(spark: SparkSession, source: str, n_blocks: int, block_col:
     return _Pass(spark, cfg, run_date, n_blocks, blocks, expected).load(t0)
 
 
-def _preblocked_counts(df: DataFrame, block_col: str, n_blocks: int) -> DataFrame:
-    """Rows per block, from one count over the source, kept as a table. Rows
-    with no block, or one that is not 1 to n, would be left out by every
-    wave, so they raise before anything is loaded."""
+def _preblocked_counts(df: DataFrame, block_col: str, n_blocks: int, columns: Sequence[str]) -> DataFrame:
+    """Rows per block and a digest of their values that no order changes, from
+    one pass over the source, kept as a table. Rows with no block, or one that
+    is not 1 to n, would be left out by every wave, so they raise before
+    anything is loaded."""
     spark = df.sparkSession
     number = F.expr("try_cast(b AS INT)")
-    counts = (df.groupBy(F.col(block_col).alias("b")).agg(F.count(F.lit(1)).alias("n_rows"))
-              .withColumn("block_id", number)
-              .withColumn("fits", F.coalesce(F.col("block_id").between(1, n_blocks)
-                                             & (F.col("block_id").cast(df.schema[block_col].dataType) == F.col("b")),
-                                             F.lit(False))))
-    path = new_path(spark, "block-counts")
-    counts.select("block_id", "n_rows", "fits").write.parquet(path)
-    kept = spark.read.parquet(path)
+
+    def counted(digest: Column) -> DataFrame:
+        counts = (df.groupBy(F.col(block_col).alias("b")).agg(F.count(F.lit(1)).alias("n_rows"), digest.alias("digest"))
+                  .withColumn("block_id", number)
+                  .withColumn("fits", F.coalesce(F.col("block_id").between(1, n_blocks)
+                                                 & (F.col("block_id").cast(df.schema[block_col].dataType) == F.col("b")),
+                                                 F.lit(False))))
+        path = new_path(spark, "block-counts")
+        counts.select("block_id", "n_rows", "digest", "fits").write.parquet(path)
+        return spark.read.parquet(path)
+
+    try:
+        kept = counted(row_digest(df, columns))
+    except Exception:  # noqa: BLE001 - a row that cannot be read fails its block, not the run: counts alone
+        kept = counted(F.max(F.lit(None).cast("decimal(38,0)")))
     outside = kept.filter("NOT fits").agg(F.sum("n_rows")).first()[0]
     if outside:
         raise ValueError(f"{outside} rows have no block from 1 to {n_blocks} in {block_col}")
-    return kept.select("block_id", "n_rows")
+    return kept.select("block_id", "n_rows", "digest")
+
+
+def _same_source(then: DataFrame, now: DataFrame, run_date: dt.date) -> None:
+    """Blocks of one run must be of one state of the source."""
+    both = then.alias("t").join(now.alias("n"), "block_id", "full_outer").where(
+        ~F.col("t.n_rows").eqNullSafe(F.col("n.n_rows")) | (F.col("t.digest") != F.col("n.digest")))
+    found = both.agg(F.count(F.lit(1)).alias("n"), F.min("block_id").alias("first")).first()
+    if found["n"]:
+        raise ValueError(f"the source changed since the run of {run_date} began: {found['n']} blocks differ, the first "
+                         f"is block {found['first']}; start a new run (another run_date, process or scope)")
 
 
 # --- O33, O34 -----------------------------------------------------------------
@@ -387,7 +416,7 @@ def _preblocked_counts(df: DataFrame, block_col: str, n_blocks: int) -> DataFram
 def run_load(df: DataFrame, cfg: LoadConfig) -> RunResult:
     """An open run is finished as it was begun; else count, plan, then
     DIRECT or LANDING."""
-    check_request(uses_ledger=cfg.uses_ledger, process_name=cfg.process_name, scope=cfg.scope)
+    check_request(uses_ledger=cfg.uses_ledger, process_name=cfg.process_name, scope=cfg.scope, loads=df)
     _check_target(cfg)
     cfg = with_paths(df.sparkSession, cfg)
     run, _ = _open_run(df.sparkSession, cfg)

@@ -39,9 +39,9 @@ def work_dir(spark: SparkSession) -> str:
     return _LOCAL_DIR
 
 
-def new_path(spark: SparkSession, kind: str) -> str:
-    """A fresh, never used path under the work folder."""
-    return f"{work_dir(spark)}/blockload/{kind}-{uuid.uuid4().hex[:12]}"
+def new_path(spark: SparkSession, kind: str, below: str | None = None) -> str:
+    """A fresh, never used path under the work folder (or ``below``)."""
+    return f"{below or f'{work_dir(spark)}/blockload'}/{kind}-{uuid.uuid4().hex[:12]}"
 
 
 def _located(spark: SparkSession, path: str):

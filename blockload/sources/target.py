@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from blockload.config import ATTEMPT_COL, BLOCK_COL, RUN_COL, SUCCESS, LoadConfig
+from blockload.functions.columns import check_names
 from blockload.functions.target_types import to_target_values
 from blockload.operators.ledger import ledger_state, read_ledger
 from blockload.session import path_exists, remove_path
@@ -80,7 +81,8 @@ def load_blocks(blocks: DataFrame, block_ids: Sequence[int], cfg: LoadConfig, ke
     ids = sorted({int(b) for b in block_ids})
     part = blocks.filter(F.col(block_col).isin(ids))
     data_cols = [c for c in part.columns if c != block_col]
-    part = to_target_values(part.select(*data_cols, F.col(block_col).alias(BLOCK_COL)))
+    check_names(part.select(*data_cols).schema, (RUN_COL, BLOCK_COL, ATTEMPT_COL))
+    part = to_target_values(part.select(*data_cols, F.col(block_col).alias(BLOCK_COL)), cfg.cuts_to_millis)
     if cfg.target_format == "jdbc" and cfg.plain_append:
         part.drop(BLOCK_COL).write.format("jdbc").options(**_jdbc_writer_options(cfg)).mode("append").save()
         # Nothing in the table tells these rows from others: what was sent counts.
@@ -90,12 +92,14 @@ def load_blocks(blocks: DataFrame, block_ids: Sequence[int], cfg: LoadConfig, ke
         out = out.withColumn(ATTEMPT_COL, _attempt_of(F.col(BLOCK_COL), attempts).cast("int"))
         out.write.format("jdbc").options(**_jdbc_writer_options(cfg)).mode("append").save()
     else:
-        _record_schema(spark, cfg.target, out.schema)
+        known = _target_schema(spark, cfg.target)
+        out = _as_the_target_spells(out, known)
         for b in ids:  # a repeat that has no rows would leave the last try's behind
             if attempts.get(b, 1) > 1:
                 remove_path(spark, _block_path(cfg.target, key, b))
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(RUN_COL, BLOCK_COL).parquet(cfg.target))
+        _record_schema(spark, cfg.target, known, out.schema)
     return written_counts(spark, cfg, key, ids, attempts)
 
 
@@ -106,32 +110,46 @@ def _block_path(target: str, key: str, block: int) -> str:
 _SCHEMA_RECORD = "_schema"
 
 
-def _record_schema(spark: SparkSession, target: str, schema: T.StructType) -> None:
+def _as_the_target_spells(rows: DataFrame, known: T.StructType | None) -> DataFrame:
+    """``rows`` with the target's spelling of the columns that it has (names
+    are the same whatever their case). A column with another type than there
+    raises, before anything is written: the target could not be read any more."""
+    fields = {f.name.lower(): f for f in known.fields} if known else {}
+    cols = []
+    for f in rows.schema.fields:
+        there = fields.get(f.name.lower(), f)
+        if there.dataType != f.dataType:
+            raise ValueError(f"column {f.name} is {f.dataType.simpleString()} here and "
+                             f"{there.dataType.simpleString()} in the target")
+        cols.append(rows[f.name].alias(there.name))
+    return rows.select(*cols)
+
+
+def _record_schema(spark: SparkSession, target: str, known: T.StructType | None, schema: T.StructType) -> None:
     """Keep the target's schema beside its data (a hidden folder Spark does
     not read as data): blocks with no rows write no file, and a target of
     empty blocks must still read with its columns. Columns that a run adds are
-    added to the record; a column with another type than before raises, since
-    the target could not be read any more."""
-    known = _target_schema(spark, target)
-    fields = {f.name: f for f in known.fields} if known else {}
-    for f in schema.fields:
-        if f.name in fields and fields[f.name].dataType != f.dataType:
-            raise ValueError(f"column {f.name} is {f.dataType.simpleString()} here and "
-                             f"{fields[f.name].dataType.simpleString()} in the target")
-    merged = T.StructType([*(known.fields if known else []),
-                           *[T.StructField(f.name, f.dataType) for f in schema.fields if f.name not in fields]])
-    if known is None or len(merged) > len(known):
+    added to the record, once their first rows are written."""
+    names = {f.name for f in known.fields} if known else set()
+    new = [T.StructField(f.name, f.dataType) for f in schema.fields if f.name not in names]
+    if known is None or new:
+        merged = T.StructType([*(known.fields if known else []), *new])
         (spark.createDataFrame([(len(merged), merged.json())], "width INT, schema STRING").coalesce(1)
          .write.mode("append").json(f"{target}/{_SCHEMA_RECORD}"))
 
 
 def _target_schema(spark: SparkSession, target: str) -> T.StructType | None:
-    """The latest record: records only ever widen."""
+    """What the records say together: each holds the columns known then and
+    those that it adds, so the widest comes first and others only add."""
     if not path_exists(spark, f"{target}/{_SCHEMA_RECORD}"):
         return None
-    row = (spark.read.schema("width INT, schema STRING").json(f"{target}/{_SCHEMA_RECORD}")
-           .orderBy(F.desc("width")).first())
-    return T.StructType.fromJson(json.loads(row["schema"])) if row else None
+    rows = (spark.read.schema("width INT, schema STRING").json(f"{target}/{_SCHEMA_RECORD}").distinct()
+            .orderBy(F.desc("width"), "schema").collect())   # a row for each time that columns were added
+    fields: dict[str, T.StructField] = {}
+    for row in rows:
+        for f in T.StructType.fromJson(json.loads(row["schema"])).fields:
+            fields.setdefault(f.name.lower(), f)
+    return T.StructType(list(fields.values())) if fields else None
 
 
 def _read_jdbc(spark: SparkSession, cfg: LoadConfig, **extra: str) -> DataFrame:

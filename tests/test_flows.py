@@ -1,6 +1,7 @@
 """Loads end to end: faults, resume, retry."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -80,8 +81,7 @@ def test_run_load_with_retry_by_rows(spark, tables):
         res = run_load_with_retry(ev, cfg)
     assert res.success and res.total_blocks == 5
     assert _state(spark, cfg)[4]["attempt"] == 7
-    want = ev.withColumn("ts", F.date_trunc("millisecond", "ts").cast("timestamp_ntz"))
-    _same(target_view(spark, cfg), want)
+    _same(target_view(spark, cfg), ev)
 
 
 def test_retry_gives_up_after_max_retries(spark, tables):
@@ -144,8 +144,105 @@ def test_hopeless_run_is_given_up(spark, tables):
     tries = {b: 1000 for b in range(1, 6)}
     with failing_blocks(tries):
         res = run_load_with_retry(tables("orders"), cfg)
-    assert res.is_hopeless and res.failed_blocks == 2 and res.pending_blocks == 3
-    assert max(r["attempt"] for r in _state(spark, cfg).values()) <= 3
+    assert res.is_hopeless and res.failed_blocks == 5 and res.pending_blocks == 0
+    assert sorted(r["attempt"] for r in _state(spark, cfg).values()) == [1, 1, 1, 3, 3]
+
+
+def test_a_bad_first_wave_stops_no_other(spark, tables):
+    """Every block is tried; what failed is retried while others are loaded."""
+    o = tables("orders")
+    cfg = _cfg(spark, threshold=0, blocks_on="even", block_size=375, wave_size=1, block_retries=0)
+    with failing_blocks({1: 1000}):
+        res = run_load(o, cfg)
+        assert (res.ok_blocks, res.failed_blocks, res.is_hopeless) == (3, 1, False)
+        again = run_load(o, cfg)
+        assert again.failed_blocks == 1 and _state(spark, cfg)[1]["attempt"] == 2
+    assert run_load(o, cfg).is_complete
+    _same(target_view(spark, cfg), o)
+
+
+@pytest.mark.parametrize("name", ["_run", "_BLOCK", "_attempt", "_p", "_rid"])
+def test_reserved_names_are_refused(spark, tables, name):
+    o = tables("orders").withColumnRenamed("o_orderstatus", name)
+    cfg = _cfg(spark, threshold=0, block_size=500, blocks_on="rows", order_cols=["o_orderkey"])
+    before = os.listdir(os.path.dirname(cfg.ledger_path)) if os.path.isdir(os.path.dirname(cfg.ledger_path)) else []
+    for call in (lambda: run_load(o, cfg), lambda: load_direct(o, cfg), lambda: load_landed(o, cfg, 1500, 3),
+                 lambda: run_load_with_retry(o, cfg)):
+        with pytest.raises(ValueError, match="reserved name"):
+            call()
+    assert os.listdir(os.path.dirname(cfg.ledger_path)) == before      # no job ran
+    src = new_path(spark, "pre")
+    o.withColumn("blk", (F.col("o_orderkey") % 2 + 1)).write.parquet(src)
+    with pytest.raises(ValueError, match="reserved name"):
+        load_preblocked(spark, src, 2, "blk", ["o_orderkey", name], cfg)
+    pinned = [lambda: B.blocks_by_row(o, ["o_orderkey"], 3)] if name in ("_p", "_rid", "_BLOCK") else []
+    for call in pinned:
+        with pytest.raises(ValueError, match="reserved name"):
+            call()
+
+
+def test_names_that_differ_by_case(spark, tables):
+    """In one input they are refused; over days they are one column, and a
+    load that cannot be written changes nothing for the readers."""
+    c = tables("customer").select("c_custkey", "c_name")
+    cfg = _cfg(spark)
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        with pytest.raises(ValueError, match="by case only"):
+            run_load(c.withColumn("C_NAME", F.lit("x")), cfg)
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
+    assert run_load(c.filter("c_custkey <= 70"), cfg).success
+    next_day = cfg.replace(run_date=DAY + dt.timedelta(days=1))
+    assert run_load(c.filter("c_custkey > 70").toDF("C_CUSTKEY", "C_Name"), next_day).success
+    _same(target_view(spark, cfg), c)
+    third = cfg.replace(run_date=DAY + dt.timedelta(days=2), block_retries=0)
+    res = run_load(c.select(F.col("c_custkey").cast("string").alias("C_CUSTKEY"), F.lit(1).alias("more")), third)
+    assert not res.success and "in the target" in res.error
+    _same(target_view(spark, cfg), c)                                   # still readable, no column "more"
+
+
+def test_a_preblocked_source_that_changes_is_refused(spark, tables):
+    src, cfg = new_path(spark, "pre"), _cfg(spark, block_retries=0)
+    ev = tables("events").select("event_id", "value", (F.col("event_id") % 4 + 1).alias("blk"))
+    ev.write.parquet(src)
+    with failing_blocks({4: 100}):
+        assert load_preblocked(spark, src, 4, "blk", ["event_id", "value"], cfg).failed_blocks == 1
+    changed = [ev.filter("event_id <> 7"), ev.union(ev.limit(1)),
+               ev.withColumn("value", F.when(F.col("event_id") == 7, -1.0).otherwise(F.col("value")))]
+    for other in changed:                            # fewer rows, more rows, as many with one other value
+        other.write.mode("overwrite").parquet(src)
+        spark.catalog.refreshByPath(src)
+        with pytest.raises(ValueError, match="source changed"):
+            load_preblocked_with_retry(spark, src, 4, "blk", ["event_id", "value"], cfg)
+    ev.repartition(3).write.mode("overwrite").parquet(src)             # the same rows in another order
+    spark.catalog.refreshByPath(src)
+    assert load_preblocked(spark, src, 4, "blk", ["event_id", "value"], cfg).is_complete
+    _same(target_view(spark, cfg), ev.drop("blk"))
+
+
+def test_row_digest_tells_rows_apart(spark):
+    schema = "a int, b int, m map<string,int>, s struct<x:int,m:map<string,int>>"
+    rows = [(1, None, {"k": 1}, (1, {"a": 1})), (None, 1, None, None), (1, None, {"k": 1}, (1, {"a": 1}))]
+
+    def digest(data):
+        df = spark.createDataFrame(data, schema)
+        return df.agg(B.row_digest(df, df.columns)).first()[0]
+
+    assert digest(rows) == digest(rows[::-1]) and digest(rows) != digest(rows[:2])
+    assert digest([(1, None, None, None)]) != digest([(None, 1, None, None)])
+    assert digest([(1, 1, {"k": 1}, None)]) != digest([(1, 1, {"k": 2}, None)])
+
+
+def test_timestamps_keep_what_the_target_keeps(spark):
+    df = spark.sql("SELECT 1 AS id, TIMESTAMP '2024-01-01 00:00:00.123456' AS t, TIMESTAMP_NTZ '2024-01-01 00:00:00.654321' AS n")
+    for scale, want in ((None, (123456, 654321)), (6, (123456, 654321)), (3, (123000, 654000))):
+        cfg = _cfg(spark, timestamp_scale=scale)
+        assert run_load(df, cfg.replace(exclude_columns=())).success
+        row = target_view(spark, cfg).first()
+        assert (row.t.microsecond, row.n.microsecond) == want
+    with pytest.raises(ValueError, match="timestamp_scale"):
+        _cfg(spark, timestamp_scale=4).cuts_to_millis
 
 
 def test_one_bad_block_costs_one_pause_a_round(spark, tables, monkeypatch):
