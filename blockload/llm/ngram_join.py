@@ -333,15 +333,14 @@ def _shared_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield out()
 
 
-def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of documents with an equal block, slice by slice."""
+def _slices_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Spanning links of the documents with an equal block, slice by slice."""
     now, digests, owners, pairs = None, [], [], []
 
-    def out() -> pa.RecordBatch:
+    def out() -> tuple[np.ndarray, np.ndarray]:
         _, _, a, b = _merged(np.concatenate(digests), np.concatenate(owners))
         a, b = np.concatenate([a, *[x for x, _ in pairs]]), np.concatenate([b, *[y for _, y in pairs]])
-        a, b = forest(a, b) if len(a) else (a, b)
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        return forest(a, b) if len(a) else (a, b)
 
     for batch in batches:
         cols = [batch.column(c).to_pylist() for c in ("slice", "digests", "classes", "a", "b")]
@@ -357,6 +356,17 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
+def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for a, b in _slices_of(batches):
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def _partnered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The documents that agree with any other, once a slice."""
+    for a, b in _slices_of(batches):
+        yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate([a, b])), pa.int64())], names=["class"])
+
+
 def _member_sets(words: int):
     """The sets of the classes asked for, each once a task. A row whose text
     is not the class's own gives none."""
@@ -465,7 +475,7 @@ def component_rows(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
     sets_left = _candidates(rows, classes, words, percent, int(stats.grams or 0))
     agreeing = _agreements(sets_left, _stored_sets, percent, sets_left.agg(
-        F.sum(F.octet_length("grams") / 8)).head()[0] or 0)
+        F.sum(F.octet_length("grams") / 8)).head()[0] or 0).mapInArrow(tidy(_agreeing), LINKS)
     clusters = staged(components(agreeing), "grams-clusters")
     links = _links(sets_left, classes, clusters, percent)
 
@@ -498,10 +508,10 @@ def _slices_for(n_digests: float) -> int:
 
 
 def _agreements(rows: DataFrame, feed, percent: int, n_grams: float) -> DataFrame:
-    """Links of classes that agree in a column block."""
+    """The column blocks of all sets, brought together by slices of their digests."""
     n = _slices_for(n_grams * 0.4)
     slices = rows.mapInArrow(tidy(_sliced(feed, percent, n)), SLICES)
-    return slices.repartition(n, "slice").sortWithinPartitions("slice").mapInArrow(tidy(_agreeing), LINKS)
+    return slices.repartition(n, "slice").sortWithinPartitions("slice")
 
 
 def _candidates(rows: DataFrame, classes: DataFrame, words: int, percent: int, n_grams: int) -> DataFrame:
@@ -509,11 +519,10 @@ def _candidates(rows: DataFrame, classes: DataFrame, words: int, percent: int, n
     block with another, and enough of their n-grams are in other such sets.
     The second bound leaves out documents that only share a passage, which
     would else tie all others together into one cluster."""
-    agreeing = staged(_agreements(rows, _texts_sets(words), percent, n_grams), "grams-agreeing")
-    release(rows.sparkSession)
-    wanted = (agreeing.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-              .join(classes, "class").select("row.doc", "row.text_digest", "class", "n"))
+    partnered = _agreements(rows, _texts_sets(words), percent, n_grams).mapInArrow(tidy(_partnered), "class long")
+    wanted = partnered.distinct().join(classes, "class").select("row.doc", "row.text_digest", "class", "n")
     wanted = staged(wanted, "grams-wanted")
+    release(rows.sparkSession)
     # A shuffle at every size: whether the ids fit a broadcast changes nothing.
     text = rows.join(wanted.drop("n").hint("merge"), ["doc", "text_digest"])
     sets = staged(text.mapInArrow(tidy(_member_sets(words)), MEMBERS), "grams-wanted-sets")
