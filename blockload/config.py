@@ -24,6 +24,8 @@ DEFAULT_BLOCK_SIZE = 500_000
 DEFAULT_THRESHOLD = 50_000_000
 DEFAULT_MAX_CONNECTIONS = 6
 DEFAULT_WAVE_SIZE = 50
+DEFAULT_WAVES_IN_FLIGHT = 2
+DEFAULT_LEASE_S = 300.0
 DEFAULT_MAX_RETRIES = 3
 DEFAULT_BLOCK_RETRIES = 2
 DEFAULT_QUERY_TIMEOUT_S = 1_800
@@ -61,6 +63,13 @@ class LoadConfig:
     chunk_rows: int = 0
     max_connections: int = DEFAULT_MAX_CONNECTIONS
     wave_size: int = DEFAULT_WAVE_SIZE
+    # Rows that a wave is filled up to, instead of wave_size blocks; 0: not.
+    wave_rows: int = 0
+    waves_in_flight: int = DEFAULT_WAVES_IN_FLIGHT
+    # Seconds that one try of a wave may take; 0: no limit.
+    wave_timeout_s: float = 0.0
+    # Seconds after which a lease that is not renewed can be taken over.
+    lease_s: float = DEFAULT_LEASE_S
     ledger_path: str = ""
     process_name: str = ""
     scope: str = ""

@@ -19,6 +19,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,6 +64,9 @@ def n_blocks_for(total_rows: int, block_size: int) -> int:
     return max(1, math.ceil(total_rows / block_size))
 
 
+BROADCAST_FILES = 100_000   # files whose table (a path and a number each) is small enough to broadcast
+BLOCKS_A_RANGE = 4096   # blocks whose sizes are summed up together
+
 # Rows per range partition above which more partitions are used.
 ROWS_PER_RANGE_PARTITION = 1_000_000
 
@@ -180,12 +184,16 @@ def ntile_of(pos: Column, n_rows: Column, k: int) -> Column:
 def key_blocks(df: DataFrame, key: str, n_blocks: int, *, num_partitions: int | None = None) -> DataFrame:
     """The key map of O15: (key, ``_block``) with NTILE(n) over the distinct
     keys in ascending order (null first). The keys are stored once, so their
-    number sizes the range exchange."""
+    number sizes the range exchange; as many as one range partition may hold
+    are numbered in one."""
     spark = df.sparkSession
     path = new_path(spark, "keys")
     distinct_keys(df, key).write.mode("errorifexists").parquet(path)
     keys = spark.read.schema(df.select(key).schema).parquet(path)
-    parts = num_partitions or range_partitions(spark, keys.count())
+    n = keys.count()
+    if num_partitions is None and n <= ROWS_PER_RANGE_PARTITION:
+        return keys.select(key, F.ntile(n_blocks).over(Window.orderBy(F.asc_nulls_first(key))).alias(BLOCK_COL))
+    parts = num_partitions or range_partitions(spark, n)
     pos = row_positions(keys, [key], num_partitions=parts)
     return pos.select(pos[key], ntile_of(F.col("_pos"), F.col("_gsize"), n_blocks).alias(BLOCK_COL))
 
@@ -224,14 +232,48 @@ def blocks_by_row(df: DataFrame, order_cols: Sequence[str], n_blocks: int, *,
                       ntile_of(F.col("_pos"), F.col("_gsize"), n_blocks).alias(BLOCK_COL))
 
 
+def file_rows(df: DataFrame) -> DataFrame | None:
+    """(path, rows, before) of the files that ``df`` scans, ``before`` being the
+    rows of the files ahead of each in path order; None if its rows have no
+    fixed places in files, or if it leaves some of them out. One row a file."""
+    try:
+        places = df.select(F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_row"))
+    except AnalysisException:   # not a scan of files, or one whose rows are not numbered
+        return None
+    spark = df.sparkSession
+    path = new_path(spark, "file-rows")
+    places.groupBy("_path").agg(F.count(F.lit(1)).alias("_n"), F.max("_row").alias("_last")).write.parquet(path)
+    files = spark.read.parquet(path)
+    if not files.where("_last IS NULL OR _n <> _last + 1").isEmpty():
+        return None
+    # Running sums in two levels, so that many files are no single task.
+    files = files.withColumn("_bucket", F.substring(F.md5("_path"), 1, 3))
+    order = Window.partitionBy("_bucket").orderBy("_path")
+    inside = files.withColumn("_in", F.sum("_n").over(order) - F.col("_n"))
+    ahead = files.groupBy("_bucket").agg(F.sum("_n").alias("_b")).withColumn(
+        "_ahead", F.sum("_b").over(Window.orderBy("_bucket")) - F.col("_b"))    # at most 4096 rows
+    told = inside.join(ahead, "_bucket").select("_path", "_n", (F.col("_in") + F.col("_ahead")).alias("_before"))
+    return F.broadcast(told) if files.count() <= BROADCAST_FILES else told
+
+
 def blocks_even(df: DataFrame, n_blocks: int) -> DataFrame:
-    """``n`` blocks of about equal size with no key: a round-robin
-    repartition into exactly ``n`` partitions, block = partition + 1.
-    Write the result at once (O22): a recomputed plan may deal rows to other
-    blocks."""
+    """``n`` blocks of about equal size with no key, which differ by one
+    row at most where ``df`` is a scan of files that number their rows
+    (Parquet): files in a fixed order are cut into ``n`` ranges of rows, without
+    a shuffle, and a repeat deals the same rows. Another frame is dealt out
+    round-robin into ``n`` partitions; write that at once (O22), as a recomputed
+    plan may deal rows to other blocks."""
     if n_blocks <= 0:
         raise ValueError("block count must be > 0")
-    return df.repartition(n_blocks).withColumn(BLOCK_COL, (F.spark_partition_id() + 1).cast("int"))
+    check_names(df, (BLOCK_COL, "_path", "_before"))
+    files = file_rows(df)
+    if files is None:
+        return df.repartition(n_blocks).withColumn(BLOCK_COL, (F.spark_partition_id() + 1).cast("int"))
+    total = files.agg(F.sum("_n")).first()[0] or 0
+    placed = df.select(*[df[c] for c in df.columns], F.col("_metadata.file_path").alias("_path"),
+                       F.col("_metadata.row_index").alias("_row"))
+    block = ntile_of(F.col("_row") + F.col("_before"), F.lit(total), n_blocks)
+    return placed.join(files.select("_path", "_before"), "_path").select(*df.columns, block.alias(BLOCK_COL))
 
 
 # --- O12, O19, O20 ----------------------------------------------------------
@@ -272,6 +314,32 @@ def chunk_rows(df: DataFrame, limit: int, order_cols: Sequence[str], block_col:
     return pos.select(*[pos[c] for c in df.columns], F.floor(F.col("_pos") / limit).cast("int").alias("_chunk"))
 
 
+def waves_by_size(blocks: DataFrame, target: int, size_col: str = "n_rows", block_col: str = "block_id") -> DataFrame:
+    """Pending blocks packed into waves (``wave_no``, 0-based) by their
+    sizes. Small blocks in order fill waves of about ``target`` (a wave takes
+    the blocks that begin inside it); a block of that size or more is a wave by
+    itself, behind the others. Running sums are made inside ranges of blocks and
+    over the ranges' totals, so no task sees all blocks."""
+    target = max(1, int(target))
+    big = F.coalesce(F.col(size_col), F.lit(0)) >= target
+    rows = blocks.select(*[blocks[c] for c in blocks.columns], F.when(big, 0).otherwise(
+        F.coalesce(F.col(size_col), F.lit(0))).cast("long").alias("_small"), F.when(big, 1).otherwise(0).alias("_big"),
+        F.floor(F.col(block_col) / BLOCKS_A_RANGE).alias("_range"))
+    totals = rows.groupBy("_range").agg(F.sum("_small").alias("_ts"), F.sum("_big").alias("_tb"))
+    ahead = Window.orderBy("_range")   # a row for each BLOCKS_A_RANGE blocks
+    totals = totals.select("_range", (F.sum("_ts").over(ahead) - F.col("_ts")).alias("_as"),
+                           (F.sum("_tb").over(ahead) - F.col("_tb")).alias("_ab"), F.sum("_ts").over(
+                               Window.partitionBy()).alias("_all"))
+    inside = Window.partitionBy("_range").orderBy(block_col)
+    small = F.floor((F.col("_as") + F.col("_is") - F.col("_small")) / target)
+    last = F.ceil(F.col("_all") / target)       # no small block begins in a later wave
+    placed = rows.withColumn("_is", F.sum("_small").over(inside)).withColumn("_ib", F.sum("_big").over(inside)).join(
+        totals, "_range")
+    wave = F.when(F.col("_big") == 1, last + F.col("_ab") + F.col("_ib") - 1).otherwise(F.least(small, F.greatest(
+        last - 1, F.lit(0))))
+    return placed.select(*blocks.columns, wave.cast("int").alias("wave_no"))
+
+
 def waves(pending: DataFrame, wave_size: int, block_col: str = "block_id") -> DataFrame:
     """Pending blocks in order, grouped into waves of ``wave_size``
     (``wave_no``, 0-based). A wave is what one Spark job loads."""

@@ -37,11 +37,15 @@ LEDGER_SCHEMA = T.StructType([
 _STATUS_RANK = {PENDING: 0, RUNNING: 1, FAILED: 2, SUCCESS: 3}
 
 
-def seq_of(attempt: Column, status: Column) -> Column:
-    """Writer-given order of an event: attempt first, then the state's rank
-    (PENDING < RUNNING < FAILED/SUCCESS). The clock plays no part."""
+_FENCE = 1 << 40   # an attempt's number stays far below
+
+
+def seq_of(attempt: Column, status: Column, fence: int = 0) -> Column:
+    """Writer-given order of an event: the writer's fence (the number of its
+    lease) first, then the attempt, then the state's rank (PENDING < RUNNING <
+    FAILED/SUCCESS). The clock plays no part."""
     rank = F.coalesce(*[F.when(status == s, F.lit(r)) for s, r in _STATUS_RANK.items()])
-    return (attempt.cast("long") * 4 + rank).cast("long")
+    return (attempt.cast("long") * 4 + rank + F.lit(fence * _FENCE).cast("long")).cast("long")
 
 
 def as_events(df: DataFrame) -> DataFrame:
@@ -65,7 +69,7 @@ def ensure_ledger(spark: SparkSession, path: str) -> None:
     partitioned by run (process, scope, run date): reading one run's state
     prunes to its folder, however long the ledger's history."""
     if not ledger_exists(spark, path):
-        spark.createDataFrame([], LEDGER_SCHEMA).write.mode("errorifexists").partitionBy(*RUN_KEYS).parquet(path)
+        spark.createDataFrame([], LEDGER_SCHEMA).write.mode("append").partitionBy(*RUN_KEYS).parquet(path)
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
@@ -85,7 +89,7 @@ def ledger_record(spark: SparkSession, path: str, events: DataFrame, *, small: b
 
 def block_events(blocks: DataFrame, process_name: str, scope: str, run_date: dt.date, status: Column | str,
                  attempt: Column | int = 0, row_count: Column | int = 0,
-                 error: Column | str | None = None) -> DataFrame:
+                 error: Column | str | None = None, fence: int = 0) -> DataFrame:
     """Events for the blocks of ``blocks`` (a frame with ``block_id``)."""
     st = F.lit(status) if isinstance(status, str) else status
     at = F.lit(attempt) if isinstance(attempt, int) else attempt
@@ -96,7 +100,7 @@ def block_events(blocks: DataFrame, process_name: str, scope: str, run_date: dt.
         F.lit(run_date).cast("date").alias("run_date"), F.col("block_id").cast("int").alias("block_id"),
         st.alias("status"), rc.cast("long").alias("row_count"), at.cast("int").alias("attempt"),
         er.cast("string").alias("error_message"), F.current_timestamp().alias("last_update"),
-        seq_of(at, st).alias("seq"),
+        seq_of(at, st, fence).alias("seq"),
     )
 
 

@@ -16,9 +16,13 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as dt
+import threading
 import time
+import uuid
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,7 +31,8 @@ from blockload.config import BLOCK_COL, DIRECT, FAILED, LANDING, PREBLOCKED, RUN
 from blockload.functions.columns import check_block_column, check_request, exclude_columns, resolve_columns
 from blockload.operators import ledger as L
 from blockload.operators.blocks import (block_plan, blocks_by_key, blocks_by_row, blocks_even, range_partitions,
-                                        row_digest)
+                                        row_digest, waves_by_size)
+from blockload.operators.lease import leased
 from blockload.session import new_path
 from blockload.sources.landing import (block_sizes, find_landing, landing_plan, read_landing, write_landing,
                                        write_row_landing)
@@ -113,6 +118,35 @@ def _check_target(cfg: LoadConfig) -> None:
 Blocks = Callable[[list[int]], DataFrame]
 
 
+class _TimeLimit:
+    """Cancels the Spark jobs that this thread begins inside, once the limit
+    (seconds, 0: none) has passed."""
+
+    def __init__(self, spark: SparkSession, seconds: float) -> None:
+        self.sc, self.seconds, self.passed = spark.sparkContext, seconds, False
+        self.tag = f"blockload-{uuid.uuid4().hex}"
+
+    def _cancel(self) -> None:
+        self.passed = True
+        while not self.over.wait(0.2):   # a job that begins later is cancelled too
+            self.sc.cancelJobsWithTag(self.tag)
+
+    def __enter__(self) -> None:
+        self.over = threading.Event()
+        self.timer = threading.Timer(self.seconds, self._cancel) if self.seconds > 0 else None
+        if self.timer:
+            self.sc.setLocalProperty("spark.job.interruptOnCancel", "true")
+            self.sc.addJobTag(self.tag)
+            self.timer.daemon = True
+            self.timer.start()
+
+    def __exit__(self, *_) -> None:
+        self.over.set()
+        if self.timer:
+            self.timer.cancel()
+            self.sc.removeJobTag(self.tag)
+
+
 class _Pass:
     """The pending blocks of one run, loaded wave by wave.
 
@@ -123,6 +157,7 @@ class _Pass:
     def __init__(self, spark: SparkSession, cfg: LoadConfig, run_date: dt.date, n_blocks: int, blocks: Blocks,
                  expected: Blocks) -> None:
         self.spark, self.cfg, self.run_date, self.blocks, self.expected = spark, cfg, run_date, blocks, expected
+        self.writing = threading.Lock()   # appends to the ledger, one at a time
         self.names = _names(cfg)
         self.plan = L.run_plan(spark, *self.names, run_date, n_blocks)
         self.attempts: dict[int, int] = {}
@@ -133,9 +168,11 @@ class _Pass:
 
     def record(self, rows: list[tuple]) -> None:
         frame = self.spark.createDataFrame(rows, _RESULT_SCHEMA)
-        L.ledger_record(self.spark, self.cfg.ledger_path, L.block_events(
-            frame, *self.names, self.run_date, F.col("status"), F.col("attempt"), F.col("row_count"),
-            F.col("error_message")))
+        with self.writing:
+            self.lease.check()
+            L.ledger_record(self.spark, self.cfg.ledger_path, L.block_events(
+                frame, *self.names, self.run_date, F.col("status"), F.col("attempt"), F.col("row_count"),
+                F.col("error_message"), self.lease.fence))
 
     def attempt(self, ids: list[int]) -> list[int]:
         """One job over ``ids``; returns those that failed."""
@@ -143,12 +180,14 @@ class _Pass:
             self.attempts[b] += 1
         tries = {b: self.attempts[b] for b in ids}
         self.record([(b, RUNNING, 0, tries[b], None) for b in ids])
+        limit = _TimeLimit(self.spark, self.cfg.wave_timeout_s)
         try:
-            written = load_blocks(self.blocks(ids), ids, self.cfg, run_key(*self.names, self.run_date), tries)
-            counts = (self.expected(ids).join(written.withColumnRenamed("n_rows", "_w"), "block_id", "left")
-                      .select("block_id", "n_rows", F.coalesce("_w", F.lit(0)).alias("_w")).collect())
+            with limit:
+                written = load_blocks(self.blocks(ids), ids, self.cfg, run_key(*self.names, self.run_date), tries)
+                counts = (self.expected(ids).join(written.withColumnRenamed("n_rows", "_w"), "block_id", "left")
+                          .select("block_id", "n_rows", F.coalesce("_w", F.lit(0)).alias("_w")).collect())
         except Exception as e:  # noqa: BLE001 - the job failed: every block of it is FAILED
-            text = f"{type(e).__name__}: {e}"
+            text = f"cancelled after {self.cfg.wave_timeout_s:g} s" if limit.passed else f"{type(e).__name__}: {e}"
             self.record([(b, FAILED, 0, tries[b], text) for b in ids])
             return list(ids)
         got = {r["block_id"]: (r["n_rows"], r["_w"]) for r in counts}
@@ -158,7 +197,8 @@ class _Pass:
             text = None if want == wrote else f"wrote {wrote} rows, expected {want}"
             rows.append((b, FAILED if text else SUCCESS, int(wrote), tries[b], text))
         self.record(rows)
-        self.loaded += sum(1 for r in rows if r[1] == SUCCESS)
+        with self.writing:
+            self.loaded += sum(1 for r in rows if r[1] == SUCCESS)
         return [r[0] for r in rows if r[1] == FAILED]
 
     def isolate(self, ids: list[int]) -> list[int]:
@@ -180,19 +220,44 @@ class _Pass:
             failed = self.isolate(failed)
         return failed
 
+    def packed(self, ids: list[int]) -> list[list[int]]:
+        """The waves: by rows, or by number of blocks."""
+        if self.cfg.wave_rows > 0 and ids:
+            placed = waves_by_size(self.expected(ids), self.cfg.wave_rows).select("wave_no", "block_id").collect()
+            found: dict[int, list[int]] = {}
+            for wave, block in sorted(map(tuple, placed)):
+                found.setdefault(wave, []).append(block)
+            return list(found.values())
+        size = max(1, self.cfg.wave_size)
+        return [ids[i:i + size] for i in range(0, len(ids), size)]
+
     def load(self, t0: float, **known) -> RunResult:
+        with leased(self.spark, self.cfg.ledger_path, *self.names, self.cfg.lease_s) as self.lease:
+            return self.load_leased(t0, **known)
+
+    def load_leased(self, t0: float, **known) -> RunResult:
         L.ledger_record(self.spark, self.cfg.ledger_path, L.ledger_init(self.plan, self.state()))
         state = self.state()
         pending = L.pending_blocks(self.plan, state).join(state.select("block_id", "attempt"), "block_id", "left")
         todo = sorted((r["block_id"], r["attempt"] or 0) for r in pending.select("block_id", "attempt").collect())
         self.attempts = dict(todo)  # block numbers only, never rows
         self.loaded = L.completed_blocks(state).count()
-        size = max(1, self.cfg.wave_size)
-        hopeful = True  # until a wave failed whole and nothing of the run is loaded
-        for i in range(0, len(todo), size):
-            ids = [b for b, _ in todo[i:i + size]]
-            failed = self.wave(ids, hopeful)  # every block is tried; without hope once
-            hopeful = self.loaded > 0 or (hopeful and len(failed) < len(ids))
+        self.hopeful = True  # until a wave failed whole and nothing of the run is loaded
+
+        def one(ids: list[int]) -> None:
+            failed = self.wave(ids, self.hopeful)  # every block is tried; without hope once
+            self.hopeful = self.loaded > 0 or (self.hopeful and len(failed) < len(ids))
+
+        # Waves are jobs of their own, some at once: one fills what another's
+        # last tasks leave idle. Each thread keeps the session's properties.
+        with ThreadPoolExecutor(max(1, self.cfg.waves_in_flight)) as pool:
+            jobs = [pool.submit(inheritable_thread_target(one), ids) for ids in self.packed([b for b, _ in todo])]
+            try:
+                for job in jobs:
+                    job.result()
+            finally:
+                for job in jobs:   # after a lost lease nothing more begins
+                    job.cancel()
         return self.result(t0, **known)
 
     def result(self, t0: float, **known) -> RunResult:
@@ -226,6 +291,12 @@ def load_direct(df: DataFrame, cfg: LoadConfig, total_rows: int | None = None) -
     check_request(loads=df)
     src = exclude_columns(df, cfg.exclude_columns)
     cfg = with_paths(spark, cfg)
+    with leased(spark, cfg.ledger_path, *_names(cfg), cfg.lease_s):
+        return _direct(df, src, cfg, total_rows)
+
+
+def _direct(df: DataFrame, src: DataFrame, cfg: LoadConfig, total_rows: int | None) -> RunResult:
+    spark = df.sparkSession
     t0 = time.time()
     run, run_date = _open_run(spark, cfg)
     _follow(run, DIRECT)
@@ -299,6 +370,12 @@ def load_landed(df: DataFrame, cfg: LoadConfig, total_rows: int, n_blocks: int)
     check_request(loads=df)
     src = exclude_columns(df, cfg.exclude_columns)
     cfg = with_paths(spark, cfg)
+    with leased(spark, cfg.ledger_path, *_names(cfg), cfg.lease_s):
+        return _landed(df, src, cfg, total_rows, n_blocks)
+
+
+def _landed(df: DataFrame, src: DataFrame, cfg: LoadConfig, total_rows: int, n_blocks: int) -> RunResult:
+    spark = df.sparkSession
     t0 = time.time()
     run, run_date = _open_run(spark, cfg)
     _follow(run, LANDING)
@@ -338,6 +415,12 @@ def load_preblocked(spark: SparkSession, source: str, n_blocks: int, block_col:
                   process_name=cfg.process_name, scope=cfg.scope)
     _check_target(cfg)
     cfg = with_paths(spark, cfg)
+    with leased(spark, cfg.ledger_path, *_names(cfg), cfg.lease_s):
+        return _preblocked(spark, source, n_blocks, block_col, columns, cfg, fmt)
+
+
+def _preblocked(spark: SparkSession, source: str, n_blocks: int, block_col: str, columns: Sequence[str],
+                cfg: LoadConfig, fmt: str | None) -> RunResult:
     t0 = time.time()
     df = read_source(spark, source, fmt)
     bc = check_block_column(df.schema, block_col)
@@ -419,6 +502,11 @@ def run_load(df: DataFrame, cfg: LoadConfig) -> RunResult:
     check_request(uses_ledger=cfg.uses_ledger, process_name=cfg.process_name, scope=cfg.scope, loads=df)
     _check_target(cfg)
     cfg = with_paths(df.sparkSession, cfg)
+    with leased(df.sparkSession, cfg.ledger_path, *_names(cfg), cfg.lease_s):
+        return _chosen(df, cfg)
+
+
+def _chosen(df: DataFrame, cfg: LoadConfig) -> RunResult:
     run, _ = _open_run(df.sparkSession, cfg)
     if run is not None and run["flow"] != DIRECT:
         return load_landed(df, cfg, run["total_rows"], run["n_blocks"])

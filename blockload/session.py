@@ -62,6 +62,41 @@ def remove_path(spark: SparkSession, path: str) -> None:
     system.delete(there, True)
 
 
+def create_exclusive(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False if there is one already. One of several
+    callers succeeds: by the operating system on local paths, elsewhere by the
+    file system's create without overwriting."""
+    there, system = _located(spark, path)
+    system.mkdirs(there.getParent())
+    if system.getScheme() == "file":
+        try:
+            os.close(os.open(there.toUri().getPath(), os.O_CREAT | os.O_EXCL))
+        except FileExistsError:
+            return False
+        return True
+    try:
+        system.create(there, False).close()
+    except Exception as e:  # noqa: BLE001 - the file system's own error for a file that exists
+        if system.exists(there):
+            return False
+        raise e
+    return True
+
+
+def touch(spark: SparkSession, path: str, seconds: float) -> None:
+    """Set a file's time."""
+    there, system = _located(spark, path)
+    system.setTimes(there, int(seconds * 1000), -1)
+
+
+def listed(spark: SparkSession, path: str) -> dict[str, float]:
+    """Names in a folder with their times in seconds; empty if there is none."""
+    there, system = _located(spark, path)
+    if not system.exists(there):
+        return {}
+    return {f.getPath().getName(): f.getModificationTime() / 1000 for f in system.listStatus(there)}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """Local session used by tests and the bench (UI off, UTC, AQE on)."""
     return (

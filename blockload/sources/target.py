@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import threading
 from collections.abc import Mapping, Sequence
 from urllib.parse import quote
 
@@ -108,6 +109,7 @@ def _block_path(target: str, key: str, block: int) -> str:
 
 
 _SCHEMA_RECORD = "_schema"
+_RECORDING = threading.Lock()
 
 
 def _as_the_target_spells(rows: DataFrame, known: T.StructType | None) -> DataFrame:
@@ -131,6 +133,12 @@ def _record_schema(spark: SparkSession, target: str, known: T.StructType | None,
     empty blocks must still read with its columns. Columns that a run adds are
     added to the record, once their first rows are written."""
     names = {f.name for f in known.fields} if known else set()
+    with _RECORDING:   # waves of one driver append one after the other
+        _append_schema(spark, target, known, schema, names)
+
+
+def _append_schema(spark: SparkSession, target: str, known: T.StructType | None, schema: T.StructType,
+                   names: set[str]) -> None:
     new = [T.StructField(f.name, f.dataType) for f in schema.fields if f.name not in names]
     if known is None or new:
         merged = T.StructType([*(known.fields if known else []), *new])

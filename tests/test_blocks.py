@@ -1,11 +1,14 @@
 """Properties of block assignment."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from blockload.config import BLOCK_COL
 from blockload.operators import blocks as B
+from blockload.session import new_path
 from conftest import SF001
 
 
@@ -145,3 +148,44 @@ def test_paths_without_broadcast(spark, tables):
         assert keyed.groupBy("user_id").agg(F.countDistinct(BLOCK_COL).alias("n")).filter("n > 1").count() == 0
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_blocks_even_from_file_ranges(spark, tables):
+    """No shuffle, sizes that differ by one row, the same rows each time; other
+    frames are dealt out round-robin."""
+    path = new_path(spark, "many")
+    tables("events").repartition(13).write.parquet(path)
+    ev = spark.read.parquet(path)
+    for n in (1, 7, 40):
+        b = B.blocks_even(ev, n)
+        sizes = [r["count"] for r in b.groupBy("_block").count().collect()]
+        assert sum(sizes) == ev.count() and len(sizes) == n and max(sizes) - min(sizes) <= 1
+        top = b._jdf.queryExecution().executedPlan().toString().split("BroadcastExchange")[0]
+        assert " Exchange" not in top
+        again = B.blocks_even(spark.read.parquet(path).repartition(3).select("*"), n)
+        assert again.columns == b.columns
+        assert b.exceptAll(B.blocks_even(spark.read.parquet(path), n)).count() == 0
+    for other in (ev.filter("event_id % 2 = 0"), ev.union(ev), spark.range(100).toDF("event_id")):
+        assert B.file_rows(other) is None
+        b = B.blocks_even(other, 4)
+        assert b.count() == other.count() and {r[0] for r in b.select("_block").distinct().collect()} == {1, 2, 3, 4}
+    none = spark.read.schema(ev.schema).parquet(path).limit(0)
+    assert B.blocks_even(none, 3).count() == 0
+
+
+def test_waves_by_size(spark, monkeypatch):
+    rnd = random.Random(5)
+    sizes = {b: rnd.choice([0, 1, 5, 30, 99, 100, 400, None]) for b in rnd.sample(range(1, 60_000), 500)}
+    df = spark.createDataFrame(list(sizes.items()), "block_id int, n_rows long")
+    got = {r.block_id: r.wave_no for r in B.waves_by_size(df, 100).collect()}
+    waves = {}
+    for b in sorted(got):
+        waves.setdefault(got[b], []).append(b)
+    size = lambda b: sizes[b] or 0
+    assert sorted(b for w in waves.values() for b in w) == sorted(sizes)
+    for w, blocks in waves.items():
+        assert len(blocks) == 1 if size(blocks[0]) >= 100 else sum(map(size, blocks[:-1])) < 100
+    small = sorted(w for w, b in waves.items() if size(b[0]) < 100)
+    total = sum(size(b) for b in sizes if size(b) < 100)
+    assert len(small) <= -(-total // 100) and small == sorted(small) and max(small) < min(set(waves) - set(small))
+    assert B.waves_by_size(df.limit(0), 100).count() == 0

@@ -2,6 +2,8 @@
 
 import datetime as dt
 import os
+import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,10 +11,12 @@ from pyspark.sql import functions as F
 from blockload.config import LoadConfig
 from blockload.operators import blocks as B
 from blockload.operators import ledger as L
+from blockload.operators.lease import LeaseHeld, LeaseLost, take_lease
+from blockload.plans import flows
 from blockload.plans.flows import (load_direct, load_landed, load_preblocked, load_preblocked_with_retry, run_load,
                                    run_load_with_retry, with_paths, with_retry)
 from blockload.plans.routines import Routine, register_routine, run_routine
-from blockload.session import new_path
+from blockload.session import create_exclusive, new_path, touch
 from blockload.sources.landing import find_landing, write_landing
 from blockload.sources.target import load_blocks, run_key, run_key_col, target_view
 from blockload.testing import failing_blocks
@@ -221,6 +225,147 @@ def test_a_preblocked_source_that_changes_is_refused(spark, tables):
     _same(target_view(spark, cfg), ev.drop("blk"))
 
 
+def test_two_drivers_of_one_run(spark, tables):
+    """While one driver loads, another is refused; each row is there once."""
+    o, raised = tables("orders"), []
+    cfg = _cfg(spark, threshold=0, blocks_on="even", block_size=300, wave_size=2)
+    plain = flows.load_blocks
+
+    def load_blocks(*args, **kwargs):
+        def other():
+            try:
+                run_load_with_retry(o, cfg)
+            except LeaseHeld as e:
+                raised.append(str(e))
+        second = threading.Thread(target=other)
+        second.start()
+        second.join()
+        return plain(*args, **kwargs)
+
+    flows.load_blocks = load_blocks
+    try:
+        assert run_load(o, cfg).is_complete
+    finally:
+        flows.load_blocks = plain
+    assert len(raised) == 3 and all("another driver works on t/s (lease 1" in r for r in raised)
+    _same(target_view(spark, cfg), o)
+
+
+def test_a_lost_lease_is_fenced(spark, tables):
+    """A driver that was given up and comes back records nothing that counts."""
+    o = tables("orders")
+    cfg = _cfg(spark, threshold=0, blocks_on="even", block_size=500, wave_size=1, waves_in_flight=1, lease_s=0.0)
+    plain, done = flows.load_blocks, []
+
+    def load_blocks(*args, **kwargs):
+        flows.load_blocks = plain                      # the first driver hangs here, the second takes over
+        second = threading.Thread(target=lambda: done.append(run_load(o, cfg)))
+        second.start()
+        second.join()
+        return plain(*args, **kwargs)
+
+    flows.load_blocks = load_blocks
+    try:
+        with pytest.raises(LeaseLost, match="taken over by lease 2"):
+            run_load(o, cfg)
+    finally:
+        flows.load_blocks = plain
+    assert done[0].is_complete
+    state = _state(spark, cfg)
+    assert {r["seq"] >> 40 for r in state.values()} == {2} and {r["status"] for r in state.values()} == {"SUCCESS"}
+    _same(target_view(spark, cfg), o)
+    late = spark.createDataFrame([(1,)], "block_id int")    # what it might still write
+    L.ledger_record(spark, cfg.ledger_path, L.block_events(late, "t", "s", DAY, "FAILED", 9, fence=1))
+    assert _state(spark, cfg)[1]["status"] == "SUCCESS"
+
+
+def test_lease_files(spark):
+    ledger = new_path(spark, "ledger")
+    first = take_lease(spark, ledger, "p/q", "é", 60.0)
+    with pytest.raises(LeaseHeld, match="p/q/é"):
+        take_lease(spark, ledger, "p/q", "é", 60.0)
+    other = take_lease(spark, ledger, "p", "q/é", 60.0)                 # another process and scope
+    first.end()
+    second = take_lease(spark, ledger, "p/q", "é", 60.0)
+    assert (first.fence, second.fence, other.fence) == (1, 2, 1)
+    with pytest.raises(LeaseLost):
+        first.check()
+    second.check()
+    touch(spark, second.path, 1000.0)                                  # a driver that is gone
+    third = take_lease(spark, ledger, "p/q", "é", 60.0)
+    assert third.fence == 3 and not create_exclusive(spark, third.path)
+
+
+def test_waves_run_at_once(spark, tables):
+    """Two waves meet inside their loads."""
+    o, gate = tables("orders"), threading.Barrier(2, timeout=120)
+    cfg = _cfg(spark, threshold=0, blocks_on="even", block_size=375, wave_size=2, waves_in_flight=2)
+    plain = flows.load_blocks
+
+    def load_blocks(*args, **kwargs):
+        gate.wait()
+        return plain(*args, **kwargs)
+
+    flows.load_blocks = load_blocks
+    try:
+        assert run_load(o, cfg).is_complete
+    finally:
+        flows.load_blocks = plain
+    _same(target_view(spark, cfg), o)
+
+
+def test_a_wave_that_hangs_is_cancelled(spark, tables):
+    """Its blocks fail at the limit; the others are loaded meanwhile."""
+    o = tables("orders").select("o_orderkey")
+    cfg = _cfg(spark, threshold=0, blocks_on="even", block_size=500, wave_size=1, block_retries=0, wave_timeout_s=6.0)
+    plain = flows.load_blocks
+
+    @F.udf("boolean")
+    def slow(x):
+        import time
+        time.sleep(120)
+        return True
+
+    def load_blocks(blocks, ids, *args, **kwargs):
+        if 2 in ids:
+            blocks = blocks.filter(slow("o_orderkey"))
+        return plain(blocks, ids, *args, **kwargs)
+
+    flows.load_blocks = load_blocks
+    began = time.time()
+    try:
+        res = run_load(o, cfg)
+    finally:
+        flows.load_blocks = plain
+    assert time.time() - began < 100
+    assert (res.ok_blocks, res.failed_blocks) == (2, 1) and "cancelled after 6 s" in res.error
+    assert run_load(o, cfg.replace(wave_timeout_s=0.0)).is_complete
+    _same(target_view(spark, cfg), o)
+
+
+def test_waves_by_rows(spark, tables):
+    """A hot key's block is a wave by itself."""
+    o = tables("orders").withColumn("k", F.when(F.col("o_orderkey") % 3 == 0, 7).otherwise(F.col("o_custkey")))
+    cfg = _cfg(spark, threshold=0, block_key="k", blocks_on="keys", block_size=50, wave_rows=200)
+    sizes = []
+    plain = flows.load_blocks
+
+    def load_blocks(blocks, ids, *args, **kwargs):
+        sizes.append(list(ids))
+        return plain(blocks, ids, *args, **kwargs)
+
+    flows.load_blocks = load_blocks
+    try:
+        assert run_load(o, cfg).is_complete
+    finally:
+        flows.load_blocks = plain
+    rows = {b: r["row_count"] for b, r in _state(spark, cfg).items()}
+    hot = max(rows, key=rows.get)
+    assert [hot] in sizes and rows[hot] >= 500 and sorted(b for w in sizes for b in w) == sorted(rows)
+    assert all(sum(rows[b] for b in w[:-1]) < 200 for w in sizes) and len(sizes) < 10
+    _same(target_view(spark, cfg), o)
+
+
 def test_row_digest_tells_rows_apart(spark):
     schema = "a int, b int, m map<string,int>, s struct<x:int,m:map<string,int>>"
     rows = [(1, None, {"k": 1}, (1, {"a": 1})), (None, 1, None, None), (1, None, {"k": 1}, (1, {"a": 1}))]
