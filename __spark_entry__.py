@@ -28,6 +28,7 @@ from blockload.functions.columns import check_request, exclude_columns, resolve_
 from blockload.functions.target_types import fit_report, target_report, to_target_values
 from blockload.operators import blocks as B
 from blockload.operators import ledger as L
+from blockload.operators.lease import LeaseHeld, take_lease
 from blockload.plans.flows import (load_direct, load_landed, load_preblocked, run_load, run_load_with_retry,
                                    with_paths)
 from blockload.plans.routines import Routine, run_routine
@@ -132,8 +133,7 @@ def q_blocks_by_row(spark, sf_dir):
 def q_blocks_even(spark, sf_dir):
     o = _t(spark, sf_dir, "orders")
     path = write_landing(B.blocks_even(o, 7), new_path(spark, "landing"), 7, blocks_on="even", cluster=False)
-    return read_landing(spark, path).agg(F.count(F.lit(1)).alias("total_rows"),
-                                         F.countDistinct(BLOCK_COL).cast("int").alias("n_blocks"))
+    return B.block_results(read_landing(spark, path)).select(F.col("block_id").cast("int").alias("block_id"), "n_rows")
 
 
 def q_block_results(spark, sf_dir):
@@ -149,7 +149,7 @@ def q_scan_blocks(spark, sf_dir):
 
 
 def q_chunk_rows(spark, sf_dir):
-    ev = _t(spark, sf_dir, "events").select("event_id", "user_id")
+    ev = _t(spark, sf_dir, "events")
     blocked = B.blocks_by_row(ev, ["user_id", "event_id"], 16)
     chunked = B.chunk_rows(blocked, 300, ["event_id"])
     return chunked.groupBy(F.col(BLOCK_COL).alias("block_id"), F.col("_chunk").alias("chunk_no")).agg(
@@ -232,6 +232,34 @@ def q_waves(spark, sf_dir):
     return B.waves(pending, 6)
 
 
+def q_waves_by_size(spark, sf_dir):
+    """Blocks of one customer each, packed into waves of about 20 orders."""
+    sizes = _t(spark, sf_dir, "orders").groupBy(F.col("o_custkey").cast("int").alias("block_id")).agg(
+        F.count(F.lit(1)).alias("n_rows"))
+    return B.waves_by_size(sizes, 20)
+
+
+def q_run_lease(spark, sf_dir):
+    """While another driver holds the lease of a run nothing is loaded; once it
+    ends, all rows are, and what the other records late does not count."""
+    o = _t(spark, sf_dir, "orders")
+    cfg = _flow_cfg(spark, threshold=0, block_size=5000, blocks_on="even")
+    L.ensure_ledger(spark, cfg.ledger_path)
+    other = take_lease(spark, cfg.ledger_path, cfg.process_name, cfg.scope, cfg.lease_s)
+    try:
+        run_load_with_retry(o, cfg)
+        raise RuntimeError("two drivers worked on one run")
+    except LeaseHeld:
+        other.end()
+    result = run_load_with_retry(o, cfg)
+    late = spark.createDataFrame([(1,)], "block_id INT")
+    L.ledger_record(spark, cfg.ledger_path, L.block_events(
+        late, cfg.process_name, cfg.scope, RUN_DAY, "FAILED", 9, fence=other.fence))
+    if not result.is_complete:
+        raise RuntimeError(f"unexpected outcome: {result}")
+    return target_view(spark, cfg)
+
+
 def q_to_target_values(spark, sf_dir):
     return to_target_values(_t(spark, sf_dir, "events"))
 
@@ -334,14 +362,13 @@ def q_read_source(spark, sf_dir):
     by_path = read_source(spark, f"{sf_dir.rstrip('/')}/supplier.parquet")
     view = "blockload_source_" + new_path(spark, "v").rsplit("-", 1)[-1]
     _t(spark, sf_dir, "customer").createOrReplaceTempView(view)
-    return (by_path.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
-            .unionByName(read_source(spark, view).select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))))
+    return by_path.unionByName(read_source(spark, view), allowMissingColumns=True)
 
 
 def q_resolve_columns(spark, sf_dir):
     """O2: names in any case give the source's own, in the order asked for."""
     o = _t(spark, sf_dir, "orders")
-    return o.select(*resolve_columns(o, ["O_TotalPrice", "o_ORDERKEY"]).fieldNames())
+    return o.select(*resolve_columns(o, [c.upper() for c in reversed(o.columns)]).fieldNames())
 
 
 def q_check_request(spark, sf_dir):
@@ -355,7 +382,7 @@ def q_check_request(spark, sf_dir):
         except ValueError:
             continue
         raise RuntimeError(f"{bad} was accepted")
-    return p.select("p_partkey")
+    return p
 
 
 def q_load_twice(spark, sf_dir):
@@ -396,7 +423,7 @@ def q_preblocked_out_of_range(spark, sf_dir):
     src = new_path(spark, "preblocked")
     ev.withColumn("BLOCK", F.when(F.col("event_id") >= 0, F.col("event_id") % 5 + 1)).write.parquet(src)
     cfg = _flow_cfg(spark)
-    cols = ["event_id", "user_id"]
+    cols = ev.columns
     try:
         load_preblocked(spark, src, 4, "BLOCK", cols, cfg)
         raise RuntimeError("rows outside the blocks were left out")
@@ -412,8 +439,8 @@ def q_added_column(spark, sf_dir):
     """Two runs into one target, the second with a column more."""
     c = _t(spark, sf_dir, "customer")
     cfg = _flow_cfg(spark)
-    run_load(c.select("c_custkey", "c_name").filter("c_nationkey < 10"), cfg)
-    run_load(c.select("c_custkey", "c_name", "c_acctbal").filter("c_nationkey >= 10"),
+    run_load(c.drop("c_acctbal").filter("c_nationkey < 10"), cfg)
+    run_load(c.filter("c_nationkey >= 10"),
              cfg.replace(run_date=RUN_DAY + dt.timedelta(days=1)))
     return target_view(spark, cfg)
 
@@ -522,6 +549,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_metrics": q_run_metrics,
     "ledger_merge": q_ledger_merge,
     "waves": q_waves,
+    "waves_by_size": q_waves_by_size,
+    "run_lease": q_run_lease,
     "to_target_values": q_to_target_values,
     "fit_report": q_fit_report,
     "target_columns": q_target_columns,
@@ -594,10 +623,9 @@ def _with_state(body: str) -> str:
 
 
 _ORACLE: dict[str, str] = {
-    "read_source": """SELECT s_suppkey AS id, s_name AS name FROM supplier
-                      UNION ALL SELECT c_custkey, c_name FROM customer""",
-    "resolve_columns": "SELECT o_totalprice, o_orderkey FROM orders",
-    "check_request": "SELECT p_partkey FROM part",
+    "read_source": "SELECT * FROM supplier UNION ALL BY NAME SELECT * FROM customer",
+    "resolve_columns": "SELECT * FROM orders",
+    "check_request": "SELECT * FROM part",
     "load_twice": "SELECT * FROM orders",
     "reserved_columns": "SELECT * RENAME (o_orderstatus AS run) FROM orders",
     "same_name_other_case": "SELECT * FROM customer",
@@ -606,8 +634,7 @@ _ORACLE: dict[str, str] = {
     "resume_smaller_input": "SELECT * FROM orders",
     "preblocked_out_of_range": """SELECT count(*) FILTER (event_id % 5 + 1 > 4) AS n_refused, count(*) AS n_rows,
                                          CAST(sum(event_id) AS BIGINT) AS sum_ids FROM events""",
-    "added_column": """SELECT c_custkey, c_name, CASE WHEN c_nationkey >= 10 THEN c_acctbal END AS c_acctbal
-                       FROM customer""",
+    "added_column": "SELECT * REPLACE (CASE WHEN c_nationkey >= 10 THEN c_acctbal END AS c_acctbal) FROM customer",
     "exclude_columns": "SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders",
     "distinct_keys": "SELECT DISTINCT CASE WHEN o_custkey % 10 = 3 THEN NULL ELSE o_custkey END AS block_key FROM orders",
     "block_plan": """
@@ -620,7 +647,17 @@ WITH s AS (SELECT o_orderkey, CASE WHEN o_custkey % 10 = 3 THEN NULL ELSE o_cust
            FROM (SELECT DISTINCT block_key FROM s) d)
 SELECT s.o_orderkey, s.block_key, k.block_id FROM s JOIN k ON s.block_key IS NOT DISTINCT FROM k.block_key""",
     "blocks_by_row": "SELECT event_id, user_id, CAST(NTILE(16) OVER (ORDER BY user_id, event_id) AS INTEGER) AS block_id FROM events",
-    "blocks_even": "SELECT COUNT(*) AS total_rows, CAST(7 AS INTEGER) AS n_blocks FROM orders",
+    "blocks_even": """
+WITH b AS (SELECT NTILE(7) OVER (ORDER BY o_orderkey) AS block_id FROM orders)
+SELECT CAST(block_id AS INTEGER) AS block_id, COUNT(*) AS n_rows FROM b GROUP BY block_id""",
+    "waves_by_size": """
+WITH b AS (SELECT CAST(o_custkey AS INTEGER) AS block_id, COUNT(*) AS n_rows FROM orders GROUP BY o_custkey),
+     s AS (SELECT *, n_rows >= 20 AS big, CASE WHEN n_rows >= 20 THEN 0 ELSE n_rows END AS small FROM b),
+     c AS (SELECT *, SUM(small) OVER (ORDER BY block_id) - small AS ahead, SUM(small) OVER () AS total,
+                  SUM(CASE WHEN big THEN 1 ELSE 0 END) OVER (ORDER BY block_id) AS nth FROM s)
+SELECT block_id, n_rows, CAST(CASE WHEN big THEN CEIL(total / 20.0) + nth - 1
+       ELSE LEAST(FLOOR(ahead / 20.0), GREATEST(CEIL(total / 20.0) - 1, 0)) END AS INTEGER) AS wave_no FROM c""",
+    "run_lease": "SELECT * FROM orders",
     "block_results": _BLOCK_RESULTS_SQL,
     "landing_state": _BLOCK_RESULTS_SQL,
     "scan_blocks": """
