@@ -35,7 +35,7 @@ from blockload.plans.routines import Routine, run_routine
 from blockload.session import new_path
 from blockload.sources.landing import landing_state, read_landing, scan_blocks, write_landing, write_row_landing
 from blockload.sources.read import read_source
-from blockload.sources.target import load_blocks, target_view
+from blockload.sources.target import load_blocks, reject_view, target_view
 from blockload.testing import failing_blocks
 
 SF0001 = "/root/testdata/sf0.001"
@@ -260,6 +260,19 @@ def q_run_lease(spark, sf_dir):
     return target_view(spark, cfg)
 
 
+def q_load_with_rejects(spark, sf_dir):
+    """Documents longer than the target's strings go to the reject table in the
+    same pass; target and rejects are the source together."""
+    d = _t(spark, sf_dir, "documents")
+    cfg = _flow_cfg(spark, threshold=0, block_size=max(1, d.count() // 5), blocks_on="even", rejects_too_long=True)
+    with failing_blocks({2: 1}):
+        result = run_load_with_retry(d, cfg)
+    if not result.is_complete:
+        raise RuntimeError(f"unexpected outcome: {result}")
+    return target_view(spark, cfg).withColumn("rejected", F.lit(False)).unionByName(
+        reject_view(spark, cfg).withColumn("rejected", F.lit(True)))
+
+
 def q_to_target_values(spark, sf_dir):
     return to_target_values(_t(spark, sf_dir, "events"))
 
@@ -551,6 +564,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "waves": q_waves,
     "waves_by_size": q_waves_by_size,
     "run_lease": q_run_lease,
+    "load_with_rejects": q_load_with_rejects,
     "to_target_values": q_to_target_values,
     "fit_report": q_fit_report,
     "target_columns": q_target_columns,
@@ -658,6 +672,7 @@ WITH b AS (SELECT CAST(o_custkey AS INTEGER) AS block_id, COUNT(*) AS n_rows FRO
 SELECT block_id, n_rows, CAST(CASE WHEN big THEN CEIL(total / 20.0) + nth - 1
        ELSE LEAST(FLOOR(ahead / 20.0), GREATEST(CEIL(total / 20.0) - 1, 0)) END AS INTEGER) AS wave_no FROM c""",
     "run_lease": "SELECT * FROM orders",
+    "load_with_rejects": "SELECT *, coalesce(length(text) > 4000, false) AS rejected FROM documents",
     "block_results": _BLOCK_RESULTS_SQL,
     "landing_state": _BLOCK_RESULTS_SQL,
     "scan_blocks": """

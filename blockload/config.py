@@ -85,6 +85,11 @@ class LoadConfig:
     # Digits of a second that the target keeps: 3 cuts timestamps to
     # milliseconds, 6 keeps them. None is 3 for JDBC and 6 for Parquet.
     timestamp_scale: int | None = None
+    # Keep rows out of the target that hold a value longer than its type (4000
+    # characters, 8000 bytes): they go to a reject table in the same pass, for
+    # Parquet beside the target's blocks, for JDBC to ``rejects_path``.
+    rejects_too_long: bool = False
+    rejects_path: str = ""
     # JDBC only, for a table that cannot take the run, block and attempt
     # columns: rows are appended as they are, at least once.
     plain_append: bool = False
@@ -115,6 +120,7 @@ class RunResult:
     failed_blocks: int
     pending_blocks: int
     rows_loaded: int = 0
+    rows_rejected: int = 0
     error: str | None = None
     run_date: dt.date | None = None
     process_name: str = ""
@@ -147,6 +153,8 @@ class RunResult:
                  f"{self.rows_loaded} rows in {self.elapsed_s:.0f} s"]
         if self.failed_blocks or self.pending_blocks:
             parts.append(f"{self.failed_blocks} failed and {self.pending_blocks} not tried")
+        if self.rows_rejected:
+            parts.append(f"{self.rows_rejected} rows with too long values rejected")
         if self.dropped_columns:
             parts.append(f"without columns {', '.join(self.dropped_columns)}")
         return "; ".join(parts + ([self.error] if self.error else []))

@@ -102,6 +102,25 @@ def to_target_values(df: DataFrame, millis: bool = True) -> DataFrame:
     return df.select(*cols)
 
 
+def too_long(df: DataFrame) -> Column:
+    """Whether a row (of target values) has a string or binary value longer than
+    the target's type."""
+    found = F.lit(False)
+    for f in df.schema.fields:
+        if isinstance(f.dataType, T.StringType):
+            found = found | F.coalesce(F.length(df[f.name]) > MAX_STRING_CHARS, F.lit(False))
+        elif isinstance(f.dataType, T.BinaryType):
+            found = found | F.coalesce(F.octet_length(df[f.name]) > MAX_BINARY_BYTES, F.lit(False))
+    return found
+
+
+def declared_types(schema: T.StructType) -> str:
+    """The string columns with their length, as Spark's JDBC writer takes types
+    for a table that it creates."""
+    return ", ".join(f"`{f.name}` VARCHAR({MAX_STRING_CHARS})" for f in schema.fields
+                     if isinstance(f.dataType, T.StringType))
+
+
 def fit_report(df: DataFrame) -> DataFrame:
     """Per string or binary column, the number of values and how many
     are longer than the target allows (4000 characters, 8000 bytes).

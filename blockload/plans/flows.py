@@ -37,7 +37,7 @@ from blockload.session import new_path
 from blockload.sources.landing import (block_sizes, find_landing, landing_plan, read_landing, write_landing,
                                        write_row_landing)
 from blockload.sources.read import read_source
-from blockload.sources.target import encoded, load_blocks, run_key
+from blockload.sources.target import encoded, load_blocks, reject_view, run_key
 
 _RESULT_SCHEMA = T.StructType([
     T.StructField("block_id", T.IntegerType()),
@@ -184,18 +184,21 @@ class _Pass:
         try:
             with limit:
                 written = load_blocks(self.blocks(ids), ids, self.cfg, run_key(*self.names, self.run_date), tries)
-                counts = (self.expected(ids).join(written.withColumnRenamed("n_rows", "_w"), "block_id", "left")
-                          .select("block_id", "n_rows", F.coalesce("_w", F.lit(0)).alias("_w")).collect())
+                kept = F.coalesce(F.sum(F.when(F.col("block_id") > 0, F.col("n_rows"))), F.lit(0))
+                written = written.groupBy(F.abs("block_id").alias("_b")).agg(F.sum("n_rows").alias("_w"), kept.alias("_ok"))
+                counts = (self.expected(ids).join(written, F.col("block_id") == F.col("_b"), "left")
+                          .select("block_id", "n_rows", F.coalesce("_w", F.lit(0)).alias("_w"),
+                                  F.coalesce("_ok", F.lit(0)).alias("_ok")).collect())
         except Exception as e:  # noqa: BLE001 - the job failed: every block of it is FAILED
             text = f"cancelled after {self.cfg.wave_timeout_s:g} s" if limit.passed else f"{type(e).__name__}: {e}"
             self.record([(b, FAILED, 0, tries[b], text) for b in ids])
             return list(ids)
-        got = {r["block_id"]: (r["n_rows"], r["_w"]) for r in counts}
+        got = {r["block_id"]: (r["n_rows"], r["_w"], r["_ok"]) for r in counts}
         rows = []
         for b in ids:
-            want, wrote = got.get(b, (0, 0))
+            want, wrote, loaded = got.get(b, (0, 0, 0))    # rejected rows were written too, beside the target
             text = None if want == wrote else f"wrote {wrote} rows, expected {want}"
-            rows.append((b, FAILED if text else SUCCESS, int(wrote), tries[b], text))
+            rows.append((b, FAILED if text else SUCCESS, int(loaded), tries[b], text))
         self.record(rows)
         with self.writing:
             self.loaded += sum(1 for r in rows if r[1] == SUCCESS)
@@ -270,10 +273,13 @@ class _Pass:
                                       F.coalesce("error_message", F.lit("?")))).first())
             error = first[0] if first else None
         p, s = self.names
+        rejected = 0
+        if self.cfg.rejects_too_long and row["ok_blocks"]:
+            rejected = reject_view(self.spark, self.cfg, final).count()
         return RunResult(
             success=row["success"], total_blocks=row["total_blocks"], ok_blocks=row["ok_blocks"],
             failed_blocks=row["failed_blocks"], pending_blocks=row["pending_blocks"], rows_loaded=row["rows_loaded"],
-            error=error, run_date=self.run_date, process_name=p, scope=s, elapsed_s=time.time() - t0, **known)
+            rows_rejected=rejected, error=error, run_date=self.run_date, process_name=p, scope=s, elapsed_s=time.time() - t0, **known)
 
 
 def _dropped(df: DataFrame, src: DataFrame) -> tuple[str, ...]:

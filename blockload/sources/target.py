@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from blockload.config import ATTEMPT_COL, BLOCK_COL, RUN_COL, SUCCESS, LoadConfig
 from blockload.functions.columns import check_names
-from blockload.functions.target_types import to_target_values
+from blockload.functions.target_types import declared_types, to_target_values, too_long
 from blockload.operators.ledger import ledger_state, read_ledger
 from blockload.session import path_exists, remove_path
 
@@ -53,14 +53,17 @@ def run_key_col(process: Column, scope: Column, run_date: Column) -> Column:
     return F.concat_ws("~~", _encoded_col(process), _encoded_col(scope), F.date_format(run_date, "yyyy-MM-dd"))
 
 
-def _jdbc_writer_options(cfg: LoadConfig) -> dict[str, str]:
+def _jdbc_writer_options(cfg: LoadConfig, schema: T.StructType) -> dict[str, str]:
     opts = dict(cfg.jdbc_options)
     opts.setdefault("dbtable", cfg.target)
     opts.setdefault("numPartitions", str(cfg.max_connections))
     opts.setdefault("queryTimeout", str(cfg.query_timeout_s))
-    # Used only if Spark creates the table: a comparable type for the run key
-    # (some databases store Spark strings as CLOB, which takes no filter).
-    opts.setdefault("createTableColumnTypes", f"{RUN_COL} VARCHAR(400)")
+    # Used only if Spark creates the table: strings of a length, and a comparable
+    # run key (some databases store Spark strings as CLOB, which takes no filter).
+    own = [declared_types(T.StructType([f for f in schema.fields if f.name != RUN_COL])),
+           f"{RUN_COL} VARCHAR(400)" if RUN_COL in schema.names else ""]
+    if any(own):
+        opts.setdefault("createTableColumnTypes", ", ".join(t for t in own if t))
     if cfg.chunk_rows > 0:
         opts.setdefault("batchsize", str(cfg.chunk_rows))
     return opts
@@ -84,26 +87,51 @@ def load_blocks(blocks: DataFrame, block_ids: Sequence[int], cfg: LoadConfig, ke
     data_cols = [c for c in part.columns if c != block_col]
     check_names(part.select(*data_cols).schema, (RUN_COL, BLOCK_COL, ATTEMPT_COL))
     part = to_target_values(part.select(*data_cols, F.col(block_col).alias(BLOCK_COL)), cfg.cuts_to_millis)
+    if cfg.rejects_too_long:
+        part = _rejected(part, cfg, key, ids, attempts)
     if cfg.target_format == "jdbc" and cfg.plain_append:
-        part.drop(BLOCK_COL).write.format("jdbc").options(**_jdbc_writer_options(cfg)).mode("append").save()
+        rows = part.drop(BLOCK_COL)
+        rows.write.format("jdbc").options(**_jdbc_writer_options(cfg, rows.schema)).mode("append").save()
         # Nothing in the table tells these rows from others: what was sent counts.
         return part.groupBy(F.col(BLOCK_COL).alias("block_id")).agg(F.count(F.lit(1)).alias("n_rows"))
     out = part.withColumn(RUN_COL, F.lit(key))
     if cfg.target_format == "jdbc":
         out = out.withColumn(ATTEMPT_COL, _attempt_of(F.col(BLOCK_COL), attempts).cast("int"))
-        out.write.format("jdbc").options(**_jdbc_writer_options(cfg)).mode("append").save()
+        out.write.format("jdbc").options(**_jdbc_writer_options(cfg, out.schema)).mode("append").save()
     else:
         known = _target_schema(spark, cfg.target)
         out = _as_the_target_spells(out, known)
-        for b in ids:  # a repeat that has no rows would leave the last try's behind
-            if attempts.get(b, 1) > 1:
-                remove_path(spark, _block_path(cfg.target, key, b))
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(RUN_COL, BLOCK_COL).parquet(cfg.target))
+        _replace_blocks(out, cfg.target, key, ids, attempts)
         _record_schema(spark, cfg.target, known, out.schema)
     return written_counts(spark, cfg, key, ids, attempts)
 
 
+def _replace_blocks(rows: DataFrame, target: str, key: str, ids: Sequence[int], attempts: Mapping[int, int]) -> None:
+    for b in ids:  # a repeat that has no rows would leave the last try's behind
+        if attempts.get(b, 1) > 1:
+            for folder in (b, -b):
+                remove_path(rows.sparkSession, _block_path(target, key, folder))
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(RUN_COL, BLOCK_COL).parquet(target))
+
+
+def _rejected(part: DataFrame, cfg: LoadConfig, key: str, ids: Sequence[int], attempts: Mapping[int, int]) -> DataFrame:
+    """Rows with too long values go under the negative number of their block:
+    into the target's own folders with the same write, or, for JDBC, into
+    ``rejects_path``, and only the others are returned."""
+    long = too_long(part)
+    if cfg.target_format != "jdbc":
+        return part.withColumn(BLOCK_COL, F.when(long, -F.col(BLOCK_COL)).otherwise(F.col(BLOCK_COL)))
+    if not cfg.rejects_path:
+        raise ValueError("rejects_too_long needs a rejects_path for a JDBC target")
+    out = part.where(long).withColumn(BLOCK_COL, -F.col(BLOCK_COL)).withColumn(RUN_COL, F.lit(key))
+    known = _target_schema(part.sparkSession, cfg.rejects_path)
+    out = _as_the_target_spells(out, known)
+    _replace_blocks(out, cfg.rejects_path, key, ids, attempts)
+    _record_schema(part.sparkSession, cfg.rejects_path, known, out.schema)
+    return part.where(~long)
+
+
 def _block_path(target: str, key: str, block: int) -> str:
     return f"{target}/{RUN_COL}={key}/{BLOCK_COL}={block}"
 
@@ -187,31 +215,49 @@ def jdbc_count_query(spark: SparkSession, cfg: LoadConfig, key: str, attempts: M
 def written_counts(spark: SparkSession, cfg: LoadConfig, key: str, block_ids: Sequence[int],
                    attempts: Mapping[int, int]) -> DataFrame:
     """Rows per block of this run in the target, counted on what is there: only
-    the folders of these blocks are listed, or the database counts."""
+    the folders of these blocks are listed, or the database counts. Rejected
+    rows count under the negative number of their block."""
     ids = [int(b) for b in block_ids]
     if cfg.target_format == "jdbc":
         t = _read_jdbc(spark, cfg, query=jdbc_count_query(spark, cfg, key, {b: attempts[b] for b in ids}))
-        return t.toDF("block_id", "n_rows").select(F.col("block_id").cast("int"), F.col("n_rows").cast("long"))
-    paths = [p for p in (_block_path(cfg.target, key, b) for b in ids) if path_exists(spark, p)]
+        t = t.toDF("block_id", "n_rows").select(F.col("block_id").cast("int"), F.col("n_rows").cast("long"))
+        return t.unionByName(_counted(spark, cfg.rejects_path, key, [-b for b in ids])) if cfg.rejects_too_long else t
+    return _counted(spark, cfg.target, key, ids + ([-b for b in ids] if cfg.rejects_too_long else []))
+
+
+def _counted(spark: SparkSession, target: str, key: str, folders: Sequence[int]) -> DataFrame:
+    paths = [p for p in (_block_path(target, key, b) for b in folders) if path_exists(spark, p)]
     if not paths:
         return spark.createDataFrame([], "block_id INT, n_rows BIGINT")
-    t = _read_parquet(spark, cfg.target, paths)
+    t = _read_parquet(spark, target, paths)
     return t.groupBy(F.col(BLOCK_COL).cast("int").alias("block_id")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def target_view(spark: SparkSession, cfg: LoadConfig, state: DataFrame | None = None) -> DataFrame:
-    """What a reader of the target sees: source columns only, of blocks that
-    the ledger ``state`` (by default that of ``cfg.ledger_path``) holds as
-    SUCCESS; for JDBC, only the attempt that succeeded."""
+def _loaded(spark: SparkSession, cfg: LoadConfig, state: DataFrame | None) -> DataFrame:
+    """Run key, block and attempt of the blocks that are SUCCESS."""
     if state is None:
         if not cfg.ledger_path:
             raise ValueError("a target is read through its ledger: give the state or cfg.ledger_path")
         state = ledger_state(read_ledger(spark, cfg.ledger_path))
-    ok = state.filter(F.col("status") == SUCCESS).select(
+    return state.filter(F.col("status") == SUCCESS).select(
         run_key_col(F.col("process_name"), F.col("scope"), F.col("run_date")).alias("_k"),
         F.col("block_id").alias("_b"), F.col("attempt").alias("_a"))
+
+
+def reject_view(spark: SparkSession, cfg: LoadConfig, state: DataFrame | None = None) -> DataFrame:
+    """The rejected rows of the blocks that are SUCCESS, source columns only."""
+    ok = _loaded(spark, cfg, state)
+    t = _read_parquet(spark, cfg.rejects_path if cfg.target_format == "jdbc" else cfg.target).where(F.col(BLOCK_COL) < 0)
+    return t.join(ok, (t[RUN_COL] == ok["_k"]) & (-t[BLOCK_COL] == ok["_b"]), "left_semi").drop(RUN_COL, BLOCK_COL)
+
+
+def target_view(spark: SparkSession, cfg: LoadConfig, state: DataFrame | None = None) -> DataFrame:
+    """What a reader of the target sees: source columns only, of blocks that
+    the ledger ``state`` (by default that of ``cfg.ledger_path``) holds as
+    SUCCESS; for JDBC, only the attempt that succeeded."""
+    ok = _loaded(spark, cfg, state)
     if cfg.target_format == "jdbc":
-        last = state.agg(F.max("block_id")).first()[0] or 1
+        last = ok.withColumnRenamed("_b", "block_id").agg(F.max("block_id")).first()[0] or 1
         t = _read_jdbc(spark, cfg, partitionColumn=BLOCK_COL, lowerBound="1", upperBound=str(last + 1),
                        numPartitions=str(max(1, cfg.max_connections)))
         t = t.join(ok, (t[RUN_COL] == ok["_k"]) & (t[BLOCK_COL] == ok["_b"]) & (t[ATTEMPT_COL] == ok["_a"]),

@@ -18,7 +18,7 @@ from blockload.plans.flows import (load_direct, load_landed, load_preblocked, lo
 from blockload.plans.routines import Routine, register_routine, run_routine
 from blockload.session import create_exclusive, new_path, touch
 from blockload.sources.landing import find_landing, write_landing
-from blockload.sources.target import load_blocks, run_key, run_key_col, target_view
+from blockload.sources.target import load_blocks, reject_view, run_key, run_key_col, target_view
 from blockload.testing import failing_blocks
 
 DAY = dt.date(2024, 2, 2)
@@ -366,6 +366,27 @@ def test_waves_by_rows(spark, tables):
     _same(target_view(spark, cfg), o)
 
 
+@pytest.mark.parametrize("how", [dict(), dict(threshold=0, blocks_on="even", block_size=60)])
+def test_too_long_values_are_kept_out(spark, how):
+    """Target and rejects are the source together, also after a fault."""
+    text = F.when(F.col("id") % 7 == 0, F.repeat(F.lit("é"), F.lit(4001))).when(
+        F.col("id") % 7 == 1, F.repeat(F.lit("é"), F.lit(4000))).when(F.col("id") % 7 == 2, None).otherwise("short")
+    blob = F.when(F.col("id") % 11 == 0, F.repeat(F.lit("x"), F.lit(8001)).cast("binary")).otherwise(F.lit(b"b"))
+    df = spark.range(200).select(F.col("id").alias("k"), text.alias("t"), blob.alias("b"))
+    path = new_path(spark, "long")
+    df.write.parquet(path)
+    df = spark.read.parquet(path)
+    cfg = _cfg(spark, rejects_too_long=True, **how)
+    long = F.coalesce(F.length("t") > 4000, F.lit(False)) | (F.octet_length("b") > 8000)
+    with failing_blocks({1: 100}):
+        assert not run_load(df, cfg).success
+    res = run_load(df, cfg)
+    assert res.is_complete and res.rows_rejected == df.where(long).count() > 0 and "rejected" in res.summary()
+    assert res.rows_loaded + res.rows_rejected == 200
+    _same(target_view(spark, cfg), df.where(~long))
+    _same(reject_view(spark, cfg), df.where(long))
+
+
 def test_row_digest_tells_rows_apart(spark):
     schema = "a int, b int, m map<string,int>, s struct<x:int,m:map<string,int>>"
     rows = [(1, None, {"k": 1}, (1, {"a": 1})), (None, 1, None, None), (1, None, {"k": 1}, (1, {"a": 1}))]
