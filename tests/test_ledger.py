@@ -106,4 +106,5 @@ def test_run_result_summary():
     assert part.summary().endswith("; 1 failed and 0 not tried; block 2: boom")
     none = RunResult(False, 0, 0, 0, 0, error="gone")
     assert none.needs_retry and not none.is_complete and not none.is_hopeless
-    assert dataclasses.replace(part, ok_blocks=0, failed_blocks=2, pending_blocks=3).is_hopeless
+    assert not dataclasses.replace(part, ok_blocks=0, failed_blocks=2, pending_blocks=3).is_hopeless  # 3 not tried
+    assert dataclasses.replace(part, ok_blocks=0, failed_blocks=5, pending_blocks=0).is_hopeless
