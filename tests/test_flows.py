@@ -144,7 +144,7 @@ def test_a_pass_that_raises_is_repeated(spark, tables):
 
 
 def test_hopeless_run_is_given_up(spark, tables):
-    cfg = _cfg(spark, threshold=0, blocks_on="even", block_size=300, wave_size=2, block_retries=1)
+    cfg = _cfg(spark, threshold=0, blocks_on="even", block_size=300, wave_size=2, block_retries=1, waves_in_flight=1)
     tries = {b: 1000 for b in range(1, 6)}
     with failing_blocks(tries):
         res = run_load_with_retry(tables("orders"), cfg)
