@@ -3,11 +3,13 @@ executors, null-safe views of the input."""
 
 from __future__ import annotations
 
+import atexit
 import contextlib
 import ctypes
 import gc
 import io
 import os
+import shutil
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -46,7 +48,9 @@ def ship(spark: SparkSession) -> None:
                 if name.endswith(".py"):
                     full = os.path.join(folder, name)
                     z.write(full, os.path.relpath(full, os.path.dirname(root)))
-    path = os.path.join(tempfile.mkdtemp(prefix="blockload-py-"), "blockload_pkg.zip")
+    folder = tempfile.mkdtemp(prefix="blockload-py-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)   # executors that come later still fetch it
+    path = os.path.join(folder, "blockload_pkg.zip")
     with open(path, "wb") as f:  # on the driver only; Spark hands it to the executors
         f.write(buffer.getvalue())
     spark.sparkContext.addPyFile(path)
