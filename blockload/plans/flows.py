@@ -6,7 +6,9 @@ Spark jobs. A run is recorded before its first block is tried (flow, block
 count, row count, landing), and later calls follow that record until every
 block is SUCCESS; a complete run is never taken up again. A wave of blocks is
 one job. If it fails, its blocks are tried again in one job and split while
-that fails, so a bad block does not fail its neighbours. Order of events for
+that fails, so a bad block does not fail its neighbours. Where waves are small
+and go well, several share a job, so that the number of jobs follows the rows
+and not the number of waves. Order of events for
 a block: RUNNING, write, count, then SUCCESS or FAILED. A crash between the
 write and the count leaves RUNNING, which is pending and is repeated safely,
 since a repeat replaces the block.
@@ -14,6 +16,7 @@ since a repeat replaces the block.
 
 from __future__ import annotations
 
+import collections
 import dataclasses
 import datetime as dt
 import threading
@@ -116,6 +119,8 @@ def _check_target(cfg: LoadConfig) -> None:
 # --- one pass over the pending blocks of a run --------------------------------
 
 Blocks = Callable[[list[int]], DataFrame]
+JOB_ROWS = 5_000_000    # rows up to which waves share a job
+JOB_BLOCKS = 1_000      # and their blocks: literals of the read, folders of the write
 
 
 class _TimeLimit:
@@ -158,6 +163,7 @@ class _Pass:
                  expected: Blocks) -> None:
         self.spark, self.cfg, self.run_date, self.blocks, self.expected = spark, cfg, run_date, blocks, expected
         self.writing = threading.Lock()   # appends to the ledger, one at a time
+        self.taking = threading.Lock()    # the next job's waves
         self.names = _names(cfg)
         self.plan = L.run_plan(spark, *self.names, run_date, n_blocks)
         self.attempts: dict[int, int] = {}
@@ -234,6 +240,34 @@ class _Pass:
         size = max(1, self.cfg.wave_size)
         return [ids[i:i + size] for i in range(0, len(ids), size)]
 
+    def shares_jobs(self) -> bool:
+        """Whether waves may share a job: not where the caller sized them by rows
+        or limited their time, nor for JDBC, where a failed job leaves rows behind."""
+        return self.cfg.target_format == "parquet" and self.cfg.wave_rows <= 0 and self.cfg.wave_timeout_s <= 0
+
+    def take(self) -> list[list[int]]:
+        """The waves of the next job: as many as the last jobs' outcome allows, up
+        to ``JOB_ROWS`` and ``JOB_BLOCKS``; none once all are taken."""
+        with self.taking:
+            job, rows, blocks = [], 0, 0
+            while self.waves and len(job) < self.together:
+                rows += sum(self.sizes.get(b, 0) for b in self.waves[0])
+                blocks += len(self.waves[0])
+                if job and (rows > JOB_ROWS or blocks > JOB_BLOCKS):
+                    break
+                job.append(self.waves.popleft())
+            return job
+
+    def job(self, waves: list[list[int]], retry: bool) -> list[int]:
+        """Load waves in one job; if that fails, in halves down to single waves.
+        Returns the blocks that failed."""
+        if len(waves) == 1:
+            return self.wave(waves[0], retry)
+        failed = set(self.attempt([b for ids in waves for b in ids]))
+        left = [ids for ids in ([b for b in ids if b in failed] for ids in waves) if ids]
+        half = max(1, len(left) // 2)
+        return [b for part in (left[:half], left[half:]) if part for b in self.job(part, retry)]
+
     def load(self, t0: float, **known) -> RunResult:
         with leased(self.spark, self.cfg.ledger_path, *self.names, self.cfg.lease_s) as self.lease:
             return self.load_leased(t0, **known)
@@ -247,20 +281,30 @@ class _Pass:
         self.loaded = L.completed_blocks(state).count()
         self.hopeful = True  # until a wave failed whole and nothing of the run is loaded
 
-        def one(ids: list[int]) -> None:
-            failed = self.wave(ids, self.hopeful)  # every block is tried; without hope once
-            self.hopeful = self.loaded > 0 or (self.hopeful and len(failed) < len(ids))
+        self.waves = collections.deque(self.packed([b for b, _ in todo]))
+        self.together, self.sizes = 1, {}  # waves that the next job takes, rows of the blocks
+        in_flight = max(1, self.cfg.waves_in_flight)
+        shares = self.shares_jobs() and len(self.waves) > in_flight
+        if shares:
+            self.sizes = {r["block_id"]: r["n_rows"] for r in self.expected([b for b, _ in todo]).collect()}
 
-        # Waves are jobs of their own, some at once: one fills what another's
-        # last tasks leave idle. Each thread keeps the session's properties.
-        with ThreadPoolExecutor(max(1, self.cfg.waves_in_flight)) as pool:
-            jobs = [pool.submit(inheritable_thread_target(one), ids) for ids in self.packed([b for b, _ in todo])]
+        def work() -> None:
             try:
-                for job in jobs:
-                    job.result()
-            finally:
-                for job in jobs:   # after a lost lease nothing more begins
-                    job.cancel()
+                while waves := self.take():
+                    failed = self.job(waves, self.hopeful)  # every block is tried; without hope once
+                    self.hopeful = self.loaded > 0 or (self.hopeful and len(failed) < sum(map(len, waves)))
+                    if shares:
+                        with self.taking:
+                            self.together = 1 if failed else max(self.together, 2 * len(waves))
+            except BaseException:
+                self.waves.clear()   # after a lost lease nothing more begins
+                raise
+
+        # Jobs run some at once: one fills what another's last tasks leave idle.
+        # Each thread keeps the session's properties.
+        with ThreadPoolExecutor(in_flight) as pool:
+            for running in [pool.submit(inheritable_thread_target(work)) for _ in range(in_flight)]:
+                running.result()
         return self.result(t0, **known)
 
     def result(self, t0: float, **known) -> RunResult:
@@ -456,7 +500,7 @@ def _preblocked(spark: SparkSession, source: str, n_blocks: int, block_col: str,
 
     def expected(ids: list[int]) -> DataFrame:
         want = spark.createDataFrame([(int(b),) for b in ids], "block_id INT")
-        return want.join(counts.filter(F.col("block_id").isin(ids)), "block_id", "left").select(
+        return want.join(counts, "block_id", "left").select(
             "block_id", F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"))
 
     return _Pass(spark, cfg, run_date, n_blocks, blocks, expected).load(t0)

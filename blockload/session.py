@@ -6,6 +6,7 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
@@ -56,6 +57,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(there)
 
 
+def existing(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """Those of ``paths``, of one file system, at which there is a file or folder."""
+    if not paths:
+        return []
+    system, at = _located(spark, paths[0])[1], spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return [p for p in paths if system.exists(at(p))]
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Remove a folder that this library wrote and no reader needs any more."""
     there, system = _located(spark, path)

@@ -28,7 +28,7 @@ from blockload.config import ATTEMPT_COL, BLOCK_COL, RUN_COL, SUCCESS, LoadConfi
 from blockload.functions.columns import check_names
 from blockload.functions.target_types import declared_types, to_target_values, too_long
 from blockload.operators.ledger import ledger_state, read_ledger
-from blockload.session import path_exists, remove_path
+from blockload.session import existing, path_exists, remove_path
 
 
 def encoded(part: str) -> str:
@@ -107,10 +107,10 @@ def load_blocks(blocks: DataFrame, block_ids: Sequence[int], cfg: LoadConfig, ke
 
 
 def _replace_blocks(rows: DataFrame, target: str, key: str, ids: Sequence[int], attempts: Mapping[int, int]) -> None:
-    for b in ids:  # a repeat that has no rows would leave the last try's behind
-        if attempts.get(b, 1) > 1:
-            for folder in (b, -b):
-                remove_path(rows.sparkSession, _block_path(target, key, folder))
+    spark = rows.sparkSession
+    again = [b for b in ids if attempts.get(b, 1) > 1]  # a repeat that has no rows would leave the last try's behind
+    for folder in existing(spark, [_block_path(target, key, b) for a in again for b in (a, -a)]):
+        remove_path(spark, folder)
     (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(RUN_COL, BLOCK_COL).parquet(target))
 
@@ -226,7 +226,7 @@ def written_counts(spark: SparkSession, cfg: LoadConfig, key: str, block_ids: Se
 
 
 def _counted(spark: SparkSession, target: str, key: str, folders: Sequence[int]) -> DataFrame:
-    paths = [p for p in (_block_path(target, key, b) for b in folders) if path_exists(spark, p)]
+    paths = existing(spark, [_block_path(target, key, b) for b in folders])
     if not paths:
         return spark.createDataFrame([], "block_id INT, n_rows BIGINT")
     t = _read_parquet(spark, target, paths)

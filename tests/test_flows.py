@@ -343,6 +343,55 @@ def test_a_wave_that_hangs_is_cancelled(spark, tables):
     _same(target_view(spark, cfg), o)
 
 
+@pytest.fixture
+def loads(monkeypatch):
+    """The blocks of each load, in order."""
+    seen, plain = [], flows.load_blocks
+
+    def load_blocks(blocks, ids, *args, **kwargs):
+        seen.append(list(ids))
+        return plain(blocks, ids, *args, **kwargs)
+
+    monkeypatch.setattr(flows, "load_blocks", load_blocks)
+    return seen
+
+
+def test_waves_that_go_well_share_jobs(spark, tables, loads):
+    """Jobs grow while they go well: their number does not follow the waves'."""
+    o = tables("orders")
+    cfg = _cfg(spark, threshold=0, blocks_on="even", block_size=125, wave_size=1, waves_in_flight=1)
+    assert run_load(o, cfg).is_complete
+    assert loads == [[1], [2, 3], [4, 5, 6, 7], [8, 9, 10, 11, 12]]
+    assert {r["attempt"] for r in _state(spark, cfg).values()} == {1}
+    _same(target_view(spark, cfg), o)
+
+
+def test_a_bad_block_of_a_shared_job_stops_no_other(spark, tables, loads):
+    o = tables("orders")
+    cfg = _cfg(spark, threshold=0, blocks_on="even", block_size=125, wave_size=1, waves_in_flight=1, block_retries=0)
+    with failing_blocks({6: 1000}):
+        res = run_load(o, cfg)
+    assert (res.ok_blocks, res.failed_blocks, res.is_hopeless) == (11, 1, False)
+    assert loads == [[1], [2, 3], [4, 5, 6, 7], [4, 5], [6, 7], [6], [7], [8], [9, 10], [11, 12]]
+    assert run_load(o, cfg).is_complete
+    _same(target_view(spark, cfg), o)
+
+
+@pytest.mark.parametrize("limit, value", [("JOB_BLOCKS", 2), ("JOB_ROWS", 300)])
+def test_shared_jobs_are_bounded(spark, tables, loads, monkeypatch, limit, value):
+    monkeypatch.setattr(flows, limit, value)
+    cfg = _cfg(spark, threshold=0, blocks_on="even", block_size=125, wave_size=1, waves_in_flight=1)
+    assert run_load(tables("orders"), cfg).is_complete
+    assert loads[0] == [1] and max(map(len, loads)) == 2 and sorted(sum(loads, [])) == list(range(1, 13))
+
+
+@pytest.mark.parametrize("kept", [{"wave_rows": 125}, {"wave_timeout_s": 600.0}])
+def test_waves_that_the_caller_bounds_share_no_job(spark, tables, loads, kept):
+    cfg = _cfg(spark, threshold=0, blocks_on="even", block_size=250, wave_size=1, waves_in_flight=1, **kept)
+    assert run_load(tables("orders"), cfg).is_complete
+    assert loads == [[b] for b in range(1, 7)]
+
+
 def test_waves_by_rows(spark, tables):
     """A hot key's block is a wave by itself."""
     o = tables("orders").withColumn("k", F.when(F.col("o_orderkey") % 3 == 0, 7).otherwise(F.col("o_custkey")))
