@@ -153,10 +153,16 @@ def with_progress(runs: DataFrame, state: DataFrame) -> DataFrame:
 
 def ledger_state(events: DataFrame) -> DataFrame:
     """The latest event per (process, scope, run date, block). Partial
-    aggregation keeps one row per key and task before the shuffle."""
+    aggregation keeps one row per key and task before the shuffle. An event
+    recorded without a lease has no fence and counts by attempt and state among
+    those of the block's last holder."""
     rest = [c for c in events.columns if c not in BLOCK_KEYS]
-    latest = F.max_by(F.struct(*[F.col(c) for c in rest]), F.col("seq")).alias("_e")
-    return events.groupBy(*BLOCK_KEYS).agg(latest).select(*BLOCK_KEYS, *[F.col(f"_e.{c}").alias(c) for c in rest])
+    event, fenced = F.struct(*[F.col(c) for c in rest]), F.col("seq") >= _FENCE
+    latest = events.groupBy(*BLOCK_KEYS).agg(F.max_by(event, F.when(fenced, F.col("seq"))).alias("_f"),
+                                             F.max_by(event, F.when(~fenced, F.col("seq"))).alias("_u"))
+    last = F.when(F.col("_f").isNull() | (F.col("_u.seq") > F.pmod(F.col("_f.seq"), F.lit(_FENCE))), F.col("_u")).otherwise(
+        F.col("_f")).alias("_e")
+    return latest.select(*BLOCK_KEYS, last).select(*BLOCK_KEYS, *[F.col(f"_e.{c}").alias(c) for c in rest])
 
 
 def for_run(df: DataFrame, process_name: str, scope: str, run_date: dt.date | None = None) -> DataFrame:
