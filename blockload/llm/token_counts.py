@@ -28,6 +28,7 @@ import hashlib
 import json
 from collections import Counter
 from collections.abc import Iterator
+from operator import mul
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -167,20 +168,23 @@ def _pieces(text: str, size: int) -> list[str]:
     return out
 
 
-_KNOWN: dict[tuple[str, bytes], int] = {}
+_KNOWN: dict[str, dict[bytes, int]] = {}
 
 
 def count_words(path: str, texts: list[bytes]) -> list[int]:
     """Tokens of each text, by its words; words that the worker does not know
     yet are encoded by the library."""
-    count = load_tokenizer(path)
-    if len(_KNOWN) > KNOWN_WORDS:
-        _KNOWN.clear()
+    count, known = load_tokenizer(path), _KNOWN.setdefault(path, {})
+    if len(known) > KNOWN_WORDS:
+        known.clear()
     found = [Counter(t.split()) for t in texts]
-    new = list({w for words in found for w in words if (path, w) not in _KNOWN})
-    numbers = dict(zip(new, count([w.decode("utf-8") for w in new]))) if new else {}
-    sums = [sum(n * (numbers[w] if w in numbers else _KNOWN[path, w]) for w, n in words.items()) for words in found]
-    _KNOWN.update(((path, w), n) for w, n in numbers.items() if len(w) <= KNOWN_CHARS)
+    new = list(set().union(*found).difference(known))
+    if new:
+        known.update(zip(new, count([w.decode("utf-8") for w in new])))
+    sums = [sum(map(mul, words.values(), map(known.__getitem__, words))) for words in found]
+    for w in new:
+        if len(w) > KNOWN_CHARS:
+            del known[w]
     return sums
 
 
