@@ -10,8 +10,9 @@ with an equal, non-empty block are compared; a passage that many documents
 share seldom makes them agree in a block, and a second bound drops those
 that do not share enough of their n-grams with all other such documents
 together. Documents that agree, directly or through others, form a cluster;
-in a cluster overlaps are accumulated column by column, and pairs below the
-bound are dropped.
+a large one is parted by the n-grams that are rarest in it, of which partners
+have one in common; in a cluster overlaps are accumulated column by column, and
+pairs below the bound are dropped.
 
 Exactness: a level's block count exceeds the possible differences by a margin
 for blocks that are empty in both sets; a document with more empty blocks than
@@ -49,6 +50,7 @@ PERCENT = 85
 FLUSH_ROWS = 1 << 19        # block digests a task holds before it sends them
 SLICE_ROWS = 1 << 20        # block digests of a slice of their range, on average
 MOST_SLICES = 1 << 16
+SEVERAL = 0xFFFFFFFF        # in place of a short owner: the n-gram has several
 CHUNK = 1024                # documents of a cluster that are compared at once
 CHUNK_GRAMS = 2_000_000
 SHARED = 32                 # documents of a large cluster that all its chunks hold
@@ -232,14 +234,26 @@ def _unpack48(data: bytes) -> np.ndarray:
     return low.astype(np.uint64) | (high.astype(np.uint64) << np.uint64(32))
 
 
-def _by_slice(digest: np.ndarray, owner: np.ndarray, a: np.ndarray, b: np.ndarray, n_slices: int) -> pa.RecordBatch:
+def _pack32(digest: np.ndarray) -> bytes:
+    """The low 32 bits of digests, for counts that may be too high: in a slice
+    one in thousands has another's."""
+    return digest.astype(np.uint32).tobytes()
+
+
+def _short(own):
+    """32 bits of a class, for counts that may be too high."""
+    return np.minimum(own & 0xFFFFFFFF, SEVERAL - 1)
+
+
+def _by_slice(digest: np.ndarray, owner: np.ndarray, a: np.ndarray, b: np.ndarray, n_slices: int,
+              pack=_pack48) -> pa.RecordBatch:
     """Sorted digests with their owners as one row per slice; the pairs (a, b)
     ride along."""
     at = ((digest >> np.uint64(32)) * np.uint64(n_slices)) >> np.uint64(32)
     cuts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
     ends = np.r_[cuts[1:], len(at)]
     share = np.linspace(0, len(a), len(cuts) + 1).astype(int)
-    cols = [[_pack48(digest[x:y]) for x, y in zip(cuts, ends)], [owner[x:y].tobytes() for x, y in zip(cuts, ends)],
+    cols = [[pack(digest[x:y]) for x, y in zip(cuts, ends)], [owner[x:y].tobytes() for x, y in zip(cuts, ends)],
             [a[x:y].tobytes() for x, y in zip(share[:-1], share[1:])],
             [b[x:y].tobytes() for x, y in zip(share[:-1], share[1:])]]
     return pa.RecordBatch.from_arrays([pa.array(at[cuts].astype(np.int64)), *[pa.array(c, pa.binary()) for c in cols]],
@@ -302,25 +316,29 @@ def _tally(digest: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return digest[new], np.where(size > 1, NULL_ID, owner[new]), who, count
 
 
-def _gram_slices(n_slices: int):
-    """N-grams by slice, with the shared ones that a task sees itself."""
+def _gram_slices(words: int, n_slices: int):
+    """N-grams of the classes asked for by slice, with the shared ones that a
+    task sees itself. Eight bytes an n-gram: equal bits of different n-grams or
+    classes only add to the counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for digest, owner in _flushes(_stored_sets, lambda grams: grams, batches):
-            digest, owner, who, count = _tally(digest, owner)
-            yield _by_slice(digest, owner, who, count, n_slices)
+        for digest, owner in _flushes(_asked_sets(words), lambda grams: grams, batches):
+            digest, owner, who, count = _tally(digest, _short(owner))
+            owner = np.where(owner == NULL_ID, SEVERAL, owner).astype(np.uint32)
+            yield _by_slice(digest, owner, who, count, n_slices, _pack32)
     return run
 
 
 def _shared_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(class, n): n-grams of a slice that another class has too."""
+    """(short, n): n-grams of a slice that another class has too."""
     now, rows = None, []
 
     def out() -> pa.RecordBatch:
         parts = [(np.frombuffer(a, np.int64), np.frombuffer(b, np.int64)) for _, _, a, b in rows]
-        _, _, who, count = _tally(np.concatenate([_unpack48(d) for d, _, _, _ in rows]),
-                                  np.concatenate([np.frombuffer(c, np.int64) for _, c, _, _ in rows]))
+        owner = np.concatenate([np.frombuffer(c, np.uint32) for _, c, _, _ in rows]).astype(np.int64)
+        _, _, who, count = _tally(np.concatenate([np.frombuffer(d, np.uint32) for d, _, _, _ in rows]),
+                                  np.where(owner == SEVERAL, NULL_ID, owner))
         who, count = np.concatenate([who, *[a for a, _ in parts]]), np.concatenate([count, *[b for _, b in parts]])
-        return pa.RecordBatch.from_arrays([pa.array(who, pa.int64()), pa.array(count, pa.int64())], names=["class", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(who, pa.int64()), pa.array(count, pa.int64())], names=["short", "n"])
 
     for batch in batches:
         for at, *row in zip(*(batch.column(c).to_pylist() for c in ("slice", "digests", "classes", "a", "b"))):
@@ -367,23 +385,105 @@ def _partnered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate([a, b])), pa.int64())], names=["class"])
 
 
+def _asked_sets(words: int):
+    """(set, class) of the classes asked for, each once a task. A row whose
+    text is not the class's own gives none."""
+    seen: set[int] = set()
+
+    def feed(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, int]]:
+        own = batch.column("class").to_pylist()
+        for first, texts in _texts(batch):
+            for i, grams in enumerate(gram_sets(texts, words), first):
+                if own[i] not in seen and set_digest(grams)[0] == own[i]:
+                    seen.add(own[i])
+                    yield grams, own[i]
+    return feed
+
+
 def _member_sets(words: int):
-    """The sets of the classes asked for, each once a task. A row whose text
-    is not the class's own gives none."""
+    """The sets of the classes asked for as rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        feed = _asked_sets(words)
         for batch in batches:
-            own = batch.column("class").to_pylist()
-            for first, texts in _texts(batch):
+            if rows := [(c, g.tobytes()) for g, c in feed(batch)]:
+                yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in rows], pa.int64()),
+                                                  pa.array([g for _, g in rows], pa.binary())],
+                                                 names=["class", "grams"])
+    return run
+
+
+def _dealt(key: np.ndarray, cols: list[np.ndarray], n_slices: int) -> pa.RecordBatch:
+    """Rows of ``SLICES`` with the columns in the key's order, cut by slice of
+    the key."""
+    order = np.argsort(key, kind="stable")
+    at = ((key[order] >> np.uint64(32)) * np.uint64(n_slices)) >> np.uint64(32)
+    cuts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+    ends = np.r_[cuts[1:], len(at)]
+    packed = [[c[x:y].tobytes() for x, y in zip(cuts, ends)] for c in (col[order] for col in cols)]
+    packed += [[b""] * len(cuts)] * (4 - len(cols))
+    return pa.RecordBatch.from_arrays([pa.array(at[cuts].astype(np.int64)), *[pa.array(c, pa.binary()) for c in packed]],
+                                      names=["slice", "digests", "classes", "a", "b"])
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], *kinds) -> Iterator[list[np.ndarray]]:
+    """The columns that ``_dealt`` has cut, slice by slice."""
+    now, rows = None, []
+
+    def out() -> list[np.ndarray]:
+        return [np.concatenate([np.frombuffer(r[i], kind) for r in rows]) for i, kind in enumerate(kinds)]
+
+    for batch in batches:
+        for at, *row in zip(*(batch.column(c).to_pylist() for c in ("slice", "digests", "classes", "a"))):
+            if now is not None and at != now:
+                yield out()
                 rows = []
-                for i, grams in enumerate(gram_sets(texts, words), first):
-                    if own[i] not in seen and set_digest(grams)[0] == own[i]:
-                        seen.add(own[i])
-                        rows.append((own[i], grams.tobytes()))
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in rows], pa.int64()),
-                                                      pa.array([g for _, g in rows], pa.binary())],
-                                                     names=["class", "grams"])
+            now = at
+            rows.append(row)
+    if now is not None:
+        yield out()
+
+
+def _cluster_sets(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, int]]:
+    """(tokens, class): a set's n-grams as those of its cluster. In a cluster
+    different n-grams are different tokens."""
+    for own, cluster, grams in zip(batch.column("class").to_pylist(), batch.column("cluster").to_pylist(), batch.column("grams")):
+        yield _mix(np.frombuffer(grams.as_py(), np.uint64) ^ _mix(np.array([cluster]).view(np.uint64), 54), 56), own
+
+
+def _token_slices(n_slices: int):
+    """Tokens with their classes, by slice of the tokens."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for token, own in _flushes(_cluster_sets, lambda tokens: tokens, batches):
+            yield _dealt(token, [token, own], n_slices)
+    return run
+
+
+def _frequencies(n_slices: int):
+    """Tokens with their classes and in how many sets they are (255 for more),
+    by slice of the classes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for token, own in _gathered(batches, np.uint64, np.int64):
+            _, at, count = np.unique(token, return_inverse=True, return_counts=True)
+            yield _dealt(_mix(own.view(np.uint64), 54), [token, own, np.minimum(count, 255).astype(np.uint8)[at]], n_slices)
+    return run
+
+
+def _rarest(percent: int, n_slices: int):
+    """The tokens of a set one of which each partner has among its own such
+    tokens: the rarest of a set, one more than the set can have besides those it
+    shares. What no other set has is left out."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for token, own, count in _gathered(batches, np.uint64, np.int64, np.uint8):
+            order = np.lexsort((token, count, own))
+            token, own, count = token[order], own[order], count[order]
+            first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+            n = np.diff(np.r_[first, len(own)])
+            place = np.arange(len(own)) - np.repeat(first, n)
+            take = (place <= np.repeat(n - -(-n * percent // 100), n)) & (count > 1)
+            if take.any():
+                digest, least, a, b = _merged(token[take], own[take])
+                a, b = forest(a, b) if len(a) else (a, b)
+                yield _by_slice(digest, least, a, b, n_slices)
     return run
 
 
@@ -523,28 +623,57 @@ def _candidates(rows: DataFrame, classes: DataFrame, words: int, percent: int, n
     wanted = partnered.distinct().join(classes, "class").select("row.doc", "row.text_digest", "class", "n")
     wanted = staged(wanted, "grams-wanted")
     release(rows.sparkSession)
-    # A shuffle at every size: whether the ids fit a broadcast changes nothing.
-    text = rows.join(wanted.drop("n").hint("merge"), ["doc", "text_digest"])
-    sets = staged(text.mapInArrow(tidy(_member_sets(words)), MEMBERS), "grams-wanted-sets")
-    release(rows.sparkSession)
     n = _slices_for(wanted.agg(F.sum("n")).head()[0] or 0)
-    slices = sets.mapInArrow(tidy(_gram_slices(n)), SLICES)
+    slices = _texts_of(rows, wanted).mapInArrow(tidy(_gram_slices(words, n)), SLICES)
     shared = (slices.repartition(n, "slice").sortWithinPartitions("slice").mapInArrow(
-        tidy(_shared_grams), "class long, n long").groupBy("class").agg(F.sum("n").alias("shared")))
-    enough = wanted.join(shared, "class").where(F.col("shared") * 100 >= F.col("n") * percent).select("class")
-    left = staged(sets.join(enough, "class", "left_semi").dropDuplicates(["class"]), "grams-sets-left")
-    unstage(sets)
+        tidy(_shared_grams), "short long, n long").groupBy("short").agg(F.sum("n").alias("shared")))
+    short = F.least(F.col("class").bitwiseAND(F.lit(0xFFFFFFFF)), F.lit(SEVERAL - 1))
+    enough = staged(wanted.withColumn("short", short).join(shared, "short").where(
+        F.col("shared") * 100 >= F.col("n") * percent).select("doc", "text_digest", "class"), "grams-enough")
+    release(rows.sparkSession)
+    sets = _texts_of(rows, enough).mapInArrow(tidy(_member_sets(words)), MEMBERS)
+    left = staged(sets.dropDuplicates(["class"]), "grams-sets-left")
     release(rows.sparkSession)
     return left
 
 
-def _links(sets: DataFrame, classes: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
-    """Spanning links of all sets that reach the similarity."""
-    members = clusters.select(F.col("node").alias("class"), F.col("component").alias("cluster")).join(
-        classes.select("class", "n"), "class")
+def _texts_of(rows: DataFrame, some: DataFrame) -> DataFrame:
+    """The texts of classes, with the class. They are read again rather than
+    kept as sets, which would take several times their room."""
+    # A shuffle at every size: whether the ids fit a broadcast changes nothing.
+    return rows.join(some.select("doc", "text_digest", "class").hint("merge"), ["doc", "text_digest"])
+
+
+def _sized(members: DataFrame) -> DataFrame:
+    """cluster, class, n, m, parts from rows (cluster, class, n)."""
     size = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("grams"))
     parts = F.greatest(F.ceil(F.col("m") / CHUNK), F.ceil(F.col("grams") / CHUNK_GRAMS)).cast("long")
-    members = staged(members.join(size, "cluster").select("cluster", "class", "m", parts.alias("parts")), "grams-members")
+    return members.join(size, "cluster").select("cluster", "class", "n", "m", parts.alias("parts"))
+
+
+def _parted(sets: DataFrame, large: DataFrame, percent: int) -> DataFrame:
+    """(cluster, class, n): large clusters as smaller ones that hold all their
+    pairs. Blocks that agree by chance tie ever more sets together as there are
+    more of them; of two sets that reach the similarity the rarest n-grams,
+    counted in the cluster, have one in common as well, which others seldom have."""
+    n = _slices_for(large.agg(F.sum("n")).head()[0])
+    by_slice = lambda df: df.repartition(n, "slice").sortWithinPartitions("slice")
+    tokens = sets.join(large.select("class", "cluster"), "class").mapInArrow(tidy(_token_slices(n)), SLICES)
+    counted = by_slice(tokens).mapInArrow(tidy(_frequencies(n)), SLICES)
+    rare = by_slice(counted).mapInArrow(tidy(_rarest(percent, n)), SLICES)
+    found = components(by_slice(rare).mapInArrow(tidy(_agreeing), LINKS))
+    return large.select("class", "n").join(found.withColumnRenamed("node", "class"), "class").select(
+        F.col("component").alias("cluster"), "class", "n")
+
+
+def _links(sets: DataFrame, classes: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
+    """Spanning links of all sets that reach the similarity."""
+    members = staged(_sized(clusters.select(F.col("node").alias("class"), F.col("component").alias("cluster")).join(
+        classes.select("class", "n"), "class")), "grams-members")
+    large = members.where("parts > 1")
+    if large.limit(1).count():
+        members = staged(members.where("parts = 1").unionByName(_sized(_parted(sets, large, percent))), "grams-members")
+        release(sets.sparkSession)
     spread = staged(sets.join(members, "class"), "grams-members-sets")
     part = F.pmod(F.xxhash64("class"), F.col("parts"))
     shared = (F.col("parts") > 1) & (F.pmod(F.xxhash64(F.lit(1), "class"), F.col("m")) < SHARED)

@@ -87,7 +87,10 @@ def staged(df: DataFrame, kind: str) -> DataFrame:
 def release(spark: SparkSession) -> None:
     """Let Spark remove the shuffle files of finished jobs now. Its cleaner
     follows the driver's garbage collection, which an idle driver may not see
-    for half an hour, while the files fill the executors' disks."""
+    for half an hour, while the files fill the executors' disks. A query more
+    goes before: Spark's listener keeps the last one, with its shuffles, until
+    the next has come."""
+    spark.sql("SELECT 1").collect()
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 

@@ -3,17 +3,20 @@ nulls in any column, empty and very long texts, ties and repeated rows, empty
 tables, extra columns with clashing names."""
 
 import hashlib
+import os
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from blockload.llm import bpe, mixing, ngram_join, suffix_dedup, token_counts, toxicity
+from blockload.llm import bpe, mixing, ngram_join, runtime, suffix_dedup, token_counts, toxicity
 from blockload.llm.queries import tokenizer_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -517,3 +520,108 @@ def test_empty_tables(spark):
     assert bpe.encoded_digests(docs, path).count() == 0
     assert mixing.mix(docs).count() == 0
     assert mixing.mixed_documents(docs).count() == 0
+
+
+def kept_shuffles(spark):
+    """Shuffle files on the session's local disk."""
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f for d in dirs for _, _, names in os.walk(str(d)) for f in names if re.fullmatch(r"shuffle_\d+_\d+_\d+\.data", f)}
+
+
+def test_release_frees_the_shuffles_of_the_last_query(spark):
+    before = kept_shuffles(spark)
+    runtime.staged(spark.range(20_000).repartition(5).groupBy((F.col("id") % 1000).alias("k")).count(), "kept")
+    own = kept_shuffles(spark) - before
+    assert own
+    runtime.release(spark)
+    until = time.time() + 15
+    while own & kept_shuffles(spark) and time.time() < until:
+        time.sleep(0.2)
+    assert not own & kept_shuffles(spark)
+
+
+def staged_grams(monkeypatch):
+    """Bytes of n-gram sets in each table that the join stages, as it runs."""
+    found, plain = {}, ngram_join.staged
+
+    def staged(df, kind):
+        out = plain(df, kind)
+        if "grams" in out.columns and dict(out.dtypes)["grams"] == "binary":
+            found[kind] = found.get(kind, 0) + (out.agg(F.sum(F.octet_length("grams"))).head()[0] or 0)
+        return out
+
+    monkeypatch.setattr(ngram_join, "staged", staged)
+    return found
+
+
+def test_sets_that_only_share_passages_are_not_stored(spark, monkeypatch):
+    """Documents that agree in blocks with others, but share half of their n-grams."""
+    rnd = random.Random(11)
+    para = lambda n: [f"w{rnd.randrange(10 ** 6)}" for _ in range(n)]
+    passages = [para(150) for _ in range(10)]
+    texts = [(i, " ".join(passages[i % 10] + para(150))) for i in range(40)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    kinds = staged_grams(monkeypatch)
+    got = rows_of(ngram_join.jaccard_components(docs, 5, 80), "*")
+    assert got == brute_components(texts, 5, 80) and all(r[0] == r[2] for r in got)
+    wanted = ngram_join._agreements(ngram_join._rows(docs), ngram_join._texts_sets(5), 80, 12_000)
+    assert wanted.mapInArrow(ngram_join._partnered, "class long").distinct().count() > 30   # else nothing is shown
+    assert sum(kinds.values()) == 0
+
+
+def test_a_chain_of_groups_is_not_compared_as_one_cluster(spark, monkeypatch):
+    """Pairs of near copies, each tied to the next pair by a passage: what is
+    compared grows with the documents, not with their square."""
+    rnd = random.Random(12)
+    para = lambda n: [f"w{rnd.randrange(10 ** 6)}" for _ in range(n)]
+    passages, texts = [para(70) for _ in range(31)], []
+    for i in range(30):
+        base = passages[i] + para(60) + passages[i + 1]
+        near = list(base)
+        near[100] = "other"
+        texts += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(near))]
+    compared, plain = [], ngram_join._compare
+
+    def compare(rows, percent):
+        compared.append(rows.count())
+        return plain(rows, percent)
+
+    largest, staged = [], ngram_join.staged
+
+    def watched(df, kind):
+        out = staged(df, kind)
+        if kind == "grams-clusters":
+            largest.append(out.groupBy("component").count().agg(F.max("count")).head()[0])
+        return out
+
+    monkeypatch.setattr(ngram_join, "staged", watched)
+    monkeypatch.setattr(ngram_join, "_compare", compare)
+    monkeypatch.setattr(ngram_join, "CHUNK", 8)
+    monkeypatch.setattr(ngram_join, "SHARED", 2)
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = rows_of(ngram_join.jaccard_components(docs, 5, 80), "*")
+    assert got == brute_components(texts, 5, 80) and {r[2] for r in got} == set(range(0, 60, 2))
+    assert largest[0] > 8 and sum(compared) <= len(texts) + 20
+
+
+def test_counts_of_shared_grams_are_never_too_low(monkeypatch):
+    """Classes with the same 32 bits only add to each other's counts."""
+    monkeypatch.setattr(ngram_join, "_asked_sets", lambda words: ngram_join._stored_sets)
+    monkeypatch.setattr(ngram_join, "FLUSH_ROWS", 300)
+    rng = np.random.default_rng(13)
+    pool = rng.integers(0, 1 << 63, 800, dtype=np.uint64)
+    classes = [5, 5 + (1 << 32), -1, -2, 1 << 40, ngram_join.SEVERAL, *range(100, 120)]
+    sets = {c: np.unique(rng.choice(pool, 60)) for c in classes}
+    batches = [pa.RecordBatch.from_arrays([pa.array([c], pa.int64()), pa.array([sets[c].tobytes()], pa.binary())],
+                                          names=["class", "grams"]) for c in classes]
+    for n_slices in (1, 7):
+        rows = [r for b in ngram_join._gram_slices(5, n_slices)(iter(batches)) for r in b.to_pylist()]
+        rows = pa.RecordBatch.from_pylist(sorted(rows, key=lambda r: r["slice"]))
+        found = Counter()
+        for b in ngram_join._shared_grams(iter([rows])):
+            for r in b.to_pylist():
+                found[r["short"]] += r["n"]
+        uses = Counter(g for s in sets.values() for g in s.tolist())
+        for c, s in sets.items():
+            assert found[int(ngram_join._short(c))] >= sum(uses[g] > 1 for g in s.tolist())
+        assert all(found[c] == sum(uses[g] > 1 for g in sets[c].tolist()) for c in range(100, 120))
